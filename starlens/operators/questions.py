@@ -32,7 +32,7 @@ def normalize(c: Column) -> Column:
 
 def strip_fences(c: Column) -> Column:
     """Drop markdown code fences around a JSON answer and trim."""
-    return F.trim(F.regexp_replace(c, "```json|```", ""))
+    return F.regexp_replace(F.regexp_replace(c, "```json|```", ""), r"^\s+|\s+$", "")
 
 
 def parse_scope(c: Column) -> Column:

@@ -77,12 +77,10 @@ def report_long(star: Star, scope: Mapping | None = None) -> DataFrame:
 
 def report_signals(star: Star, scope: Mapping | None = None) -> DataFrame:
     """(analysis, dimension, value, avg, severity, type) for all
-    analyses."""
-    sc = as_scope(scope)
-    parts = [
-        signals(star, n, sc).select(F.lit(n).alias("analysis"), "*") for n in ANALYSES
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    analyses, as one plan over ``report_long``: each analysis is a separate
+    breakdown, its sum and count are joined back on the analysis name (at
+    most eleven rows)."""
+    return detect(report_long(star, scope), "dimension", "value", by=["analysis"])
 
 
 def findings(star: Star, scope: Mapping | None = None) -> DataFrame:

@@ -56,8 +56,18 @@ DEVICE_BUCKETS = [(6, "mobile"), (9, "desktop")]
 DEVICE_LAST = "tablet"
 
 
+_SOURCES: dict[tuple[int, str], DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The source table, resolved once per session: the fixture tables are
+    read-only, so their schema and file listing are looked up only once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _SOURCES.get(key)
+    if df is None:
+        df = _SOURCES[key] = spark.read.parquet(path)
+    return df
 
 
 def star_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -18,6 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from starlens.sources.schemas import SCHEMAS
 
 
+_FIXTURE_STARS: dict[tuple[int, str], "Star"] = {}
+
+
 class Star(Mapping[str, DataFrame]):
     def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame]):
         missing = set(SCHEMAS) - set(tables)
@@ -37,9 +40,14 @@ class Star(Mapping[str, DataFrame]):
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Star":
+        """Views over read-only fixture tables; built once per session."""
         from starlens.sources.fixtures import star_views
 
-        return cls(spark, star_views(spark, sf_dir))
+        key = (id(spark), sf_dir.rstrip("/"))
+        star = _FIXTURE_STARS.get(key)
+        if star is None:
+            star = _FIXTURE_STARS[key] = cls(spark, star_views(spark, sf_dir))
+        return star
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> "Star":
