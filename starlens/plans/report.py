@@ -98,7 +98,8 @@ def findings(star: Star, scope: Mapping | None = None) -> DataFrame:
     names = sig.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(n) for n in ANALYSES])).alias("analysis")
     )
-    healthy = names.join(sig.select("analysis"), "analysis", "left_anti").select(
+    flagged = sig.select("analysis").distinct()  # at most one row per analysis
+    healthy = names.join(flagged, "analysis", "left_anti").select(
         "analysis",
         F.lit("healthy").alias("kind"),
         F.lit("no anomalies: operations look healthy").alias("finding"),

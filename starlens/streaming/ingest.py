@@ -95,6 +95,41 @@ class BatchSink:
         return good.join(stored, key, "left_anti")
 
 
+class JdbcBatchSink(BatchSink):
+    """A5: ``foreachBatch`` append of one table into a database table.
+
+    A database append has no per-batch partition to overwrite, so replay
+    safety comes from the key: with ``dedupe_keys`` (default) rows whose key
+    is already stored are dropped before the append (an anti-join against
+    the stored keys, read through the JDBC source).  Rejects still go to
+    parquet under ``rejects_root``.
+    """
+
+    def __init__(self, url: str, table: str, properties: Mapping[str, str], rejects_root: str,
+                 dedupe_keys: bool = True, batch_size: int = 10_000):
+        super().__init__(rejects_root, table, dedupe_keys)
+        self.url = url
+        self.properties = dict(properties)
+        self.batch_size = batch_size
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        key = KEYS[self.table]
+        good = batch.where("_ok").select(*SCHEMAS[self.table].names)
+        if self.dedupe_keys:
+            stored = batch.sparkSession.read.jdbc(self.url, self.table, properties=self.properties).select(key)
+            good = good.dropDuplicates([key]).join(stored, key, "left_anti")
+        (
+            good.write.mode("append")
+            .option("batchsize", str(self.batch_size))
+            .jdbc(self.url, self.table, properties=self.properties)
+        )
+        bad = batch.where(~F.col("_ok")).select(F.col("_raw").alias("value"))
+        if not bad.isEmpty():
+            self._write(bad, self.rejects_path, batch_id)
+
+
 def read_topic(spark: SparkSession, table: str, fmt: str = "text", source: str | None = None,
                options: Mapping[str, str] | None = None) -> DataFrame:
     """A1: the raw event stream of ``table`` (single ``value`` column)."""
@@ -107,12 +142,13 @@ def read_topic(spark: SparkSession, table: str, fmt: str = "text", source: str |
 def start_table(spark: SparkSession, table: str, sink_root: str, fmt: str = "text", source: str | None = None,
                 options: Mapping[str, str] | None = None, checkpoint_root: str | None = None,
                 available_now: bool = False, processing_time: str = "5 seconds",
-                dedupe_keys: bool = False) -> StreamingQuery:
-    """K1: one table's ingest query."""
+                dedupe_keys: bool = False, sink: BatchSink | None = None) -> StreamingQuery:
+    """K1: one table's ingest query.  The sink defaults to parquet tables
+    under ``sink_root``; pass a ``JdbcBatchSink`` to append to a database."""
     ckpt = (checkpoint_root or f"{shared_dir(spark)}/ingest-checkpoints").rstrip("/")
     stream = decode(read_topic(spark, table, fmt, source, options), table)
     writer = (
-        stream.writeStream.foreachBatch(BatchSink(sink_root, table, dedupe_keys))
+        stream.writeStream.foreachBatch(sink or BatchSink(sink_root, table, dedupe_keys))
         .option("checkpointLocation", f"{ckpt}/{table}")
         .queryName(f"ingest_{table}_{uuid.uuid4().hex[:8]}")
     )
