@@ -73,14 +73,20 @@ class BatchSink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        names = SCHEMAS[self.table].names
-        good = batch.where("_ok").select(*names)
-        if self.dedupe_keys:
-            good = self._new_keys_only(good, batch_id)
-        self._write(good, self.path, batch_id)
-        bad = batch.where(~F.col("_ok")).select(F.col("_raw").alias("value"))
-        if not bad.isEmpty():
-            self._write(bad, self.rejects_path, batch_id)
+        # Two outputs are written from one micro-batch: keep it for both
+        # instead of decoding the source twice (lost blocks are recomputed).
+        batch = batch.persist()
+        try:
+            names = SCHEMAS[self.table].names
+            good = batch.where("_ok").select(*names)
+            if self.dedupe_keys:
+                good = self._new_keys_only(good, batch_id)
+            self._write(good, self.path, batch_id)
+            bad = batch.where(~F.col("_ok")).select(F.col("_raw").alias("value"))
+            if not bad.isEmpty():
+                self._write(bad, self.rejects_path, batch_id)
+        finally:
+            batch.unpersist()
 
     def _new_keys_only(self, good: DataFrame, batch_id: int) -> DataFrame:
         """Drop keys repeated in the batch or already stored by an earlier

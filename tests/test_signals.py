@@ -50,18 +50,23 @@ def test_medium_spike(spark):
 
 def test_negative_mean_flags_literally(spark):
     # mean -10: 1.5*mean = -15 < mean, so every value above -15 is a spike;
-    # 2*mean = -20 so all of them are HIGH
+    # 2*mean = -20 so all of them are HIGH (T9); -15 is not above -15 but is
+    # below 0.5*mean = -5, so it is a drop
     out = _detect(spark, [("a", -5.0), ("b", -10.0), ("c", -15.0)])
     assert out == [
         ("a", -5.0, -10.0, "HIGH", "spike"),
         ("b", -10.0, -10.0, "HIGH", "spike"),
+        ("c", -15.0, -10.0, "MEDIUM", "drop"),
     ]
 
 
 def test_avg_rounds_half_away_from_zero(spark):
-    # sum 0.05 over 2 groups -> 0.025 -> 0.03
+    # sum 0.05 over 2 groups -> 0.025 -> 0.03; 0.05 is exactly 2x the mean,
+    # so a MEDIUM spike (the HIGH bound is strict)
     out = _detect(spark, [("a", 0.05), ("b", 0.0)])
-    assert out == [("a", 0.05, 0.03, "HIGH", "spike"), ("b", 0.0, 0.03, "MEDIUM", "drop")]
+    assert out == [("a", 0.05, 0.03, "MEDIUM", "spike"), ("b", 0.0, 0.03, "MEDIUM", "drop")]
+    out = _detect(spark, [("a", -0.05), ("b", 0.0)])
+    assert [r[2] for r in out] == [-0.03, -0.03]
 
 
 def test_partitioned_by_breakdown(spark):
