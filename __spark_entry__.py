@@ -67,8 +67,20 @@ SCOPED: dict[str, tuple[str, dict[str, str], dict]] = {
     "clickstream_by_device_region": ("clickstream_by_device", {"region": REGION}, {}),
     "clickstream_funnel": ("clickstream_funnel", {}, {}),
     "clickstream_funnel_device": ("clickstream_funnel", {"device_type": DEVICE}, {}),
+    "clickstream_funnel_region": ("clickstream_funnel", {"region": REGION}, {}),
+    "orders_by_region_region": ("orders_by_region", {"region": REGION}, {}),
+    "revenue_by_category_category": ("revenue_by_category", {"category": CATEGORY}, {}),
+    "return_rate_by_sku_category": ("return_rate_by_sku", {"category": CATEGORY}, {}),
+    "return_rate_by_sku_top25": ("return_rate_by_sku", {}, {"top_n": 25}),
+    "return_reasons_reason": ("return_reasons", {"return_reason": RETURN_REASON}, {}),
+    "shipments_by_region_region": ("shipments_by_region", {"region": REGION}, {}),
 }
 
+# One scope with every key: each analysis applies the keys it honours.
+FULL_SCOPE = {"region": REGION, "city": CITY, "category": CATEGORY, "courier_name": COURIER,
+              "return_reason": RETURN_REASON, "device_type": DEVICE, "payment_method": METHOD,
+              "payment_status": STATUS}
+
 ROOT_CAUSE_SCOPE = {"region": REGION, "courier_name": COURIER}
 
 
@@ -110,9 +122,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["report_long"] = lambda spark, d: report_long(_star(spark, d))
     out["report_signals"] = lambda spark, d: report_signals(_star(spark, d))
     out["findings"] = lambda spark, d: findings(_star(spark, d))
+    out["report_long_region"] = lambda spark, d: report_long(_star(spark, d), {"region": REGION})
+    out["report_signals_region"] = lambda spark, d: report_signals(_star(spark, d), {"region": REGION})
+    out["report_long_full_scope"] = lambda spark, d: report_long(_star(spark, d), FULL_SCOPE)
     out["root_cause"] = lambda spark, d: root_cause(_star(spark, d))
     out["root_cause_region_courier"] = lambda spark, d: root_cause(_star(spark, d), ROOT_CAUSE_SCOPE)
+    out["root_cause_category_reason"] = lambda spark, d: root_cause(
+        _star(spark, d), {"category": CATEGORY, "return_reason": RETURN_REASON})
     out["recent_orders"] = lambda spark, d: recent_orders(_star(spark, d))
+    out["recent_orders_clamped"] = lambda spark, d: recent_orders(_star(spark, d), 500)
     out["question_scope"] = lambda spark, d: question_scope(_star(spark, d), user_questions(spark, d))
     out["ingest_payments"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_payments")
     out["ingest_order_lines"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_order_lines")
@@ -128,9 +146,14 @@ def oracle_sql() -> dict[str, str]:
     out["report_long"] = oracle.report_long_sql()
     out["report_signals"] = oracle.report_signals_sql()
     out["findings"] = oracle.findings_sql()
+    out["report_long_region"] = oracle.report_long_sql({"region": REGION})
+    out["report_signals_region"] = oracle.report_signals_sql({"region": REGION})
+    out["report_long_full_scope"] = oracle.report_long_sql(FULL_SCOPE)
     out["root_cause"] = oracle.root_cause_sql()
     out["root_cause_region_courier"] = oracle.root_cause_sql(ROOT_CAUSE_SCOPE)
+    out["root_cause_category_reason"] = oracle.root_cause_sql({"category": CATEGORY, "return_reason": RETURN_REASON})
     out["recent_orders"] = oracle.recent_orders_sql()
+    out["recent_orders_clamped"] = oracle.recent_orders_sql(500)
     out["question_scope"] = oracle.question_scope_sql()
     out["ingest_payments"] = oracle.star_table_sql("fact_payments")
     out["ingest_order_lines"] = oracle.star_table_sql("fact_order_lines")
