@@ -50,12 +50,17 @@ def payment_failure_by_method(star: Star, scope: Mapping | None = None) -> DataF
     """Payments and failure rate per payment method."""
     sc = as_scope(scope).for_analysis("payment_failure_by_method")
     fp = sc.apply(star["fact_payments"].select("order_id", "method_id", "payment_status"), ["payment_status"])
-    j = fp.join(_methods(star, sc), "method_id")
     if sc.has("region", "city"):
-        j = dims.by_order_location(j, star, sc)
-    agg = j.groupBy("method_name").agg(
-        _count().alias("total"),
-        _count_if(F.col("payment_status") == "failed").alias("failed"),
+        fp = dims.by_order_location(fp, star, sc)
+    # Pre-aggregate on the join key, so the method dimension meets one row per
+    # method id instead of one per payment; re-summing after the join keeps
+    # the counts exact when a method id occurs more than once.
+    per_id = fp.groupBy("method_id").agg(
+        _count().alias("_total"),
+        _count_if(F.col("payment_status") == "failed").alias("_failed"),
+    )
+    agg = per_id.join(_methods(star, sc), "method_id").groupBy("method_name").agg(
+        F.sum("_total").alias("total"), F.sum("_failed").alias("failed")
     )
     return agg.select(
         "method_name", "total", "failed", pct("failed", "total").alias("failure_rate_pct")
@@ -70,15 +75,16 @@ def payment_failure_by_reason(star: Star, scope: Mapping | None = None) -> DataF
     fp = sc.apply(fp, ["payment_status"]).where(
         (F.col("payment_status") == "failed") & F.col("failure_reason").isNotNull()
     )
-    if sc.has("payment_method"):
-        fp = fp.join(_methods(star, sc), "method_id")
     if sc.has("region"):
         fp = dims.by_order_location(fp, star, sc)
-    return (
-        fp.groupBy("failure_reason")
-        .agg(_count().alias("count"))
-        .orderBy(*_desc("count", "failure_reason"))
-    )
+    if sc.has("payment_method"):
+        per_id = fp.groupBy("method_id", "failure_reason").agg(_count().alias("_n"))
+        agg = per_id.join(_methods(star, sc), "method_id").groupBy("failure_reason").agg(
+            F.sum("_n").alias("count")
+        )
+    else:
+        agg = fp.groupBy("failure_reason").agg(_count().alias("count"))
+    return agg.orderBy(*_desc("count", "failure_reason"))
 
 
 # ── orders ───────────────────────────────────────────────────────────────
@@ -216,8 +222,6 @@ def inventory_by_warehouse(star: Star, scope: Mapping | None = None) -> DataFram
     region scope is the warehouse's region."""
     sc = as_scope(scope).for_analysis("inventory_by_warehouse")
     fit = star["fact_inventory_transactions"].select("warehouse_id", "event_type", "quantity_change")
-    if sc.has("region"):
-        fit = fit.join(bounded_broadcast(dims.warehouse_region(star, sc)), "warehouse_id")
     added = F.col("event_type") == "stock_added"
     qc = F.col("quantity_change")
     agg = fit.groupBy("warehouse_id").agg(
@@ -226,41 +230,45 @@ def inventory_by_warehouse(star: Star, scope: Mapping | None = None) -> DataFram
         F.sum(qc).alias("net_change"),
         _count().alias("total_events"),
     )
+    if sc.has("region"):
+        # The breakdown is per warehouse already: aggregate first, then keep
+        # the warehouses of the region (re-summed, exact under duplicates).
+        measures = ["stock_in", "stock_out", "net_change", "total_events"]
+        agg = (
+            agg.join(bounded_broadcast(dims.warehouse_region(star, sc)), "warehouse_id")
+            .groupBy("warehouse_id")
+            .agg(*[F.sum(m).alias(m) for m in measures])
+        )
     return agg.orderBy(F.asc_nulls_last("net_change"), F.asc_nulls_last("warehouse_id"))
 
 
 # ── clickstream ──────────────────────────────────────────────────────────
 
 
-def _clicks(star: Star, sc: Scope) -> DataFrame:
+def _click_counts(star: Star, sc: Scope, key: str, alias: str) -> DataFrame:
+    """Click events per ``key``.  With a region scope the events are first
+    counted per (customer, key), so the customer-location join sees one row
+    per customer and key rather than one per event."""
     fuc = sc.apply(
         star["fact_user_clickstream"].select("customer_id", "device_type", "event_type"), ["device_type"]
     )
-    if sc.has("region"):
-        fuc = dims.by_customer_location(fuc, star, sc)
-    return fuc
+    if not sc.has("region"):
+        return fuc.groupBy(key).agg(_count().alias(alias))
+    per_customer = fuc.groupBy("customer_id", key).agg(_count().alias("_n"))
+    located = dims.by_customer_location(per_customer, star, sc)
+    return located.groupBy(key).agg(F.sum("_n").alias(alias))
 
 
 def clickstream_by_device(star: Star, scope: Mapping | None = None) -> DataFrame:
     """Click events per device type."""
     sc = as_scope(scope).for_analysis("clickstream_by_device")
-    return (
-        _clicks(star, sc)
-        .groupBy("device_type")
-        .agg(_count().alias("event_count"))
-        .orderBy(*_desc("event_count", "device_type"))
-    )
+    return _click_counts(star, sc, "device_type", "event_count").orderBy(*_desc("event_count", "device_type"))
 
 
 def clickstream_funnel(star: Star, scope: Mapping | None = None) -> DataFrame:
     """Click events per event type (plain counts, not an ordered funnel)."""
     sc = as_scope(scope).for_analysis("clickstream_funnel")
-    return (
-        _clicks(star, sc)
-        .groupBy("event_type")
-        .agg(_count().alias("count"))
-        .orderBy(*_desc("count", "event_type"))
-    )
+    return _click_counts(star, sc, "event_type", "count").orderBy(*_desc("count", "event_type"))
 
 
 # ── registry ─────────────────────────────────────────────────────────────
