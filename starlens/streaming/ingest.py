@@ -167,6 +167,32 @@ def start_all(spark: SparkSession, sink_root: str, tables: Iterable[str] | None
     return [start_table(spark, t, sink_root, **kw) for t in (tables or SCHEMAS)]
 
 
+def run_ingest(spark: SparkSession, sink_root: str, tables: Iterable[str] | None = None,
+               timeout_s: float | None = None, **kw) -> list[StreamingQuery]:
+    """Start one query per table and wait until any of them ends (or
+    ``timeout_s`` passes); then stop the others, so one failed stream ends
+    the job and the cluster manager can restart it from the checkpoints.
+    With ``available_now`` (a backfill) every stream is awaited instead.
+    The first failure, if any, is raised."""
+    queries = start_all(spark, sink_root, tables, **kw)
+    try:
+        if kw.get("available_now"):
+            # one-shot backfill: every stream ends by itself once caught up
+            for q in queries:
+                q.awaitTermination(int(timeout_s * 1000) if timeout_s is not None else None)
+        else:
+            spark.streams.awaitAnyTermination(int(timeout_s * 1000) if timeout_s is not None else None)
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+        spark.streams.resetTerminated()
+    failed = [q.exception() for q in queries if q.exception() is not None]
+    if failed:
+        raise RuntimeError(str(failed[0]))
+    return queries
+
+
 def publish(df: DataFrame, table: str, target: str, fmt: str = "text",
             options: Mapping[str, str] | None = None) -> None:
     """Write rows as one JSON object per event (null fields omitted)."""

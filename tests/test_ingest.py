@@ -118,3 +118,34 @@ def test_recent_orders(spark):
         recent_orders(star, -1)
     ts = [r.event_timestamp for r in recent_orders(star, 50).collect()]
     assert ts == sorted(ts, reverse=True)
+
+
+def test_processing_time_trigger_picks_up_new_files(spark, base):
+    topic = f"{base}/topics/{TOPICS['dim_payment_methods']}"
+    _write_lines(topic, "part-0.json", ['{"method_id": "1", "method_name": "URGENT"}'])
+    q = start_table(spark, "dim_payment_methods", f"{base}/star", source=f"{base}/topics",
+                    checkpoint_root=f"{base}/ckpt", processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        _write_lines(topic, "part-1.json", ['{"method_id": "2", "method_name": "HIGH"}'])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted(rows(spark.read.parquet(f"{base}/star/dim_payment_methods").select("method_id", "method_name")))
+    assert got == [("1", "URGENT"), ("2", "HIGH")]
+
+
+def test_run_ingest_waits_for_all_streams(spark, base):
+    star = Star.from_fixtures(spark, SF_SMALL)
+    tables = ["dim_regions", "fact_returns"]
+    for name in tables:
+        publish(star[name], name, f"{base}/topics")
+    from starlens.streaming.ingest import run_ingest
+
+    queries = run_ingest(spark, f"{base}/star", tables=tables, source=f"{base}/topics",
+                         checkpoint_root=f"{base}/ckpt", available_now=True, timeout_s=120)
+    assert all(not q.isActive for q in queries)
+    for name in tables:
+        stored = spark.read.parquet(f"{base}/star/{name}").select(*SCHEMAS[name].names)
+        assert stored.exceptAll(star[name]).count() == 0
+        assert star[name].exceptAll(stored).count() == 0
