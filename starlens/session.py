@@ -16,7 +16,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -39,7 +38,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -48,13 +47,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     Streaming checkpoints, sink tables written by queries and lineage cuts go
-    there.  Only when the session names none (local tests) a fresh local
-    folder is created and recorded in the session.
+    there.  Only a local-mode session (tests) that names none gets a fresh
+    local folder, recorded in the session; on a cluster the setting is
+    required, since a machine-local folder is not visible to other nodes.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="starlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
