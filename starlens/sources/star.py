@@ -70,6 +70,14 @@ class Star(Mapping[str, DataFrame]):
             },
         )
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str) -> "Star":
+        """Catalog tables, e.g. the bucketed layout of ``sources.layout``."""
+        return cls(
+            spark,
+            {name: spark.table(f"{database}.{name}").select(*SCHEMAS[name].names) for name in SCHEMAS},
+        )
+
     def register(self, prefix: str = "") -> None:
         """Expose every table as a temp view for ``spark.sql``."""
         for name, df in self._tables.items():
