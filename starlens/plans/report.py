@@ -10,6 +10,7 @@ reuse).
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -70,9 +71,16 @@ def _long(star: Star, name: str, scope) -> DataFrame:
 
 
 def report_long(star: Star, scope: Mapping | None = None) -> DataFrame:
-    """(analysis, dimension, value) for every group of every analysis."""
+    """(analysis, dimension, value) for every group of every analysis.
+
+    The eleven branch plans are only built here (nothing runs); building
+    them from a thread pool overlaps the driver-side analysis of each plan.
+    """
     sc = as_scope(scope)
-    return reduce(DataFrame.unionByName, [_long(star, n, sc) for n in ANALYSES])
+    names = list(ANALYSES)
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        parts = list(pool.map(lambda n: _long(star, n, sc), names))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def report_signals(star: Star, scope: Mapping | None = None) -> DataFrame:
