@@ -9,6 +9,7 @@ reuse).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -113,3 +114,17 @@ def findings(star: Star, scope: Mapping | None = None) -> DataFrame:
         F.lit("no anomalies: operations look healthy").alias("finding"),
     )
     return stated.unionByName(healthy)
+
+
+def investigate(star: Star, question: str) -> dict:
+    """The question flow for one question: scope extracted from the text
+    (J4), the full report for that scope (J1) and its findings (J5).  Only
+    the one-row scope of the question is brought to the driver, to scope the
+    report."""
+    from starlens.operators.questions import question_scope
+
+    spark = star.spark
+    q = spark.createDataFrame([(0, question)], "qid long, text string")
+    scope_json = question_scope(star, q, id_cols=("qid",)).select("scope_json").first()[0]
+    scope = json.loads(scope_json)
+    return {"query": question, "scope": scope, "report": run(star, scope), "findings": findings(star, scope)}

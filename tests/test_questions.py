@@ -67,3 +67,23 @@ def F_json(fn):
     from pyspark.sql import functions as F
 
     return fn(F.col("t"))
+
+
+def test_investigate_flow(spark):
+    from starlens.plans.report import investigate
+
+    star = make_star(
+        spark,
+        dim_regions=[("r1", "West India", None), ("r2", "North India", None)],
+        dim_customer_addresses=[("a1", "Mumbai", "r1"), ("a2", "Delhi", "r2")],
+        dim_customers=[("c1", "a1", None), ("c2", "a2", None)],
+        fact_order_headers=[("o1", "c1", 10.0, "t"), ("o2", "c1", 10.0, "t"), ("o3", "c2", 10.0, "t")],
+        fact_shipments=[("s1", "o1", "Delhivery", "delivery_failed", "t"), ("s2", "o2", "BlueDart", "dispatched", "t"),
+                        ("s3", "o3", "Delhivery", "dispatched", "t")],
+    )
+    out = investigate(star, "Why is Delhivery performing poorly in West India?")
+    assert out["scope"] == {"courier_name": "Delhivery", "region": "West India"}
+    perf = rows(out["report"]["shipments"]["courier_performance"]["breakdown"])
+    assert perf == [("Delhivery", 1, 1, 100.0)]
+    kinds = {r["analysis"]: r["kind"] for r in out["findings"].collect()}
+    assert kinds["courier_performance"] == "healthy"  # a single group gives no signal
