@@ -38,6 +38,12 @@ def _desc(metric: str, key: str) -> list[Column]:
     return [F.desc_nulls_first(metric), F.asc_nulls_last(key)]
 
 
+def _ordered(df: DataFrame, ordered: bool, *order: Column) -> DataFrame:
+    """The breakdown in the reference's order; unordered when the caller
+    consumes it as a set (the long report), which saves a global sort."""
+    return df.orderBy(*order) if ordered else df
+
+
 def _methods(star: Star, sc: Scope) -> DataFrame:
     methods = sc.apply(star["dim_payment_methods"].select("method_id", "method_name"), ["payment_method"])
     return bounded_broadcast(methods)
@@ -46,7 +52,7 @@ def _methods(star: Star, sc: Scope) -> DataFrame:
 # ── payments ─────────────────────────────────────────────────────────────
 
 
-def payment_failure_by_method(star: Star, scope: Mapping | None = None) -> DataFrame:
+def payment_failure_by_method(star: Star, scope: Mapping | None = None, ordered: bool = True) -> DataFrame:
     """Payments and failure rate per payment method."""
     sc = as_scope(scope).for_analysis("payment_failure_by_method")
     fp = sc.apply(star["fact_payments"].select("order_id", "method_id", "payment_status"), ["payment_status"])
@@ -62,12 +68,11 @@ def payment_failure_by_method(star: Star, scope: Mapping | None = None) -> DataF
     agg = per_id.join(_methods(star, sc), "method_id").groupBy("method_name").agg(
         F.sum("_total").alias("total"), F.sum("_failed").alias("failed")
     )
-    return agg.select(
-        "method_name", "total", "failed", pct("failed", "total").alias("failure_rate_pct")
-    ).orderBy(*_desc("failure_rate_pct", "method_name"))
+    out = agg.select("method_name", "total", "failed", pct("failed", "total").alias("failure_rate_pct"))
+    return _ordered(out, ordered, *_desc("failure_rate_pct", "method_name"))
 
 
-def payment_failure_by_reason(star: Star, scope: Mapping | None = None) -> DataFrame:
+def payment_failure_by_reason(star: Star, scope: Mapping | None = None, ordered: bool = True) -> DataFrame:
     """Failed payments per failure reason.  A payment_status scope is
     applied as a filter (the reference's query errors out instead, T1)."""
     sc = as_scope(scope).for_analysis("payment_failure_by_reason")
@@ -84,13 +89,14 @@ def payment_failure_by_reason(star: Star, scope: Mapping | None = None) -> DataF
         )
     else:
         agg = fp.groupBy("failure_reason").agg(_count().alias("count"))
-    return agg.orderBy(*_desc("count", "failure_reason"))
+    return _ordered(agg, ordered, *_desc("count", "failure_reason"))
 
 
 # ── orders ───────────────────────────────────────────────────────────────
 
 
-def orders_by_region(star: Star, scope: Mapping | None = None, dedupe: bool = False) -> DataFrame:
+def orders_by_region(star: Star, scope: Mapping | None = None, dedupe: bool = False,
+                     ordered: bool = True) -> DataFrame:
     """Distinct orders and revenue per customer region.
 
     With a category scope the reference joins order lines, so an order's
@@ -117,10 +123,10 @@ def orders_by_region(star: Star, scope: Mapping | None = None, dedupe: bool = Fa
         F.count_distinct("order_id").alias("order_count"),
         F.round(F.sum(value), 2).cast("double").alias("total_revenue"),
     )
-    return agg.orderBy(*_desc("order_count", "region_name"))
+    return _ordered(agg, ordered, *_desc("order_count", "region_name"))
 
 
-def revenue_by_category(star: Star, scope: Mapping | None = None) -> DataFrame:
+def revenue_by_category(star: Star, scope: Mapping | None = None, ordered: bool = True) -> DataFrame:
     """Distinct orders and line revenue per category."""
     sc = as_scope(scope).for_analysis("revenue_by_category")
     lines = star["fact_order_lines"].select("order_id", "sku_id", "line_value")
@@ -131,13 +137,13 @@ def revenue_by_category(star: Star, scope: Mapping | None = None) -> DataFrame:
         F.count_distinct("order_id").alias("order_count"),
         money_sum("line_value").alias("total_revenue"),
     )
-    return agg.orderBy(*_desc("total_revenue", "category_name"))
+    return _ordered(agg, ordered, *_desc("total_revenue", "category_name"))
 
 
 # ── shipments ────────────────────────────────────────────────────────────
 
 
-def courier_performance(star: Star, scope: Mapping | None = None) -> DataFrame:
+def courier_performance(star: Star, scope: Mapping | None = None, ordered: bool = True) -> DataFrame:
     """E5: shipments and delivery failure rate per courier."""
     sc = as_scope(scope).for_analysis("courier_performance")
     fs = sc.apply(star["fact_shipments"].select("order_id", "courier_name", "event_type"), ["courier_name"])
@@ -147,31 +153,31 @@ def courier_performance(star: Star, scope: Mapping | None = None) -> DataFrame:
         _count().alias("total_shipments"),
         _count_if(F.col("event_type") == "delivery_failed").alias("failed"),
     )
-    return agg.select(
+    out = agg.select(
         "courier_name", "total_shipments", "failed",
         pct("failed", "total_shipments").alias("failure_rate_pct"),
-    ).orderBy(*_desc("total_shipments", "courier_name"))
+    )
+    return _ordered(out, ordered, *_desc("total_shipments", "courier_name"))
 
 
-def shipments_by_region(star: Star, scope: Mapping | None = None) -> DataFrame:
+def shipments_by_region(star: Star, scope: Mapping | None = None, ordered: bool = True) -> DataFrame:
     """Shipments per customer region."""
     sc = as_scope(scope).for_analysis("shipments_by_region")
     fs = sc.apply(star["fact_shipments"].select("shipment_id", "order_id", "courier_name"), ["courier_name"])
     j = dims.by_order_location(fs, star, sc)
-    return (
-        j.groupBy("region_name")
-        .agg(F.count("shipment_id").alias("shipment_count"))
-        .orderBy(*_desc("shipment_count", "region_name"))
-    )
+    agg = j.groupBy("region_name").agg(F.count("shipment_id").alias("shipment_count"))
+    return _ordered(agg, ordered, *_desc("shipment_count", "region_name"))
 
 
 # ── returns ──────────────────────────────────────────────────────────────
 
 
-def return_rate_by_sku(star: Star, scope: Mapping | None = None, top_n: int = DEFAULT_TOP_N) -> DataFrame:
+def return_rate_by_sku(star: Star, scope: Mapping | None = None, top_n: int = DEFAULT_TOP_N,
+                       ordered: bool = True) -> DataFrame:
     """The ``top_n`` SKUs by number of returns, with distinct orders and
     returns per order.  A return_reason scope filters after the outer join,
-    so it keeps only returned lines (T3)."""
+    so it keeps only returned lines (T3).  The result is always ordered: the
+    top-k is the feature (``ordered`` is accepted for a uniform signature)."""
     if top_n < 0:
         raise ValueError("top_n must not be negative")
     sc = as_scope(scope).for_analysis("return_rate_by_sku")
@@ -200,24 +206,21 @@ def return_rate_by_sku(star: Star, scope: Mapping | None = None, top_n: int = DE
     )
 
 
-def return_reasons(star: Star, scope: Mapping | None = None) -> DataFrame:
+def return_reasons(star: Star, scope: Mapping | None = None, ordered: bool = True) -> DataFrame:
     """Returns per reason."""
     sc = as_scope(scope).for_analysis("return_reasons")
     fr = sc.apply(star["fact_returns"].select("line_id", "return_reason"), ["return_reason"])
     if sc.has("region"):
         fr = fr.join(star["fact_order_lines"].select("line_id", "order_id"), "line_id")
         fr = dims.by_order_location(fr, star, sc)
-    return (
-        fr.groupBy("return_reason")
-        .agg(_count().alias("count"))
-        .orderBy(*_desc("count", "return_reason"))
-    )
+    agg = fr.groupBy("return_reason").agg(_count().alias("count"))
+    return _ordered(agg, ordered, *_desc("count", "return_reason"))
 
 
 # ── inventory ────────────────────────────────────────────────────────────
 
 
-def inventory_by_warehouse(star: Star, scope: Mapping | None = None) -> DataFrame:
+def inventory_by_warehouse(star: Star, scope: Mapping | None = None, ordered: bool = True) -> DataFrame:
     """Stock in, stock out, net change and events per warehouse.  A
     region scope is the warehouse's region."""
     sc = as_scope(scope).for_analysis("inventory_by_warehouse")
@@ -239,7 +242,7 @@ def inventory_by_warehouse(star: Star, scope: Mapping | None = None) -> DataFram
             .groupBy("warehouse_id")
             .agg(*[F.sum(m).alias(m) for m in measures])
         )
-    return agg.orderBy(F.asc_nulls_last("net_change"), F.asc_nulls_last("warehouse_id"))
+    return _ordered(agg, ordered, F.asc_nulls_last("net_change"), F.asc_nulls_last("warehouse_id"))
 
 
 # ── clickstream ──────────────────────────────────────────────────────────
@@ -259,16 +262,18 @@ def _click_counts(star: Star, sc: Scope, key: str, alias: str) -> DataFrame:
     return located.groupBy(key).agg(F.sum("_n").alias(alias))
 
 
-def clickstream_by_device(star: Star, scope: Mapping | None = None) -> DataFrame:
+def clickstream_by_device(star: Star, scope: Mapping | None = None, ordered: bool = True) -> DataFrame:
     """Click events per device type."""
     sc = as_scope(scope).for_analysis("clickstream_by_device")
-    return _click_counts(star, sc, "device_type", "event_count").orderBy(*_desc("event_count", "device_type"))
+    agg = _click_counts(star, sc, "device_type", "event_count")
+    return _ordered(agg, ordered, *_desc("event_count", "device_type"))
 
 
-def clickstream_funnel(star: Star, scope: Mapping | None = None) -> DataFrame:
+def clickstream_funnel(star: Star, scope: Mapping | None = None, ordered: bool = True) -> DataFrame:
     """Click events per event type (plain counts, not an ordered funnel)."""
     sc = as_scope(scope).for_analysis("clickstream_funnel")
-    return _click_counts(star, sc, "event_type", "count").orderBy(*_desc("count", "event_type"))
+    agg = _click_counts(star, sc, "event_type", "count")
+    return _ordered(agg, ordered, *_desc("count", "event_type"))
 
 
 # ── registry ─────────────────────────────────────────────────────────────

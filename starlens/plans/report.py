@@ -32,7 +32,7 @@ def breakdown(star: Star, name: str, scope: Mapping | None = None) -> DataFrame:
 def signals(star: Star, name: str, scope: Mapping | None = None) -> DataFrame:
     """I1 applied to one analysis: the signals of its breakdown."""
     a = ANALYSES[name]
-    return detect(breakdown(star, name, scope), a.label, a.signal_value())
+    return detect(a.run(star, as_scope(scope), ordered=False), a.label, a.signal_value())
 
 
 def run(star: Star, scope: Mapping | None = None) -> dict:
@@ -64,7 +64,7 @@ def domain_report(star: Star, domain: str, scope: Mapping | None = None) -> dict
 
 def _long(star: Star, name: str, scope) -> DataFrame:
     a = ANALYSES[name]
-    return a.run(star, scope).select(
+    return a.run(star, scope, ordered=False).select(
         F.lit(name).alias("analysis"),
         F.col(a.label).cast("string").alias("dimension"),
         a.signal_value().cast("double").alias("value"),
