@@ -1,12 +1,13 @@
 """Independent SQL oracle for the registered queries (DuckDB dialect).
 
-Each analysis is written as the reference's SQL text, with the same
-conditional joins for scope keys, over the fixture star views of
-``star_sql``.  Numeric conventions that make both engines agree exactly:
-
-* percentages: ``ROUND(100.0 * a / NULLIF(b, 0), 2)`` half away from zero,
-  as ``(20000 * a + b) // (2 * b) / 100`` with integers (T6);
-* money: ``SUM(CAST(x AS DECIMAL(18,2)))`` cast to DOUBLE (T7);
+Each analysis is restated as plain SQL over the fixture star views of
+``star_sql``, with the same conditional joins for scope keys (a dimension
+is joined only when the analysis needs it or a scope key asks for it).
+Numeric conventions that make both engines agree exactly:
+
+* percentages: ``round(100 * a / b, 2)`` half away from zero, computed as
+  ``(20000 * a + b) // (2 * b) / 100`` with integers (T6);
+* money: sums of ``DECIMAL(18,2)`` cast to DOUBLE (T7);
 * integer sums cast to BIGINT; NULLS FIRST on DESC, LAST on ASC (T5); the
   group key breaks ties under LIMIT (T4).
 """
@@ -17,10 +18,13 @@ from collections.abc import Mapping
 
 from starlens.sources.star_sql import with_star
 
-LOCATION_JOIN = """
-    JOIN dim_customers dc2 ON foh.customer_id = dc2.customer_id
-    JOIN dim_customer_addresses dca ON dc2.address_id = dca.address_id
-    JOIN dim_regions dr ON dca.region_id = dr.region_id"""
+# Customer -> city and region, and sku -> category, as inline relations.
+GEO = (
+    "(SELECT cu.customer_id, ad.city, rg.region_name FROM dim_customers cu "
+    "JOIN dim_customer_addresses ad USING (address_id) JOIN dim_regions rg USING (region_id))"
+)
+SKU_CAT = "(SELECT sk.sku_id, ct.category_name FROM dim_skus sk JOIN dim_categories ct USING (category_id))"
+WH_REGION = "(SELECT wh.warehouse_id, rg.region_name FROM dim_warehouses wh JOIN dim_regions rg USING (region_id))"
 
 
 def pct(a: str, b: str) -> str:
@@ -35,201 +39,175 @@ def _q(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _where(conds: list[str]) -> str:
+def _filters(scope: Mapping[str, str], columns: Mapping[str, str]) -> str:
+    """``WHERE`` with one equality per scope key present in ``columns``."""
+    conds = [f"{col} = {_q(scope[key])}" for key, col in columns.items() if key in scope]
     return ("WHERE " + " AND ".join(conds)) if conds else ""
 
 
-def _eq(col: str, scope: Mapping[str, str], key: str) -> list[str]:
-    return [f"{col} = {_q(scope[key])}"] if key in scope else []
+def _and(where: str, *extra: str) -> str:
+    conds = ([where[len("WHERE "):]] if where else []) + list(extra)
+    return ("WHERE " + " AND ".join(conds)) if conds else ""
+
+
+def _geo_of_order(alias: str) -> str:
+    """Join the order header of ``alias.order_id`` and its customer's geography."""
+    return (f"JOIN fact_order_headers hdr ON hdr.order_id = {alias}.order_id "
+            f"JOIN {GEO} geo ON geo.customer_id = hdr.customer_id")
 
 
 def payment_failure_by_method(scope: Mapping[str, str]) -> str:
-    conds = _eq("fp.payment_status", scope, "payment_status") + _eq("dm.method_name", scope, "payment_method")
-    join = ""
-    if "region" in scope or "city" in scope:
-        join = "JOIN fact_order_headers foh ON fp.order_id = foh.order_id" + LOCATION_JOIN
-        conds += _eq("dr.region_name", scope, "region") + _eq("dca.city", scope, "city")
-    failed = "SUM(CASE WHEN fp.payment_status = 'failed' THEN 1 ELSE 0 END)"
+    joins = _geo_of_order("pay") if ("region" in scope or "city" in scope) else ""
+    where = _filters(scope, {"payment_status": "pay.payment_status", "payment_method": "meth.method_name",
+                             "region": "geo.region_name", "city": "geo.city"})
+    failed = "COUNT(*) FILTER (WHERE pay.payment_status = 'failed')"
     return f"""
-SELECT dm.method_name, COUNT(*) AS total, CAST({failed} AS BIGINT) AS failed,
+SELECT meth.method_name AS method_name, COUNT(*) AS total, {failed} AS failed,
        {pct(failed, 'COUNT(*)')} AS failure_rate_pct
-FROM fact_payments fp
-JOIN dim_payment_methods dm ON fp.method_id = dm.method_id
-{join}
-{_where(conds)}
-GROUP BY dm.method_name
-ORDER BY failure_rate_pct DESC NULLS FIRST, dm.method_name"""
+FROM fact_payments pay JOIN dim_payment_methods meth ON meth.method_id = pay.method_id
+{joins}
+{where}
+GROUP BY meth.method_name
+ORDER BY failure_rate_pct DESC NULLS FIRST, method_name"""
 
 
 def payment_failure_by_reason(scope: Mapping[str, str]) -> str:
-    conds = ["fp.payment_status = 'failed'", "fp.failure_reason IS NOT NULL"]
-    conds += _eq("fp.payment_status", scope, "payment_status")
-    join = ""
+    joins = []
     if "payment_method" in scope:
-        join += "JOIN dim_payment_methods dm ON fp.method_id = dm.method_id\n"
-        conds += _eq("dm.method_name", scope, "payment_method")
+        joins.append("JOIN dim_payment_methods meth ON meth.method_id = pay.method_id")
     if "region" in scope:
-        join += "JOIN fact_order_headers foh ON fp.order_id = foh.order_id" + LOCATION_JOIN
-        conds += _eq("dr.region_name", scope, "region")
+        joins.append(_geo_of_order("pay"))
+    where = _filters(scope, {"payment_status": "pay.payment_status", "payment_method": "meth.method_name",
+                             "region": "geo.region_name"})
+    where = _and(where, "pay.payment_status = 'failed'", "pay.failure_reason IS NOT NULL")
     return f"""
-SELECT fp.failure_reason, COUNT(*) AS count
-FROM fact_payments fp
-{join}
-{_where(conds)}
-GROUP BY fp.failure_reason
-ORDER BY count DESC NULLS FIRST, fp.failure_reason"""
+SELECT pay.failure_reason AS failure_reason, COUNT(*) AS count
+FROM fact_payments pay
+{' '.join(joins)}
+{where}
+GROUP BY pay.failure_reason
+ORDER BY count DESC NULLS FIRST, failure_reason"""
 
 
 def orders_by_region(scope: Mapping[str, str], dedupe: bool = False) -> str:
-    conds = _eq("dr.region_name", scope, "region") + _eq("dca.city", scope, "city")
-    join = ""
-    if "category" in scope:
-        if dedupe:
-            conds.append(
-                "foh.order_id IN (SELECT fol.order_id FROM fact_order_lines fol "
-                "JOIN dim_skus ds ON fol.sku_id = ds.sku_id "
-                "JOIN dim_categories dcat ON ds.category_id = dcat.category_id "
-                f"WHERE dcat.category_name = {_q(scope['category'])})"
-            )
-        else:
-            join = """
-    JOIN fact_order_lines fol ON foh.order_id = fol.order_id
-    JOIN dim_skus ds ON fol.sku_id = ds.sku_id
-    JOIN dim_categories dcat ON ds.category_id = dcat.category_id"""
-            conds += _eq("dcat.category_name", scope, "category")
+    lines_in_cat = (f"SELECT ln.order_id FROM fact_order_lines ln JOIN {SKU_CAT} sc ON sc.sku_id = ln.sku_id "
+                    f"WHERE sc.category_name = {_q(scope['category'])}") if "category" in scope else ""
+    joins, extra = "", []
+    if lines_in_cat and dedupe:
+        extra.append(f"hdr.order_id IN ({lines_in_cat})")
+    elif lines_in_cat:
+        # one row per matching line: an order's value counts once per line
+        joins = f"JOIN ({lines_in_cat}) cl ON cl.order_id = hdr.order_id"
+    where = _and(_filters(scope, {"region": "geo.region_name", "city": "geo.city"}), *extra)
     return f"""
-SELECT dr.region_name, COUNT(DISTINCT foh.order_id) AS order_count,
-       {money('foh.total_order_value')} AS total_revenue
-FROM fact_order_headers foh
-{LOCATION_JOIN}
-{join}
-{_where(conds)}
-GROUP BY dr.region_name
-ORDER BY order_count DESC NULLS FIRST, dr.region_name"""
+SELECT geo.region_name AS region_name, COUNT(DISTINCT hdr.order_id) AS order_count,
+       {money('hdr.total_order_value')} AS total_revenue
+FROM fact_order_headers hdr JOIN {GEO} geo ON geo.customer_id = hdr.customer_id
+{joins}
+{where}
+GROUP BY geo.region_name
+ORDER BY order_count DESC NULLS FIRST, region_name"""
 
 
 def revenue_by_category(scope: Mapping[str, str]) -> str:
-    conds = _eq("dc.category_name", scope, "category")
-    join = ""
-    if "region" in scope:
-        join = "JOIN fact_order_headers foh ON fol.order_id = foh.order_id" + LOCATION_JOIN
-        conds += _eq("dr.region_name", scope, "region")
+    joins = _geo_of_order("ln") if "region" in scope else ""
+    where = _filters(scope, {"category": "sc.category_name", "region": "geo.region_name"})
     return f"""
-SELECT dc.category_name, COUNT(DISTINCT fol.order_id) AS order_count,
-       {money('fol.line_value')} AS total_revenue
-FROM fact_order_lines fol
-JOIN dim_skus ds ON fol.sku_id = ds.sku_id
-JOIN dim_categories dc ON ds.category_id = dc.category_id
-{join}
-{_where(conds)}
-GROUP BY dc.category_name
-ORDER BY total_revenue DESC NULLS FIRST, dc.category_name"""
+SELECT sc.category_name AS category_name, COUNT(DISTINCT ln.order_id) AS order_count,
+       {money('ln.line_value')} AS total_revenue
+FROM fact_order_lines ln JOIN {SKU_CAT} sc ON sc.sku_id = ln.sku_id
+{joins}
+{where}
+GROUP BY sc.category_name
+ORDER BY total_revenue DESC NULLS FIRST, category_name"""
 
 
 def courier_performance(scope: Mapping[str, str]) -> str:
-    conds = _eq("fs.courier_name", scope, "courier_name")
-    join = ""
-    if "region" in scope:
-        join = "JOIN fact_order_headers foh ON fs.order_id = foh.order_id" + LOCATION_JOIN
-        conds += _eq("dr.region_name", scope, "region")
-    failed = "SUM(CASE WHEN fs.event_type = 'delivery_failed' THEN 1 ELSE 0 END)"
+    joins = _geo_of_order("shp") if "region" in scope else ""
+    where = _filters(scope, {"courier_name": "shp.courier_name", "region": "geo.region_name"})
+    failed = "COUNT(*) FILTER (WHERE shp.event_type = 'delivery_failed')"
     return f"""
-SELECT fs.courier_name, COUNT(*) AS total_shipments, CAST({failed} AS BIGINT) AS failed,
+SELECT shp.courier_name AS courier_name, COUNT(*) AS total_shipments, {failed} AS failed,
        {pct(failed, 'COUNT(*)')} AS failure_rate_pct
-FROM fact_shipments fs
-{join}
-{_where(conds)}
-GROUP BY fs.courier_name
-ORDER BY total_shipments DESC NULLS FIRST, fs.courier_name"""
+FROM fact_shipments shp
+{joins}
+{where}
+GROUP BY shp.courier_name
+ORDER BY total_shipments DESC NULLS FIRST, courier_name"""
 
 
 def shipments_by_region(scope: Mapping[str, str]) -> str:
-    conds = _eq("dr.region_name", scope, "region") + _eq("fs.courier_name", scope, "courier_name")
+    where = _filters(scope, {"region": "geo.region_name", "courier_name": "shp.courier_name"})
     return f"""
-SELECT dr.region_name, COUNT(fs.shipment_id) AS shipment_count
-FROM fact_shipments fs
-JOIN fact_order_headers foh ON fs.order_id = foh.order_id
-{LOCATION_JOIN}
-{_where(conds)}
-GROUP BY dr.region_name
-ORDER BY shipment_count DESC NULLS FIRST, dr.region_name"""
+SELECT geo.region_name AS region_name, COUNT(shp.shipment_id) AS shipment_count
+FROM fact_shipments shp
+{_geo_of_order('shp')}
+{where}
+GROUP BY geo.region_name
+ORDER BY shipment_count DESC NULLS FIRST, region_name"""
 
 
 def return_rate_by_sku(scope: Mapping[str, str], top_n: int = 10) -> str:
-    conds = _eq("fr.return_reason", scope, "return_reason")
-    join = ""
+    joins = []
     if "category" in scope:
-        join += (" JOIN dim_skus ds ON fol.sku_id = ds.sku_id"
-                 " JOIN dim_categories dcat ON ds.category_id = dcat.category_id")
-        conds += _eq("dcat.category_name", scope, "category")
+        joins.append(f"JOIN {SKU_CAT} sc ON sc.sku_id = ln.sku_id")
     if "region" in scope:
-        join += "\nJOIN fact_order_headers foh ON fol.order_id = foh.order_id" + LOCATION_JOIN
-        conds += _eq("dr.region_name", scope, "region")
+        joins.append(_geo_of_order("ln"))
+    where = _filters(scope, {"return_reason": "rt.return_reason", "category": "sc.category_name",
+                             "region": "geo.region_name"})
     return f"""
-SELECT fol.sku_id, COUNT(fr.return_id) AS return_count, COUNT(DISTINCT fol.order_id) AS order_count,
-       {pct('COUNT(fr.return_id)', 'COUNT(DISTINCT fol.order_id)')} AS return_rate_pct
-FROM fact_order_lines fol
-LEFT JOIN fact_returns fr ON fol.line_id = fr.line_id
-{join}
-{_where(conds)}
-GROUP BY fol.sku_id
-HAVING COUNT(fr.return_id) > 0
-ORDER BY return_count DESC NULLS FIRST, fol.sku_id
+SELECT ln.sku_id AS sku_id, COUNT(rt.return_id) AS return_count, COUNT(DISTINCT ln.order_id) AS order_count,
+       {pct('COUNT(rt.return_id)', 'COUNT(DISTINCT ln.order_id)')} AS return_rate_pct
+FROM fact_order_lines ln LEFT JOIN fact_returns rt ON rt.line_id = ln.line_id
+{' '.join(joins)}
+{where}
+GROUP BY ln.sku_id
+HAVING COUNT(rt.return_id) > 0
+ORDER BY return_count DESC NULLS FIRST, sku_id
 LIMIT {int(top_n)}"""
 
 
 def return_reasons(scope: Mapping[str, str]) -> str:
-    conds = _eq("fr.return_reason", scope, "return_reason")
-    join = ""
+    joins = ""
     if "region" in scope:
-        join = ("JOIN fact_order_lines fol ON fr.line_id = fol.line_id\n"
-                "JOIN fact_order_headers foh ON fol.order_id = foh.order_id" + LOCATION_JOIN)
-        conds += _eq("dr.region_name", scope, "region")
+        joins = "JOIN fact_order_lines ln ON ln.line_id = rt.line_id " + _geo_of_order("ln")
+    where = _filters(scope, {"return_reason": "rt.return_reason", "region": "geo.region_name"})
     return f"""
-SELECT fr.return_reason, COUNT(*) AS count
-FROM fact_returns fr
-{join}
-{_where(conds)}
-GROUP BY fr.return_reason
-ORDER BY count DESC NULLS FIRST, fr.return_reason"""
+SELECT rt.return_reason AS return_reason, COUNT(*) AS count
+FROM fact_returns rt
+{joins}
+{where}
+GROUP BY rt.return_reason
+ORDER BY count DESC NULLS FIRST, return_reason"""
 
 
 def inventory_by_warehouse(scope: Mapping[str, str]) -> str:
-    conds = []
-    join = ""
-    if "region" in scope:
-        join = ("JOIN dim_warehouses dw ON fit.warehouse_id = dw.warehouse_id "
-                "JOIN dim_regions dr ON dw.region_id = dr.region_id")
-        conds += _eq("dr.region_name", scope, "region")
+    joins = f"JOIN {WH_REGION} wr ON wr.warehouse_id = inv.warehouse_id" if "region" in scope else ""
+    where = _filters(scope, {"region": "wr.region_name"})
+    qty = "inv.quantity_change"
     return f"""
-SELECT fit.warehouse_id,
-       CAST(SUM(CASE WHEN fit.event_type = 'stock_added' THEN fit.quantity_change ELSE 0 END) AS BIGINT) AS stock_in,
-       CAST(SUM(CASE WHEN fit.event_type != 'stock_added' THEN fit.quantity_change ELSE 0 END) AS BIGINT) AS stock_out,
-       CAST(SUM(fit.quantity_change) AS BIGINT) AS net_change,
+SELECT inv.warehouse_id AS warehouse_id,
+       CAST(SUM(IF(inv.event_type = 'stock_added', {qty}, 0)) AS BIGINT) AS stock_in,
+       CAST(SUM(IF(inv.event_type <> 'stock_added', {qty}, 0)) AS BIGINT) AS stock_out,
+       CAST(SUM({qty}) AS BIGINT) AS net_change,
        COUNT(*) AS total_events
-FROM fact_inventory_transactions fit
-{join}
-{_where(conds)}
-GROUP BY fit.warehouse_id
-ORDER BY net_change ASC NULLS LAST, fit.warehouse_id"""
+FROM fact_inventory_transactions inv
+{joins}
+{where}
+GROUP BY inv.warehouse_id
+ORDER BY net_change ASC NULLS LAST, warehouse_id"""
 
 
 def _clicks(scope: Mapping[str, str], key: str, alias: str) -> str:
-    conds = _eq("fuc.device_type", scope, "device_type")
-    join = ""
-    if "region" in scope:
-        join = """
-    JOIN dim_customers dc ON fuc.customer_id = dc.customer_id
-    JOIN dim_customer_addresses dca ON dc.address_id = dca.address_id
-    JOIN dim_regions dr ON dca.region_id = dr.region_id"""
-        conds += _eq("dr.region_name", scope, "region")
+    joins = f"JOIN {GEO} geo ON geo.customer_id = clk.customer_id" if "region" in scope else ""
+    where = _filters(scope, {"device_type": "clk.device_type", "region": "geo.region_name"})
     return f"""
-SELECT fuc.{key}, COUNT(*) AS {alias}
-FROM fact_user_clickstream fuc
-{join}
-{_where(conds)}
-GROUP BY fuc.{key}
-ORDER BY {alias} DESC NULLS FIRST, fuc.{key}"""
+SELECT clk.{key} AS {key}, COUNT(*) AS {alias}
+FROM fact_user_clickstream clk
+{joins}
+{where}
+GROUP BY clk.{key}
+ORDER BY {alias} DESC NULLS FIRST, {key}"""
 
 
 def clickstream_by_device(scope: Mapping[str, str]) -> str:
@@ -318,23 +296,19 @@ WHERE a.analysis NOT IN (SELECT analysis FROM sig)"""
 
 def root_cause_sql(scope: Mapping[str, str] | None = None) -> str:
     scope = scope or {}
-    conds = (_eq("fr.return_reason", scope, "return_reason") + _eq("fs.courier_name", scope, "courier_name")
-             + _eq("dc.category_name", scope, "category"))
-    join = ""
-    if "region" in scope or "city" in scope:
-        join = "JOIN fact_order_headers foh ON fol.order_id = foh.order_id" + LOCATION_JOIN
-        conds += _eq("dr.region_name", scope, "region") + _eq("dca.city", scope, "city")
+    joins = _geo_of_order("ln") if ("region" in scope or "city" in scope) else ""
+    where = _filters(scope, {"return_reason": "rt.return_reason", "courier_name": "shp.courier_name",
+                             "category": "sc.category_name", "region": "geo.region_name", "city": "geo.city"})
     return with_star(f"""
-SELECT fs.courier_name, fr.return_reason, fol.warehouse_id, dc.category_name,
-       COUNT(DISTINCT fr.return_id) AS return_count
-FROM fact_returns fr
-JOIN fact_order_lines fol ON fr.line_id = fol.line_id
-JOIN fact_shipments fs ON fol.order_id = fs.order_id
-JOIN dim_skus ds ON fol.sku_id = ds.sku_id
-JOIN dim_categories dc ON ds.category_id = dc.category_id
-{join}
-{_where(conds)}
-GROUP BY fs.courier_name, fr.return_reason, fol.warehouse_id, dc.category_name
+SELECT shp.courier_name AS courier_name, rt.return_reason AS return_reason, ln.warehouse_id AS warehouse_id,
+       sc.category_name AS category_name, COUNT(DISTINCT rt.return_id) AS return_count
+FROM fact_returns rt
+JOIN fact_order_lines ln ON ln.line_id = rt.line_id
+JOIN fact_shipments shp ON shp.order_id = ln.order_id
+JOIN {SKU_CAT} sc ON sc.sku_id = ln.sku_id
+{joins}
+{where}
+GROUP BY ALL
 ORDER BY return_count DESC NULLS FIRST, 1, 2, 3, 4""")
 
 
