@@ -32,7 +32,7 @@ JOIN_KEYS = {
 }
 SCOPE_KEYS = {**DIRECT_KEYS, **JOIN_KEYS}
 
-# Scope matrix: the keys each analysis honours.
+# The scope matrix, the keys each analysis honours.
 HONOURED = {
     "payment_failure_by_method": ("payment_status", "payment_method", "region", "city"),
     "payment_failure_by_reason": ("payment_status", "payment_method", "region"),

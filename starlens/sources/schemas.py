@@ -66,7 +66,7 @@ KEYS: dict[str, str] = {name: schema.fields[0].name for name, schema in SCHEMAS.
 DIMENSIONS = [n for n in SCHEMAS if n.startswith("dim_")]
 FACTS = [n for n in SCHEMAS if n.startswith("fact_")]
 
-# Facts first, then dimensions: the order in which tables are emptied.
+# Facts first, then dimensions, the order in which tables are emptied.
 TRUNCATE_ORDER = [
     "fact_user_clickstream",
     "fact_inventory_transactions",
