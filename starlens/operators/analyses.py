@@ -262,6 +262,32 @@ def _click_counts(star: Star, sc: Scope, key: str, alias: str) -> DataFrame:
     return located.groupBy(key).agg(F.sum("_n").alias(alias))
 
 
+def clickstream_both(star: Star, scope: Mapping | None = None) -> DataFrame:
+    """E10 and E11 from one scan of the clickstream: (key, label, count) with
+    ``key`` either ``device_type`` or ``event_type``.  The two analyses
+    honour the same scope keys, so they read the same rows; grouping sets
+    aggregate both groupings in one pass (the rows are expanded once per set
+    and combined map-side before the shuffle)."""
+    sc = as_scope(scope).for_analysis("clickstream_by_device")
+    fuc = sc.apply(
+        star["fact_user_clickstream"].select("customer_id", "device_type", "event_type"), ["device_type"]
+    )
+    if sc.has("region"):
+        per_customer = fuc.groupBy("customer_id", "device_type", "event_type").agg(_count().alias("_n"))
+        base, measure = dims.by_customer_location(per_customer, star, sc), F.sum("_n")
+    else:
+        base, measure = fuc, _count()
+    g = base.groupingSets([["device_type"], ["event_type"]], "device_type", "event_type").agg(
+        measure.alias("n"), F.grouping_id().alias("_gid")
+    )
+    by_device = F.col("_gid") == 1  # event_type rolled up
+    return g.select(
+        F.when(by_device, "device_type").otherwise("event_type").alias("key"),
+        F.when(by_device, F.col("device_type")).otherwise(F.col("event_type")).alias("label"),
+        F.col("n").alias("count"),
+    )
+
+
 def clickstream_by_device(star: Star, scope: Mapping | None = None, ordered: bool = True) -> DataFrame:
     """Click events per device type."""
     sc = as_scope(scope).for_analysis("clickstream_by_device")
