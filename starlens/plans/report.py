@@ -42,8 +42,10 @@ def run(star: Star, scope: Mapping | None = None) -> dict:
     for domain in DOMAINS:
         report[domain] = {}
     for a in ANALYSES.values():
-        b = a.run(star, sc)
-        entry = {"breakdown": b, "signals": detect(b, a.label, a.signal_value())}
+        entry = {
+            "breakdown": a.run(star, sc),
+            "signals": detect(a.run(star, sc, ordered=False), a.label, a.signal_value()),
+        }
         if a.name == "return_rate_by_sku":
             entry["top_n"] = 10
         report[a.domain][a.section] = entry
@@ -56,7 +58,10 @@ def domain_report(star: Star, domain: str, scope: Mapping | None = None) -> dict
         raise ValueError(f"unknown domain {domain!r}; expected one of {DOMAINS}")
     sc = as_scope(scope)
     return {
-        a.section: {"breakdown": (b := a.run(star, sc)), "signals": detect(b, a.label, a.signal_value())}
+        a.section: {
+            "breakdown": a.run(star, sc),
+            "signals": detect(a.run(star, sc, ordered=False), a.label, a.signal_value()),
+        }
         for a in ANALYSES.values()
         if a.domain == domain
     }
