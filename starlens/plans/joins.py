@@ -18,20 +18,20 @@ DEFAULT_MAX_ROWS = 1_000_000
 _CONF_KEY = "starlens.broadcast.maxRows"
 
 _lock = threading.Lock()
-# (session, semantic hash, bound) -> [(plan, verdict)]; a hash match is
+# (application, session, semantic hash, bound) -> [(plan, verdict)]; a hash match is
 # confirmed with sameSemantics, so a hash collision cannot reuse a verdict.
-_verdicts: dict[tuple[int, int, int], list[tuple[DataFrame, bool]]] = {}
+_verdicts: dict[tuple[str, int, int, int], list[tuple[DataFrame, bool]]] = {}
 
 
 def max_broadcast_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(_CONF_KEY, str(DEFAULT_MAX_ROWS)))
 
 
-def _remembered(key: tuple[int, int, int], df: DataFrame) -> bool | None:
+def _remembered(key: tuple[str, int, int, int], df: DataFrame) -> bool | None:
     with _lock:
         candidates = list(_verdicts.get(key, ()))
     for other, verdict in candidates:
-        if df.sameSemantics(other):
+        if other.sparkSession is df.sparkSession and df.sameSemantics(other):
             return verdict
     return None
 
@@ -39,7 +39,7 @@ def _remembered(key: tuple[int, int, int], df: DataFrame) -> bool | None:
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     spark = df.sparkSession
     limit = max_broadcast_rows(spark) if max_rows is None else max_rows
-    key = (id(spark), df.semanticHash(), limit)
+    key = (spark.sparkContext.applicationId, id(spark), df.semanticHash(), limit)
     verdict = _remembered(key, df)
     if verdict is None:
         verdict = df.limit(limit + 1).count() <= limit

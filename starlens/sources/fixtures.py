@@ -56,16 +56,16 @@ DEVICE_BUCKETS = [(6, "mobile"), (9, "desktop")]
 DEVICE_LAST = "tablet"
 
 
-_SOURCES: dict[tuple[int, str], DataFrame] = {}
+_SOURCES: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The source table, resolved once per session: the fixture tables are
     read-only, so their schema and file listing are looked up only once."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, id(spark), path)
     df = _SOURCES.get(key)
-    if df is None:
+    if df is None or df.sparkSession is not spark:
         df = _SOURCES[key] = spark.read.parquet(path)
     return df
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starlens.sources.schemas import SCHEMAS
 
 
-_FIXTURE_STARS: dict[tuple[int, str], "Star"] = {}
+_FIXTURE_STARS: dict[tuple[str, int, str], "Star"] = {}
 
 
 class Star(Mapping[str, DataFrame]):
@@ -43,9 +43,9 @@ class Star(Mapping[str, DataFrame]):
         """Views over read-only fixture tables; built once per session."""
         from starlens.sources.fixtures import star_views
 
-        key = (id(spark), sf_dir.rstrip("/"))
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
         star = _FIXTURE_STARS.get(key)
-        if star is None:
+        if star is None or star.spark is not spark:
             star = _FIXTURE_STARS[key] = cls(spark, star_views(spark, sf_dir))
         return star
 
