@@ -2,9 +2,10 @@
 
 ``run`` returns the nested report of the reference as a dict of lazy
 DataFrames; ``report_long`` and ``report_signals`` flatten it into two
-DataFrames, one row per group and one per signal, each a single Spark plan
-(a union of the eleven branches, which share their scans through exchange
-reuse).
+DataFrames, one row per group and one per signal, each a single Spark plan:
+a union of the analysis branches, in which identical sub-plans (dimension
+broadcasts, shared shuffles) are reused and the two clickstream analyses
+read their fact once.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlens.functions.scope import as_scope
-from starlens.operators.analyses import ANALYSES, clickstream_both
+from starlens.operators.analyses import ANALYSES, DEFAULT_TOP_N, clickstream_both
 from starlens.operators.signals import detect
 from starlens.sources.star import Star
 
@@ -47,7 +48,7 @@ def run(star: Star, scope: Mapping | None = None) -> dict:
             "signals": detect(a.run(star, sc, ordered=False), a.label, a.signal_value()),
         }
         if a.name == "return_rate_by_sku":
-            entry["top_n"] = 10
+            entry["top_n"] = DEFAULT_TOP_N
         report[a.domain][a.section] = entry
     return report
 
