@@ -92,6 +92,42 @@ def payment_failure_by_reason(star: Star, scope: Mapping | None = None, ordered:
     return _ordered(agg, ordered, *_desc("count", "failure_reason"))
 
 
+def payments_both(star: Star, scope: Mapping | None = None) -> tuple[DataFrame, DataFrame] | None:
+    """E1 and E2 from one scan of the payments, unordered, or ``None`` when
+    the scope makes them read different rows (``city`` is honoured by E1
+    only).  One grouping-sets aggregate counts payments per method id and
+    failed payments per (method id, reason); each analysis then finishes on
+    that small result, joining the method dimension exactly when it would
+    on its own."""
+    sc1 = as_scope(scope).for_analysis("payment_failure_by_method")
+    sc2 = as_scope(scope).for_analysis("payment_failure_by_reason")
+    if sc1.has("city"):
+        return None
+    fp = sc1.apply(
+        star["fact_payments"].select("order_id", "method_id", "payment_status", "failure_reason"), ["payment_status"]
+    )
+    if sc1.has("region"):
+        fp = dims.by_order_location(fp, star, sc1)
+    failed = F.col("payment_status") == "failed"
+    g = fp.groupingSets([["method_id"], ["method_id", "failure_reason"]], "method_id", "failure_reason").agg(
+        _count().alias("_total"),
+        _count_if(failed).alias("_failed"),
+        _count_if(failed & F.col("failure_reason").isNotNull()).alias("_reasoned"),
+        F.grouping_id().alias("_gid"),
+    )
+    per_method = g.where(F.col("_gid") == 1)
+    per_reason = g.where((F.col("_gid") == 0) & (F.col("_reasoned") > 0))
+
+    by_method = per_method.join(_methods(star, sc1), "method_id").groupBy("method_name").agg(
+        F.sum("_total").alias("total"), F.sum("_failed").alias("failed")
+    )
+    by_method = by_method.select("method_name", "total", "failed", pct("failed", "total").alias("failure_rate_pct"))
+    if sc2.has("payment_method"):
+        per_reason = per_reason.join(_methods(star, sc2), "method_id")
+    by_reason = per_reason.groupBy("failure_reason").agg(F.sum("_reasoned").alias("count"))
+    return by_method, by_reason
+
+
 # ── orders ───────────────────────────────────────────────────────────────
 
 

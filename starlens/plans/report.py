@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlens.functions.scope import as_scope
-from starlens.operators.analyses import ANALYSES, DEFAULT_TOP_N, clickstream_both
+from starlens.operators.analyses import ANALYSES, DEFAULT_TOP_N, clickstream_both, payments_both
 from starlens.operators.signals import detect
 from starlens.sources.star import Star
 
@@ -88,8 +88,30 @@ def _clickstream_long(star: Star, scope) -> DataFrame:
     )
 
 
+def _payments_long(star: Star, scope) -> DataFrame:
+    """Both payment analyses from one scan when the scope allows it."""
+    both = payments_both(star, scope)
+    if both is None:
+        return _long(star, "payment_failure_by_method", scope).unionByName(
+            _long(star, "payment_failure_by_reason", scope)
+        )
+    by_method, by_reason = both
+    return by_method.select(
+        F.lit("payment_failure_by_method").alias("analysis"),
+        F.col("method_name").cast("string").alias("dimension"),
+        F.coalesce(F.col("failure_rate_pct"), F.lit(0)).cast("double").alias("value"),
+    ).unionByName(by_reason.select(
+        F.lit("payment_failure_by_reason").alias("analysis"),
+        F.col("failure_reason").cast("string").alias("dimension"),
+        F.col("count").cast("double").alias("value"),
+    ))
+
+
 # Analyses computed together in the long report, from one scan of their fact.
-FUSED = {("clickstream_by_device", "clickstream_funnel"): _clickstream_long}
+FUSED = {
+    ("clickstream_by_device", "clickstream_funnel"): _clickstream_long,
+    ("payment_failure_by_method", "payment_failure_by_reason"): _payments_long,
+}
 
 
 def report_long(star: Star, scope: Mapping | None = None) -> DataFrame:

@@ -192,3 +192,23 @@ def test_root_cause(star):
     assert rows(root_cause(star, {"courier_name": "A", "region": "West"})) == [
         ("A", "damaged", "w1", "Home", 1), ("A", "wrong_item", "w2", "Toys", 1)
     ]
+
+
+@pytest.mark.parametrize("scope", [{}, {"payment_method": "UPI"}, {"payment_status": "failed"},
+                                   {"region": "West"}, {"payment_method": "Card", "region": "West"}])
+def test_payments_from_one_scan_equal_separate(star, scope):
+    by_method, by_reason = A.payments_both(star, scope)
+    assert sorted(rows(by_method)) == sorted(rows(A.payment_failure_by_method(star, scope)))
+    assert sorted(rows(by_reason)) == sorted(rows(A.payment_failure_by_reason(star, scope)))
+
+
+def test_payments_from_one_scan_declines_city(star):
+    assert A.payments_both(star, {"city": "Pune"}) is None
+
+
+def test_clickstream_from_one_scan_equal_separate(star):
+    for scope in ({}, {"region": "West"}, {"device_type": "mobile"}):
+        both = rows(A.clickstream_both(star, scope), "key", "label", "count")
+        assert sorted((l, c) for k, l, c in both if k == "device_type") == sorted(
+            rows(A.clickstream_by_device(star, scope)))
+        assert sorted((l, c) for k, l, c in both if k == "event_type") == sorted(rows(A.clickstream_funnel(star, scope)))
