@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from starlens.functions.scope import SCOPE_KEYS
 from starlens.plans.joins import bounded_broadcast
+from starlens.session import shared_dir
 from starlens.sources.star import Star
 
 WORD_BREAK = r"[^\p{L}\p{N}]+"
@@ -62,7 +63,11 @@ def question_scope(star: Star, questions: DataFrame, id_cols: tuple[str, ...] =
                    text_col: str = "text") -> DataFrame:
     """(id_cols..., scope_json, scope_keys) for every question."""
     ids = list(id_cols)
-    vocab = vocabulary(star)
+    # The vocabulary is small but costs a scan of four facts, and is used
+    # three times (size check, longest value, join): cut its lineage with a
+    # reliable checkpoint in the shared folder, so the facts are read once.
+    shared_dir(star.spark)
+    vocab = vocabulary(star).checkpoint()
     max_words = vocab.select(F.max("words")).scalar()
     toks = questions.select(*ids, F.split(normalize(F.col(text_col)), " ").alias("toks"))
     toks = toks.withColumn("_upto", F.least(F.size("toks"), F.coalesce(max_words, F.lit(0))))
