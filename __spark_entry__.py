@@ -134,6 +134,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["question_scope"] = lambda spark, d: question_scope(_star(spark, d), user_questions(spark, d))
     out["ingest_payments"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_payments")
     out["ingest_order_lines"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_order_lines")
+    out["ingest_returns"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_returns")
+    out["ingest_clickstream"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_user_clickstream")
     return out
 
 
@@ -157,4 +159,6 @@ def oracle_sql() -> dict[str, str]:
     out["question_scope"] = oracle.question_scope_sql()
     out["ingest_payments"] = oracle.star_table_sql("fact_payments")
     out["ingest_order_lines"] = oracle.star_table_sql("fact_order_lines")
+    out["ingest_returns"] = oracle.star_table_sql("fact_returns")
+    out["ingest_clickstream"] = oracle.star_table_sql("fact_user_clickstream")
     return out
