@@ -240,14 +240,15 @@ def breakdown_sql(name: str, scope: Mapping[str, str] | None = None, **kw) -> st
 
 def _signal_select(src: str, analysis: str | None) -> str:
     """Signals of the (dimension, v100) rows of CTE ``src``; v100 is the
-    value times 100 as an exact integer."""
+    value times 100 as an exact integer, s and n the sum and count over the
+    whole breakdown."""
     head = f"'{analysis}' AS analysis, " if analysis else ""
     avg = ("CAST(CASE WHEN s >= 0 THEN (2 * s + n) // (2 * n) ELSE -((2 * -s + n) // (2 * n)) END AS DOUBLE) / 100")
     return f"""
 SELECT {head}dimension, CAST(v100 AS DOUBLE) / 100 AS value, {avg} AS avg,
        CASE WHEN v100 * n * 2 > s * 3 AND v100 * n > s * 2 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
        CASE WHEN v100 * n * 2 > s * 3 THEN 'spike' ELSE 'drop' END AS type
-FROM {src}, (SELECT SUM(v100) AS s, COUNT(*) AS n FROM {src}) st
+FROM (SELECT dimension, v100, SUM(v100) OVER () AS s, COUNT(*) OVER () AS n FROM {src}) w
 WHERE n >= 2 AND s <> 0 AND (v100 * n * 2 > s * 3 OR v100 * n * 2 < s)"""
 
 
