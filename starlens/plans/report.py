@@ -42,11 +42,17 @@ def run(star: Star, scope: Mapping | None = None) -> dict:
     report: dict = {"scope": dict(sc)}
     for domain in DOMAINS:
         report[domain] = {}
-    for a in ANALYSES.values():
-        entry = {
+
+    def build(a):
+        return {
             "breakdown": a.run(star, sc),
             "signals": detect(a.run(star, sc, ordered=False), a.label, a.signal_value()),
         }
+
+    analyses = list(ANALYSES.values())
+    with ThreadPoolExecutor(max_workers=len(analyses)) as pool:  # plans only; nothing runs
+        entries = list(pool.map(build, analyses))
+    for a, entry in zip(analyses, entries):
         if a.name == "return_rate_by_sku":
             entry["top_n"] = DEFAULT_TOP_N
         report[a.domain][a.section] = entry
