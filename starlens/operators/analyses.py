@@ -205,6 +205,35 @@ def shipments_by_region(star: Star, scope: Mapping | None = None, ordered: bool
     return _ordered(agg, ordered, *_desc("shipment_count", "region_name"))
 
 
+def shipments_both(star: Star, scope: Mapping | None = None) -> tuple[DataFrame, DataFrame] | None:
+    """E5 and E6 from one scan of the shipments, unordered, or ``None``
+    without a region scope (then E5 keeps shipments whose order does not
+    resolve to a customer location, and E6 does not, so they read different
+    rows).  Both honour the same keys, so with a region they read the same
+    located shipments; grouping sets count per courier and per region."""
+    sc = as_scope(scope).for_analysis("courier_performance")
+    if not sc.has("region"):
+        return None
+    fs = sc.apply(
+        star["fact_shipments"].select("shipment_id", "order_id", "courier_name", "event_type"), ["courier_name"]
+    )
+    located = dims.by_order_location(fs, star, sc)
+    g = located.groupingSets([["courier_name"], ["region_name"]], "courier_name", "region_name").agg(
+        _count().alias("_total"),
+        _count_if(F.col("event_type") == "delivery_failed").alias("_failed"),
+        F.count("shipment_id").alias("_shipments"),
+        F.grouping_id().alias("_gid"),
+    )
+    by_courier = g.where(F.col("_gid") == 1).select(
+        "courier_name",
+        F.col("_total").alias("total_shipments"),
+        F.col("_failed").alias("failed"),
+        pct("_failed", "_total").alias("failure_rate_pct"),
+    )
+    by_region = g.where(F.col("_gid") == 2).select("region_name", F.col("_shipments").alias("shipment_count"))
+    return by_courier, by_region
+
+
 # ── returns ──────────────────────────────────────────────────────────────
 
 

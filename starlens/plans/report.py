@@ -19,7 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlens.functions.scope import as_scope
-from starlens.operators.analyses import ANALYSES, DEFAULT_TOP_N, clickstream_both, payments_both
+from starlens.operators.analyses import (
+    ANALYSES,
+    DEFAULT_TOP_N,
+    clickstream_both,
+    payments_both,
+    shipments_both,
+)
 from starlens.operators.signals import detect
 from starlens.sources.star import Star
 
@@ -113,10 +119,28 @@ def _payments_long(star: Star, scope) -> DataFrame:
     ))
 
 
+def _shipments_long(star: Star, scope) -> DataFrame:
+    """Both shipment analyses from one scan when the scope has a region."""
+    both = shipments_both(star, scope)
+    if both is None:
+        return _long(star, "courier_performance", scope).unionByName(_long(star, "shipments_by_region", scope))
+    by_courier, by_region = both
+    return by_courier.select(
+        F.lit("courier_performance").alias("analysis"),
+        F.col("courier_name").cast("string").alias("dimension"),
+        F.col("total_shipments").cast("double").alias("value"),
+    ).unionByName(by_region.select(
+        F.lit("shipments_by_region").alias("analysis"),
+        F.col("region_name").cast("string").alias("dimension"),
+        F.col("shipment_count").cast("double").alias("value"),
+    ))
+
+
 # Analyses computed together in the long report, from one scan of their fact.
 FUSED = {
     ("clickstream_by_device", "clickstream_funnel"): _clickstream_long,
     ("payment_failure_by_method", "payment_failure_by_reason"): _payments_long,
+    ("courier_performance", "shipments_by_region"): _shipments_long,
 }
 
 

@@ -212,3 +212,11 @@ def test_clickstream_from_one_scan_equal_separate(star):
         assert sorted((l, c) for k, l, c in both if k == "device_type") == sorted(
             rows(A.clickstream_by_device(star, scope)))
         assert sorted((l, c) for k, l, c in both if k == "event_type") == sorted(rows(A.clickstream_funnel(star, scope)))
+
+
+@pytest.mark.parametrize("scope", [{"region": "West"}, {"region": "East", "courier_name": "A"}])
+def test_shipments_from_one_scan_equal_separate(star, scope):
+    by_courier, by_region = A.shipments_both(star, scope)
+    assert sorted(rows(by_courier)) == sorted(rows(A.courier_performance(star, scope)))
+    assert sorted(rows(by_region)) == sorted(rows(A.shipments_by_region(star, scope)))
+    assert A.shipments_both(star, {"courier_name": "A"}) is None
