@@ -47,3 +47,11 @@ def compact(star: Star, database: str, location: str, buckets: int) -> list[str]
     forget_sizes()
     return written
 
+
+
+def compact_ingested(spark, ingest_root: str, database: str, location: str, buckets: int) -> Star:
+    """Rewrite the ingest's per-batch parquet tables under ``ingest_root``
+    into the bucketed layout and return the star read from the catalog (a
+    periodic batch job next to the streams)."""
+    compact(Star.from_parquet(spark, ingest_root), database, location, buckets)
+    return Star.from_catalog(spark, database)

@@ -36,3 +36,21 @@ def test_compacted_star_gives_same_results(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("starlens.broadcast.maxRows")
+
+
+def test_compact_ingested_reads_the_ingest_output(spark):
+    from starlens.sources.layout import compact_ingested
+    from starlens.streaming.ingest import publish, start_all
+
+    base = tempfile.mkdtemp(prefix="starlens-ingest-layout-")
+    views = Star.from_fixtures(spark, SF_SMALL)
+    for name in views:
+        publish(views[name], name, f"{base}/topics")
+    for q in start_all(spark, f"{base}/star", source=f"{base}/topics", checkpoint_root=f"{base}/ckpt",
+                       available_now=True):
+        q.awaitTermination()
+    db = f"ingested_{uuid.uuid4().hex[:8]}"
+    cat = compact_ingested(spark, f"{base}/star", db, f"{base}/wh", buckets=4)
+    got = sorted(map(tuple, ANALYSES["courier_performance"].run(cat, {"region": "ASIA"}).collect()))
+    want = sorted(map(tuple, ANALYSES["courier_performance"].run(views, {"region": "ASIA"}).collect()))
+    assert got == want
