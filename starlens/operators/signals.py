@@ -16,8 +16,9 @@ The sum and count come from a scalar subquery over the breakdown itself:
 Spark computes it with a distributed partial aggregate and reuses the
 breakdown's shuffle, so no group is ever gathered into one task and no join
 is needed.  For several breakdowns at once (``by``), the per-breakdown
-sums are joined back on the breakdown key; that side holds one row per
-breakdown.
+sums are broadcast and joined back on the breakdown key.  That side holds
+one row per breakdown, so ``by`` must have a small, known set of values:
+the long report uses the eleven analysis names.
 """
 
 from __future__ import annotations
