@@ -57,7 +57,10 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="starlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)  # visible to later callers
+        except Exception:  # some deployments reject runtime changes to core settings
+            pass
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)  # so DataFrame.checkpoint() writes there too
     return path.rstrip("/")
