@@ -10,6 +10,7 @@ Every query reads the whole fixture tables (through the star views of
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,6 +85,22 @@ FULL_SCOPE = {"region": REGION, "city": CITY, "category": CATEGORY, "courier_nam
 ROOT_CAUSE_SCOPE = {"region": REGION, "courier_name": COURIER}
 
 
+
+
+def _optional(name: str):
+    """The module, or None where it is not part of this copy of the repository."""
+    try:
+        return import_module(name)
+    except ModuleNotFoundError as e:
+        if e.name and (name == e.name or name.startswith(f"{e.name}.")):
+            return None
+        raise
+
+
+LLM = _optional("starlens.llm.queries")
+PIPELINE = _optional("corpus_pipeline") if LLM else None
+
+
 def _star(spark: SparkSession, sf_dir: str) -> Star:
     return Star.from_fixtures(configure(spark), sf_dir)
 
@@ -136,6 +153,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["ingest_order_lines"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_order_lines")
     out["ingest_returns"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_returns")
     out["ingest_clickstream"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_user_clickstream")
+    if LLM:
+        out |= LLM.QUERIES
+    if PIPELINE:
+        out["pipeline"] = PIPELINE.run
     return out
 
 
@@ -161,4 +182,8 @@ def oracle_sql() -> dict[str, str]:
     out["ingest_order_lines"] = oracle.star_table_sql("fact_order_lines")
     out["ingest_returns"] = oracle.star_table_sql("fact_returns")
     out["ingest_clickstream"] = oracle.star_table_sql("fact_user_clickstream")
+    if LLM:
+        out |= LLM.ORACLES
+    if PIPELINE and PIPELINE.ORACLE_SQL:
+        out["pipeline"] = PIPELINE.ORACLE_SQL
     return out
