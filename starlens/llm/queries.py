@@ -2,10 +2,11 @@
 
 from starlens.llm.bpe import op9_bpe
 from starlens.llm.linechunks import OP8_SQL, op8_line_chunks
+from starlens.llm.mixing import OP1_SQL, op1_mixing
 from starlens.llm.pii import op7_pii
 from starlens.llm.planes import op2_planes
 from starlens.llm.simhash import op3_simhash
 
-QUERIES = {"op2_planes": op2_planes, "op3_simhash": op3_simhash, "op7_pii": op7_pii,
+QUERIES = {"op1_mixing": op1_mixing, "op2_planes": op2_planes, "op3_simhash": op3_simhash, "op7_pii": op7_pii,
            "op8_line_chunks": op8_line_chunks, "op9_bpe": op9_bpe}
-ORACLES: dict[str, str] = {"op8_line_chunks": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op8_line_chunks": OP8_SQL}
