@@ -6,7 +6,9 @@ from starlens.llm.mixing import OP1_SQL, op1_mixing
 from starlens.llm.pii import op7_pii
 from starlens.llm.planes import op2_planes
 from starlens.llm.simhash import op3_simhash
+from starlens.llm.topk import OP10_SQL, op10_topk
 
 QUERIES = {"op1_mixing": op1_mixing, "op2_planes": op2_planes, "op3_simhash": op3_simhash, "op7_pii": op7_pii,
-           "op8_line_chunks": op8_line_chunks, "op9_bpe": op9_bpe}
-ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op8_line_chunks": OP8_SQL}
+           "op8_line_chunks": op8_line_chunks, "op9_bpe": op9_bpe, "op10_topk": op10_topk}
+ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op8_line_chunks": OP8_SQL,
+                           "op10_topk": OP10_SQL}
