@@ -1,6 +1,7 @@
 """Registered queries of this subpackage and their SQL."""
 
 from starlens.llm.bpe import op9_bpe
+from starlens.llm.crosspolytope import OP6_SQL, op6_near_vectors
 from starlens.llm.linechunks import OP8_SQL, op8_line_chunks
 from starlens.llm.mixing import OP1_SQL, op1_mixing
 from starlens.llm.pii import op7_pii
@@ -8,7 +9,7 @@ from starlens.llm.planes import op2_planes
 from starlens.llm.simhash import op3_simhash
 from starlens.llm.topk import OP10_SQL, op10_topk
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_planes": op2_planes, "op3_simhash": op3_simhash, "op7_pii": op7_pii,
+QUERIES = {"op1_mixing": op1_mixing, "op2_planes": op2_planes, "op3_simhash": op3_simhash, "op6_near_vectors": op6_near_vectors, "op7_pii": op7_pii,
            "op8_line_chunks": op8_line_chunks, "op9_bpe": op9_bpe, "op10_topk": op10_topk}
-ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op8_line_chunks": OP8_SQL,
+ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op6_near_vectors": OP6_SQL, "op8_line_chunks": OP8_SQL,
                            "op10_topk": OP10_SQL}
