@@ -8,10 +8,11 @@ from starlens.llm.pii import op7_pii
 from starlens.llm.planes import op2_planes
 from starlens.llm.quality import op4_quality
 from starlens.llm.simhash import op3_simhash
+from starlens.llm.suffixes import op5_suffixes
 from starlens.llm.topk import OP10_SQL, op10_topk
 
 QUERIES = {"op1_mixing": op1_mixing, "op2_planes": op2_planes, "op3_simhash": op3_simhash, "op4_quality": op4_quality,
-            "op6_near_vectors": op6_near_vectors, "op7_pii": op7_pii,
+            "op5_suffixes": op5_suffixes, "op6_near_vectors": op6_near_vectors, "op7_pii": op7_pii,
            "op8_line_chunks": op8_line_chunks, "op9_bpe": op9_bpe, "op10_topk": op10_topk}
 ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op6_near_vectors": OP6_SQL, "op8_line_chunks": OP8_SQL,
                            "op10_topk": OP10_SQL}
