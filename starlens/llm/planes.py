@@ -36,8 +36,8 @@ from starlens.llm.common import written
 MAGIC = b"TPL1"
 BLOCK = 1 << 16  # ids in a chunk
 END_ID = 0
-SLICE = 1000  # documents encoded together
-CACHED_WORDS = 800_000  # encoded words that a worker remembers; the memo is emptied beyond
+SLICE = 4000  # documents encoded together; a batch is bounded in bytes too
+CACHED_WORDS = 1_200_000  # encoded words that a worker remembers; the memo is emptied beyond
 _HEAD = struct.Struct("<4sIBBH")
 
 
@@ -214,8 +214,9 @@ def part_starts(chunks: DataFrame) -> DataFrame:
 def read_documents(chunks: DataFrame) -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of each document, from the payloads.
 
-    A document that lies in one chunk is finished there; pieces of one that
-    spans chunks meet by its position and are joined in order."""
+    Every chunk is unpacked once.  A document that lies in one chunk is
+    finished there; the pieces of one that spans chunks meet by its position
+    and are joined in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -234,20 +235,18 @@ def read_documents(chunks: DataFrame) -> DataFrame:
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             crcs = []
-            for body in b.column(4).to_pylist():
-                crc = 0
-                for x in body:
-                    crc = zlib.crc32(x["body"], crc)
+            for crc, pieces in zip(b.column(4).to_pylist(), b.column(5)):
+                for p in pieces.as_py() if crc is None else ():
+                    crc = zlib.crc32(p["body"], crc or 0)
                 crcs.append(crc)
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(4)), pa.array(crcs, pa.int64())],
                                              ["part", "id", "at", "n_tokens", "crc"])
 
     pieces = chunks.select("part", "payload", "pieces").mapInArrow(
         run, "part int, id long, at long, n_tokens long, seq int, crc long, body binary")
-    whole = pieces.where("crc is not null").select("part", "id", "at", "n_tokens", "crc")
-    split = pieces.where("crc is null").groupBy("part", "id", "at", "n_tokens").agg(
-        F.sort_array(F.collect_list(F.struct("seq", "body"))).alias("body"))
-    rows = whole.unionByName(split.mapInArrow(joined, "part int, id long, at long, n_tokens long, crc long"))
+    documents = pieces.groupBy("part", "id", "at", "n_tokens").agg(
+        F.max("crc").alias("crc"), F.sort_array(F.collect_list(F.struct("seq", "body"))).alias("pieces"))
+    rows = documents.mapInArrow(joined, "part int, id long, at long, n_tokens long, crc long")
     return rows.join(part_starts(chunks), "part").select(
         "id", (F.col("start") + F.col("at")).alias("start"), "n_tokens", F.col("crc").alias("ids_crc32"))
 
