@@ -199,13 +199,14 @@ def score_quality(docs: DataFrame, field: LineField, keep: list[str], text_col:
     """(kept, score): one row per input row, ``kept`` being a struct of its
     columns ``keep``.  A null text scores as an empty one, which is a single
     empty line; an empty table gives no rows."""
-    rows = docs.select(F.struct(*keep).alias("kept"), F.col(text_col).cast("string").alias("t"))
+    rows = docs.select(F.struct(*keep).alias("kept"), *([] if text_col in keep else [F.col(text_col).cast("string").alias("t")]))
     kind = rows.schema["kept"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            texts = b.column(0).field(keep.index(text_col)) if text_col in keep else b.column(1)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(field.scores(b.column(1).to_pylist()), pa.float64())], ["kept", "score"])
+                [b.column(0), pa.array(field.scores(texts.to_pylist()), pa.float64())], ["kept", "score"])
 
     return rows.mapInArrow(run, f"kept {kind}, score double")
 

@@ -41,15 +41,16 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """(id, fp): one row per input row."""
+    """(id, h, fp): one row per input row, h being the text's xxhash64."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = pa.array((fingerprint(t.as_py(), words) for t in b.column(1)), pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), fps], ["id", "fp"])
+            fps = pa.array((fingerprint(t.as_py(), words) for t in b.column(2)), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps], ["id", "h", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    return rows.mapInArrow(run, "id long, fp long")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("t"))
+    return rows.mapInArrow(run, "id long, h long, fp long")
 
 
 def ball(radius: int) -> list[int]:
@@ -73,7 +74,8 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = 3, max_bits: int = 2) -> DataFrame:
-    """(id, fp, component_id): every input row with its fingerprint and the
+    """(id, h, fp, root, component_id): every input row with the hash of its
+    text, its fingerprint, its component's smallest fingerprint, and the
     smallest id reachable over links of at most ``max_bits`` differing bits.
 
     Null and blank texts have fingerprint zero and are linked like any other.
@@ -88,8 +90,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = components(links(classes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
     named = classes.join(comp, "fp", "left").select("fp", "least_id", F.coalesce("component", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = named.join(smallest, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("id", "fp", "component_id")
+    named = named.join(smallest, "root").select("fp", "root", "component_id")
+    return fps.join(named, "fp").select("id", "h", "fp", "root", "component_id")
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
