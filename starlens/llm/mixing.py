@@ -103,7 +103,7 @@ def plan_mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     a = bisect_exponent(shares.where("p > 0").select("p"), target_entropy, max_repeats, budget_share)
     z = shares.where("p > 0").agg(F.sum(F.pow("p", F.lit(a)))).first()[0] or 1.0
     if budget_share is None:
-        repeats = F.pow(F.lit(float(top or 0)) / F.col("total"), F.lit(1 - a))
+        repeats = F.pow(F.lit(float(top or 0)) / F.nullif("total", F.lit(0)), F.lit(1 - a))
     else:
         repeats = F.lit(budget_share / z) * F.pow("p", F.lit(a - 1))
     quotas = shares.select(
