@@ -36,8 +36,8 @@ from starlens.llm.common import written
 MAGIC = b"TPL1"
 BLOCK = 1 << 16  # ids in a chunk
 END_ID = 0
-SLICE = 4000  # documents encoded together; a batch is bounded in bytes too
-CACHED_WORDS = 1_200_000  # encoded words that a worker remembers; the memo is emptied beyond
+SLICE = 6 << 20  # bytes of text encoded together, or one document
+CACHED_WORDS = 700_000  # encoded words that a worker remembers; the memo is emptied beyond
 _HEAD = struct.Struct("<4sIBBH")
 
 
@@ -135,11 +135,13 @@ class Encoder:
         if new := [w for w in pieces if w not in self.memo]:
             self._learn(new)
         raw = [self.memo[w] for w in pieces]
-        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
-        known, first = np.frombuffer(b"".join(raw), "<u4"), np.cumsum(size) - size
+        size = np.fromiter(map(len, raw), np.int32, len(raw)) // 4
+        known, first = np.frombuffer(b"".join(raw), "<u4"), np.cumsum(size, dtype=np.int32) - size
         n = size[index]
-        ends = np.cumsum(n)
-        ids = known[np.repeat(first[index] - (ends - n), n) + np.arange(ends[-1] if len(n) else 0)]
+        ends = np.cumsum(n, dtype=np.int32)  # a slice holds far fewer ids than 2^31
+        place = np.repeat(first[index] - (ends - n), n)
+        place += np.arange(len(place), dtype=np.int32)
+        ids = known[place]
         cuts = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         return [  # the first id of a plain text is that of the line end put before it
             ids[a + 1 : b] if not o else np.array(self.library.encode(t.as_py(), add_special_tokens=False).ids, dtype="<u4")
@@ -169,8 +171,10 @@ def write_tokens(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
         held, pieces, part, chunk, at = bytearray(), [], None, 0, 0
 
         def encoded(b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-            for at in range(0, b.num_rows, SLICE):
-                some = b.slice(at, SLICE)
+            size = pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy()
+            cuts = np.flatnonzero(np.diff(np.cumsum(size) // SLICE, prepend=0)).tolist()
+            for start, end in zip([0, *cuts], [*cuts, b.num_rows]):
+                some = b.slice(start, end - start)
                 yield from zip(some.column(1).to_pylist(), enc.batch(some.column(2)))
 
         def flush() -> pa.RecordBatch:

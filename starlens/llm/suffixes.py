@@ -119,6 +119,8 @@ def longest_matches(texts: DataFrame, side: str) -> DataFrame:
         for b in batches:
             out = []
             for root, context, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if held and held[:2] == (root, context):
+                    continue  # an equal row of the table
                 words, same = text.split(" ") if text else [], 0
                 if held:
                     same = common_words(held[2], words) if held[0] == root else 0
@@ -134,9 +136,10 @@ def longest_matches(texts: DataFrame, side: str) -> DataFrame:
 
     shape = "root long, context long, same int, end string"
     rows = texts.select("root", "context", F.col(side).alias("text"))
-    found = written(rows.repartitionByRange("root", "text").sortWithinPartitions("root", "text").mapInArrow(run, shape), f"suffix-{side}")
+    order = ["root", "text", "context"]
+    found = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, shape), f"suffix-{side}")
     ends = found.where("end IS NOT NULL").select("root", "context", F.col("end").alias("text"))
-    again = ends.repartition(1).sortWithinPartitions("root", "text").mapInArrow(run, shape)  # two rows a partition
+    again = ends.repartition(1).sortWithinPartitions(*order).mapInArrow(run, shape)  # two rows a partition
     return found.unionByName(again).groupBy("root", "context").agg(F.max("same").alias(side))
 
 

@@ -42,7 +42,7 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 def product(queries: np.ndarray, shard: np.ndarray) -> np.ndarray:
     """Exact integer inner products; beyond 64 bits they saturate."""
-    bound = np.abs(queries).max(initial=0) * np.abs(shard).max(initial=0) * max(1, shard.shape[1])
+    bound = float(np.abs(queries).max(initial=0)) * float(np.abs(shard).max(initial=0)) * max(1, shard.shape[1])
     if bound < _EXACT:
         return (queries @ shard.T).astype(np.int64)
     exact = np.array([[int(x) for x in r] for r in queries], object) @ np.array([[int(x) for x in r] for r in shard], object).T
