@@ -15,7 +15,7 @@ executors.  Labels, language, source and id are never inputs of a score.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from operator import eq
 
 import numpy as np
@@ -28,7 +28,7 @@ WINDOW = 64  # lines of a training sequence; longer documents give several
 STEPS = 120
 L2 = 1e-3
 CUT = 0.3  # documents scored below are rejected
-_LINES = 1 << 16  # lines scored at once, whole documents
+_LINES = 1 << 14  # lines scored at once, whole documents
 
 # Character classes by byte; 0 is any other sign.
 LOWER, UPPER, DIGIT, SPACE, STOP, LOUD, BAR, HIGH = range(1, 9)
@@ -140,7 +140,7 @@ class LineField:
             theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         return LineField(theta[:WIDTH], theta[WIDTH:].reshape(2, 2), centre, spread)
 
-    def scores(self, texts: list[str | None]) -> list[float]:
+    def scores(self, texts: Iterable[str | None]) -> list[float]:
         """Length-weighted mean marginal of each text."""
         out: list[float] = []
         held: list[list[str]] = []
@@ -206,7 +206,7 @@ def score_quality(docs: DataFrame, field: LineField, keep: list[str], text_col:
         for b in batches:
             texts = b.column(0).field(keep.index(text_col)) if text_col in keep else b.column(1)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(field.scores(texts.to_pylist()), pa.float64())], ["kept", "score"])
+                [b.column(0), pa.array(field.scores(t.as_py() for t in texts), pa.float64())], ["kept", "score"])
 
     return rows.mapInArrow(run, f"kept {kind}, score double")
 
