@@ -161,7 +161,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     here = F.xxhash64("id", "h", "at")
     roots = occurrences.groupBy("root").agg(
         F.min(here).alias("a"), F.max(here).alias("b"), F.min("context").alias("c"), F.max("context").alias("d"))
-    roots = roots.where("a <> b").select("root", (F.col("c") != F.col("d")).alias("varied"))
+    # Written, so that both sides of the join are plain shuffles and a very common root is split.
+    roots = written(roots.where("a <> b").select("root", (F.col("c") != F.col("d")).alias("varied")), "suffix-roots")
     repeated = written(occurrences.join(roots, "root"), "suffixes-repeated")
 
     # Where contexts vary, one suffix of each is compared by its words.
@@ -185,9 +186,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts = written(rows.join(asked, same).select("t", "asked").mapInArrow(
         cut, "root long, context long, right string, left string"), "suffix-texts")
     matches = longest_matches(texts, "right").join(longest_matches(texts, "left"), ["root", "context"])
-
     twin = contexts.select("root", "context", (F.col("a") != F.col("b")).alias("twin"))
-    matches = matches.join(twin, ["root", "context"])
+    matches = written(matches.join(twin, ["root", "context"]), "suffix-matches")
     spans = repeated.join(matches, ["root", "context"], "left")
     whole = ~F.col("varied") | F.col("twin")  # an equal context stands elsewhere
     spans = spans.select(
