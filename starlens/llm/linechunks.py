@@ -71,6 +71,8 @@ def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     marked = written(
         found.groupBy("id", "h").agg(F.collect_list(F.struct("idx", "ch", "first")).alias("found"))
         .withColumnsRenamed({"id": "id_", "h": "h_"}), "line-chunks")
+    # Grows with the corpus, so texts meet it by a shuffle join at every size.
+    marked = marked.hint("merge")
     same = F.col("id").eqNullSafe(F.col("id_")) & (F.col("h") == F.col("h_"))
 
     # Byte comparison: one text per hash, or the hash's occurrences are decided by text.
