@@ -31,17 +31,18 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starlens.llm.common import written
+from starlens.llm.common import arrow_rows, written
 
 MAGIC = b"TPL1"
 BLOCK = 1 << 16  # ids in a chunk
 END_ID = 0
-SLICE = 6 << 20  # bytes of text encoded together, or one document
-CACHED_WORDS = 700_000  # encoded words that a worker remembers; the memo is emptied beyond
+SLICE = 8 << 20  # bytes of text encoded together, or one document
+ROWS = 2500  # documents handed to Python at once
+CACHED_WORDS = 600_000  # encoded words that a worker remembers; the memo is emptied beyond
 _HEAD = struct.Struct("<4sIBBH")
 
 
-def pack(ids: np.ndarray, bits: bool = False, width: int = 4, level: int = 3) -> bytes:
+def pack(ids: np.ndarray, bits: bool = False, width: int = 4, level: int = 1) -> bytes:
     """The payload of one chunk of unsigned ids of ``width`` bytes."""
     raw = np.ascontiguousarray(ids, dtype=f"<u{width}").view(np.uint8).reshape(-1, width)
     if bits:
@@ -150,6 +151,7 @@ class Encoder:
 
 _loaded: dict[str, Encoder] = {}
 
+_END = np.array([END_ID], dtype="<u4")
 PIECE = pa.struct([("id", pa.int64()), ("at", pa.int64()), ("n_tokens", pa.int64()), ("from", pa.int32()), ("n", pa.int32()), ("seq", pa.int32())])
 CHUNK = ("part int, chunk int, n_ids int, payload binary, "
          "pieces array<struct<id:bigint,at:bigint,n_tokens:bigint,from:int,n:int,seq:int>>")
@@ -167,45 +169,52 @@ def write_tokens(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _loaded.get(vocab_path) or _loaded.setdefault(vocab_path, Encoder(vocab_path))
-        end = np.array([END_ID], dtype="<u4").tobytes()
-        held, pieces, part, chunk, at = bytearray(), [], None, 0, 0
+        held, pieces, part, chunk, at = np.zeros(0, "<u4"), [], None, 0, 0
 
-        def encoded(b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+        def encoded(b: pa.RecordBatch) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+            """Ids of documents, their ids end to end with the end ids, and where each ends."""
             size = pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy()
             cuts = np.flatnonzero(np.diff(np.cumsum(size) // SLICE, prepend=0)).tolist()
             for start, end in zip([0, *cuts], [*cuts, b.num_rows]):
                 some = b.slice(start, end - start)
-                yield from zip(some.column(1).to_pylist(), enc.batch(some.column(2)))
+                if some.num_rows:
+                    ids = enc.batch(some.column(2))
+                    flat = np.concatenate([x for y in ids for x in (y, _END)])
+                    yield some.column(1).to_pylist(), flat, np.cumsum([len(x) + 1 for x in ids])
 
-        def flush() -> pa.RecordBatch:
+        def flush(ids: np.ndarray) -> pa.RecordBatch:
             nonlocal chunk
             row = [pa.array([v], k) for v, k in (
-                (part, pa.int32()), (chunk, pa.int32()), (len(held) // 4, pa.int32()),
-                (pack(np.frombuffer(bytes(held), "<u4"), bits), pa.binary()), (pieces, pa.list_(PIECE)))]
+                (part, pa.int32()), (chunk, pa.int32()), (len(ids), pa.int32()),
+                (pack(ids, bits), pa.binary()), (pieces, pa.list_(PIECE)))]
             chunk += 1
             return pa.RecordBatch.from_arrays(row, ["part", "chunk", "n_ids", "payload", "pieces"])
 
         for b in batches:
             part = part if part is not None or not b.num_rows else b.column(0)[0].as_py()
-            for doc, ids in encoded(b):
-                ids = memoryview(ids.tobytes() + end)
-                n, done, seq = len(ids) // 4, 0, 0
-                while done < n:
-                    room = min(block - len(held) // 4, n - done)
-                    pieces.append({"id": doc, "at": at, "n_tokens": n, "from": len(held) // 4, "n": room, "seq": seq})
-                    held += ids[4 * done : 4 * (done + room)]
-                    done, seq = done + room, seq + 1
-                    if len(held) == 4 * block:
-                        yield flush()
-                        held, pieces = bytearray(), []
-                at += n
+            for docs_, flat, ends in encoded(b):
+                room, start = len(held), 0  # ids in the open chunk; where the document begins in flat
+                flat = np.concatenate([held, flat])
+                taken = 0
+                for doc, end in zip(docs_, ends.tolist()):
+                    n, done, seq = end - start, 0, 0
+                    while done < n:
+                        some = min(block - room, n - done)
+                        pieces.append((doc, at, n, room, some, seq))
+                        room, done, seq = room + some, done + some, seq + 1
+                        if room == block:
+                            yield flush(flat[taken : taken + block])
+                            taken, room, pieces = taken + block, 0, []
+                    at, start = at + n, end
+                held = flat[taken:].copy()
         if pieces:
-            yield flush()
+            yield flush(held)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     order = [F.asc_nulls_first("id"), F.xxhash64("t")]
     parts = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return written(parts.select(F.spark_partition_id().alias("part"), "id", "t").mapInArrow(run, CHUNK), "tokens")
+    with arrow_rows(docs.sparkSession, ROWS):
+        return written(parts.select(F.spark_partition_id().alias("part"), "id", "t").mapInArrow(run, CHUNK), "tokens")
 
 
 def part_starts(chunks: DataFrame) -> DataFrame:
