@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starlens import oracle
 from starlens.operators.analyses import ANALYSES
-from starlens.operators.questions import question_scope, user_questions
+from starlens.operators.analyses import fine_revenue
+from starlens.operators.questions import props_scope, question_scope, user_questions
 from starlens.operators.rootcause import root_cause
-from starlens.plans.report import breakdown, findings, report_long, report_signals, signals
+from starlens.plans.report import DOMAINS, breakdown, domain_long, findings, report_long, report_signals, signals
 from starlens.session import configure
 from starlens.sources.star import Star
-from starlens.sources.tables import recent_orders
-from starlens.streaming.ingest import ingest_roundtrip
+from starlens.sources.schemas import SCHEMAS
+from starlens.sources.tables import recent_orders, recent_orders_labelled
+from starlens.streaming.ingest import ingest_rejects, ingest_replay, ingest_roundtrip
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -85,6 +87,15 @@ FULL_SCOPE = {"region": REGION, "city": CITY, "category": CATEGORY, "courier_nam
 ROOT_CAUSE_SCOPE = {"region": REGION, "courier_name": COURIER}
 
 
+# Ingest queries whose name is not that of their table.
+INGEST_NAMES = {"fact_payments": "payments", "fact_order_lines": "order_lines", "fact_returns": "returns",
+                "fact_user_clickstream": "clickstream"}
+SCOPED_SIGNALS: dict[str, tuple[str, dict[str, str]]] = {
+    "signals_return_rate_by_sku_scoped": ("return_rate_by_sku", {"return_reason": "not_needed", "region": "EUROPE"}),
+    "signals_clickstream_funnel_scoped": ("clickstream_funnel", {"device_type": "tablet", "region": "EUROPE"}),
+    "signals_return_reasons_region": ("return_reasons", {"region": REGION}),
+    "signals_clickstream_by_device_region": ("clickstream_by_device", {"region": REGION}),
+}
 
 
 def _optional(name: str):
@@ -149,10 +160,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["recent_orders"] = lambda spark, d: recent_orders(_star(spark, d))
     out["recent_orders_clamped"] = lambda spark, d: recent_orders(_star(spark, d), 500)
     out["question_scope"] = lambda spark, d: question_scope(_star(spark, d), user_questions(spark, d))
-    out["ingest_payments"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_payments")
-    out["ingest_order_lines"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_order_lines")
-    out["ingest_returns"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_returns")
-    out["ingest_clickstream"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_user_clickstream")
+    out["recent_orders_labelled"] = lambda spark, d: recent_orders_labelled(_star(spark, d))
+    out["props_scope"] = lambda spark, d: props_scope(configure(spark), d)
+    out["revenue_by_category_fine"] = lambda spark, d: fine_revenue(_star(spark, d), configure(spark), d)
+    for domain in DOMAINS:
+        out[f"domain_{domain}"] = lambda spark, d, domain=domain: domain_long(_star(spark, d), domain)
+    out["domain_shipments_courier"] = lambda spark, d: domain_long(_star(spark, d), "shipments", {"courier_name": COURIER})
+    out["domain_payments_region"] = lambda spark, d: domain_long(_star(spark, d), "payments", {"region": REGION})
+    for t in SCHEMAS:
+        out[f"ingest_{INGEST_NAMES.get(t, t)}"] = lambda spark, d, t=t: ingest_roundtrip(configure(spark), d, t)
+    out["ingest_multi_batch"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_shipments", 8, 2).drop("batch_id")
+    out["ingest_replay"] = lambda spark, d: ingest_replay(configure(spark), d, "fact_payments")
+    out["ingest_rejects"] = lambda spark, d: ingest_rejects(configure(spark), d)
+    for name, (analysis, scope) in SCOPED_SIGNALS.items():
+        out[name] = lambda spark, d, a=analysis, sc=scope: signals(_star(spark, d), a, sc)
     if LLM:
         out |= LLM.QUERIES
     if PIPELINE:
@@ -178,10 +199,20 @@ def oracle_sql() -> dict[str, str]:
     out["recent_orders"] = oracle.recent_orders_sql()
     out["recent_orders_clamped"] = oracle.recent_orders_sql(500)
     out["question_scope"] = oracle.question_scope_sql()
-    out["ingest_payments"] = oracle.star_table_sql("fact_payments")
-    out["ingest_order_lines"] = oracle.star_table_sql("fact_order_lines")
-    out["ingest_returns"] = oracle.star_table_sql("fact_returns")
-    out["ingest_clickstream"] = oracle.star_table_sql("fact_user_clickstream")
+    out["recent_orders_labelled"] = oracle.recent_orders_labelled_sql()
+    out["props_scope"] = oracle.props_scope_sql()
+    out["revenue_by_category_fine"] = oracle.fine_revenue_sql()
+    for domain in DOMAINS:
+        out[f"domain_{domain}"] = oracle.domain_sql(domain)
+    out["domain_shipments_courier"] = oracle.domain_sql("shipments", {"courier_name": COURIER})
+    out["domain_payments_region"] = oracle.domain_sql("payments", {"region": REGION})
+    for t in SCHEMAS:
+        out[f"ingest_{INGEST_NAMES.get(t, t)}"] = oracle.star_table_sql(t)
+    out["ingest_multi_batch"] = oracle.star_table_sql("fact_shipments")
+    out["ingest_replay"] = oracle.star_table_sql("fact_payments")
+    out["ingest_rejects"] = oracle.ingest_rejects_sql()
+    for name, (analysis, scope) in SCOPED_SIGNALS.items():
+        out[name] = oracle.signals_sql(analysis, scope)
     if LLM:
         out |= LLM.ORACLES
     if PIPELINE and PIPELINE.ORACLE_SQL:

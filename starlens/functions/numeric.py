@@ -1,7 +1,9 @@
 """Exact numeric helpers shared by the analyses.
 
-Money is summed as ``decimal(18,2)`` so sums do not depend on row order
-(T7).  Ratios are rounded half away from zero, as SQL ``ROUND(numeric, 2)``
+Money is summed as ``decimal(28,10)``, which keeps the decimals that are
+stored, and rounded once, after the sum; sums do not depend on row order
+(T7).  A group that holds a NaN or an infinity gets what a floating sum of
+these gives (NaN, or the infinity), as in SQL over doubles.  Ratios are rounded half away from zero, as SQL ``ROUND(numeric, 2)``
 does, with integer arithmetic only, so no intermediate rounding can move a
 result across a half (T6).
 """
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(28,10)"
 WIDE = "decimal(38,0)"
 
 
@@ -19,9 +21,15 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money_sum(c: str | Column) -> Column:
-    """``ROUND(SUM(x)::numeric, 2)`` as a double."""
-    return F.round(F.sum(_c(c).cast(MONEY)), 2).cast("double")
+def money_sum(c: str | Column, times: Column | None = None) -> Column:
+    """``ROUND(SUM(x)::numeric, 2)`` as a double; ``times`` counts each value
+    so often (an integer of at most nine digits)."""
+    c = _c(c)
+    odd = F.isnan(c) | (F.abs(c) == float("inf"))
+    value = F.when(~odd, c).cast(MONEY)
+    if times is not None:
+        value = value * times.cast("decimal(9,0)")
+    return F.coalesce(F.sum(F.when(odd, c.cast("double"))), F.round(F.sum(value), 2).cast("double"))
 
 
 def round_half_up_ratio(num: str | Column, den: str | Column, scale: int = 2) -> Column:

@@ -18,19 +18,16 @@ from pyspark.sql import functions as F
 log = logging.getLogger("starlens.scope")
 
 # Scope keys and the star column each one filters.
-DIRECT_KEYS = {
+SCOPE_KEYS = {
+    "category": ("dim_categories", "category_name"),
+    "city": ("dim_customer_addresses", "city"),
     "courier_name": ("fact_shipments", "courier_name"),
-    "payment_status": ("fact_payments", "payment_status"),
     "device_type": ("fact_user_clickstream", "device_type"),
-    "return_reason": ("fact_returns", "return_reason"),
-}
-JOIN_KEYS = {
-    "region": ("dim_regions", "region_name"),
     "payment_method": ("dim_payment_methods", "method_name"),
-    "category": ("dim_categories", "category_name"),
-    "city": ("dim_customer_addresses", "city"),
+    "payment_status": ("fact_payments", "payment_status"),
+    "region": ("dim_regions", "region_name"),
+    "return_reason": ("fact_returns", "return_reason"),
 }
-SCOPE_KEYS = {**DIRECT_KEYS, **JOIN_KEYS}
 
 # The scope matrix, the keys each analysis honours.
 HONOURED = {
@@ -45,6 +42,7 @@ HONOURED = {
     "inventory_by_warehouse": ("region",),
     "clickstream_by_device": ("device_type", "region"),
     "clickstream_funnel": ("device_type", "region"),
+    "root_cause": ("return_reason", "courier_name", "category", "region", "city"),
 }
 
 

@@ -1,4 +1,4 @@
-"""Small column helpers on ids and event-time text."""
+"""Small column helpers on ids and event-time text."""
 
 from __future__ import annotations
 
@@ -14,12 +14,6 @@ def short_label(c: Column, n: int = 8) -> Column:
     return F.substring(c, 1, n)
 
 
-def name_after_code(c: Column, sep: str = "_") -> Column:
-    """``"C1_Electronics" -> "Electronics"`` (the part after the
-    first separator; empty when there is none)."""
-    return F.split_part(c, F.lit(sep), F.lit(2))
-
-
 def event_ts(c: Column) -> Column:
     """Event-time text parsed to a timestamp; null when it does not
     parse (instead of an ANSI error)."""

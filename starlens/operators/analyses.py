@@ -14,16 +14,16 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.functions.numeric import money_sum, pct
 from starlens.functions.scope import Scope, as_scope
 from starlens.operators import dims
-from starlens.plans.joins import bounded_broadcast
 from starlens.sources.star import Star
 
 DEFAULT_TOP_N = 10
+MAX_HINTED_TOP = 10_000  # a longer top list is joined without a broadcast hint
 
 
 def _count() -> Column:
@@ -46,7 +46,7 @@ def _ordered(df: DataFrame, ordered: bool, *order: Column) -> DataFrame:
 
 def _methods(star: Star, sc: Scope) -> DataFrame:
     methods = sc.apply(star["dim_payment_methods"].select("method_id", "method_name"), ["payment_method"])
-    return bounded_broadcast(methods)
+    return star.broadcast(methods, "dim_payment_methods")
 
 
 # ── payments ─────────────────────────────────────────────────────────────
@@ -144,20 +144,20 @@ def orders_by_region(star: Star, scope: Mapping | None = None, dedupe: bool = Fa
     sc = as_scope(scope).for_analysis("orders_by_region")
     headers = star["fact_order_headers"].select("order_id", "customer_id", "total_order_value")
     located = dims.by_customer_location(headers, star, sc)
-    value = F.col("total_order_value").cast("decimal(18,2)")
+    times = None
     if sc.has("category"):
         lines = star["fact_order_lines"].select("order_id", "sku_id").join(
-            bounded_broadcast(dims.sku_category(star, sc)), "sku_id"
+            dims.small_sku_category(star, sc), "sku_id"
         )
         if dedupe:
             located = located.join(lines.select("order_id"), "order_id", "left_semi")
         else:
             per_order = lines.groupBy("order_id").agg(_count().alias("_lines"))
             located = located.join(per_order, "order_id")
-            value = value * F.col("_lines")
+            times = F.col("_lines")
     agg = located.groupBy("region_name").agg(
         F.count_distinct("order_id").alias("order_count"),
-        F.round(F.sum(value), 2).cast("double").alias("total_revenue"),
+        money_sum("total_order_value", times).alias("total_revenue"),
     )
     return _ordered(agg, ordered, *_desc("order_count", "region_name"))
 
@@ -166,7 +166,7 @@ def revenue_by_category(star: Star, scope: Mapping | None = None, ordered: bool
     """Distinct orders and line revenue per category."""
     sc = as_scope(scope).for_analysis("revenue_by_category")
     lines = star["fact_order_lines"].select("order_id", "sku_id", "line_value")
-    j = lines.join(bounded_broadcast(dims.sku_category(star, sc)), "sku_id")
+    j = lines.join(dims.small_sku_category(star, sc), "sku_id")
     if sc.has("region"):
         j = dims.by_order_location(j, star, sc)
     agg = j.groupBy("category_name").agg(
@@ -176,6 +176,14 @@ def revenue_by_category(star: Star, scope: Mapping | None = None, ordered: bool
     return _ordered(agg, ordered, *_desc("total_revenue", "category_name"))
 
 
+def fine_revenue(star: Star, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 over line values of more than two decimals: the price after discount and tax."""
+    lines = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select(
+        F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_partkey").cast("string").alias("sku_id"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("line_value"))
+    return revenue_by_category(Star(spark, {**star, "fact_order_lines": lines}))
+
+
 # ── shipments ────────────────────────────────────────────────────────────
 
 
@@ -247,20 +255,27 @@ def return_rate_by_sku(star: Star, scope: Mapping | None = None, top_n: int = DE
         raise ValueError("top_n must not be negative")
     sc = as_scope(scope).for_analysis("return_rate_by_sku")
     lines = star["fact_order_lines"].select("line_id", "order_id", "sku_id")
-    returns = star["fact_returns"].select("return_id", "line_id", "return_reason")
-    j = sc.apply(lines.join(returns, "line_id", "left"), ["return_reason"])
-    if sc.has("category"):
-        j = j.join(bounded_broadcast(dims.sku_category(star, sc)), "sku_id")
-    if sc.has("region"):
-        j = dims.by_order_location(j, star, sc)
-    agg = (
-        j.groupBy("sku_id")
-        .agg(
-            F.count("return_id").alias("return_count"),
-            F.count_distinct("order_id").alias("order_count"),
-        )
-        .where(F.col("return_count") > 0)
-    )
+    returns = sc.apply(star["fact_returns"].select("return_id", "line_id", "return_reason"), ["return_reason"])
+
+    def in_scope(df: DataFrame) -> DataFrame:
+        if sc.has("category"):
+            df = df.join(dims.small_sku_category(star, sc), "sku_id")
+        return dims.by_order_location(df, star, sc) if sc.has("region") else df
+
+    # Only returned lines count returns, so the top SKUs need no outer join.
+    returned = in_scope(lines.join(returns, "line_id"))
+    metric = F.count("return_id").alias("return_count")
+    if sc.has("return_reason"):
+        agg = returned.groupBy("sku_id").agg(metric, F.count_distinct("order_id").alias("order_count"))
+        agg = agg.where(F.col("return_count") > 0)
+    else:
+        top = returned.groupBy("sku_id").agg(metric).where(F.col("return_count") > 0)
+        top = top.orderBy(*_desc("return_count", "sku_id")).limit(top_n).select(F.col("sku_id").alias("_sku"), "return_count")
+        if top_n <= MAX_HINTED_TOP:
+            top = F.broadcast(top)  # at most top_n rows
+        # Distinct orders are counted over all lines, but of the top SKUs only.
+        orders = in_scope(lines.join(top, F.col("sku_id").eqNullSafe(F.col("_sku"))))
+        agg = orders.groupBy("sku_id", "return_count").agg(F.count_distinct("order_id").alias("order_count"))
     return (
         agg.select(
             "sku_id", "return_count", "order_count",
@@ -303,7 +318,7 @@ def inventory_by_warehouse(star: Star, scope: Mapping | None = None, ordered: bo
         # the warehouses of the region (re-summed, exact under duplicates).
         measures = ["stock_in", "stock_out", "net_change", "total_events"]
         agg = (
-            agg.join(bounded_broadcast(dims.warehouse_region(star, sc)), "warehouse_id")
+            agg.join(star.broadcast(dims.warehouse_region(star, sc), "dim_warehouses", "dim_regions"), "warehouse_id")
             .groupBy("warehouse_id")
             .agg(*[F.sum(m).alias(m) for m in measures])
         )
@@ -313,18 +328,15 @@ def inventory_by_warehouse(star: Star, scope: Mapping | None = None, ordered: bo
 # ── clickstream ──────────────────────────────────────────────────────────
 
 
-def _click_counts(star: Star, sc: Scope, key: str, alias: str) -> DataFrame:
-    """Click events per ``key``.  With a region scope the events are first
-    counted per (customer, key), so the customer-location join sees one row
-    per customer and key rather than one per event."""
+def _clicks(star: Star, sc: Scope) -> DataFrame:
+    """Click events in scope.  A region scope joins the customers' locations
+    before anything is counted: a small customer side is broadcast and the
+    count needs no exchange on the customer; a large one is a plain join,
+    which AQE splits where one customer is hot."""
     fuc = sc.apply(
         star["fact_user_clickstream"].select("customer_id", "device_type", "event_type"), ["device_type"]
     )
-    if not sc.has("region"):
-        return fuc.groupBy(key).agg(_count().alias(alias))
-    per_customer = fuc.groupBy("customer_id", key).agg(_count().alias("_n"))
-    located = dims.by_customer_location(per_customer, star, sc)
-    return located.groupBy(key).agg(F.sum("_n").alias(alias))
+    return dims.by_customer_location(fuc, star, sc) if sc.has("region") else fuc
 
 
 def clickstream_both(star: Star, scope: Mapping | None = None) -> DataFrame:
@@ -334,16 +346,8 @@ def clickstream_both(star: Star, scope: Mapping | None = None) -> DataFrame:
     aggregate both groupings in one pass (the rows are expanded once per set
     and combined map-side before the shuffle)."""
     sc = as_scope(scope).for_analysis("clickstream_by_device")
-    fuc = sc.apply(
-        star["fact_user_clickstream"].select("customer_id", "device_type", "event_type"), ["device_type"]
-    )
-    if sc.has("region"):
-        per_customer = fuc.groupBy("customer_id", "device_type", "event_type").agg(_count().alias("_n"))
-        base, measure = dims.by_customer_location(per_customer, star, sc), F.sum("_n")
-    else:
-        base, measure = fuc, _count()
-    g = base.groupingSets([["device_type"], ["event_type"]], "device_type", "event_type").agg(
-        measure.alias("n"), F.grouping_id().alias("_gid")
+    g = _clicks(star, sc).groupingSets([["device_type"], ["event_type"]], "device_type", "event_type").agg(
+        _count().alias("n"), F.grouping_id().alias("_gid")
     )
     by_device = F.col("_gid") == 1  # event_type rolled up
     return g.select(
@@ -356,14 +360,14 @@ def clickstream_both(star: Star, scope: Mapping | None = None) -> DataFrame:
 def clickstream_by_device(star: Star, scope: Mapping | None = None, ordered: bool = True) -> DataFrame:
     """Click events per device type."""
     sc = as_scope(scope).for_analysis("clickstream_by_device")
-    agg = _click_counts(star, sc, "device_type", "event_count")
+    agg = _clicks(star, sc).groupBy("device_type").agg(_count().alias("event_count"))
     return _ordered(agg, ordered, *_desc("event_count", "device_type"))
 
 
 def clickstream_funnel(star: Star, scope: Mapping | None = None, ordered: bool = True) -> DataFrame:
     """Click events per event type (plain counts, not an ordered funnel)."""
     sc = as_scope(scope).for_analysis("clickstream_funnel")
-    agg = _click_counts(star, sc, "event_type", "count")
+    agg = _clicks(star, sc).groupBy("event_type").agg(_count().alias("count"))
     return _ordered(agg, ordered, *_desc("count", "event_type"))
 
 
@@ -379,11 +383,20 @@ class Analysis:
     label: str
     value: str
     value_null_as_zero: bool = False
+    sort: str = ""  # the metric it is ordered by, where that is not the signal value
+    ascending: bool = False
 
     def signal_value(self) -> Column:
         v = F.col(self.value)
         return F.coalesce(v, F.lit(0)) if self.value_null_as_zero else v
 
+    def order(self) -> list[Column]:
+        """The order of its breakdown."""
+        metric = self.sort or self.value
+        if self.ascending:
+            return [F.asc_nulls_last(metric), F.asc_nulls_last(self.label)]
+        return _desc(metric, self.label)
+
 
 ANALYSES: dict[str, Analysis] = {
     a.name: a
@@ -402,7 +415,7 @@ ANALYSES: dict[str, Analysis] = {
         Analysis("return_rate_by_sku", "returns", "top_skus", return_rate_by_sku, "sku_id", "return_count"),
         Analysis("return_reasons", "returns", "by_reason", return_reasons, "return_reason", "count"),
         Analysis("inventory_by_warehouse", "inventory", "by_warehouse", inventory_by_warehouse,
-                 "warehouse_id", "net_change"),
+                 "warehouse_id", "net_change", ascending=True),
         Analysis("clickstream_by_device", "clickstream", "by_device", clickstream_by_device,
                  "device_type", "event_count"),
         Analysis("clickstream_funnel", "clickstream", "funnel", clickstream_funnel, "event_type", "count"),

@@ -10,44 +10,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from starlens.functions.scope import Scope
-from starlens.plans.joins import bounded_broadcast
 from starlens.sources.star import Star
 
 LOCATION_KEYS = ("region", "city")
+# The dimensions that make up customer_location and sku_category, for their size checks.
+LOCATION = ("dim_customers", "dim_customer_addresses", "dim_regions")
+CATEGORY = ("dim_skus", "dim_categories")
 
 
 def address_region(star: Star, scope: Scope) -> DataFrame:
     """(address_id, city, region_name): addresses joined to their region."""
     regions = scope.apply(star["dim_regions"].select("region_id", "region_name"), ["region"])
     addresses = scope.apply(star["dim_customer_addresses"].select("address_id", "city", "region_id"), ["city"])
-    return addresses.join(bounded_broadcast(regions), "region_id").select("address_id", "city", "region_name")
+    return addresses.join(star.broadcast(regions, "dim_regions"), "region_id").select("address_id", "city", "region_name")
 
 
 def customer_location(star: Star, scope: Scope) -> DataFrame:
     """(customer_id, city, region_name): customers -> addresses -> regions."""
     customers = star["dim_customers"].select("customer_id", "address_id")
-    return customers.join(bounded_broadcast(address_region(star, scope)), "address_id").select(
-        "customer_id", "city", "region_name"
-    )
+    places = star.broadcast(address_region(star, scope), "dim_customer_addresses", "dim_regions")
+    return customers.join(places, "address_id").select("customer_id", "city", "region_name")
 
 
 def sku_category(star: Star, scope: Scope) -> DataFrame:
     """(sku_id, category_name): skus -> categories."""
     categories = scope.apply(star["dim_categories"].select("category_id", "category_name"), ["category"])
     skus = star["dim_skus"].select("sku_id", "category_id")
-    return skus.join(bounded_broadcast(categories), "category_id").select("sku_id", "category_name")
+    return skus.join(star.broadcast(categories, "dim_categories"), "category_id").select("sku_id", "category_name")
 
 
 def warehouse_region(star: Star, scope: Scope) -> DataFrame:
     """(warehouse_id, region_name): warehouses -> regions."""
     regions = scope.apply(star["dim_regions"].select("region_id", "region_name"), ["region"])
     warehouses = star["dim_warehouses"].select("warehouse_id", "region_id")
-    return warehouses.join(bounded_broadcast(regions), "region_id").select("warehouse_id", "region_name")
+    return warehouses.join(star.broadcast(regions, "dim_regions"), "region_id").select("warehouse_id", "region_name")
+
+
+def small_sku_category(star: Star, scope: Scope) -> DataFrame:
+    """``sku_category``, hinted for broadcast if its tables are small."""
+    return star.broadcast(sku_category(star, scope), *CATEGORY)
 
 
 def by_customer_location(fact: DataFrame, star: Star, scope: Scope) -> DataFrame:
     """``fact`` (with customer_id) joined to the scoped customer location."""
-    return fact.join(bounded_broadcast(customer_location(star, scope)), "customer_id")
+    return fact.join(star.broadcast(customer_location(star, scope), *LOCATION), "customer_id")
 
 
 def orders_located(star: Star, scope: Scope) -> DataFrame:

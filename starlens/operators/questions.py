@@ -6,20 +6,21 @@ the values of every scope column.  A question names a value when the
 value's words appear in it as consecutive words (case-insensitive, any
 non-letter/digit character separates words, so ``NATION_2`` matches
 "nation 2").  Matching is an equi-join of the questions' word n-grams with
-the vocabulary; n runs up to the longest value, taken from the vocabulary
-itself.  When a question names several values of one key, the longest wins,
+the vocabulary, of the lengths that occur in it only.  A service keeps the
+vocabulary as a small table (``refresh_vocabulary``, after each compaction)
+and passes it in; then no fact is read for a question.  When a question names several values of one key, the longest wins,
 then the smallest.  Only named keys enter the scope; none gives ``{}``.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.functions.scope import SCOPE_KEYS
-from starlens.plans.joins import bounded_broadcast
 from starlens.session import shared_dir
 from starlens.sources.star import Star
 
@@ -42,6 +43,15 @@ def parse_scope(c: Column) -> Column:
     return F.coalesce(parsed, F.create_map().cast("map<string,string>"))
 
 
+def props_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H11, H12 over the events' props: each answered in a code fence, as a
+    model would, and read back as a map: (event_id, keys, k)."""
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    answer = F.concat(F.lit("```json\n"), F.col("props"), F.lit("\n```  "))
+    return events.select("event_id", parse_scope(answer).alias("scope")).select(
+        "event_id", F.size("scope").alias("keys"), F.col("scope")["k"].alias("k"))
+
+
 def vocabulary(star: Star) -> DataFrame:
     """(key, value, norm, words): distinct values of every scope column."""
     parts = [
@@ -53,6 +63,15 @@ def vocabulary(star: Star) -> DataFrame:
     return v.where(F.col("norm") != "").withColumn("words", F.size(F.split("norm", " ")))
 
 
+def refresh_vocabulary(star: Star, path: str) -> DataFrame:
+    """Write the vocabulary of ``star`` to a new folder under ``path``, made
+    of distinct values only, and return it as read back.  Folders of earlier
+    refreshes stay for readers that still use them."""
+    folder = f"{path.rstrip('/')}/vocabulary-{uuid.uuid4().hex}"
+    vocabulary(star).write.parquet(folder)
+    return star.spark.read.parquet(folder)
+
+
 def user_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The user turns of the conversations table: (conv_id, turn, text)."""
     conv = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
@@ -60,34 +79,31 @@ def user_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def question_scope(star: Star, questions: DataFrame, id_cols: tuple[str, ...] = ("conv_id", "turn"),
-                   text_col: str = "text") -> DataFrame:
-    """(id_cols..., scope_json, scope_keys) for every question."""
+                   text_col: str = "text", vocab: DataFrame | None = None) -> DataFrame:
+    """(id_cols..., scope_json, scope_keys) for every question.  Without a
+    maintained ``vocab`` the star's is computed once and checkpointed."""
     ids = list(id_cols)
-    # The vocabulary is small but costs a scan of four facts, and is used
-    # three times (size check, longest value, join): cut its lineage with a
-    # reliable checkpoint in the shared folder, so the facts are read once.
-    shared_dir(star.spark)
-    vocab = vocabulary(star).checkpoint()
-    max_words = vocab.select(F.max("words")).scalar()
+    if vocab is None:
+        shared_dir(star.spark)
+        vocab = vocabulary(star).checkpoint()
+    lengths = vocab.select(F.array_sort(F.collect_set("words"))).scalar()
     toks = questions.select(*ids, F.split(normalize(F.col(text_col)), " ").alias("toks"))
-    toks = toks.withColumn("_upto", F.least(F.size("toks"), F.coalesce(max_words, F.lit(0))))
+    toks = toks.withColumn("_all", lengths).withColumn("_lengths", F.filter("_all", lambda n: n <= F.size("toks")))
     grams = toks.select(
         *ids,
         F.explode(
             F.flatten(
                 F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.col("_upto"), F.lit(1))),
+                    "_lengths",
                     lambda n: F.transform(
-                        F.sequence(F.lit(1), F.greatest(F.size("toks") - n + 1, F.lit(1))),
+                        F.sequence(F.lit(1), F.size("toks") - n + 1),
                         lambda i: F.array_join(F.slice("toks", i, n), " "),
                     ),
                 )
             )
         ).alias("gram"),
     )
-    matched = grams.join(
-        bounded_broadcast(vocab.select("key", "value", F.col("norm").alias("gram"))), "gram"
-    )
+    matched = grams.join(vocab.select("key", "value", F.col("norm").alias("gram")), "gram")
     best = matched.groupBy(*ids, "key").agg(
         F.min(F.struct((-F.length("value")).alias("neg_len"), F.col("value"))).getField("value").alias("value")
     )

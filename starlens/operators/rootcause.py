@@ -16,24 +16,24 @@ from pyspark.sql import functions as F
 
 from starlens.functions.scope import as_scope
 from starlens.operators import dims
-from starlens.plans.joins import bounded_broadcast
 from starlens.sources.star import Star
 
 GROUP = ["courier_name", "return_reason", "warehouse_id", "category_name"]
 
 
 def root_cause(star: Star, scope: Mapping | None = None) -> DataFrame:
-    sc = as_scope(scope)
+    sc = as_scope(scope).for_analysis("root_cause")
     returns = sc.apply(star["fact_returns"].select("return_id", "line_id", "return_reason"), ["return_reason"])
     lines = star["fact_order_lines"].select("line_id", "order_id", "sku_id", "warehouse_id")
     shipments = sc.apply(star["fact_shipments"].select("order_id", "courier_name"), ["courier_name"])
+    if sc.has(*dims.LOCATION_KEYS):
+        # Both on the order: lines and returns then meet the orders in scope only.
+        shipments = dims.by_order_location(shipments, star, sc)
     j = (
         returns.join(lines, "line_id")
         .join(shipments, "order_id")
-        .join(bounded_broadcast(dims.sku_category(star, sc)), "sku_id")
+        .join(dims.small_sku_category(star, sc), "sku_id")
     )
-    if sc.has(*dims.LOCATION_KEYS):
-        j = dims.by_order_location(j, star, sc)
     return (
         j.groupBy(*GROUP)
         .agg(F.count_distinct("return_id").alias("return_count"))

@@ -16,9 +16,8 @@ The sum and count come from a scalar subquery over the breakdown itself:
 Spark computes it with a distributed partial aggregate and reuses the
 breakdown's shuffle, so no group is ever gathered into one task and no join
 is needed.  For several breakdowns at once (``by``), the per-breakdown
-sums are broadcast and joined back on the breakdown key.  That side holds
-one row per breakdown, so ``by`` must have a small, known set of values:
-the long report uses the eleven analysis names.
+sums are joined back on the breakdown key, unhinted: one row per breakdown,
+which AQE broadcasts when it has measured it as small.
 """
 
 from __future__ import annotations
@@ -48,8 +47,7 @@ def detect(breakdown: DataFrame, label: str | Column, value: str | Column, by: S
     """Signals of ``breakdown`` with columns ``by + SIGNAL_COLUMNS``.
 
     ``label`` and ``value`` are columns of the breakdown (one row per group).
-    With ``by``, each distinct ``by`` value is a separate breakdown; the
-    number of distinct ``by`` values must be small (it is joined back).
+    With ``by``, each distinct ``by`` value is a separate breakdown.
     """
     label_col = F.col(label) if isinstance(label, str) else label
     value_col = F.col(value) if isinstance(value, str) else value
@@ -60,7 +58,7 @@ def detect(breakdown: DataFrame, label: str | Column, value: str | Column, by: S
     )
     if by:
         stats = b.groupBy(*by).agg(F.sum("_v").alias("_s"), F.count(F.lit(1)).alias("_n"))
-        joined = b.join(F.broadcast(stats), list(by))
+        joined = b.join(stats, list(by))
         s, n = F.col("_s"), F.col("_n")
     else:
         st = b.select(

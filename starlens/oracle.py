@@ -7,7 +7,7 @@ Numeric conventions that make both engines agree exactly:
 
 * percentages: ``round(100 * a / b, 2)`` half away from zero, computed as
   ``(20000 * a + b) // (2 * b) / 100`` with integers (T6);
-* money: sums of ``DECIMAL(18,2)`` cast to DOUBLE (T7);
+* money: the sum of the stored values, rounded once, after summing (T7);
 * integer sums cast to BIGINT; NULLS FIRST on DESC, LAST on ASC (T5); the
   group key breaks ties under LIMIT (T4).
 """
@@ -32,7 +32,7 @@ def pct(a: str, b: str) -> str:
 
 
 def money(x: str) -> str:
-    return f"CAST(ROUND(SUM(CAST({x} AS DECIMAL(18,2))), 2) AS DOUBLE)"
+    return f"CAST(ROUND(SUM(CAST({x} AS DECIMAL(38,10))), 2) AS DOUBLE)"
 
 
 def _q(value: str) -> str:
@@ -325,6 +325,62 @@ def star_table_sql(table: str) -> str:
     return with_star(f"SELECT * FROM {table}")
 
 
+def recent_orders_labelled_sql() -> str:
+    return with_star("""
+SELECT row_number() OVER (ORDER BY event_timestamp DESC NULLS FIRST, order_id)::INTEGER AS rank, left(order_id, 4) AS label,
+       left(CAST(CAST(event_timestamp AS TIMESTAMP) AS VARCHAR), 19) AS at, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS day
+FROM (SELECT * FROM fact_order_headers ORDER BY event_timestamp DESC NULLS FIRST, order_id LIMIT 100) r""")
+
+
+def props_scope_sql() -> str:
+    return "SELECT event_id, len(json_keys(props))::INTEGER AS keys, json_extract_string(props, '$.k') AS k FROM events"
+
+
+def fine_revenue_sql() -> str:
+    value = "l_extendedprice * (1 - l_discount) * (1 + l_tax)"
+    return f"""
+SELECT p_type AS category_name, COUNT(DISTINCT l_orderkey) AS order_count, {money(value)} AS total_revenue
+FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY p_type ORDER BY total_revenue DESC, category_name"""
+
+
+def ingest_rejects_sql() -> str:
+    return with_star("""
+SELECT CASE WHEN quantity > 45 OR quantity = 1 THEN 'reject' ELSE 'stored' END AS kind,
+       CASE WHEN quantity > 45 THEN 'cut ' || line_id WHEN quantity = 1 THEN 'no key, order ' || order_id ELSE line_id END AS value
+FROM fact_order_lines""")
+
+
+# Domain -> its analyses with their sections and orders (metric, direction).
+_DOMAINS = {
+    "payments": [("payment_failure_by_method", "by_method", "failure_rate_pct DESC NULLS FIRST"),
+                 ("payment_failure_by_reason", "by_reason", "count DESC NULLS FIRST")],
+    "orders": [("orders_by_region", "by_region", "order_count DESC NULLS FIRST"),
+               ("revenue_by_category", "by_category", "total_revenue DESC NULLS FIRST")],
+    "shipments": [("courier_performance", "courier_performance", "total_shipments DESC NULLS FIRST"),
+                  ("shipments_by_region", "by_region", "shipment_count DESC NULLS FIRST")],
+    "returns": [("return_rate_by_sku", "top_skus", "return_count DESC NULLS FIRST"),
+                ("return_reasons", "by_reason", "count DESC NULLS FIRST")],
+    "inventory": [("inventory_by_warehouse", "by_warehouse", "net_change ASC NULLS LAST")],
+    "clickstream": [("clickstream_by_device", "by_device", "event_count DESC NULLS FIRST"),
+                    ("clickstream_funnel", "funnel", "count DESC NULLS FIRST")],
+}
+
+
+def domain_sql(domain: str, scope: Mapping[str, str] | None = None) -> str:
+    parts = []
+    for name, section, order in _DOMAINS[domain]:
+        builder, label, value = BREAKDOWNS[name]
+        parts.append(f"""
+SELECT '{section}' AS section, rank, dimension, value,
+       CASE WHEN hit THEN CASE WHEN value * n * 2 > s * 3 AND value * n > s * 2 THEN 'HIGH' ELSE 'MEDIUM' END END AS severity,
+       CASE WHEN hit THEN CASE WHEN value * n * 2 > s * 3 THEN 'spike' ELSE 'drop' END END AS type
+FROM (SELECT *, n >= 2 AND s <> 0 AND (value * n * 2 > s * 3 OR value * n * 2 < s) AS hit FROM (
+  SELECT row_number() OVER (ORDER BY {order}, {label})::INTEGER AS rank, CAST({label} AS VARCHAR) AS dimension,
+         CAST({value} AS DOUBLE) AS value, SUM(CAST({value} AS DOUBLE)) OVER () AS s, COUNT(*) OVER () AS n
+  FROM ({builder(scope or {})}) b) w) h""")
+    return with_star("\nUNION ALL\n".join(parts))
+
+
 # Scope key -> (star table, column), as in functions/scope.py.
 _SCOPE_COLUMNS = {
     "courier_name": ("fact_shipments", "courier_name"),

@@ -1,54 +1,57 @@
-"""Join helpers.
-
-``bounded_broadcast`` broadcasts a dimension only after proving its size:
-it counts at most ``max_rows + 1`` rows (a ``LIMIT`` job that stops early)
-and remembers the answer per logical plan for the session.  Beyond the
-bound the DataFrame is returned unhinted, so Spark plans a sort-merge join
-(and AQE may still switch to a broadcast at run time, from measured sizes).
+"""Broadcast hints for dimensions of a checked size.
+
+``small_tables`` decides for base dimension tables: the files of a table's
+current listing must stay under a bound in bytes, and one job counts the rows
+and distinct keys of all that do (partial counts in every task, one row each
+after that).  A table within the bounds whose key is unique may be hinted, and
+so may an inner join of such tables along their keys, which cannot have more
+rows than its first table.  The verdict lives in the ``Star`` it was made for,
+together with the listing it was made from: reading the tables again lists and
+checks them again.  Everything else goes unhinted: Spark plans a sort-merge
+join, and AQE may still broadcast from measured sizes.
 """
 
 from __future__ import annotations
 
-import threading
+from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Upper bounds of one hinted table: rows, and bytes of its files.
 DEFAULT_MAX_ROWS = 1_000_000
-_CONF_KEY = "starlens.broadcast.maxRows"
+DEFAULT_MAX_BYTES = 32 * 1024 * 1024
+ROWS_KEY, BYTES_KEY = "starlens.broadcast.maxRows", "starlens.broadcast.maxBytes"
+
 
-_lock = threading.Lock()
-# (application, session, semantic hash, bound) -> [(plan, verdict)]; a hash match is
-# confirmed with sameSemantics, so a hash collision cannot reuse a verdict.
-_verdicts: dict[tuple[str, int, int, int], list[tuple[DataFrame, bool]]] = {}
+def _bound(spark: SparkSession, key: str, default: int) -> int:
+    return int(spark.conf.get(key, str(default)))
 
 
 def max_broadcast_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(_CONF_KEY, str(DEFAULT_MAX_ROWS)))
-
-
-def _remembered(key: tuple[str, int, int, int], df: DataFrame) -> bool | None:
-    with _lock:
-        candidates = list(_verdicts.get(key, ()))
-    for other, verdict in candidates:
-        if other.sparkSession is df.sparkSession and df.sameSemantics(other):
-            return verdict
-    return None
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    limit = max_broadcast_rows(spark) if max_rows is None else max_rows
-    key = (spark.sparkContext.applicationId, id(spark), df.semanticHash(), limit)
-    verdict = _remembered(key, df)
-    if verdict is None:
-        verdict = df.limit(limit + 1).count() <= limit
-        with _lock:
-            _verdicts.setdefault(key, []).append((df, verdict))
-    return F.broadcast(df) if verdict else df
-
-
-def forget_sizes() -> None:
-    """Drop remembered size checks (after tables were rewritten)."""
-    with _lock:
-        _verdicts.clear()
+    return _bound(spark, ROWS_KEY, DEFAULT_MAX_ROWS)
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files, or of the local rows, that ``df`` reads."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def small_tables(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> dict[str, bool]:
+    """For each table: within the bounds, and unique on its key."""
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    most_rows, most_bytes = max_broadcast_rows(spark), _bound(spark, BYTES_KEY, DEFAULT_MAX_BYTES)
+    near = {n: df for n, df in tables.items() if stored_bytes(df) <= most_bytes}
+    counts = [
+        df.select(F.lit(n).alias("t"), F.col(keys[n]).cast("string").alias("k")).groupBy("t", "k").agg(F.count(F.lit(1)).alias("n"))
+        for n, df in near.items()
+    ]
+    if not counts:
+        return dict.fromkeys(tables, False)
+    sizes = reduce(DataFrame.unionByName, counts).groupBy("t").agg(F.sum("n").alias("rows"), F.max(F.when(F.col("k").isNotNull(), F.col("n"))).alias("most")).collect()
+    found = {r["t"]: r["rows"] <= most_rows and r["most"] in (None, 1) for r in sizes}  # a row per table
+    return {n: n in near and found.get(n, True) for n in tables}  # no row: an empty table

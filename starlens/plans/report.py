@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starlens.functions.scope import as_scope
@@ -56,7 +56,8 @@ def run(star: Star, scope: Mapping | None = None) -> dict:
         }
 
     analyses = list(ANALYSES.values())
-    with ThreadPoolExecutor(max_workers=len(analyses)) as pool:  # plans only; nothing runs
+    star.check_dimensions()  # the one job here; the threads build plans only
+    with ThreadPoolExecutor(max_workers=len(analyses)) as pool:
         entries = list(pool.map(build, analyses))
     for a, entry in zip(analyses, entries):
         if a.name == "return_rate_by_sku":
@@ -147,10 +148,12 @@ FUSED = {
 def report_long(star: Star, scope: Mapping | None = None) -> DataFrame:
     """(analysis, dimension, value) for every group of every analysis.
 
-    The branch plans are only built here (nothing runs); building them from
-    a thread pool overlaps the driver-side analysis of each plan.
+    The dimensions' sizes are checked once, in one job; after that the branch
+    plans are only built here, and building them from a thread pool overlaps
+    the driver-side analysis of each plan.
     """
     sc = as_scope(scope)
+    star.check_dimensions()
     fused = {name for group in FUSED for name in group}
     builders = [lambda n=n: _long(star, n, sc) for n in ANALYSES if n not in fused]
     builders += [lambda f=f: f(star, sc) for f in FUSED.values()]
@@ -159,6 +162,24 @@ def report_long(star: Star, scope: Mapping | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def domain_long(star: Star, domain: str, scope: Mapping | None = None) -> DataFrame:
+    """J1/J2 of one domain in long form: (section, rank, dimension, value,
+    severity, type), a row per group of each of its analyses, in the order of
+    its breakdown (rank from 1), with the group's signal if it has one."""
+    if domain not in DOMAINS:
+        raise ValueError(f"unknown domain {domain!r}; expected one of {DOMAINS}")
+    sc = as_scope(scope)
+    parts = []
+    for a in (a for a in ANALYSES.values() if a.domain == domain):
+        b = a.run(star, sc, ordered=False)
+        hits = detect(b, a.label, a.signal_value()).select(F.col("dimension").alias("_d"), "severity", "type")
+        place = F.row_number().over(Window.orderBy(*a.order()))  # groups of one breakdown
+        long = b.select(F.col(a.label).cast("string").alias("dimension"), a.signal_value().cast("double").alias("value"), place.alias("rank"))
+        parts.append(long.join(hits, F.col("dimension").eqNullSafe(F.col("_d")), "left").select(
+            F.lit(a.section).alias("section"), "rank", "dimension", "value", "severity", "type"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def report_signals(star: Star, scope: Mapping | None = None) -> DataFrame:
     """(analysis, dimension, value, avg, severity, type) for all
     analyses, as one plan over ``report_long``: each analysis is a separate

@@ -7,6 +7,7 @@ in settings that are unset, so cluster-provided values always win.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,7 +55,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="starlens-ckpt-")
         try:
@@ -64,3 +65,10 @@ def shared_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)  # so DataFrame.checkpoint() writes there too
     return path.rstrip("/")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this session made, in whatever store it lies."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).delete(target, True)

@@ -12,13 +12,14 @@ The mapping rules are fixed values of the fixture contract (see FIXTURES.md).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlens.sources.schemas import SCHEMAS
 
-SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-
 
 def _s(c: str | Column) -> Column:
     col = F.col(c) if isinstance(c, str) else c
@@ -56,71 +57,58 @@ DEVICE_BUCKETS = [(6, "mobile"), (9, "desktop")]
 DEVICE_LAST = "tablet"
 
 
-_SOURCES: dict[tuple[str, int, str], DataFrame] = {}
-
-
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The source table, resolved once per session: the fixture tables are
-    read-only, so their schema and file listing are looked up only once."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    df = _SOURCES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _SOURCES[key] = spark.read.parquet(path)
-    return df
+def star_views(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    """The fourteen star tables over ``sf_dir``, each a function that builds
+    its view; a source table is read once, when a view first needs it."""
 
+    @cache
+    def t(name: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-def star_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The fourteen star tables as lazy DataFrames over ``sf_dir``."""
-    t = {name: _read(spark, sf_dir, name) for name in SOURCE_TABLES}
-    region, nation, customer = t["region"], t["nation"], t["customer"]
-    supplier, part, orders, lineitem, events = (
-        t["supplier"], t["part"], t["orders"], t["lineitem"], t["events"]
-    )
     null_s = F.lit(None).cast("string")
 
     views = {
-        "dim_regions": region.select(
+        "dim_regions": lambda: t("region").select(
             _s("r_regionkey").alias("region_id"),
             F.col("r_name").alias("region_name"),
             null_s.alias("country"),
         ),
-        "dim_customer_addresses": nation.select(
+        "dim_customer_addresses": lambda: t("nation").select(
             _s("n_nationkey").alias("address_id"),
             F.col("n_name").alias("city"),
             _s("n_regionkey").alias("region_id"),
         ),
-        "dim_customers": customer.select(
+        "dim_customers": lambda: t("customer").select(
             _s("c_custkey").alias("customer_id"),
             _s("c_nationkey").alias("address_id"),
             null_s.alias("registration_date"),
         ),
-        "dim_warehouses": supplier.join(
-            nation, supplier.s_nationkey == nation.n_nationkey
+        "dim_warehouses": lambda: t("supplier").join(
+            t("nation"), F.col("s_nationkey") == F.col("n_nationkey")
         ).select(
             _s("s_suppkey").alias("warehouse_id"),
             _s("n_regionkey").alias("region_id"),
         ),
-        "dim_payment_methods": orders.select(
+        "dim_payment_methods": lambda: t("orders").select(
             F.substring("o_orderpriority", 1, 1).alias("method_id"),
             F.substring("o_orderpriority", 3, 20).alias("method_name"),
         ).distinct(),
-        "dim_categories": part.select(
+        "dim_categories": lambda: t("part").select(
             F.col("p_type").alias("category_id"),
             F.col("p_type").alias("category_name"),
         ).distinct(),
-        "dim_skus": part.select(
+        "dim_skus": lambda: t("part").select(
             _s("p_partkey").alias("sku_id"),
             F.col("p_type").alias("category_id"),
             F.col("p_retailprice").alias("baseline_price"),
         ),
-        "fact_order_headers": orders.select(
+        "fact_order_headers": lambda: t("orders").select(
             _s("o_orderkey").alias("order_id"),
             _s("o_custkey").alias("customer_id"),
             F.col("o_totalprice").alias("total_order_value"),
             _s("o_orderdate").alias("event_timestamp"),
         ),
-        "fact_order_lines": lineitem.select(
+        "fact_order_lines": lambda: t("lineitem").select(
             line_key().alias("line_id"),
             _s("l_orderkey").alias("order_id"),
             _s("l_partkey").alias("sku_id"),
@@ -128,7 +116,7 @@ def star_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.col("l_quantity").cast("int").alias("quantity"),
             F.col("l_extendedprice").alias("line_value"),
         ),
-        "fact_payments": orders.select(
+        "fact_payments": lambda: t("orders").select(
             F.concat(F.lit("P"), _s("o_orderkey")).alias("payment_id"),
             _s("o_orderkey").alias("order_id"),
             F.substring("o_orderpriority", 1, 1).alias("method_id"),
@@ -140,14 +128,14 @@ def star_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             ).alias("failure_reason"),
             _s("o_orderdate").alias("event_timestamp"),
         ),
-        "fact_shipments": orders.select(
+        "fact_shipments": lambda: t("orders").select(
             F.concat(F.lit("S"), _s("o_orderkey")).alias("shipment_id"),
             _s("o_orderkey").alias("order_id"),
             _bucket(F.col("o_custkey") % 10, COURIER_BUCKETS, COURIER_LAST).alias("courier_name"),
             F.when(F.col("o_orderstatus") == "P", "delivery_failed").otherwise("dispatched").alias("event_type"),
             _s("o_orderdate").alias("event_timestamp"),
         ),
-        "fact_returns": lineitem.where(F.col("l_returnflag") == "R").select(
+        "fact_returns": lambda: t("lineitem").where(F.col("l_returnflag") == "R").select(
             F.concat(F.lit("R-"), line_key()).alias("return_id"),
             line_key().alias("line_id"),
             F.when(F.col("l_linenumber") <= 4, RETURN_REASON_UP_TO_4)
@@ -158,7 +146,7 @@ def star_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.lit("return_requested").alias("return_status"),
             _s("l_shipdate").alias("event_timestamp"),
         ),
-        "fact_inventory_transactions": lineitem.select(
+        "fact_inventory_transactions": lambda: t("lineitem").select(
             F.concat(F.lit("T-"), line_key()).alias("transaction_id"),
             _s("l_partkey").alias("sku_id"),
             _s("l_suppkey").alias("warehouse_id"),
@@ -170,7 +158,7 @@ def star_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             .alias("quantity_change"),
             _s("l_shipdate").alias("event_timestamp"),
         ),
-        "fact_user_clickstream": events.select(
+        "fact_user_clickstream": lambda: t("events").select(
             _s("event_id").alias("event_id"),
             _s("user_id").alias("customer_id"),
             F.get_json_object("props", "$.k").alias("sku_id"),
@@ -179,10 +167,8 @@ def star_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             _s("ts").alias("event_timestamp"),
         ),
     }
-    # Conform every view to the declared star schema (names, order, types).
-    return {
-        name: views[name].select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-        )
-        for name, schema in SCHEMAS.items()
-    }
+    def conformed(name: str) -> DataFrame:
+        """The view with the declared names, order and types."""
+        return views[name]().select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
+
+    return {name: lambda n=name: conformed(n) for name in SCHEMAS}

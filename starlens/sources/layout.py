@@ -1,23 +1,36 @@
 """Storage layout for the star at scale: bucketed catalog tables.
 
 The analyses join facts to order headers on ``order_id`` (payments,
-shipments, lines) and lines to returns on ``line_id``.  Written once with
-``bucketBy(n, key).sortBy(key)``, these joins read both sides already
-hash-partitioned and sorted on the key, so Spark plans them without an
-exchange: the largest shuffles of the workload disappear.  ``compact``
-rewrites a star (for example the ingest's per-batch parquet tables) into
-this layout; ``Star.from_catalog`` reads it back.
+shipments, lines) and lines to returns on ``line_id``.  Written with
+``bucketBy(n, key)``, these joins read both sides already hash-partitioned on
+the key, so Spark plans them without an exchange (each side is still sorted
+within its buckets).  Facts that are joined on few or nullable values, the
+inventory on its warehouse and the clicks on their customer, are not bucketed:
+a hot warehouse or customer would be one task, while a plain table aggregates
+map-side first and lets AQE split a skewed join.
+
+Rows are repartitioned by the key before a bucketed write, so that a version
+has one file a bucket and not one for each task and bucket.  ``compact``
+writes a whole new version of every table under names of its own, checks row
+counts, and then switches the views that readers use; a failed run leaves the
+old version readable.  ``compact_ingested`` appends only the micro-batches
+that the layout does not hold yet.
 
 The bucket count should give buckets of a few hundred MB for the largest
-fact and stays fixed for the table's life (both sides of a join need the
+fact and stays fixed for the tables' life (both sides of a join need the
 same count to avoid a shuffle).
 """
 
 from __future__ import annotations
 
-from starlens.plans.joins import forget_sizes
-from starlens.sources.schemas import SCHEMAS
-from starlens.sources.star import Star
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starlens.sources.schemas import KEYS, SCHEMAS
+from starlens.sources.star import Star, stored_table
 
 # The join key each fact is bucketed on.
 BUCKET_KEYS = {
@@ -26,32 +39,106 @@ BUCKET_KEYS = {
     "fact_shipments": "order_id",
     "fact_order_lines": "order_id",
     "fact_returns": "line_id",
-    "fact_inventory_transactions": "warehouse_id",
-    "fact_user_clickstream": "customer_id",
 }
+BATCH = ["stream_id", "batch_id"]
+FIRST = "compacted"  # stands for the stream of rows that did not come from a micro-batch
+
+
+def _with_batch(df: DataFrame, name: str) -> DataFrame:
+    """The table's columns and those that tell its micro-batch."""
+    has = set(df.columns)
+    stream = F.col("stream_id") if "stream_id" in has else F.lit(FIRST)
+    batch = F.col("batch_id").cast("long") if "batch_id" in has else F.lit(0).cast("long")
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields],
+                     F.coalesce(stream.cast("string"), F.lit(FIRST)).alias("stream_id"), batch.alias("batch_id"))
+
 
+def _write(df: DataFrame, name: str, table: str, buckets: int, mode: str) -> None:
+    key = BUCKET_KEYS.get(name)
+    if key:
+        df.repartition(buckets, key).write.mode(mode).format("parquet").bucketBy(buckets, key).saveAsTable(table)
+    else:
+        df.write.mode(mode).format("parquet").saveAsTable(table)
 
-def compact(star: Star, database: str, location: str, buckets: int) -> list[str]:
-    """Write every table of ``star`` into ``database`` (created at
-    ``location`` if needed), facts bucketed and sorted on their join key."""
-    spark = star.spark
+
+def _database(spark: SparkSession, database: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location.rstrip('/')}/{database}.db'")
-    written = []
-    for name in SCHEMAS:
-        writer = star[name].write.mode("overwrite").format("parquet")
-        key = BUCKET_KEYS.get(name)
-        if key:
-            writer = writer.bucketBy(buckets, key).sortBy(key)
-        writer.saveAsTable(f"{database}.{name}")
-        written.append(f"{database}.{name}")
-    forget_sizes()
-    return written
-
-
-
-def compact_ingested(spark, ingest_root: str, database: str, location: str, buckets: int) -> Star:
-    """Rewrite the ingest's per-batch parquet tables under ``ingest_root``
-    into the bucketed layout and return the star read from the catalog (a
-    periodic batch job next to the streams)."""
-    compact(Star.from_parquet(spark, ingest_root), database, location, buckets)
+
+
+def versions(spark: SparkSession, database: str, name: str) -> list[str]:
+    """The written versions of a table, oldest first."""
+    found = [t.name for t in spark.catalog.listTables(database) if t.name.startswith(f"{name}__v")]
+    return sorted(found, key=lambda t: int(t.rsplit("__v", 1)[1].split("_")[0]))
+
+
+def _switch(spark: SparkSession, database: str, new: dict[str, str]) -> None:
+    for name, table in new.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {database}.{table}")
+
+
+def compact(star: Star, database: str, location: str, buckets: int, keep_versions: int = 2) -> list[str]:
+    """Write every table of ``star`` as a new version in ``database`` (created
+    at ``location`` if needed) and switch to it; of older versions the newest
+    ``keep_versions - 1`` stay, for readers that began before the switch."""
+    tables = {name: _with_batch(star[name], name) for name in SCHEMAS}
+    return _compact(star.spark, tables, database, location, buckets, keep_versions)
+
+
+def _compact(spark: SparkSession, tables: dict[str, DataFrame], database: str, location: str, buckets: int, keep_versions: int) -> list[str]:
+    _database(spark, database, location)
+    new = {}
+    for name, df in tables.items():
+        old = versions(spark, database, name)
+        number = 1 + max([0, *(int(t.rsplit("__v", 1)[1].split("_")[0]) for t in old)])
+        new[name] = f"{name}__v{number}_{uuid.uuid4().hex[:6]}"
+        _write(df, name, f"{database}.{new[name]}", buckets, "errorifexists")
+    for name, df in tables.items():
+        there, here = df.count(), spark.table(f"{database}.{new[name]}").count()
+        if there != here:
+            raise RuntimeError(f"{name}: wrote {here} of {there} rows; the old version stays in use")
+    _switch(spark, database, new)
+    for name in tables:
+        for t in versions(spark, database, name)[:-keep_versions]:
+            spark.sql(f"DROP TABLE {database}.{t}")
+    return [f"{database}.{name}" for name in tables]
+
+
+def _new_batches(stored: DataFrame, held: DataFrame) -> DataFrame:
+    """The stored micro-batches that ``held`` lacks.  Batch ids of a stream
+    only grow, so one number a stream tells; they become partition filters."""
+    last = held.groupBy("stream_id").agg(F.max("batch_id").alias("last")).collect()  # a row per stream
+    known = [(F.col("stream_id") == r["stream_id"]) & (F.col("batch_id") <= r["last"]) for r in last]
+    return stored.where(~reduce(lambda a, b: a | b, known)) if known else stored
+
+
+def compact_ingested(spark: SparkSession, ingest_root: str, database: str, location: str, buckets: int,
+                     dedupe: bool = False) -> Star:
+    """Bring the layout up to the ingest's tables under ``ingest_root`` and
+    return the star read from it (a periodic batch job next to the streams).
+
+    Micro-batches that the layout does not hold yet are appended, a file a
+    bucket.  With ``dedupe`` a whole new version is written instead, with one
+    row per key: the one of the first stream and batch."""
+    root = ingest_root.rstrip("/")
+    stored = {n: _with_batch(stored_table(spark, f"{root}/{n}", n), n) for n in SCHEMAS}
+    _database(spark, database, location)
+    if dedupe:
+        _compact(spark, {n: _one_per_key(df, n) for n, df in stored.items()}, database, location, buckets, 2)
+    elif any(not versions(spark, database, n) for n in SCHEMAS):
+        _compact(spark, stored, database, location, buckets, 2)
+    else:
+        for n, df in stored.items():
+            current = f"{database}.{versions(spark, database, n)[-1]}"
+            new = _new_batches(df, spark.table(current))
+            if not new.isEmpty():
+                _write(new, n, current, buckets, "append")
+                spark.catalog.refreshTable(current)
     return Star.from_catalog(spark, database)
+
+
+def _one_per_key(df: DataFrame, name: str) -> DataFrame:
+    """Rows without a key stay; of those that share one, the smallest (stream, batch, row)."""
+    key = KEYS[name]
+    first = F.min(F.struct(*BATCH, *[c for c in df.columns if c not in BATCH])).alias("row")
+    keyed = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(first).select("row.*")
+    return keyed.select(*df.columns).unionByName(df.where(F.col(key).isNull()))

@@ -66,24 +66,6 @@ KEYS: dict[str, str] = {name: schema.fields[0].name for name, schema in SCHEMAS.
 DIMENSIONS = [n for n in SCHEMAS if n.startswith("dim_")]
 FACTS = [n for n in SCHEMAS if n.startswith("fact_")]
 
-# Facts first, then dimensions, the order in which tables are emptied.
-TRUNCATE_ORDER = [
-    "fact_user_clickstream",
-    "fact_inventory_transactions",
-    "fact_returns",
-    "fact_shipments",
-    "fact_payments",
-    "fact_order_lines",
-    "fact_order_headers",
-    "dim_customers",
-    "dim_customer_addresses",
-    "dim_payment_methods",
-    "dim_warehouses",
-    "dim_skus",
-    "dim_categories",
-    "dim_regions",
-]
-
 
 def topic_for(table: str) -> str:
     """Topic (or landing folder) carrying the events of ``table``."""

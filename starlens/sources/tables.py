@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starlens.plans.joins import forget_sizes
-from starlens.sources.schemas import SCHEMAS, TRUNCATE_ORDER
+from starlens.functions.text import event_ts, short_label, ts_text
+from starlens.sources.schemas import DIMENSIONS, FACTS, SCHEMAS
 from starlens.sources.star import Star
 
 DEFAULT_LIMIT = 20
@@ -25,25 +26,54 @@ def recent_orders(star: Star, limit: int = DEFAULT_LIMIT) -> DataFrame:
     )
 
 
+def recent_orders_labelled(star: Star, limit: int = MAX_LIMIT) -> DataFrame:
+    """The latest orders as a list for display: rank, short label of the id
+    (H9), and the event time parsed and its date (H14)."""
+    latest = Window.orderBy(F.desc_nulls_first("event_timestamp"), F.asc_nulls_last("order_id"))  # at most 100 rows
+    when = event_ts(F.col("event_timestamp"))
+    return recent_orders(star, limit).select(
+        F.row_number().over(latest).alias("rank"), short_label(F.col("order_id"), 4).alias("label"),
+        F.substring(ts_text(when), 1, 19).alias("at"), F.to_date(when).cast("string").alias("day"))
+
+
+def create_tables(spark: SparkSession, root: str) -> list[str]:
+    """The fourteen parquet tables under ``root``, empty where they do not
+    exist yet; existing ones are left alone.  Returns the names created."""
+    root, created = root.rstrip("/"), []
+    for name in DIMENSIONS + FACTS:
+        try:
+            spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            spark.createDataFrame([], SCHEMAS[name]).write.mode("ignore").parquet(f"{root}/{name}")
+            created.append(name)
+    return created
+
+
+def create_tables_jdbc(spark: SparkSession, url: str, properties: dict[str, str]) -> None:
+    """As ``create_tables`` in a database (existing tables are left alone)."""
+    for name in DIMENSIONS + FACTS:
+        spark.createDataFrame([], SCHEMAS[name]).write.mode("ignore").jdbc(url, name, properties=properties)
+
+
 def truncate_all(spark: SparkSession, root: str) -> list[str]:
     """Empty the fourteen parquet star tables under ``root``, facts first.
     Streaming checkpoints are left alone, so old events are not re-ingested."""
     root = root.rstrip("/")
-    for name in TRUNCATE_ORDER:
+    for name in FACTS + DIMENSIONS:
         spark.createDataFrame([], SCHEMAS[name]).write.mode("overwrite").parquet(f"{root}/{name}")
-    forget_sizes()
-    return list(TRUNCATE_ORDER)
+    return FACTS + DIMENSIONS
 
 
 def truncate_all_jdbc(spark: SparkSession, url: str, properties: dict[str, str]) -> list[str]:
     """As ``truncate_all`` for tables in a database (``TRUNCATE`` keeps the
     table definitions)."""
-    for name in TRUNCATE_ORDER:
+    for name in FACTS + DIMENSIONS:
         (
             spark.createDataFrame([], SCHEMAS[name])
             .write.mode("overwrite")
             .option("truncate", "true")
             .jdbc(url, name, properties=properties)
         )
-    forget_sizes()
-    return list(TRUNCATE_ORDER)
+    return FACTS + DIMENSIONS

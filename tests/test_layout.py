@@ -38,6 +38,84 @@ def test_compacted_star_gives_same_results(spark):
         spark.conf.unset("starlens.broadcast.maxRows")
 
 
+def _files(spark, db, name):
+    return len(spark.table(f"{db}.{name}").inputFiles())
+
+
+def test_versions_and_files(spark, monkeypatch):
+    from starlens.sources import layout
+
+    views = Star.from_fixtures(spark, SF_SMALL)
+    db, where = f"star_{uuid.uuid4().hex[:8]}", tempfile.mkdtemp(prefix="starlens-layout-")
+    compact(views, db, where, buckets=4)
+    assert all(_files(spark, db, n) <= 4 for n in layout.BUCKET_KEYS)
+    want = views["fact_payments"].count()
+
+    # a run that fails leaves the old version in use
+    real = layout._write
+    def failing(df, name, table, buckets, mode):
+        if name == "fact_shipments":
+            raise OSError("disk full")
+        real(df, name, table, buckets, mode)
+
+    monkeypatch.setattr(layout, "_write", failing)
+    try:
+        compact(views, db, where, buckets=4)
+        raise AssertionError
+    except OSError:
+        pass
+    assert Star.from_catalog(spark, db)["fact_payments"].count() == want
+    monkeypatch.setattr(layout, "_write", real)
+    for _ in range(2):
+        compact(views, db, where, buckets=4)
+    assert len(layout.versions(spark, db, "fact_shipments")) == 2
+    assert Star.from_catalog(spark, db)["fact_payments"].count() == want
+
+
+def test_unbucketed_facts_aggregate_before_an_exchange(spark):
+    views = Star.from_fixtures(spark, SF_SMALL)
+    db = f"star_{uuid.uuid4().hex[:8]}"
+    compact(views, db, tempfile.mkdtemp(prefix="starlens-layout-"), buckets=4)
+    cat = Star.from_catalog(spark, db)
+    for name in ("inventory_by_warehouse", "clickstream_by_device"):
+        plan = ANALYSES[name].run(cat, {}, ordered=False)._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Exchange") < plan.index("partial_count") and "Bucketed: true" not in plan
+
+
+def test_incremental_compaction(spark):
+    from starlens.sources import layout
+    from starlens.streaming.ingest import publish, run_ingest
+
+    base = tempfile.mkdtemp(prefix="starlens-incremental-")
+    views, db = Star.from_fixtures(spark, SF_SMALL), f"inc_{uuid.uuid4().hex[:8]}"
+    rows, sizes = views["fact_payments"], []
+    for k in range(3):
+        publish(rows.where(f"pmod(xxhash64(payment_id), 3) = {k}"), "fact_payments", f"{base}/topics{k // 2}")
+        run_ingest(spark, f"{base}/star", ["fact_payments"], source=f"{base}/topics{k // 2}", checkpoint_root=f"{base}/ckpt{k // 2}",
+                   available_now=True)
+        star = layout.compact_ingested(spark, f"{base}/star", db, f"{base}/wh", buckets=4)
+        star = layout.compact_ingested(spark, f"{base}/star", db, f"{base}/wh", buckets=4)  # nothing new: no change
+        sizes.append(star["fact_payments"].count())
+    assert sizes[0] < sizes[1] < sizes[2] == rows.count()
+    assert len(layout.versions(spark, db, "fact_payments")) == 1
+    got = layout.compact_ingested(spark, f"{base}/star", db, f"{base}/wh", buckets=4, dedupe=True)["fact_payments"]
+    assert got.exceptAll(rows).count() == 0 and rows.exceptAll(got).count() == 0
+
+
+def test_compact_ingested_drops_repeated_keys(spark):
+    from starlens.sources import layout
+    from starlens.streaming.ingest import publish, run_ingest
+
+    base, db = tempfile.mkdtemp(prefix="starlens-dedupe-"), f"dd_{uuid.uuid4().hex[:8]}"
+    rows = Star.from_fixtures(spark, SF_SMALL)["dim_regions"]
+    for k in range(2):
+        publish(rows, "dim_regions", f"{base}/topics{k}")
+        run_ingest(spark, f"{base}/star", ["dim_regions"], source=f"{base}/topics{k}", checkpoint_root=f"{base}/ckpt{k}", available_now=True)
+    assert Star.from_parquet(spark, f"{base}/star")["dim_regions"].count() == 2 * rows.count()
+    star = layout.compact_ingested(spark, f"{base}/star", db, f"{base}/wh", buckets=4, dedupe=True)
+    assert star["dim_regions"].count() == rows.count()
+
+
 def test_compact_ingested_reads_the_ingest_output(spark):
     from starlens.sources.layout import compact_ingested
     from starlens.streaming.ingest import publish, start_all

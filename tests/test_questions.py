@@ -54,6 +54,29 @@ def test_word_boundaries_and_separators(spark):
     assert got[2] == ({"city": "Delhi"}, 1)
 
 
+def test_a_kept_vocabulary_reads_no_fact(spark):
+    import tempfile
+
+    from starlens.operators.questions import refresh_vocabulary
+
+    star = _star(spark)
+    vocab = refresh_vocabulary(star, tempfile.mkdtemp(prefix="starlens-vocab-"))
+    q = spark.createDataFrame([(0, "Why is Delhivery late in West India?")], "qid long, text string")
+    broken = make_star(spark)  # no values in the star itself
+    out = question_scope(broken, q, id_cols=("qid",), vocab=vocab)
+    assert json.loads(out.first().scope_json) == {"courier_name": "Delhivery", "region": "West India"}
+
+
+def test_only_lengths_that_occur_are_made(spark):
+    """One very long value adds its own length, not all lengths up to it."""
+    star = _star(spark)
+    long = " ".join(f"w{i}" for i in range(60))
+    vocab = spark.createDataFrame([("city", "Mumbai", "mumbai", 1), ("city", long, long, 60)], "key string, value string, norm string, words int")
+    q = spark.createDataFrame([(0, "in mumbai " + "x " * 100), (1, long)], "qid long, text string")
+    got = {r.qid: json.loads(r.scope_json) for r in question_scope(star, q, id_cols=("qid",), vocab=vocab).collect()}
+    assert got == {0: {"city": "Mumbai"}, 1: {"city": long}}
+
+
 def test_strip_fences_and_parse(spark):
     df = spark.createDataFrame(
         [('```json\n{"region": "West India"}\n```',), ("not json",), ("[1, 2]",)], "t string"

@@ -1,4 +1,4 @@
-"""H9, H10, H14 helpers."""
+"""H9, H14 helpers."""
 
 from __future__ import annotations
 
@@ -6,13 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from starlens.functions.text import event_ts, name_after_code, short_label, ts_text
+from starlens.functions.text import event_ts, short_label, ts_text
 
 
-def test_short_label_and_name_after_code(spark):
-    df = spark.createDataFrame([("C1_Electronics", "0123456789abc"), ("plain", "abc")], "code string, id string")
-    out = df.select(name_after_code(F.col("code")).alias("n"), short_label(F.col("id")).alias("s")).collect()
-    assert [(r.n, r.s) for r in out] == [("Electronics", "01234567"), ("", "abc")]
+def test_short_label(spark):
+    df = spark.createDataFrame([("0123456789abc",), ("abc",)], "id string")
+    assert [r.s for r in df.select(short_label(F.col("id")).alias("s")).collect()] == ["01234567", "abc"]
 
 
 def test_event_time_text_round_trip(spark):
