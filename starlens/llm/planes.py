@@ -36,9 +36,9 @@ from starlens.llm.common import arrow_rows, written
 MAGIC = b"TPL1"
 BLOCK = 1 << 16  # ids in a chunk
 END_ID = 0
-SLICE = 8 << 20  # bytes of text encoded together, or one document
-ROWS = 2500  # documents handed to Python at once
-CACHED_WORDS = 600_000  # encoded words that a worker remembers; the memo is emptied beyond
+SLICE = 4 << 20  # bytes of text encoded together, or one document
+ROWS = 1200  # documents handed to Python at once
+CACHED_WORDS = 400_000  # encoded words that a worker remembers; the memo is emptied beyond
 _HEAD = struct.Struct("<4sIBBH")
 
 
@@ -133,9 +133,11 @@ class Encoder:
         pieces, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         if len(self.memo) > CACHED_WORDS:
             self._forget()
-        if new := [w for w in pieces if w not in self.memo]:
-            self._learn(new)
-        raw = [self.memo[w] for w in pieces]
+        raw = list(map(self.memo.get, pieces))
+        if new := [i for i, r in enumerate(raw) if r is None]:
+            self._learn([pieces[i] for i in new])
+            for i in new:
+                raw[i] = self.memo[pieces[i]]
         size = np.fromiter(map(len, raw), np.int32, len(raw)) // 4
         known, first = np.frombuffer(b"".join(raw), "<u4"), np.cumsum(size, dtype=np.int32) - size
         n = size[index]
