@@ -118,7 +118,7 @@ def _pack(t: pa.Table) -> pa.Table:
     one = {c: [t[c][0].as_py()] for c in (*KEY, "block", "blocks")}
     parts = {
         "ids": t["id"].to_numpy().astype("<i8"), "copies": t["copies"].to_numpy().astype("<i8"),
-        "x": t["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<f8"),
+        "x": t["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False),
         "codes": t["codes"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<i4")}
     kinds = {"dim": pa.int32(), "t": pa.int32(), "bucket": pa.list_(pa.int32()), "block": pa.int32(), "blocks": pa.int32()}
     return pa.table({c: pa.array(v, kinds.get(c, pa.string())) for c, v in one.items()}
@@ -134,19 +134,20 @@ def link_counts(classes: DataFrame, threshold: float, hashes: int, tables: int,
             dims = b.column(2).to_numpy()
             for dim in np.unique(dims):
                 rows = b.filter(pa.array(dims == dim))
-                x = unit(rows.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
+                x = unit(rows.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64))
                 codes = axes(x, tables, hashes)
                 probes, lists = codes.shape[3], codes.reshape(len(x), -1)
-                own_x, own_codes = pa.array([*x], pa.list_(pa.float64())), pa.array([*lists], pa.list_(pa.int32()))
+                own_codes = pa.array([*lists], pa.list_(pa.int32()))
                 for t, probe in product(range(tables), product(range(probes), repeat=hashes)):
                     bucket = codes[:, t, range(hashes), probe]
                     yield pa.RecordBatch.from_arrays(
                         [rows.column(0), rows.column(1), rows.column(2), pa.array([t] * len(x), pa.int32()),
-                         pa.array([*bucket], pa.list_(pa.int32())), rows.column(4), own_x, own_codes],
+                         pa.array([*bucket], pa.list_(pa.int32())), rows.column(4), rows.column(3), own_codes],
                         ["id", "label", "dim", "t", "bucket", "copies", "x", "codes"])
 
+    kind = classes.schema["x"].dataType.simpleString()
     entries = classes.select("id", "label", "dim", "x", "copies").mapInArrow(
-        enter, "id long, label string, dim int, t int, bucket array<int>, copies long, x array<double>, codes array<int>")
+        enter, f"id long, label string, dim int, t int, bucket array<int>, copies long, x {kind}, codes array<int>")
     entries = written(entries, "vector-buckets")
     sizes = entries.groupBy(KEY).agg(F.count("*").alias("n")).where("n > 1")
     sizes = sizes.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).drop("n")
@@ -155,27 +156,28 @@ def link_counts(classes: DataFrame, threshold: float, hashes: int, tables: int,
 
     def opened(b: pa.RecordBatch, row: int, at: int) -> dict:
         ids, copies, x, codes = (b.column(at + c)[row].as_py() for c in range(4))
-        ids = np.frombuffer(ids, "<i8")
-        return {"ids": ids, "copies": np.frombuffer(copies, "<i8"), "x": np.frombuffer(x, "<f8").reshape(len(ids), -1),
+        ids, dim = np.frombuffer(ids, "<i8"), b.column(2)[row].as_py()
+        x = np.frombuffer(x, f"<f{len(x) // (len(ids) * dim)}").reshape(-1, dim).astype(np.float64)
+        return {"ids": ids, "copies": np.frombuffer(copies, "<i8"), "x": unit(x),
                 "codes": np.frombuffer(codes, "<i4").reshape(len(ids), tables, hashes, -1),
                 "table": b.column(0)[row].as_py(), "bucket": np.array(b.column(1)[row].as_py())}
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in range(b.num_rows):
-                two = b.num_columns > 6 and b.column(6)[row].is_valid
-                found = compare(opened(b, row, 2), opened(b, row, 6) if two else None, threshold)
+                two = b.num_columns > 7
+                found = compare(opened(b, row, 3), opened(b, row, 7) if two else None, threshold)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["id", "links", "root"])
 
     out, body = "id long, links long, root long", ["ids", "copies", "x", "codes"]
     packed = written(packed, "vector-blocks")
-    within = packed.select("t", "bucket", *body).mapInArrow(tiles, out)
+    within = packed.select("t", "bucket", "dim", *body).mapInArrow(tiles, out)
     many = packed.where("blocks > 1")
     a = many.withColumn("other", F.explode(F.expr("filter(sequence(block, blocks), j -> j > block AND j < blocks)")))
     b = many.withColumn("other", F.col("block")).withColumn(
         "block", F.explode(F.expr("filter(sequence(0, other), i -> i < other)")))
     pairs = a.join(b.select(*KEY, "block", "other", *(F.col(c).alias(f"{c}_b") for c in body)), [*KEY, "block", "other"])
-    between = pairs.select("t", "bucket", *body, *(f"{c}_b" for c in body)).mapInArrow(tiles, out)
+    between = pairs.select("t", "bucket", "dim", *body, *(f"{c}_b" for c in body)).mapInArrow(tiles, out)
     return within.unionByName(between)
 
 
@@ -192,7 +194,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     no rows.  ``hashes`` per table follows from the largest label unless
     given, so that an average bucket stays within a block.
     """
-    x = F.col(vector_col).cast("array<double>")
+    x = F.col(vector_col)  # floats stay floats until they are compared: half the bytes to move
+    if vectors.schema[vector_col].dataType.simpleString() != "array<float>":
+        x = x.cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), x.alias("x"))
     links = F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("x")) & F.exists("x", lambda c: c != 0)
     rows = rows.withColumn("x", F.when(F.coalesce(links, F.lit(False)), F.col("x")))
