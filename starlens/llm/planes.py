@@ -38,7 +38,7 @@ BLOCK = 1 << 16  # ids in a chunk
 END_ID = 0
 SLICE = 4 << 20  # bytes of text encoded together, or one document
 ROWS = 1200  # documents handed to Python at once
-CACHED_WORDS = 400_000  # encoded words that a worker remembers; the memo is emptied beyond
+CACHED_WORDS = 500_000  # encoded words that a worker remembers; the memo is emptied beyond
 _HEAD = struct.Struct("<4sIBBH")
 
 
