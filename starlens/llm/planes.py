@@ -36,9 +36,9 @@ from starlens.llm.common import arrow_rows, written
 MAGIC = b"TPL1"
 BLOCK = 1 << 16  # ids in a chunk
 END_ID = 0
-SLICE = 4 << 20  # bytes of text encoded together, or one document
-ROWS = 1200  # documents handed to Python at once
-CACHED_WORDS = 500_000  # encoded words that a worker remembers; the memo is emptied beyond
+SLICE = 6 << 20  # bytes of text encoded together, or one document
+ROWS = 2000  # documents handed to Python at once
+CACHED_WORDS = 800_000  # encoded words that a worker remembers; the memo is emptied beyond
 _HEAD = struct.Struct("<4sIBBH")
 
 
@@ -98,30 +98,39 @@ class Encoder:
             r"^[.,\s]| $", r"[^\pL\pN][.,]", r"  | \n|\n[ \n]", r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}]", r"[^\x00-\x{ff}]",
             *map(re.escape, special)])
         self.line_end = self.library.encode("\n", add_special_tokens=False).ids[0]
-        self.memo: dict[str, bytes] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.memo = {"": b"", "\n": np.array([self.line_end], dtype="<u4").tobytes()}
-
-    def _learn(self, pieces: list[str]) -> None:
-        groups = ("".join, [w for w in pieces if w[:1] == "\n" < w]), (self._ended, [w for w in pieces if w[:1] != "\n"])
-        for joined, own in groups:  # line ends show where a piece begins or ends
-            for at in range(0, len(own), 64):  # the library is slower on longer strings
-                some = own[at : at + 64]
-                ids = np.array(self.library.encode_batch_fast([joined(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-                raw, ends = ids.tobytes(), (np.flatnonzero(ids == self.line_end) * 4).tolist()
-                if joined == self._ended:
-                    self.memo.update((w, raw[a:b]) for w, a, b in zip(some, [0, *(e + 4 for e in ends)], ends))
-                else:
-                    self.memo.update((w, raw[a:b]) for w, a, b in zip(some, ends, [*ends[1:], len(raw)]))
-
-    @staticmethod
-    def _ended(pieces: list[str]) -> str:
-        return "".join(w + "\n" if w[:1] in ",." else " " + w + "\n" for w in pieces)
+        """The memo: words as one Arrow array, their ids end to end, and where each word's ids end."""
+        self.words = pa.array(["", "\n"])
+        self.ids, self.ends = np.array([self.line_end], dtype="<u4"), np.array([0, 1])
+
+    def _learn(self, words: pa.StringArray) -> np.ndarray:
+        """Encode words and append them to the memo; their places in it."""
+        new = words.to_pylist()
+        headed = np.array([w[0] == "\n" for w in new])
+        ids, sizes = [self.ids], []
+        for group, is_headed in (([w for w in new if w[0] == "\n"], True), ([w for w in new if w[0] != "\n"], False)):
+            for at in range(0, len(group), 64):  # the library is slower on longer strings
+                some = group[at : at + 64]
+                # Line ends show where a piece begins, or, put after each, where it ends.
+                text = "".join(some) if is_headed else "".join(w + "\n" if w[0] in ",." else " " + w + "\n" for w in some)
+                got = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+                marks = np.flatnonzero(got == self.line_end)
+                ids.append(got if is_headed else np.delete(got, marks))
+                sizes.append(np.diff(marks, append=len(got)) if is_headed else np.diff(marks, prepend=-1) - 1)
+        places = np.empty(len(new), np.int32)
+        places[headed] = len(self.words) + np.arange(headed.sum())
+        places[~headed] = len(self.words) + headed.sum() + np.arange(len(new) - headed.sum())
+        self.words = pa.concat_arrays([self.words, words.filter(pa.array(headed)), words.filter(pa.array(~headed))])
+        self.ids = np.concatenate(ids)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
+        return places
 
     def batch(self, texts: pa.StringArray) -> list[np.ndarray]:
         """Ids of each text (null: none)."""
+        if len(self.words) > CACHED_WORDS:
+            self._forget()
         texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, self.odd).to_pylist()
         plain = pc.if_else(pa.array(odd, pa.bool_()), "", texts)
@@ -129,23 +138,22 @@ class Encoder:
         for stop in ",.":
             marked = pc.replace_substring(marked, stop, " " + stop)
         lists = pc.split_pattern(marked, " ")  # the first piece of each is empty
-        coded = lists.flatten().dictionary_encode()
-        pieces, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if len(self.memo) > CACHED_WORDS:
-            self._forget()
-        raw = list(map(self.memo.get, pieces))
-        if new := [i for i, r in enumerate(raw) if r is None]:
-            self._learn([pieces[i] for i in new])
-            for i in new:
-                raw[i] = self.memo[pieces[i]]
-        size = np.fromiter(map(len, raw), np.int32, len(raw)) // 4
-        known, first = np.frombuffer(b"".join(raw), "<u4"), np.cumsum(size, dtype=np.int32) - size
-        n = size[index]
+        coded, cuts = lists.flatten().dictionary_encode(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        del plain, marked, lists  # the batch's largest arrays
+        place = pc.index_in(coded.dictionary, value_set=self.words)
+        unknown = pc.is_null(place)
+        place = pc.fill_null(place, 0).to_numpy().copy()
+        if pc.any(unknown).as_py():
+            place[unknown.to_numpy(zero_copy_only=False)] = self._learn(coded.dictionary.filter(unknown))
+        word = place[coded.indices.to_numpy()]
+        del coded, unknown, place
+        starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int32)
+        n = (self.ends - starts).astype(np.int32)[word]
         ends = np.cumsum(n, dtype=np.int32)  # a slice holds far fewer ids than 2^31
-        place = np.repeat(first[index] - (ends - n), n)
-        place += np.arange(len(place), dtype=np.int32)
-        ids = known[place]
-        cuts = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        at = np.repeat(starts[word] - (ends - n), n)
+        at += np.arange(len(at), dtype=np.int32)
+        ids, cuts = self.ids[at], np.concatenate([[0], ends])[cuts]
+        del word, starts, n, ends, at
         return [  # the first id of a plain text is that of the line end put before it
             ids[a + 1 : b] if not o else np.array(self.library.encode(t.as_py(), add_special_tokens=False).ids, dtype="<u4")
             for a, b, o, t in zip(cuts[:-1], cuts[1:], odd, texts)]
