@@ -46,19 +46,16 @@ def product(queries: np.ndarray, shard: np.ndarray) -> np.ndarray:
     if bound < _EXACT:
         return (queries @ shard.T).astype(np.int64)
     exact = np.array([[int(x) for x in r] for r in queries], object) @ np.array([[int(x) for x in r] for r in shard], object).T
-    return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
+    return np.clip(exact, -(1 << 63) + 1, (1 << 63) - 1).astype(np.int64)
 
 
 def _pack(key: str, scale: float):
-    """One row (dim, key, ids, matrix) of a group of rows, in the order of ids;
-    of equal ids the greatest vector."""
+    """One row (dim, key, ids, matrix) of a group of rows, in the order of ids."""
 
     def run(t: pa.Table) -> pa.Table:
         ids = t["id"].to_numpy()
         x = t["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
         order = np.argsort(ids, kind="stable")
-        if len(np.unique(ids)) < len(ids):
-            order = np.array([max(np.flatnonzero(ids == i), key=lambda r: tuple(x[r])) for i in np.unique(ids)])
         values = np.clip(np.floor(x[order] * scale), -1e300, 1e300)
         return pa.table({
             "dim": pa.array([t["dim"][0].as_py()], pa.int32()), key: pa.array([t[key][0].as_py()], pa.int32()),
@@ -69,7 +66,7 @@ def _pack(key: str, scale: float):
 
 
 def _narrow(values: np.ndarray) -> bytes:
-    """One byte that tells the type, then the numbers in the smallest type that holds them."""
+    """Two bytes that tell the type, then the numbers in the smallest type that holds them."""
     most = np.abs(values).max(initial=0)
     kind = next((k for k, top in (("<i1", 127), ("<i2", 32767), ("<i4", 2147483647)) if most <= top), "<f8")
     return kind[1:].encode() + values.astype(kind).tobytes()
@@ -94,7 +91,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_i
     rows = vectors.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(queries, F.lit(False)).alias("asks"), x.alias("x"))
     rows = rows.where(usable(F.col("x")) & (F.size("x") > 0)).withColumn("dim", F.size("x"))
-    n, asked, widest = rows.agg(F.count("*"), F.count_if("asks"), F.max("dim")).first()
+    n, ids, asked, widest = rows.agg(F.count("*"), F.count_distinct("id"), F.count_if("asks"), F.max("dim")).first()
+    if ids < n:  # combined map-side, so an id that a third of all rows repeat is one row a task
+        rows = rows.groupBy("id").agg(F.max("x").alias("x"), F.bool_or("asks").alias("asks")).withColumn("dim", F.size("x"))
     per_shard = max(64, CELLS // (widest or 1))
     shards, blocks = max(1, -(-n // per_shard)), max(1, -(-asked // (per_shard // 4)))
 
