@@ -29,6 +29,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starlens.operators.questions import refresh_vocabulary
 from starlens.sources.schemas import KEYS, SCHEMAS
 from starlens.sources.star import Star, stored_table
 
@@ -112,13 +113,14 @@ def _new_batches(stored: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def compact_ingested(spark: SparkSession, ingest_root: str, database: str, location: str, buckets: int,
-                     dedupe: bool = False) -> Star:
+                     dedupe: bool = False, vocabulary: str | None = None) -> Star:
     """Bring the layout up to the ingest's tables under ``ingest_root`` and
     return the star read from it (a periodic batch job next to the streams).
 
     Micro-batches that the layout does not hold yet are appended, a file a
     bucket.  With ``dedupe`` a whole new version is written instead, with one
-    row per key: the one of the first stream and batch."""
+    row per key: the one of the first stream and batch.  With ``vocabulary``
+    the scope vocabulary of the questions is refreshed under that path."""
     root = ingest_root.rstrip("/")
     stored = {n: _with_batch(stored_table(spark, f"{root}/{n}", n), n) for n in SCHEMAS}
     _database(spark, database, location)
@@ -133,7 +135,10 @@ def compact_ingested(spark: SparkSession, ingest_root: str, database: str, locat
             if not new.isEmpty():
                 _write(new, n, current, buckets, "append")
                 spark.catalog.refreshTable(current)
-    return Star.from_catalog(spark, database)
+    star = Star.from_catalog(spark, database)
+    if vocabulary:
+        refresh_vocabulary(star, vocabulary)
+    return star
 
 
 def _one_per_key(df: DataFrame, name: str) -> DataFrame:

