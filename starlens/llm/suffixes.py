@@ -7,18 +7,20 @@ consecutive ones.  Equal passages select equal positions, so a passage of
 first ``WINDOW`` words, and the two suffixes agree in at least
 ``ROOT = MIN_WORDS - WINDOW + 1`` words.
 
-Suffixes are first counted by the hash of those words (bytes a suffix,
-pre-aggregated); the few whose root occurs again are sorted by their words
-across range partitions, neighbours are compared, and the longest match with
-any other suffix of the root follows.  A second sort, by the words to the left
-read backwards, extends matches to the left.  Context is bounded: a match that
-goes beyond ``WINDOW`` words on either side holds the next kept suffix too.
-Suffixes with equal context are one row before any text is moved, and a root
-shared by a third of all documents is spread over range partitions.
+Every window of ``MIN_WORDS`` words belongs to the kept suffix chosen among its
+first ``WINDOW`` words, and equal windows to suffixes of an equal root.
+Suffixes are first counted by the hash of the root's words (bytes a suffix,
+pre-aggregated).  The windows of a suffix are one run of at most ``WINDOW``
+starts, whose words are its context; suffixes with equal context are one row
+before any text is moved, and repeat each other whole.  Where the contexts of a
+repeated root vary, the windows of one suffix of each are hashed and counted,
+and those that stand in two contexts or more are repeated.  So both ends of a
+repeated run come from the same partner.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +35,7 @@ MIN_WORDS = 50
 WINDOW = 26
 GRAM = 6
 ROOT = MIN_WORDS - WINDOW + 1
-REACH = ROOT + WINDOW  # words of a suffix that are ever compared
+REACH = ROOT + WINDOW  # words to the right of a kept suffix that its windows can reach, and one more
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 
@@ -65,82 +67,69 @@ class Spans:
         return _mixed((self.sums[end] - self.sums[start]) * self.back[start] + size * _ODD)
 
 
+def _chosen(spans: Spans) -> np.ndarray:
+    """For each run of WINDOW starts of GRAM words, the place of its smallest hash."""
+    start = np.arange(spans.n - GRAM + 1)
+    grams = spans.hash(start, start + GRAM)
+    least = np.lib.stride_tricks.sliding_window_view(grams, WINDOW).argmin(axis=1)
+    return least + np.arange(len(least))
+
+
 def kept(spans: Spans) -> np.ndarray:
     """Positions of the kept suffixes that have ROOT words or more."""
     if spans.n < MIN_WORDS:
         return np.zeros(0, np.int64)
-    start = np.arange(spans.n - GRAM + 1)
-    grams = spans.hash(start, start + GRAM)
-    least = np.lib.stride_tricks.sliding_window_view(grams, WINDOW).argmin(axis=1)
-    at = np.unique(least + np.arange(len(least)))
+    at = np.unique(_chosen(spans))
     return at[at + ROOT <= spans.n]
 
 
+def windows(spans: Spans) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(at, first, n): the kept suffixes that a window of MIN_WORDS words
+    belongs to, and the run of its windows' starts, first to first + n - 1."""
+    if spans.n < MIN_WORDS:
+        return (np.zeros(0, np.int64),) * 3
+    return np.unique(_chosen(spans)[: spans.n - MIN_WORDS + 1], return_index=True, return_counts=True)
+
+
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """(id, h, at, room, root, context): each kept suffix; room is the words
-    compared to its right, context the hash of all words compared."""
+    """(id, h, at, first, n, root, context): each kept suffix and the run of
+    its windows' starts; context is the hash of all words of these windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, ats, rooms, roots, contexts = [], [], [], [], []
+            rows, ats, firsts, counts, roots, contexts = [], [], [], [], [], []
             for i, t in enumerate(b.column(2)):
                 spans = Spans((t.as_py() or "").encode().split())
-                at = kept(spans)
-                end, left = np.minimum(at + REACH, spans.n), np.maximum(at - WINDOW, 0)
+                at, first, n = windows(spans)
                 rows.append(np.full(len(at), i))
                 ats.append(at)
-                rooms.append(end - at)
+                firsts.append(first)
+                counts.append(n)
                 roots.append(spans.hash(at, at + ROOT))
-                contexts.append(spans.hash(left, end) + (at - left).astype(np.uint64) * _ODD)
+                contexts.append(spans.hash(first, first + n + (MIN_WORDS - 1)) + (at - first).astype(np.uint64) * _ODD)
             which = pa.array(np.concatenate(rows or [np.zeros(0, np.int64)]).astype(np.int64))
             join = lambda parts, kind: np.concatenate(parts or [np.zeros(0, kind)]).astype(kind, copy=False)
             yield pa.RecordBatch.from_arrays([
-                b.column(0).take(which), b.column(1).take(which), pa.array(join(ats, np.int32)), pa.array(join(rooms, np.int32)),
+                b.column(0).take(which), b.column(1).take(which), *(pa.array(join(x, np.int32)) for x in (ats, firsts, counts)),
                 pa.array(join(roots, np.uint64).view(np.int64)), pa.array(join(contexts, np.uint64).view(np.int64))],
-                ["id", "h", "at", "room", "root", "context"])
+                ["id", "h", "at", "first", "n", "root", "context"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "h", "t").mapInArrow(run, f"id {kind}, h long, at int, room int, root long, context long")
+    return docs.select("id", "h", "t").mapInArrow(run, f"id {kind}, h long, at int, first int, n int, root long, context long")
 
 
 def common_words(a: list[str], b: list[str]) -> int:
     return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
-def longest_matches(texts: DataFrame, side: str) -> DataFrame:
-    """(root, context, side): the most words, from the start, that the text in
-    column ``side`` has in common with another row of its root.
-
-    A distributed sort puts the best match next to each row; the ends of the
-    partitions, two rows each, are compared once more among themselves."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # (root, context, words, best so far, is first)
-        for b in batches:
-            out = []
-            for root, context, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                if held and held[:2] == (root, context):
-                    continue  # an equal row of the table
-                words, same = text.split(" ") if text else [], 0
-                if held:
-                    same = common_words(held[2], words) if held[0] == root else 0
-                    out.append((held[0], held[1], max(held[3], same), " ".join(held[2]) if held[4] else None))
-                held = (root, context, words, same, held is None)
-            yield told(out)
-        if held:
-            yield told([(held[0], held[1], held[3], " ".join(held[2]))])
-
-    def told(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (("root", pa.int64()), ("context", pa.int64()), ("same", pa.int32()), ("end", pa.string()))
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, (_, t) in enumerate(kinds)], [n for n, _ in kinds])
-
-    shape = "root long, context long, same int, end string"
-    rows = texts.select("root", "context", F.col(side).alias("text"))
-    order = ["root", "text", "context"]
-    found = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, shape), f"suffix-{side}")
-    ends = found.where("end IS NOT NULL").select("root", "context", F.col("end").alias("text"))
-    again = ends.repartition(1).sortWithinPartitions(*order).mapInArrow(run, shape)  # two rows a partition
-    return found.unionByName(again).groupBy("root", "context").agg(F.max("same").alias(side))
+def window_hashes(words: list[bytes], n: int) -> np.ndarray:
+    """A hash of the bytes of each of the first n windows of MIN_WORDS words."""
+    text = b" ".join(words)
+    start = np.zeros(len(words) + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=start[1:])
+    start = start.tolist()
+    raw = b"".join(hashlib.blake2b(text[start[i] : start[i + MIN_WORDS] - 1], digest_size=8).digest() for i in range(n))
+    return np.frombuffer(raw, "<i8")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,9 +138,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     text's xxhash64, spans the merged (start, end) in words (runs of characters
     other than ASCII white space), end exclusive, ascending.
 
-    A span is the union over its kept suffixes of the longest match to the
-    right and the longest match to the left with suffixes of an equal root, at
-    least MIN_WORDS words together.  Rows equal in id and text are one
+    A span is a union of runs of MIN_WORDS words that each occur twice, runs
+    that overlap or touch being one; text that only looks repeated because its
+    left and its right stand in different places is none.  Rows equal in id and text are one
     document and no repeat of each other.  Null, empty and shorter texts hold
     no passage; a null id is kept.  An empty table gives no rows; other columns
     are not read.
@@ -165,37 +154,40 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     roots = written(roots.where("a <> b").select("root", (F.col("c") != F.col("d")).alias("varied")), "suffix-roots")
     repeated = written(occurrences.join(roots, "root"), "suffixes-repeated")
 
-    # Where contexts vary, one suffix of each is compared by its words.
+    # Where contexts vary, the windows of one suffix of each are compared.
     contexts = repeated.where("varied").groupBy("root", "context").agg(
-        F.min(here).alias("a"), F.max(here).alias("b"), F.min(F.struct("id", "h", "at")).alias("one"))
+        F.min(here).alias("a"), F.max(here).alias("b"), F.min(F.struct("id", "h", "first", "n")).alias("one"))
     asked = contexts.groupBy(F.col("one.id").alias("id_"), F.col("one.h").alias("h_")).agg(
-        F.collect_list(F.struct(F.col("one.at").alias("at"), "root", "context")).alias("asked"))
+        F.collect_list(F.struct(F.col("one.first").alias("first"), F.col("one.n").alias("n"), "root", "context")).alias("asked"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for text, asked in zip(b.column(0), b.column(1)):
                 words, found = (text.as_py() or "").encode().split(), asked.as_py()
-                told = lambda part: b" ".join(part).decode("utf-8", "replace")
+                n = [x["n"] for x in found]
+                hashes = [window_hashes(words[x["first"] : x["first"] + x["n"] + MIN_WORDS - 1], x["n"]) for x in found]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([x["root"] for x in found], pa.int64()), pa.array([x["context"] for x in found], pa.int64()),
-                    pa.array([told(words[x["at"] : x["at"] + REACH]) for x in found], pa.string()),
-                    pa.array([told(words[max(0, x["at"] - WINDOW) : x["at"]][::-1]) for x in found], pa.string())],
-                    ["root", "context", "right", "left"])
+                    pa.array(np.repeat([x["root"] for x in found], n), pa.int64()),
+                    pa.array(np.repeat([x["context"] for x in found], n), pa.int64()),
+                    pa.array(np.concatenate([np.arange(k) for k in n]), pa.int32()),
+                    pa.array(np.concatenate(hashes), pa.int64())], ["root", "context", "off", "window"])
 
     same = F.col("id").eqNullSafe(F.col("id_")) & (F.col("h") == F.col("h_"))
-    texts = written(rows.join(asked, same).select("t", "asked").mapInArrow(
-        cut, "root long, context long, right string, left string"), "suffix-texts")
-    matches = longest_matches(texts, "right").join(longest_matches(texts, "left"), ["root", "context"])
+    cuts = written(rows.join(asked, same).select("t", "asked").mapInArrow(
+        cut, "root long, context long, off int, window long"), "suffix-windows")
+    again = cuts.groupBy("root", "window").agg(F.min("context").alias("a"), F.max("context").alias("b"))
+    again = written(again.where("a <> b").select("root", "window"), "suffix-windows-repeated")
+    # The repeated windows of a suffix all hold its root, so they overlap and are one span.
+    matches = cuts.join(again, ["root", "window"]).groupBy("root", "context").agg(
+        F.min("off").alias("low"), F.max("off").alias("high"))
     twin = contexts.select("root", "context", (F.col("a") != F.col("b")).alias("twin"))
-    matches = written(matches.join(twin, ["root", "context"]), "suffix-matches")
+    matches = written(twin.join(matches, ["root", "context"], "left").where("twin OR low IS NOT NULL"), "suffix-matches")
     spans = repeated.join(matches, ["root", "context"], "left")
     whole = ~F.col("varied") | F.col("twin")  # an equal context stands elsewhere
     spans = spans.select(
-        "id", "h", "at", F.when(whole, F.col("room")).otherwise(F.col("right")).alias("right"),
-        F.when(whole, F.least("at", F.lit(WINDOW))).otherwise(F.col("left")).alias("left"))
-    spans = spans.where((F.col("right") >= ROOT) & (F.col("left") + F.col("right") >= MIN_WORDS))
-    spans = spans.groupBy("id", "h").agg(F.sort_array(F.collect_set(F.struct(
-        (F.col("at") - F.col("left")).alias("start"), (F.col("at") + F.col("right")).alias("end")))).alias("spans"))
+        "id", "h", (F.col("first") + F.when(whole, 0).otherwise(F.col("low"))).alias("start"),
+        (F.col("first") + F.when(whole, F.col("n") - 1).otherwise(F.col("high")) + MIN_WORDS).alias("end")).where("start IS NOT NULL")
+    spans = spans.groupBy("id", "h").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
     joined = F.aggregate("spans", F.array().cast("array<struct<start:int,end:int>>"), lambda done, s: F.when(
         (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["start"]),
         F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(

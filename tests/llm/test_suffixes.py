@@ -91,3 +91,26 @@ def test_documents_table(spark):
     got = {r.doc_id: r for r in op5_suffixes(spark, sf).collect()}
     want = naive([d.text for d in docs])
     assert {d: r.spans for d, r in got.items()} == {docs[d].doc_id: ",".join(f"{a}-{b}" for a, b in s) for d, s in want.items()}
+
+
+def test_both_ends_of_a_span_have_the_same_partner(spark):
+    """Boilerplate of 40 words, its left shared with one document and its
+    right with another, is no passage of 50; spans equal brute force."""
+    rng = random.Random(7)
+    words = lambda n: [f"z{rng.randint(0, 99999)}" for _ in range(n)]
+    texts = []
+    for k in range(30):
+        left, body, right = words(8), words(40), words(8)
+        if k % 3 == 0:
+            left, right = words(12), words(12)  # of these, the partners do repeat 52 words
+        texts += [words(30) + left + body + right + words(30), words(30) + left + body + words(30), words(30) + body + right + words(30)]
+    texts = [" ".join(t) for t in texts]
+    want = {}
+    for d, k in sorted(covered(texts)):
+        spans = want.setdefault(d, [])
+        if spans and spans[-1][1] >= k:
+            spans[-1] = (spans[-1][0], k + 1)
+        else:
+            spans.append((k, k + 1))
+    assert run(spark, list(enumerate(texts))) == want and len(want) == 30
+    assert len(naive(texts)) > 30  # what a sum over two partners would report
