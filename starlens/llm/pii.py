@@ -3,8 +3,8 @@
 Base kinds (email, ip, card, phone) are found exactly as their patterns say,
 leftmost and non-overlapping per kind; a proposal that fails its check is
 dropped without a retry.  The method adds kinds whose form alone proves
-little: an IBAN is confirmed by mod 97, a national id or a local phone number
-needs a context word near it.  Every span carries a score: the prior of its
+little: an IBAN is confirmed by its country's length and mod 97, a national id
+or a local phone number needs a context word near it.  Every span carries a score: the prior of its
 kind, raised by a passed checksum and by context words of the kind within
 ``CONTEXT`` characters, lowered by words that speak against it.  Base spans
 stay whatever their score; added spans need ``THRESHOLD``.
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,14 +43,22 @@ FOR = {
 # Words near a span that speak against any kind.
 AGAINST = {"version", "order", "isbn", "serial", "example", "invoice", "id"}
 
+# Characters of an IBAN by its country.
+IBAN_LENGTH = {c: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in codes.split()}
+
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9]++(?:[ -][0-9]++)*+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 NATIONAL_ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 LOCAL_PHONE = re.compile(r"(?<![0-9+().-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])")
+ALNUM = re.compile(r"[A-Za-z0-9]")
 WORD = re.compile(r"[^\W\d_][\w-]*")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
@@ -100,10 +109,26 @@ def phones(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
-def ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in IBAN.finditer(text):
-        if mod97(m[0]):
-            yield m.span()
+def ibans(text: str) -> list[tuple[int, int]]:
+    """An IBAN ends at a word's end, after as many characters as its country
+    has; for other countries the ends are tried from long to short, and what
+    overlaps a known country's IBAN is none."""
+    known: list[tuple[int, int]] = []
+    other: list[tuple[int, int]] = []
+    m = IBAN.search(text)
+    while m:
+        start = m.start()
+        ends = [i + 1 for i in range(start, m.end()) if text[i] != " "]  # after each character
+        length = IBAN_LENGTH.get(text[start : start + 2])
+        found = known if length else other
+        for n in [length] if length else range(len(ends), 14, -1):
+            if n <= len(ends) and not ALNUM.match(text, end := ends[n - 1]) and mod97(text[start:end]):
+                if not found or found[-1][1] <= start:
+                    found.append((start, end))
+                break
+        m = IBAN.search(text, start + 1)  # a start that fails hides none
+    before = lambda end: known[max(0, bisect_left(known, (end, 0)) - 1) :][:1]
+    return sorted(known + [s for s in other if all(b <= s[0] or a >= s[1] for a, b in before(s[1]))])
 
 
 def score(kind: str, text: str, start: int, end: int) -> float:
@@ -123,10 +148,11 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
     if re.search("[0-9]", text):
         found["ip"], found["card"], found["phone"] = [*ips(text)], [*cards(text)], [*phones(text)]
         base = sorted(s for k in BASE for s in found[k])
-        free = lambda s: not any(a < s[1] and s[0] < b for a, b in base)
+        other = sorted(s for k in BASE if k != "card" for s in found[k])  # a confirmed IBAN stands beside a card
+        free = lambda s, spans: not any(a < s[1] and s[0] < b for a, b in spans)
         for kind, spans in (("iban", ibans(text)), ("national_id", (m.span() for m in NATIONAL_ID.finditer(text))),
                             ("local_phone", (m.span() for m in LOCAL_PHONE.finditer(text)))):
-            found[kind] = [s for s in spans if score(kind, text, *s) >= THRESHOLD and free(s)]
+            found[kind] = [s for s in spans if score(kind, text, *s) >= THRESHOLD and free(s, other if kind == "iban" else base)]
     return [(k, a, b, score(k, text, a, b)) for k in PRIOR for a, b in found[k]]
 
 

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from starlens.llm.common import table
-from starlens.llm.pii import BASE, find, luhn, mod97, op7_pii, personal_data, score
+from starlens.llm.pii import BASE, IBAN_LENGTH, find, ibans, luhn, mod97, op7_pii, personal_data, score
 
 
 def naive(text):
@@ -70,3 +70,26 @@ def test_odd_rows(spark):
     got = sorted((r.id if r.id is not None else -1, [(s.kind, s.start, s.end) for s in r.spans]) for r in personal_data(docs).collect())
     assert got == [(-1, [("email", 0, 6)]), (1, []), (2, []), (2, []), (3, [("email", 200_001, 200_007)])]
     assert personal_data(docs.limit(0)).count() == 0
+
+
+def test_ibans_end_where_they_end():
+    """An upper-case word or a number behind an IBAN is no part of it."""
+    known = ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "NO93 8601 1117 947"]
+    for iban in known:
+        for after in ("", ".", " BIC COBADEFFXXX", " USD 500", " EUR 20", " 2024", " X", "\nREF 7", " " + known[0]):
+            text = "to " + iban + after
+            assert [text[a:b] for a, b in ibans(text)][0] == iban, text
+    assert len([*ibans(" ".join(known))]) == len(known)
+    assert [*ibans("REF AA11 BB22 CC33 DD44 " + known[1])] == [(24, 51)]  # a start that fails hides none
+    assert [*ibans("DE89 3704 0044 0532 0130 00X")] == [*ibans("DE89 3704 0044 0532 0130 01")] == []
+    check = next(c for c in range(2, 99) if mod97(f"XX{c:02}12345678901234567"))
+    text = f"XX{check:02}12345678901234567 USD 5"  # no known country: the ends are tried
+    assert [*ibans(text)] == [(0, 21)] and "XX" not in IBAN_LENGTH
+
+
+def test_iban_stands_beside_a_card():
+    for n in range(10**11, 10**11 + 5000):  # a Belgian number whose 14 digits pass as a card
+        iban = next(f"BE{c:02}{n}" for c in range(2, 99) if mod97(f"BE{c:02}{n}"))
+        if luhn(iban[2:]):
+            break
+    assert [s[:3] for s in find("account " + iban)] == [("card", 10, 24), ("iban", 8, 24)]
