@@ -8,7 +8,8 @@ and a document's score is the mean of these, weighted by line length.
 
 The field is fitted here: labels are known for documents only, so every line
 of a training document carries its document's label.  The fit uses a bounded
-sample (``max_documents``, by the hash of the id) and gradient ascent on the
+sample (``max_documents``, by the hash of the id, and of their sequences at
+most ``max_lines`` lines, by the hash of the sequence) and gradient ascent on the
 driver over line features alone; scoring reads every whole text on the
 executors.  Labels, language, source and id are never inputs of a score.
 """
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_DOCUMENTS = 4000  # labelled documents in the fit
+MAX_LINES = 1 << 18  # lines in the fit, 488 bytes of design matrix each
 WINDOW = 64  # lines of a training sequence; longer documents give several
 STEPS = 120
 L2 = 1e-3
@@ -169,30 +171,48 @@ def held_out(id_: Column) -> Column:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                max_documents: int = MAX_DOCUMENTS) -> LineField:
+                max_documents: int = MAX_DOCUMENTS, max_lines: int = MAX_LINES) -> LineField:
     """Fit on at most ``max_documents`` labelled documents that are not held
     out: the smallest hashes of their ids.  Null labels are ignored; of
-    conflicting labels of an id the majority counts (ties: good)."""
+    conflicting labels of an id the majority counts (ties: good).  Rows equal
+    in id and text are learned once.  Of the documents' sequences of WINDOW
+    lines those with the smallest hashes are learned, 4 * ``max_documents`` at
+    most and as long as their lines are no more than ``max_lines``; those that
+    follow each other in a text stay together."""
     known = (
         labels.select(F.col(id_col).alias("id"), F.col("quality").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
         .where(~held_out(F.col("id"))).groupBy("id").agg((F.avg("y") >= 0.5).cast("int").alias("y")))
     sample = known.orderBy(F.xxhash64("id"), "id").limit(max_documents)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
-    rows = rows.join(F.broadcast(sample), "id").select("y", "t")  # at most max_documents rows
+    rows = rows.join(F.broadcast(sample), "id").distinct().select("y", F.xxhash64("id", "t").alias("h"), "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [lines_of(t.as_py()) for t in b.column(1)]
-            found = [line_features(x).astype("<f4").tobytes() for x in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["y", "base"])
-
-    got = rows.mapInArrow(run, "y int, base binary").collect()
-    base = [np.frombuffer(r["base"], "<f4").reshape(-1, BASE) for r in got]
-    if not base:
+            for y, h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                lines = lines_of(t.as_py())
+                for at in range(0, len(lines), _LINES):
+                    found = line_features(lines[at : at + _LINES]).astype("<f4")
+                    base = [found[k : k + WINDOW].tobytes() for k in range(0, len(found), WINDOW)]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([y] * len(base), pa.int32()), pa.array([h] * len(base), pa.int64()),
+                        pa.array(range(at // WINDOW, at // WINDOW + len(base)), pa.int64()), pa.array(base, pa.binary())],
+                        ["y", "h", "k", "base"])
+
+    pieces = rows.mapInArrow(run, "y int, h long, k long, base binary")
+    # A task and the driver hold 4 * max_documents sequences at most.
+    got = pieces.orderBy(F.xxhash64("h", "k"), "h", "k", "base").limit(4 * max_documents).collect()
+    sizes = np.cumsum([len(r["base"]) // (4 * BASE) for r in got])
+    got = sorted(got[: int(np.searchsorted(sizes, max_lines, "right"))], key=lambda r: (r["h"], r["k"], r["base"]))
+    runs: list[tuple[list[bytes], int]] = []  # sequences that follow each other in a text, label
+    for i, r in enumerate(got):
+        if not i or (got[i - 1]["h"], got[i - 1]["k"] + 1) != (r["h"], r["k"]):
+            runs.append(([], r["y"]))
+        runs[-1][0].append(r["base"])
+    if not runs:
         return LineField.fit(np.zeros((0, BASE)), np.zeros(0, int), np.zeros(0))
-    order = sorted(range(len(base)), key=lambda i: base[i].tobytes())  # the fit does not hang on the order of tasks
-    return LineField.fit(np.concatenate([base[i] for i in order]).astype(float), np.array([len(base[i]) for i in order]),
-                         np.array([got[i]["y"] for i in order]))
+    raw = sorted((b"".join(parts), y) for parts, y in runs)  # the fit does not hang on the order of tasks
+    base = [np.frombuffer(x, "<f4").reshape(-1, BASE) for x, _ in raw]
+    return LineField.fit(np.concatenate(base).astype(float), np.array([len(x) for x in base]), np.array([y for _, y in raw]))
 
 
 def score_quality(docs: DataFrame, field: LineField, keep: list[str], text_col: str = "text") -> DataFrame:

@@ -74,3 +74,23 @@ def test_odd_rows(spark):
     assert len(empty) == 1  # null and empty texts alike
     assert score_quality(docs.limit(0), none, ["doc_id"]).count() == 0
     assert [r[0] for r in docs.limit(0).select(held_out(docs.doc_id)).collect()] == []
+
+
+def test_fit_is_bounded_in_rows_and_lines(spark, monkeypatch):
+    """Equal rows are learned once; of very long texts only max_lines lines are."""
+    learned = []
+    real = LineField.fit
+    monkeypatch.setattr(LineField, "fit", lambda x, lengths, *a, **b: learned.append(list(lengths)) or real(x, lengths, *a, **b))
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 5][:4]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    texts = {i: "\n".join(f"line {k} of {i}" for k in range(150 if i == ids[0] else 3)) for i in ids}
+    docs = [(i, texts[i]) for i in ids]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    once, often = fit_quality(frame(docs), labels), fit_quality(frame(docs + [docs[1]] * 500), labels)
+    assert sorted(learned[0]) == sorted(learned[1]) == [3, 3, 3, 150]
+    assert (once.weights == often.weights).all()
+    long = [(ids[0], "\n".join(f"line {k} of {k % 7}" for k in range(20_000)))] + docs[1:]
+    fit_quality(frame(long), labels, max_lines=1000)
+    assert 1000 - 64 <= sum(learned[2]) <= 1000
+    fit_quality(frame(long), labels, max_documents=4)
+    assert sum(learned[3]) <= 16 * 64
