@@ -10,9 +10,11 @@ from starlens.llm.quality import op4_quality
 from starlens.llm.simhash import op3_simhash
 from starlens.llm.suffixes import op5_suffixes
 from starlens.llm.topk import OP10_SQL, op10_topk
+from starlens.llm.treebpe import op11_tree_bpe
 
 QUERIES = {"op1_mixing": op1_mixing, "op2_planes": op2_planes, "op3_simhash": op3_simhash, "op4_quality": op4_quality,
             "op5_suffixes": op5_suffixes, "op6_near_vectors": op6_near_vectors, "op7_pii": op7_pii,
-           "op8_line_chunks": op8_line_chunks, "op9_bpe": op9_bpe, "op10_topk": op10_topk}
+           "op8_line_chunks": op8_line_chunks, "op9_bpe": op9_bpe, "op10_topk": op10_topk,
+           "op11_tree_bpe": op11_tree_bpe}
 ORACLES: dict[str, str] = {"op1_mixing": OP1_SQL, "op6_near_vectors": OP6_SQL, "op8_line_chunks": OP8_SQL,
                            "op10_topk": OP10_SQL}
