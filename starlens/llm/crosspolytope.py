@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlens.llm.common import components, table, written
-from starlens.llm.topk import usable
+from starlens.llm.tiles import usable
 
 THRESHOLD = 0.93
 BLOCK = 2048

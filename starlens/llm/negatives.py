@@ -19,9 +19,7 @@ a label meets itself.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +28,10 @@ from pyspark.sql import functions as F
 
 from starlens.llm import tiles
 from starlens.llm.common import table, written
-from starlens.llm.tiles import ENTRY, ENTRY_TYPE, best, entry, exact, fits, opened, squares
+from starlens.llm.tiles import KEY, best, entry, exact, fits, mined, opened, squares
 
 LEAF = 32  # a side up to which a product is not split further
 ANCHORS, CANDIDATES = 256, 4096  # rows multiplied at once within a tile
-HELD = 4096  # heaps that a task merges before it hands them on
 
 
 def strassen(a: np.ndarray, b: np.ndarray, leaf: int = LEAF) -> np.ndarray:
@@ -71,11 +68,6 @@ def products(anchors: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return strassen(anchors, candidates.T)
 
 
-def merged(one: list, other: list, k: int) -> list:
-    """The k smallest entries of two ascending lists."""
-    return [*islice(heapq.merge(one, other, key=lambda e: (e[0], e[1] or b"", e[2])), k)]
-
-
 class _Tile:
     """One joined row: its anchors, candidates, and their labels as numbers."""
 
@@ -96,41 +88,6 @@ class _Tile:
                     yield i + r, slice(j, j + CANDIDATES), scores[r]
 
 
-def _rows(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[tuple[_Tile, dict]]:
-    for b in batches:
-        for i in range(b.num_rows):
-            row = {n: b.column(c)[i].as_py() for c, n in enumerate(b.schema.names)}
-            yield _Tile(row, scale), row
-
-
-KEY = ["part", "seq", "at"]  # of an anchor: its matrix, and its place there
-_OUT = "part int, seq int, at int, pos int"
-
-
-def _emit(heaps: dict[tuple, list]) -> pa.RecordBatch:
-    keys = [k for k, v in heaps.items() for _ in v]
-    flat = [dict(zip(("neg", "tail", "id"), e)) for v in heaps.values() for e in v]
-    cols = [pa.array([k[i] for k in keys], pa.int32()) for i in range(4)]
-    return pa.RecordBatch.from_arrays([*cols, pa.array(flat, ENTRY_TYPE)], [*KEY, "pos", "e"])
-
-
-def _mined(joined: DataFrame, pick, k: int, scale: int, name: str) -> DataFrame:
-    """(part, seq, at, pos, e): the heaps that ``pick`` fills from the tiles,
-    merged within a task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heaps: dict[tuple, list] = {}
-        for tile, row in _rows(batches, scale):
-            for key, found in pick(tile, row):
-                heaps[key] = merged(heaps[key], found, k) if key in heaps else found
-            if len(heaps) > HELD:
-                yield _emit(heaps)
-                heaps = {}
-        yield _emit(heaps)
-
-    return tiles.mapped(joined, run, f"{_OUT}, e {ENTRY}", name)
-
-
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     """The k first entries of each anchor and positive, with their place."""
     order = Window.partitionBy(*KEY, "pos").orderBy("e")
@@ -163,7 +120,8 @@ def hard_negatives(vectors: DataFrame, anchors: Column, n_positives: int = 5, n_
     shards = tiles.packed(dealt, tiles.SHARD_CELLS, scale, "negatives-rows", label=True)
     blocks = tiles.packed(rows.where("asks"), tiles.BLOCK_CELLS, scale, "negatives-anchors", label=True)
 
-    def positives(tile: _Tile, row: dict):
+    def positives(row: dict):
+        tile = _Tile(row, scale)
         if not np.isin(tile.label, tile.own_label).any():
             return
         of = {c: np.flatnonzero(tile.label == c) for c in np.unique(tile.own_label)}
@@ -174,12 +132,13 @@ def hard_negatives(vectors: DataFrame, anchors: Column, n_positives: int = 5, n_
                 s = scores[mine - some.start]
                 yield (*tile.key, at, 0), [entry(s[i], tile.ids[mine[i]]) for i in best(s, tile.ids[mine], n_positives + 1)]
 
-    first = _ranked(_mined(tiles.tiles(blocks, shards), positives, n_positives + 1, scale, "negatives-positives"), n_positives + 1)
+    first = _ranked(mined(tiles.tiles(blocks, shards), positives, n_positives + 1, "negatives-positives"), n_positives + 1)
     lists = first.groupBy("part", "seq", "at").agg(F.sort_array(F.collect_list("e")).alias("es"))  # at most n_positives + 1
     lists = lists.groupBy("part", "seq").agg(F.collect_list(F.struct("at", "es")).alias("found"))  # a block's anchors
     asking = written(blocks.join(lists, ["part", "seq"]).withColumn("found", F.sort_array("found")), "negatives-asking")
 
-    def in_window(tile: _Tile, row: dict):
+    def in_window(row: dict):
+        tile = _Tile(row, scale)
         own = squares(opened(row["q_matrix"], row["dim"], scale))
         scores_of = {}
         for x in row["found"]:
@@ -201,7 +160,7 @@ def hard_negatives(vectors: DataFrame, anchors: Column, n_positives: int = 5, n_
                     yield (*tile.key, at, pos), [entry(s[inside[i]], ids[i]) for i in best(s[inside], ids, n_negatives)]
 
     asked = tiles.tiles(asking, shards, "found")
-    last = _ranked(_mined(asked, in_window, n_negatives, scale, "negatives-windows"), n_negatives)
+    last = _ranked(mined(asked, in_window, n_negatives, "negatives-windows"), n_negatives)
 
     def opened_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Anchors and their positives, one row each, in the order of scores."""
@@ -219,7 +178,7 @@ def hard_negatives(vectors: DataFrame, anchors: Column, n_positives: int = 5, n_
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)], names)
 
     pairs = asking.select("part", "seq", "dim", "ids", "matrix", "found").mapInArrow(
-        opened_lists, f"{_OUT}, anchor_id long, positive_id long, positive_score long")
+        opened_lists, "part int, seq int, at int, pos int, anchor_id long, positive_id long, positive_score long")
     return last.join(pairs, [*KEY, "pos"]).select(
         "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("e.id").alias("negative_id"),
         "positive_score", (-F.col("e.neg")).alias("negative_score"))

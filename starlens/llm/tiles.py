@@ -9,8 +9,10 @@ queries is sent to every bucket: a tile is one joined row.
 
 from __future__ import annotations
 
+import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -177,3 +179,37 @@ def exact(neg: int, tail: bytes | None) -> int:
     return int.from_bytes(bytes(255 - x for x in tail[2:]), "big")
 
 
+
+
+KEY = ["part", "seq", "at"]  # of a query: its matrix, and its place there
+HELD = 8192  # heaps that a task merges before it hands them on
+
+
+def merged(one: list, other: list, k: int) -> list:
+    """The k smallest entries of two ascending lists."""
+    return [*islice(heapq.merge(one, other, key=lambda e: (e[0], e[1] or b"", e[2])), k)]
+
+
+def _emit(heaps: dict[tuple, list]) -> pa.RecordBatch:
+    keys = [k for k, v in heaps.items() for _ in v]
+    flat = [dict(zip(("neg", "tail", "id"), e)) for v in heaps.values() for e in v]
+    cols = [pa.array([k[i] for k in keys], pa.int32()) for i in range(4)]
+    return pa.RecordBatch.from_arrays([*cols, pa.array(flat, ENTRY_TYPE)], [*KEY, "pos", "e"])
+
+
+def mined(joined: DataFrame, pick: Callable[[dict], Iterator[tuple[tuple, list]]], k: int, name: str) -> DataFrame:
+    """(part, seq, at, pos, e), written: the lists of at most k entries that
+    ``pick`` gives for a tile under (part, seq, at, pos), merged within a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heaps: dict[tuple, list] = {}
+        for b in batches:
+            for i in range(b.num_rows):
+                for key, found in pick({n: b.column(c)[i].as_py() for c, n in enumerate(b.schema.names)}):
+                    heaps[key] = merged(heaps[key], found, k) if key in heaps else found
+                if len(heaps) > HELD:
+                    yield _emit(heaps)
+                    heaps = {}
+        yield _emit(heaps)
+
+    return mapped(joined, run, f"part int, seq int, at int, pos int, e {ENTRY}", name)

@@ -1,137 +1,101 @@
 """Exact top-k search by tiled matrix products and a tree merge.
 
-Vectors are packed into shards and queries into blocks, one binary matrix a
-row; every (block, shard) tile is one matrix product in one task, of which
-only each query's best ``k`` leave it (partial selection with exact ties).
-The lists of a query are then merged in a tree of ``FAN_IN`` shards a step.
-A tile's size is fixed by ``CELLS``, so memory does not grow with the input,
+Rows and queries are packed into matrices of bounded size (``tiles``); every
+tile, a block of queries and a matrix of rows, is one matrix product, of which
+only each query's best leave it (partial selection with exact ties).  A task
+merges the lists of the tiles it multiplies; those of different tasks are
+merged in a tree of ``FAN_IN`` a step.  Memory does not grow with the input,
 and no task ever holds a whole query's candidates.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlens.llm.common import table, written
+from starlens.llm import tiles
+from starlens.llm.common import table
+from starlens.llm.tiles import KEY, best, entry, fits, mined, opened, squares, usable  # noqa: F401
 
-CELLS = 1 << 19  # numbers in a packed matrix
 FAN_IN = 16
-_ROWS = 256  # queries multiplied at once within a tile
+_QUERIES, _CANDIDATES = 256, 8192  # rows multiplied at once within a tile
 _EXACT = float(1 << 53)
 
 
-def usable(v: Column) -> Column:
-    """Neither null nor holding a null or non-finite component."""
-    return v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-
-
-def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k highest scores, ties to smaller ids; ids ascend."""
-    if len(scores) > k:
-        least = np.partition(scores, len(scores) - k)[len(scores) - k]
-        at = np.flatnonzero(scores >= least)  # more than k where the last place is tied
-    else:
-        at = np.arange(len(scores))
-    return at[np.argsort(-scores[at], kind="stable")][:k]
-
-
-def product(queries: np.ndarray, shard: np.ndarray) -> np.ndarray:
-    """Exact integer inner products; beyond 64 bits they saturate."""
-    bound = float(np.abs(queries).max(initial=0)) * float(np.abs(shard).max(initial=0)) * max(1, shard.shape[1])
-    if bound < _EXACT:
-        return (queries @ shard.T).astype(np.int64)
-    exact = np.array([[int(x) for x in r] for r in queries], object) @ np.array([[int(x) for x in r] for r in shard], object).T
-    return np.clip(exact, -(1 << 63) + 1, (1 << 63) - 1).astype(np.int64)
-
-
-def _pack(key: str, scale: float):
-    """One row (dim, key, ids, matrix) of a group of rows, in the order of ids."""
-
-    def run(t: pa.Table) -> pa.Table:
-        ids = t["id"].to_numpy()
-        x = t["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-        order = np.argsort(ids, kind="stable")
-        values = np.clip(np.floor(x[order] * scale), -1e300, 1e300)
-        return pa.table({
-            "dim": pa.array([t["dim"][0].as_py()], pa.int32()), key: pa.array([t[key][0].as_py()], pa.int32()),
-            f"{key}_ids": pa.array([ids[order].astype("<i8").tobytes()], pa.binary()),
-            f"{key}_rows": pa.array([_narrow(values)], pa.binary())})
-
-    return run
-
-
-def _narrow(values: np.ndarray) -> bytes:
-    """Two bytes that tell the type, then the numbers in the smallest type that holds them."""
-    most = np.abs(values).max(initial=0)
-    kind = next((k for k, top in (("<i1", 127), ("<i2", 32767), ("<i4", 2147483647)) if most <= top), "<f8")
-    return kind[1:].encode() + values.astype(kind).tobytes()
-
-
-def _wide(raw: bytes, dim: int) -> np.ndarray:
-    return np.frombuffer(raw, "<" + raw[:2].decode(), offset=2).reshape(-1, dim).astype(np.float64)
+def product(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Exact integer inner products, as 64-bit integers or, where these might not hold them, as Python's."""
+    if fits(queries, rows, _EXACT):
+        return (queries.astype(np.float64) @ rows.astype(np.float64).T).astype(np.int64)
+    if fits(queries, rows):
+        return queries @ rows.T
+    return queries.astype(object) @ rows.astype(object).T
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-          scale: float = 64.0) -> DataFrame:
+          scale: int = 64) -> DataFrame:
     """(query_id, rank, id, score): for each row where ``queries`` holds, the k
-    highest integer inner products of floor(scale * x) among all other ids.
+    highest integer inner products of floor(scale * x) among all other rows,
+    ties to the smaller id.
 
     Vectors that are null or hold null or non-finite components, and rows with
     a null id, take no part; vectors are compared with those of their own
-    length, empty vectors with none.  An id is a vector's identity: of rows
-    that repeat an id, the greatest vector stands.  Fewer than k others give
-    all of them; an empty table gives no rows.
+    length, empty vectors with none.  Rows are ranked, not ids: a row that
+    repeats is a candidate as often as it stands, a query that repeats gives
+    its list each time, and only a query's own row is left out, once.  Scores
+    are ordered exactly; beyond 64 bits they are shown as the largest long of
+    their sign.  Fewer than k others give all of them; an empty table gives no
+    rows.
     """
-    x = F.col(vector_col).cast("array<double>")
-    rows = vectors.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("id"), F.coalesce(queries, F.lit(False)).alias("asks"), x.alias("x"))
-    rows = rows.where(usable(F.col("x")) & (F.size("x") > 0)).withColumn("dim", F.size("x"))
-    n, ids, asked, widest = rows.agg(F.count("*"), F.count_distinct("id"), F.count_if("asks"), F.max("dim")).first()
-    if ids < n:  # combined map-side, so an id that a third of all rows repeat is one row a task
-        rows = rows.groupBy("id").agg(F.max("x").alias("x"), F.bool_or("asks").alias("asks")).withColumn("dim", F.size("x"))
-    per_shard = max(64, CELLS // (widest or 1))
-    shards, blocks = max(1, -(-n // per_shard)), max(1, -(-asked // (per_shard // 4)))
-
-    def packed(of: DataFrame, key: str, into: int) -> DataFrame:
-        dealt = of.select("id", "x", "dim", F.pmod(F.xxhash64("id"), F.lit(into)).cast("int").alias(key))
-        return written(dealt.groupBy("dim", key).applyInArrow(
-            _pack(key, scale), f"dim int, {key} int, {key}_ids binary, {key}_rows binary"), f"topk-{key}")
-
-    # Each side is copied once for every matrix of the other that it meets; a tile is one joined row.
-    asking = packed(rows.where("asks"), "block", blocks).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    held = packed(rows, "shard", shards).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    tiles = asking.join(held, ["dim", "block", "shard"]).select(
-        "dim", "shard", "block_ids", "block_rows", "shard_ids", "shard_rows")
-
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for dim, shard, q_ids, q_rows, s_ids, s_rows in zip(*(b.column(c) for c in range(6))):
-                ids, matrix = np.frombuffer(s_ids.as_py(), "<i8"), _wide(s_rows.as_py(), dim.as_py())
-                own, asks = np.frombuffer(q_ids.as_py(), "<i8"), _wide(q_rows.as_py(), dim.as_py())
-                for at in range(0, len(own), _ROWS):
-                    scores = product(asks[at : at + _ROWS], matrix)
-                    ask, kept = own[at : at + _ROWS], []
-                    for q, row in zip(ask, scores):
-                        top = best(row, ids, k + 1)  # one more, for the query itself
-                        top = top[ids[top] != q][:k]
-                        kept.append([{"neg": -int(row[i]), "id": int(ids[i])} for i in top])
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(ask, pa.int64()), pa.array([shard.as_py()] * len(ask), pa.int32()),
-                        pa.array(kept, pa.list_(pa.struct([("neg", pa.int64()), ("id", pa.int64())])))],
-                        ["query_id", "branch", "top"])
-
-    lists = tiles.mapInArrow(multiply, "query_id long, branch int, top array<struct<neg:bigint,id:bigint>>")
-    width = shards
+    rows = tiles.vectors(vectors, id_col, vector_col, asks=F.coalesce(queries, F.lit(False)))
+    shards = tiles.packed(rows, tiles.SHARD_CELLS, scale, "topk-rows")
+    blocks = tiles.packed(rows.where("asks"), tiles.BLOCK_CELLS, scale, "topk-queries")
+
+    def multiply(row: dict):
+        ids, held = np.frombuffer(row["s_ids"], "<i8"), opened(row["s_matrix"], row["dim"], scale)
+        asks = opened(row["q_matrix"], row["dim"], scale)
+        for i in range(0, len(asks), _QUERIES):
+            for j in range(0, len(held), _CANDIDATES):
+                some = ids[j : j + _CANDIDATES]
+                for r, scores in enumerate(product(asks[i : i + _QUERIES], held[j : j + _CANDIDATES])):
+                    # One more than k, for the query's own row.
+                    yield (row["q_part"], row["q_seq"], i + r, 0), [entry(scores[c], some[c]) for c in best(scores, some, k + 1)]
+
+    found = mined(tiles.tiles(blocks, shards), multiply, k + 1, "topk-lists")
+    lists = found.select(*KEY, F.spark_partition_id().alias("branch"), "e").groupBy(*KEY, "branch").agg(
+        F.slice(F.sort_array(F.collect_list("e")), 1, k + 1).alias("top"))
+    width = found.rdd.getNumPartitions()
     while width > 1:
-        lists = lists.groupBy("query_id", F.floor(F.col("branch") / FAN_IN).cast("int").alias("branch")).agg(
-            F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, k).alias("top"))
+        lists = lists.groupBy(*KEY, F.floor(F.col("branch") / FAN_IN).cast("int").alias("branch")).agg(
+            F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, k + 1).alias("top"))
         width = -(-width // FAN_IN)
-    return lists.select("query_id", F.posexplode("top").alias("at", "hit")).select(
+    return _hits(lists, _own(blocks, scale), k)
+
+
+def _own(blocks: DataFrame, scale: int) -> DataFrame:
+    """(part, seq, at, query_id, own): each query's id and its entry for itself."""
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                part, seq, dim, ids, matrix = (b.column(c)[i].as_py() for c in range(5))
+                ids = np.frombuffer(ids, "<i8")
+                own = [dict(zip(("neg", "tail", "id"), entry(s, q))) for s, q in zip(squares(opened(matrix, dim, scale)), ids)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part] * len(ids), pa.int32()), pa.array([seq] * len(ids), pa.int32()), pa.array(range(len(ids)), pa.int32()),
+                     pa.array(ids, pa.int64()), pa.array(own, tiles.ENTRY_TYPE)], [*KEY, "query_id", "own"])
+
+    return blocks.select("part", "seq", "dim", "ids", "matrix").mapInArrow(
+        run, f"part int, seq int, at int, query_id long, own {tiles.ENTRY}")
+
+
+def _hits(lists: DataFrame, own: DataFrame, k: int) -> DataFrame:
+    """The first k of each list without the query's own entry (once)."""
+    met = lists.join(own, KEY)
+    place = F.array_position("top", F.col("own")).cast("int")  # 0: beyond the list
+    others = F.when(place == 0, F.slice("top", 1, k)).otherwise(
+        F.concat(F.slice("top", F.lit(1), place - 1), F.slice("top", place + 1, F.lit(k + 1))))
+    return met.select("query_id", F.posexplode(others).alias("at", "hit")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.id").alias("id"), (-F.col("hit.neg")).alias("score"))
 
 
@@ -142,12 +106,12 @@ def op10_topk(spark, sf_dir: str) -> DataFrame:
 
 OP10_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20"""

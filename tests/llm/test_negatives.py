@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from starlens.llm import negatives, tiles
-from starlens.llm.negatives import OP12_SQL, hard_negatives, merged, op12_negatives, products, strassen
-from starlens.llm.tiles import LIMIT, entry, exact
+from starlens.llm.negatives import OP12_SQL, hard_negatives, op12_negatives, products, strassen
+from starlens.llm.tiles import LIMIT, entry, exact, merged
 
 NAN, INF = float("nan"), float("inf")
 COLS = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
