@@ -1,11 +1,15 @@
 """Line deduplication over content-defined chunks of lines.
 
-A text is split into lines; a rolling hash over the values of the last
-``WINDOW`` lines ends a chunk wherever it is divisible by ``DIVISOR``, so a
-chunk's boundaries depend on its own lines only and survive lines inserted
-before it.  A chunk of two lines or more that occurs again anywhere in the
-corpus is removed everywhere but at its first occurrence, after its bytes have
-been compared.
+A text is split into lines, and a chunk ends at every local minimum of a
+rolling hash over the values of the last ``WINDOW`` lines: where it is below
+that of the line before and not above that of the line after.  A boundary thus
+depends on the lines next to it only, and survives lines inserted elsewhere.
+Two minima are never next to each other and a last single line belongs to the
+chunk before it, so every chunk has two lines or more, but for a text of one
+line.  A chunk of several lines that occurs again anywhere in the corpus is
+removed everywhere but at its first occurrence, after its bytes have been
+compared.  Of a passage that repeats in other surroundings all goes between
+its first and last inner boundary, which lie some three lines from its ends.
 
 DataFrame functions only.  Chunk hashes are counted first (a few bytes a
 chunk, pre-aggregated, so a chunk shared by a third of all documents is one
@@ -22,7 +26,6 @@ from pyspark.sql import functions as F
 from starlens.llm.common import table, written
 
 WINDOW = 2
-DIVISOR = 3
 BASE = 31
 
 
@@ -40,9 +43,11 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def chunked(d: DataFrame) -> DataFrame:
     """Replace t by lines and chunks, the chunks in order as structs (n, text)."""
     d = d.withColumn("lines", F.split("t", "\n", -1)).drop("t").withColumn("v", F.transform("lines", line_value))
-    rolling = " + ".join(f"{BASE ** k}L * (CASE WHEN i > {k} THEN element_at(v, i - {k}) ELSE 0L END)" for k in range(WINDOW))
+    rolling = " + ".join(f"{BASE ** k}L * (CASE WHEN i >= {k} THEN v[i - {k}] ELSE 0L END)" for k in range(WINDOW))
+    d = d.withColumn("r", F.expr(f"transform(v, (x, i) -> {rolling})")).drop("v")
     d = d.withColumn("ends", F.expr(
-        f"filter(sequence(1, size(lines)), i -> i = size(lines) OR pmod({rolling}, {DIVISOR}L) = 0)")).drop("v")
+        "filter(sequence(1, size(lines)), i -> i = size(lines) OR (i > 1 AND i < size(lines) - 1 "
+        "AND element_at(r, i) < element_at(r, i - 1) AND element_at(r, i) <= element_at(r, i + 1)))")).drop("r")
     before = "(CASE WHEN k = 0 THEN 0 ELSE ends[k - 1] END)"
     return d.withColumn("chunks", F.expr(
         f"transform(ends, (e, k) -> named_struct('n', e - {before}, "
@@ -57,8 +62,10 @@ def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     The first occurrence of a chunk, in the order of id (nulls first), text
     hash and place, stays.  Rows equal in id and text are one document: they
     do not count as repeats of each other and are treated alike.  A null text
-    stays null with 0 lines; an empty text is one empty line; a text whose
-    chunks all go becomes empty.  An empty table gives no rows.
+    stays null with 0 lines; an empty text is one empty line; a text of one
+    line stays as it is; a text whose chunks all go becomes empty.  A very
+    long text is one row with all its lines, and is cut like any other.  An
+    empty table gives no rows.
     """
     rows = _rows(docs, id_col, text_col)
     here = F.struct("id", "h", "idx")
@@ -67,7 +74,9 @@ def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         chunked(rows.select("id", "h", "t")).select("id", "h", F.posexplode(hashed).alias("idx", "c"))
         .where("c.n > 1").select("id", "h", "idx", "c.ch"))
     repeated = occurrences.groupBy("ch").agg(F.min(here).alias("first"), F.max(here).alias("last")).where("first != last")
-    found = occurrences.distinct().join(repeated.select("ch", "first"), "ch")
+    # Written, so that both sides of the join are plain shuffles, of which a very common chunk is split.
+    repeated = written(repeated.select("ch", "first"), "line-chunks-repeated").hint("merge")
+    found = occurrences.distinct().join(repeated, "ch")
     marked = written(
         found.groupBy("id", "h").agg(F.collect_list(F.struct("idx", "ch", "first")).alias("found"))
         .withColumnsRenamed({"id": "id_", "h": "h_"}), "line-chunks")
@@ -115,10 +124,11 @@ WITH lines AS (
   FROM {{documents}}
 ), vals AS (
   SELECT *, ('0x' || left(md5(line), 8))::BIGINT AS v FROM lines
+), rolled AS (
+  SELECT *, v + {BASE} * coalesce(lag(v) OVER (PARTITION BY doc_id ORDER BY i), 0) AS r, max(i) OVER (PARTITION BY doc_id) AS n FROM vals
 ), cuts AS (
-  SELECT *, CASE WHEN i = max(i) OVER (PARTITION BY doc_id)
-      OR (v + {BASE} * coalesce(lag(v) OVER (PARTITION BY doc_id ORDER BY i), 0)) % {DIVISOR} = 0 THEN 1 ELSE 0 END AS cut
-  FROM vals
+  SELECT *, CASE WHEN i = n OR (i < n - 1 AND r < lag(r) OVER w AND r <= lead(r) OVER w) THEN 1 ELSE 0 END AS cut
+  FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)
 ), placed AS (
   SELECT *, coalesce(sum(cut) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k
   FROM cuts

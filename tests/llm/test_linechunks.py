@@ -4,7 +4,7 @@ import random
 import duckdb
 
 from starlens.llm import linechunks
-from starlens.llm.linechunks import BASE, DIVISOR, OP8_SQL, dedup_line_chunks, op8_line_chunks
+from starlens.llm.linechunks import BASE, OP8_SQL, dedup_line_chunks, op8_line_chunks
 
 SF = "/root/testdata/sf0.01"
 
@@ -12,10 +12,11 @@ SF = "/root/testdata/sf0.01"
 def chunks(text):
     lines = text.split("\n")
     v = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
+    r = [x + BASE * (v[i - 1] if i else 0) for i, x in enumerate(v)]
     out, held = [], []
     for i, line in enumerate(lines):
         held.append(line)
-        if (v[i] + BASE * (v[i - 1] if i else 0)) % DIVISOR == 0 or i == len(lines) - 1:
+        if i == len(lines) - 1 or 0 < i < len(lines) - 2 and r[i] < r[i - 1] and r[i] <= r[i + 1]:
             out.append(held)
             held = []
     return out
@@ -83,3 +84,59 @@ def test_documents_table(spark):
     want = sorted(con.execute(OP8_SQL).df()[cols].itertuples(index=False, name=None))
     assert sorted(tuple(r[c] for c in cols) for r in op8_line_chunks(spark, SF).collect()) == want
     assert sum(r[2] for r in want) > 0
+
+
+def test_exact_copies_and_repeated_runs_go(spark):
+    """On sf0.1: of later copies of documents of several lines nothing stays,
+    and of runs of 12 lines or more that stood before at most the ends do."""
+    rows = sorted((r.row.doc_id, r.row.text or "", r.text or "") for r in dedup_line_chunks(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).collect())
+    seen, copies, stayed = set(), 0, 0
+    for _, text, left in rows:
+        if text in seen and "\n" in text:
+            copies += 1
+            stayed += left != ""
+        seen.add(text)
+    assert copies > 500 and stayed == 0
+    pairs, in_runs, left_over = set(), 0, 0
+    for _, text, left in rows:
+        lines = text.split("\n")
+        again = [p in pairs for p in zip(lines, lines[1:])]
+        kept, at = left.split("\n") if left else [], 0
+        for i in range(len(again) + 1):
+            if i < len(again) and again[i]:
+                at += 1
+            else:
+                if at >= 11:
+                    run_ = lines[i - at : i + 1]
+                    in_runs += len(run_)
+                    left_over += sum(x in set(kept) for x in run_)
+                at = 0
+        pairs.update(zip(lines, lines[1:]))
+    assert in_runs > 1000 and left_over < 0.12 * in_runs
+
+
+def test_passages_in_other_surroundings(spark):
+    rng = random.Random(9)
+    passages = [[f"p{k} {i} {rng.random()}" for i in range(n)] for k, n in enumerate([6] * 100 + [20] * 100)]
+    own = lambda k: [f"own {rng.random()}" for _ in range(k)]
+    rows = [(2 * k + j, "\n".join(own(rng.randint(1, 4)) + p + own(rng.randint(1, 4)))) for k, p in enumerate(passages) for j in (0, 1)]
+    got = run(spark, rows)
+    assert got == sorted([(i, *x) for (i, _), x in zip(rows, naive([t for _, t in rows]))], key=str)
+    gone = {r[0]: r[3] for r in got}
+    for k, p in enumerate(passages):  # between the first and the last inner cut all goes
+        cuts, at = [], 0
+        for c in chunks("\n".join(p)):
+            at += len(c)
+            cuts.append(at)
+        inner = [c for c in cuts if 3 <= c <= len(p) - 2]  # cuts that hang on the passage's own lines only
+        assert gone[2 * k + 1] >= (inner[-1] - inner[0] if inner else 0)
+    assert sum(gone[2 * k + 1] for k in range(100, 200)) > 0.6 * 2000
+
+
+def test_a_very_long_text_and_a_chunk_in_every_document(spark):
+    long = "\n".join(f"line {i}" for i in range(60_000))
+    common = "\n".join(f"common {i}" for i in range(9))
+    rows = [(0, long), (1, "first\n" + long), *((i, f"own {i}\nown too {i}\n{common}\nand {i}\nend {i}") for i in range(2, 200)), (300, "x" * 2_000_000), (301, "x" * 2_000_000)]
+    got = run(spark, rows)
+    assert got == sorted([(i, *x) for (i, _), x in zip(rows, naive([t for _, t in rows]))], key=str)
+    assert {r[0]: r[3] for r in got}[1] > 59_990
