@@ -48,7 +48,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star rounds; each round joins the edges
     with a per-node minimum (pre-aggregated, so that a hub costs one row a
-    task) and is checkpointed.  Nodes without an edge are not returned; edges
+    task, and written, so that the join is of plain shuffles, of which a hub
+    is split) and is checkpointed.  Nodes without an edge are not returned; edges
     with a null end and loops are ignored.  No edge, row or label passes
     through the driver: only a count and a checksum of each round do.
     """
@@ -65,8 +66,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             F.struct(F.col("hi").alias("u"), F.col("lo").alias("v")),
             F.struct(F.col("lo").alias("u"), F.col("hi").alias("v")))).alias("x")).select("x.u", "x.v")
         low = ends.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = written(low, "components-low")
         large = ends.join(low, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        low = written(low, "components-lowest")
         small = large.join(low, "hi").select(
             F.explode(F.array(F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")),
                               F.struct(F.col("hi"), F.col("m").alias("lo")))).alias("x")).select("x.lo", "x.hi")
