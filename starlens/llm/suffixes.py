@@ -8,14 +8,23 @@ first ``WINDOW`` words, and the two suffixes agree in at least
 ``ROOT = MIN_WORDS - WINDOW + 1`` words.
 
 Every window of ``MIN_WORDS`` words belongs to the kept suffix chosen among its
-first ``WINDOW`` words, and equal windows to suffixes of an equal root.
-Suffixes are first counted by the hash of the root's words (bytes a suffix,
-pre-aggregated).  The windows of a suffix are one run of at most ``WINDOW``
-starts, whose words are its context; suffixes with equal context are one row
-before any text is moved, and repeat each other whole.  Where the contexts of a
-repeated root vary, the windows of one suffix of each are hashed and counted,
-and those that stand in two contexts or more are repeated.  So both ends of a
-repeated run come from the same partner.
+first ``WINDOW`` words, and equal windows to suffixes of an equal root.  The
+windows of a suffix are one run of at most ``WINDOW`` starts; the words of all
+of them are the suffix's context, all that decides about it.
+
+1. Roots are counted by a hash of their words, which only rules out suffixes
+   whose root occurs once; suffixes of an equal context (by a 128-bit BLAKE2b
+   digest of its bytes) are one row from then on, and repeat each other whole.
+2. Where the contexts of a root vary, a context's suffixes that start at its
+   windows are sorted, by root and the digest of the window's bytes, over range
+   partitions, and each is compared with its neighbours; the rows at the ends
+   of partitions are compared in a second step, so that a window which very
+   many contexts share is split over tasks.  A plain neighbour of the kept
+   suffix would not do: the longest matches to its left and to its right may
+   belong to different partners.
+3. A context and its neighbour are aligned at the root and compared word by
+   word, to the right and to the left, against this one partner; a span is
+   formed of the windows that lie in both matches.
 """
 
 from __future__ import annotations
@@ -35,7 +44,6 @@ MIN_WORDS = 50
 WINDOW = 26
 GRAM = 6
 ROOT = MIN_WORDS - WINDOW + 1
-REACH = ROOT + WINDOW  # words to the right of a kept suffix that its windows can reach, and one more
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 
@@ -93,43 +101,98 @@ def windows(spans: Spans) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _occurrences(docs: DataFrame) -> DataFrame:
     """(id, h, at, first, n, root, context): each kept suffix and the run of
-    its windows' starts; context is the hash of all words of these windows."""
+    its windows' starts; context is the digest of the bytes of all their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, ats, firsts, counts, roots, contexts = [], [], [], [], [], []
             for i, t in enumerate(b.column(2)):
-                spans = Spans((t.as_py() or "").encode().split())
+                words = (t.as_py() or "").encode().split()
+                spans = Spans(words)
                 at, first, n = windows(spans)
                 rows.append(np.full(len(at), i))
                 ats.append(at)
                 firsts.append(first)
                 counts.append(n)
                 roots.append(spans.hash(at, at + ROOT))
-                contexts.append(spans.hash(first, first + n + (MIN_WORDS - 1)) + (at - first).astype(np.uint64) * _ODD)
+                if len(at):
+                    text, start = _joined(words)
+                    contexts += [_digest(text[start[f] : start[f + k + MIN_WORDS - 1] - 1]) for f, k in zip(first.tolist(), n.tolist())]
             which = pa.array(np.concatenate(rows or [np.zeros(0, np.int64)]).astype(np.int64))
             join = lambda parts, kind: np.concatenate(parts or [np.zeros(0, kind)]).astype(kind, copy=False)
             yield pa.RecordBatch.from_arrays([
                 b.column(0).take(which), b.column(1).take(which), *(pa.array(join(x, np.int32)) for x in (ats, firsts, counts)),
-                pa.array(join(roots, np.uint64).view(np.int64)), pa.array(join(contexts, np.uint64).view(np.int64))],
+                pa.array(join(roots, np.uint64).view(np.int64)), pa.array(contexts, pa.binary())],
                 ["id", "h", "at", "first", "n", "root", "context"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "h", "t").mapInArrow(run, f"id {kind}, h long, at int, first int, n int, root long, context long")
+    return docs.select("id", "h", "t").mapInArrow(run, f"id {kind}, h long, at int, first int, n int, root long, context binary")
 
 
-def common_words(a: list[str], b: list[str]) -> int:
+def _joined(words: list[bytes]) -> tuple[bytes, list[int]]:
+    """The words with a space between them, and where each begins (and would begin)."""
+    start = np.zeros(len(words) + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=start[1:])
+    return b" ".join(words), start.tolist()
+
+
+def _digest(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def common_words(a: list, b: list) -> int:
     return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
-def window_hashes(words: list[bytes], n: int) -> np.ndarray:
-    """A hash of the bytes of each of the first n windows of MIN_WORDS words."""
-    text = b" ".join(words)
-    start = np.zeros(len(words) + 1, np.int64)
-    np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=start[1:])
-    start = start.tolist()
-    raw = b"".join(hashlib.blake2b(text[start[i] : start[i + MIN_WORDS] - 1], digest_size=8).digest() for i in range(n))
-    return np.frombuffer(raw, "<i8")
+def extended(own: list, lead: int, other: list, other_lead: int) -> tuple[int, int]:
+    """(first, last) of the windows of ``own`` that ``other`` holds too, both
+    aligned at the words ``lead`` and ``other_lead``; last < first if none."""
+    right = common_words(own[lead:], other[other_lead:])
+    left = common_words(own[:lead][::-1], other[:other_lead][::-1])
+    return lead - left, min(lead + right - MIN_WORDS, lead)
+
+
+CLASS = ["root", "context"]
+
+
+def _neighbours(cuts: DataFrame) -> DataFrame:
+    """(root, context, partner): for each window of a context that another
+    context of its root holds too, one such context, its neighbour in sorted
+    order.  ``cuts`` holds (root, context, window), written."""
+    order = ["root", "window", "context"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["root", "window", "context", "partner", "edge"]
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()]
+        last = None  # the row before
+        for b in batches:
+            if not b.num_rows:
+                continue
+            root, window, context = b.column(0).to_numpy(), b.column(1), b.column(2)
+            key = np.frombuffer(window.buffers()[2], "V16", count=window.offset + len(window))[window.offset :]
+            same = np.append(False, (root[1:] == root[:-1]) & (key[1:] == key[:-1]))
+            ctx = context.to_pylist()
+            out: list[tuple] = []
+            if last is None:
+                out.append((int(root[0]), window[0].as_py(), ctx[0], None, True))
+            elif last[:2] == (int(root[0]), window[0].as_py()):
+                out += [(*last[:3], ctx[0], False), (int(root[0]), window[0].as_py(), ctx[0], last[2], False)]
+            at = np.flatnonzero(same)
+            for i in at.tolist():  # each with the one before it; the one before, if it begins its run, with this
+                out.append((int(root[i]), None, ctx[i], ctx[i - 1], False))
+                if not same[i - 1]:
+                    out.append((int(root[i]), None, ctx[i - 1], ctx[i], False))
+            last = (int(root[-1]), window[len(ctx) - 1].as_py(), ctx[-1])
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)], names)
+        if last:
+            yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip((*last, None, True), kinds)], names)
+
+    ordered = cuts.repartitionByRange(*order).sortWithinPartitions(*order)
+    met = written(ordered.select(*order).mapInArrow(run, "root long, window binary, context binary, partner binary, edge boolean"), "suffix-neighbours")
+    ends = met.where("edge").groupBy("root", "window").agg(F.min("context").alias("low"), F.max("context").alias("high")).where("low <> high")
+    ends = ends.select("root", F.explode(F.array(
+        F.struct(F.col("low").alias("context"), F.col("high").alias("partner")), F.struct(F.col("high").alias("context"), F.col("low").alias("partner")))).alias("x"))
+    return met.where("NOT edge").select(*CLASS, "partner").unionByName(ends.select("root", "x.context", "x.partner")).distinct()
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -140,10 +203,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     A span is a union of runs of MIN_WORDS words that each occur twice, runs
     that overlap or touch being one; text that only looks repeated because its
-    left and its right stand in different places is none.  Rows equal in id and text are one
-    document and no repeat of each other.  Null, empty and shorter texts hold
-    no passage; a null id is kept.  An empty table gives no rows; other columns
-    are not read.
+    left and its right stand in different places is none.  Rows equal in id and
+    text are one document and no repeat of each other.  Null, empty and shorter
+    texts hold no passage; a null id is kept.  A very long text is one row: its
+    suffixes are rows of their own, and only its contexts of repeated roots are
+    cut from it, in one task.  An empty table gives no rows; other columns are
+    not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).withColumn("h", F.xxhash64("t"))
     occurrences = written(_occurrences(rows), "suffixes")
@@ -154,35 +219,49 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     roots = written(roots.where("a <> b").select("root", (F.col("c") != F.col("d")).alias("varied")), "suffix-roots")
     repeated = written(occurrences.join(roots, "root"), "suffixes-repeated")
 
-    # Where contexts vary, the windows of one suffix of each are compared.
-    contexts = repeated.where("varied").groupBy("root", "context").agg(
-        F.min(here).alias("a"), F.max(here).alias("b"), F.min(F.struct("id", "h", "first", "n")).alias("one"))
+    # Where contexts vary, one suffix of each is cut from its text.
+    contexts = repeated.where("varied").groupBy(*CLASS).agg(
+        F.min(here).alias("a"), F.max(here).alias("b"), F.min(F.struct("id", "h", "at", "first", "n")).alias("one"))
+    contexts = written(contexts, "suffix-contexts")
     asked = contexts.groupBy(F.col("one.id").alias("id_"), F.col("one.h").alias("h_")).agg(
-        F.collect_list(F.struct(F.col("one.first").alias("first"), F.col("one.n").alias("n"), "root", "context")).alias("asked"))
+        F.collect_list(F.struct(F.col("one.at").alias("at"), F.col("one.first").alias("first"), F.col("one.n").alias("n"), *CLASS)).alias("asked"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for text, asked in zip(b.column(0), b.column(1)):
                 words, found = (text.as_py() or "").encode().split(), asked.as_py()
-                n = [x["n"] for x in found]
-                hashes = [window_hashes(words[x["first"] : x["first"] + x["n"] + MIN_WORDS - 1], x["n"]) for x in found]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat([x["root"] for x in found], n), pa.int64()),
-                    pa.array(np.repeat([x["context"] for x in found], n), pa.int64()),
-                    pa.array(np.concatenate([np.arange(k) for k in n]), pa.int32()),
-                    pa.array(np.concatenate(hashes), pa.int64())], ["root", "context", "off", "window"])
+                raw, start = _joined(words)
+                for at in range(0, len(found), 1024):
+                    some = found[at : at + 1024]
+                    digests = [[_digest(raw[start[i] : start[i + MIN_WORDS] - 1]) for i in range(x["first"], x["first"] + x["n"])] for x in some]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([x["root"] for x in some], pa.int64()), pa.array([x["context"] for x in some], pa.binary()),
+                        pa.array([x["at"] - x["first"] for x in some], pa.int32()),
+                        pa.array([raw[start[x["first"]] : start[x["first"] + x["n"] + MIN_WORDS - 1] - 1] for x in some], pa.binary()),
+                        pa.array(digests, pa.list_(pa.binary()))], [*CLASS, "lead", "body", "windows"])
 
     same = F.col("id").eqNullSafe(F.col("id_")) & (F.col("h") == F.col("h_"))
-    cuts = written(rows.join(asked, same).select("t", "asked").mapInArrow(
-        cut, "root long, context long, off int, window long"), "suffix-windows")
-    again = cuts.groupBy("root", "window").agg(F.min("context").alias("a"), F.max("context").alias("b"))
-    again = written(again.where("a <> b").select("root", "window"), "suffix-windows-repeated")
+    one_text = rows.join(asked, same).select("t", "asked")
+    cuts = one_text.mapInArrow(cut, "root long, context binary, lead int, body binary, windows array<binary>")
+    cuts = written(cuts.dropDuplicates(CLASS), "suffix-windows")  # a row that repeats is cut each time
+    pairs = _neighbours(cuts.select(*CLASS, F.explode("windows").alias("window")))
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [extended(own.split(), lead, other.split(), other_lead) for lead, own, other_lead, other in
+                     zip(*(b.column(c).to_pylist() for c in range(2, 6)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([f[k] for f in found], pa.int32()) for k in (0, 1))],
+                                             [*CLASS, "low", "high"])
+
+    bodies = cuts.select(*CLASS, "lead", "body")
+    aligned = pairs.join(bodies, CLASS).join(
+        bodies.select("root", F.col("context").alias("partner"), F.col("lead").alias("lead_"), F.col("body").alias("body_")), ["root", "partner"])
+    spans_of = aligned.select(*CLASS, "lead", "body", "lead_", "body_").mapInArrow(verify, "root long, context binary, low int, high int")
     # The repeated windows of a suffix all hold its root, so they overlap and are one span.
-    matches = cuts.join(again, ["root", "window"]).groupBy("root", "context").agg(
-        F.min("off").alias("low"), F.max("off").alias("high"))
-    twin = contexts.select("root", "context", (F.col("a") != F.col("b")).alias("twin"))
-    matches = written(twin.join(matches, ["root", "context"], "left").where("twin OR low IS NOT NULL"), "suffix-matches")
-    spans = repeated.join(matches, ["root", "context"], "left")
+    matches = spans_of.where("low <= high").groupBy(*CLASS).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    twin = contexts.select(*CLASS, (F.col("a") != F.col("b")).alias("twin"))
+    matches = written(twin.join(matches, CLASS, "left").where("twin OR low IS NOT NULL"), "suffix-matches")
+    spans = repeated.join(matches, CLASS, "left")
     whole = ~F.col("varied") | F.col("twin")  # an equal context stands elsewhere
     spans = spans.select(
         "id", "h", (F.col("first") + F.when(whole, 0).otherwise(F.col("low"))).alias("start"),

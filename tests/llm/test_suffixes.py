@@ -1,31 +1,9 @@
 import random
+import zlib
 
 import pytest
 
-from starlens.llm.suffixes import MIN_WORDS, REACH, ROOT, WINDOW, Spans, common_words, kept, op5_suffixes, repeated_passages
-
-
-def naive(texts):
-    """Spans by comparing every pair of kept suffixes word by word."""
-    docs = [(t or "").encode().split() for t in texts]
-    suffixes = [(d, int(p)) for d, w in enumerate(docs) for p in kept(Spans(w))]
-    best = {s: [0, 0] for s in suffixes}
-    for i, (d, p) in enumerate(suffixes):
-        for e, q in suffixes[:i]:
-            right = common_words(docs[d][p : p + REACH], docs[e][q : q + REACH])
-            if right >= ROOT:
-                left = common_words(docs[d][max(0, p - WINDOW) : p][::-1], docs[e][max(0, q - WINDOW) : q][::-1])
-                for s in ((d, p), (e, q)):
-                    best[s] = [max(best[s][0], left), max(best[s][1], right)]
-    out = {}
-    for (d, p), (left, right) in sorted(best.items()):
-        if right >= ROOT and left + right >= MIN_WORDS:
-            spans = out.setdefault(d, [])
-            if spans and spans[-1][1] >= p - left:
-                spans[-1] = (spans[-1][0], max(spans[-1][1], p + right))
-            else:
-                spans.append((p - left, p + right))
-    return out
+from starlens.llm.suffixes import MIN_WORDS, Spans, extended, kept, op5_suffixes, repeated_passages
 
 
 def covered(texts):
@@ -37,6 +15,18 @@ def covered(texts):
     return {(d, i + k) for at in seen.values() if len(at) > 1 for d, i in at for k in range(MIN_WORDS)}
 
 
+def spans(texts):
+    """The covered words of each text as runs."""
+    out = {}
+    for d, k in sorted(covered(texts)):
+        runs = out.setdefault(d, [])
+        if runs and runs[-1][1] >= k:
+            runs[-1] = (runs[-1][0], k + 1)
+        else:
+            runs.append((k, k + 1))
+    return out
+
+
 def corpus(seed):
     rng = random.Random(seed)
     words = lambda n: " ".join(f"w{rng.randint(0, 9999)}é" for _ in range(n))
@@ -56,12 +46,10 @@ def run(spark, rows):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_equals_naive_and_covers_every_repeat(spark, seed):
+def test_equals_brute_force(spark, seed):
     texts = corpus(seed)
     got = run(spark, list(enumerate(texts)))
-    assert got == naive(texts)
-    have = {(d, k) for d, spans in got.items() for a, b in spans for k in range(a, b)}
-    assert covered(texts) <= have
+    assert got == spans(texts)
     n = 28  # documents around passages; the last of these are shorter than MIN_WORDS
     assert not any(d in got for d in range(5 * 4, n)) and 31 not in got  # short passages and fresh text stay out
 
@@ -89,7 +77,7 @@ def test_documents_table(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
     got = {r.doc_id: r for r in op5_suffixes(spark, sf).collect()}
-    want = naive([d.text for d in docs])
+    want = spans([d.text for d in docs])
     assert {d: r.spans for d, r in got.items()} == {docs[d].doc_id: ",".join(f"{a}-{b}" for a, b in s) for d, s in want.items()}
 
 
@@ -105,12 +93,50 @@ def test_both_ends_of_a_span_have_the_same_partner(spark):
             left, right = words(12), words(12)  # of these, the partners do repeat 52 words
         texts += [words(30) + left + body + right + words(30), words(30) + left + body + words(30), words(30) + body + right + words(30)]
     texts = [" ".join(t) for t in texts]
-    want = {}
-    for d, k in sorted(covered(texts)):
-        spans = want.setdefault(d, [])
-        if spans and spans[-1][1] >= k:
-            spans[-1] = (spans[-1][0], k + 1)
-        else:
-            spans.append((k, k + 1))
+    want = spans(texts)
     assert run(spark, list(enumerate(texts))) == want and len(want) == 30
-    assert len(naive(texts)) > 30  # what a sum over two partners would report
+
+
+def test_words_of_equal_checksum_are_told_apart(spark):
+    """Two texts of 70 words that differ in one word, of equal crc32."""
+    assert zlib.crc32(b"plumless") == zlib.crc32(b"buckeroo")
+    base = [f"q{i}" for i in range(70)]
+    texts = [" ".join(base[:35] + [w] + base[36:]) for w in ("plumless", "buckeroo")]
+    assert run(spark, list(enumerate(texts))) == {} == spans(texts)
+    longer = [" ".join(base[:15] + [w] + base[16:]) for w in ("plumless", "buckeroo")]
+    assert run(spark, list(enumerate(longer))) == {0: [(16, 70)], 1: [(16, 70)]} == spans(longer)
+
+
+def test_extension_is_against_one_partner():
+    own = [f"w{i}" for i in range(75)]
+    assert extended(own, 25, own, 25) == (0, 25)
+    assert extended(own, 25, ["x"] * 5 + own[20:], 10) == (20, 25)
+    assert extended(own, 25, own[:60] + ["x"] * 9, 25) == (0, 10)
+    low, high = extended(own, 25, ["x"] * 5 + own[20:60], 10)
+    assert high < low
+
+
+def test_windows_shared_by_many_contexts(spark):
+    """Passages in surroundings that differ, over more partitions than rows of
+    a window: its neighbours lie in different partitions."""
+    rng = random.Random(3)
+    words = lambda n: [f"y{rng.randint(0, 99999)}" for _ in range(n)]
+    common, other = words(54), words(52)
+    texts = [" ".join(words(rng.randint(3, 30)) + (common if k % 4 else other) + words(rng.randint(3, 30))) for k in range(60)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "61")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert run(spark, list(enumerate(texts))) == spans(texts)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(80)]
+    text = [f"l{rng.randint(0, 10**7)}" for _ in range(60_000)]
+    text[1000:1080] = text[40_000:40_080] = passage
+    texts = [" ".join(text), " ".join(["other"] + passage), "z" * 1_000_000]
+    assert run(spark, list(enumerate(texts))) == spans(texts)
