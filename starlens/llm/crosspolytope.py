@@ -2,17 +2,21 @@
 
 A vector is rotated pseudo-randomly (random signs and a fast Hadamard
 transform, three times); its hash is the signed axis nearest to it.  A table
-combines ``hashes`` such values, and multiprobe enters a vector under its two
-nearest axes of each, so that a pair of cosine 0.93 meets in one table with
-probability 0.88 (one hash) or 0.78 (two), and in at least one of the tables
-with 0.9998.  Members of a bucket are compared exactly, in double precision.
-
-Copies of a vector are one class before anything is hashed.  Links are counted
-inside the buckets, never emitted as pairs: a pair counts only in the first
-bucket that its two hash lists share, and a bucket's connections leave it as a
-star.  A bucket of more than ``BLOCK`` members is cut into blocks and compared
-block by block, each tile a task's row, so a hot label or a large group of
-near copies is spread over the cluster.
+combines ``hashes`` such values (one by default, in every dimension and at
+every size), and multiprobe enters a vector under its two nearest axes of each,
+so that in 64 dimensions a pair of cosine 0.93 meets in one table with
+probability 0.88, and in at least one of the four with 0.9998.  Members of a
+bucket are compared exactly, in double precision.
+
+Copies of a vector under one label are one class before anything is hashed; a
+class has a number of its own, so an id that stands under two labels is two
+vectors.  Links are counted inside the buckets, never emitted as pairs: a pair
+counts only in the first bucket that its two hash lists share (both computed
+again from the vectors), and a bucket's connections leave it as a star.  A
+bucket of more than ``BLOCK`` members is cut into blocks and compared block by
+block, each tile a task's row, so a hot label or a large group of near copies
+is spread over the cluster.  An entry carries its vector, once for each table
+and probe; this is what is moved.
 """
 
 from __future__ import annotations
@@ -25,13 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlens.llm.common import components, table, written
+from starlens.llm.common import arrow_rows, components, table, written
 from starlens.llm.tiles import usable
 
 THRESHOLD = 0.93
 BLOCK = 2048
 PROBES = 2  # nearest axes of each hash under which a vector is entered
-TABLES = {1: 4, 2: 6, 3: 9}  # by the number of hashes in a table
+HASHES = 1  # in a table
+TABLES = {1: 4, 2: 6}  # by the number of hashes in a table
 SEED = 7
 _PAIRS = 1 << 18  # pairs whose hash lists are compared at once
 
@@ -110,89 +115,98 @@ def compare(tile: dict, other: dict | None, threshold: float) -> tuple[np.ndarra
 
 
 KEY = ["label", "dim", "t", "bucket"]
-PACKED = ("label string, dim int, t int, bucket array<int>, block int, blocks int, "
-          "ids binary, copies binary, x binary, codes binary")
+BODY = ["ids", "copies", "x"]
+OUT = "id long, links long, root long"
+
+
+def _bodies(t: pa.Table) -> dict[str, bytes]:
+    return {"ids": t["id"].to_numpy().astype("<i8").tobytes(), "copies": t["copies"].to_numpy().astype("<i8").tobytes(),
+            "x": t["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).tobytes()}
 
 
 def _pack(t: pa.Table) -> pa.Table:
     one = {c: [t[c][0].as_py()] for c in (*KEY, "block", "blocks")}
-    parts = {
-        "ids": t["id"].to_numpy().astype("<i8"), "copies": t["copies"].to_numpy().astype("<i8"),
-        "x": t["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False),
-        "codes": t["codes"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<i4")}
     kinds = {"dim": pa.int32(), "t": pa.int32(), "bucket": pa.list_(pa.int32()), "block": pa.int32(), "blocks": pa.int32()}
     return pa.table({c: pa.array(v, kinds.get(c, pa.string())) for c, v in one.items()}
-                    | {c: pa.array([v.tobytes()], pa.binary()) for c, v in parts.items()})
+                    | {c: pa.array([v], pa.binary()) for c, v in _bodies(t).items()})
 
 
-def link_counts(classes: DataFrame, threshold: float, hashes: int, tables: int, block: int = BLOCK) -> DataFrame:
-    """(id, links, root) from classes (id, label, dim, x, copies): partial
-    counts and star edges, one row for each bucket in which a class is linked."""
+def _opened(body: dict[str, bytes], dim: int, t: int, bucket: list[int], hashes: int, tables: int) -> dict:
+    ids, x = np.frombuffer(body["ids"], "<i8"), body["x"]
+    x = unit(np.frombuffer(x, f"<f{len(x) // (len(ids) * dim)}").reshape(-1, dim).astype(np.float64))
+    return {"ids": ids, "copies": np.frombuffer(body["copies"], "<i8"), "x": x, "codes": axes(x, tables, hashes), "table": t, "bucket": np.array(bucket)}
 
-    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            dims = b.column(2).to_numpy()
-            for dim in np.unique(dims):
-                rows = b.filter(pa.array(dims == dim))
-                x = unit(rows.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64))
-                codes = axes(x, tables, hashes)
-                probes, lists = codes.shape[3], codes.reshape(len(x), -1)
-                own_codes = pa.array([*lists], pa.list_(pa.int32()))
-                for t, probe in product(range(tables), product(range(probes), repeat=hashes)):
-                    bucket = codes[:, t, range(hashes), probe]
-                    yield pa.RecordBatch.from_arrays(
-                        [rows.column(0), rows.column(1), rows.column(2), pa.array([t] * len(x), pa.int32()),
-                         pa.array([*bucket], pa.list_(pa.int32())), rows.column(4), rows.column(3), own_codes],
-                        ["id", "label", "dim", "t", "bucket", "copies", "x", "codes"])
-
-    kind = classes.schema["x"].dataType.simpleString()
-    entries = classes.select("id", "label", "dim", "x", "copies").mapInArrow(
-        enter, f"id long, label string, dim int, t int, bucket array<int>, copies long, x {kind}, codes array<int>")
-    entries = written(entries, "vector-buckets")
-    sizes = entries.groupBy(KEY).agg(F.count("*").alias("n")).where("n > 1")
-    sizes = sizes.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).drop("n")
-    entries = entries.join(sizes, KEY).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    packed = entries.groupBy(*KEY, "block").applyInArrow(_pack, PACKED)
-
-    def opened(b: pa.RecordBatch, row: int, at: int) -> dict:
-        ids, copies, x, codes = (b.column(at + c)[row].as_py() for c in range(4))
-        ids, dim = np.frombuffer(ids, "<i8"), b.column(2)[row].as_py()
-        x = np.frombuffer(x, f"<f{len(x) // (len(ids) * dim)}").reshape(-1, dim).astype(np.float64)
-        return {"ids": ids, "copies": np.frombuffer(copies, "<i8"), "x": unit(x),
-                "codes": np.frombuffer(codes, "<i4").reshape(len(ids), tables, hashes, -1),
-                "table": b.column(0)[row].as_py(), "bucket": np.array(b.column(1)[row].as_py())}
-
-    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _found(parts: tuple[np.ndarray, ...]) -> list[pa.Array]:
+    return [pa.array(c, pa.int64()) for c in parts]
+
+
+def link_counts(classes: DataFrame, threshold: float, hashes: int, tables: int, block: int = BLOCK) -> DataFrame:
+    """(id, links, root) from classes (id, label, dim, x, copies), written:
+    partial counts and star edges, a row for each bucket in which a class is linked."""
+
+    def entered(whole: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                dims = b.column(2).to_numpy()
+                for dim in np.unique(dims):
+                    rows = b.filter(pa.array(dims == dim))
+                    x = unit(rows.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64))
+                    codes = axes(x, tables, hashes)
+                    for t, probe in product(range(tables), product(range(codes.shape[3]), repeat=hashes)):
+                        bucket = codes[:, t, range(hashes), probe]
+                        cols = [rows.column(1), rows.column(2), pa.array([t] * len(x), pa.int32()), pa.array([*bucket], pa.list_(pa.int32()))]
+                        more = [rows.column(0), rows.column(4), rows.column(3)] if whole else []
+                        yield pa.RecordBatch.from_arrays([*cols, *more], [*KEY, *(["id", "copies", "x"] if whole else [])])
+
+        kind = classes.schema["x"].dataType.simpleString()
+        return classes.select("id", "label", "dim", "x", "copies").mapInArrow(
+            run, "label string, dim int, t int, bucket array<int>" + (f", id long, copies long, x {kind}" if whole else ""))
+
+    # Only large buckets need blocks; they are counted without their vectors.
+    large = entered(False).groupBy(KEY).agg(F.count("*").alias("n")).where(F.col("n") > block)
+    large = written(large.select(*KEY, F.ceil(F.col("n") / block).cast("int").alias("blocks")), "vector-large")
+    entries = entered(True).join(large, KEY, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    entries = entries.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+
+    def within(t: pa.Table) -> pa.Table:
+        if t.num_rows < 2:
+            return pa.table(_found((np.zeros(0),) * 3), ["id", "links", "root"])
+        one = _opened(_bodies(t), *(t[c][0].as_py() for c in ("dim", "t", "bucket")), hashes, tables)
+        return pa.table(_found(compare(one, None, threshold)), ["id", "links", "root"])
+
+    found = written(entries.groupBy(*KEY, "block").applyInArrow(within, OUT), "vector-links")
+    if large.isEmpty():
+        return found
+
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in range(b.num_rows):
-                two = b.num_columns > 7
-                found = compare(opened(b, row, 3), opened(b, row, 7) if two else None, threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["id", "links", "root"])
-
-    out, body = "id long, links long, root long", ["ids", "copies", "x", "codes"]
-    packed = written(packed, "vector-blocks")
-    within = packed.select("t", "bucket", "dim", *body).mapInArrow(tiles, out)
-    many = packed.where("blocks > 1")
-    a = many.withColumn("other", F.explode(F.expr("filter(sequence(block, blocks), j -> j > block AND j < blocks)")))
-    b = many.withColumn("other", F.col("block")).withColumn(
-        "block", F.explode(F.expr("filter(sequence(0, other), i -> i < other)")))
-    pairs = a.join(b.select(*KEY, "block", "other", *(F.col(c).alias(f"{c}_b") for c in body)), [*KEY, "block", "other"])
-    between = pairs.select("t", "bucket", "dim", *body, *(f"{c}_b" for c in body)).mapInArrow(tiles, out)
-    return within.unionByName(between)
+            for row in b.to_pylist():
+                at = row["dim"], row["t"], row["bucket"], hashes, tables
+                tile, other = (_opened({c: row[c + end] for c in BODY}, *at) for end in ("", "_b"))
+                yield pa.RecordBatch.from_arrays(_found(compare(tile, other, threshold)), ["id", "links", "root"])
+
+    packed = written(entries.where("blocks > 1").groupBy(*KEY, "block").applyInArrow(
+        _pack, "label string, dim int, t int, bucket array<int>, block int, blocks int, ids binary, copies binary, x binary"), "vector-blocks")
+    a = packed.withColumn("other", F.explode(F.expr("filter(sequence(block, blocks), j -> j > block AND j < blocks)")))
+    b = packed.withColumn("other", F.col("block")).withColumn("block", F.explode(F.expr("filter(sequence(0, other), i -> i < other)")))
+    pairs = a.join(b.select(*KEY, "block", "other", *(F.col(c).alias(f"{c}_b") for c in BODY)), [*KEY, "block", "other"])
+    with arrow_rows(classes.sparkSession, 4):
+        pairs = pairs.select("t", "bucket", "dim", *BODY, *(f"{c}_b" for c in BODY))
+        return found.unionByName(written(pairs.mapInArrow(between, OUT), "vector-links-between"))
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-                 threshold: float = THRESHOLD, hashes: int | None = None) -> DataFrame:
+                 threshold: float = THRESHOLD, hashes: int = HASHES) -> DataFrame:
     """(id, n_links, component_id, kept): one row per input row.
 
     Vectors of equal, non-null label and equal length link at a cosine of at
-    least ``threshold``; n_links counts the other ids linked directly.  Rows
+    least ``threshold``; n_links counts the other vectors linked directly.  Rows
     whose id or label is null, or whose vector is null, empty, zero or holds a
     null or non-finite component, link with nothing and are their own
     component.  Rows equal in id, label and vector are one vector; rows that
-    share an id but not the vector share its component.  An empty table gives
-    no rows.  ``hashes`` per table follows from the largest label unless
-    given, so that an average bucket stays within a block.
+    share an id only are vectors of their own, so an id under two labels is
+    linked under each by itself.  An empty table gives no rows.
     """
     x = F.col(vector_col)  # floats stay floats until they are compared: half the bytes to move
     if vectors.schema[vector_col].dataType.simpleString() != "array<float>":
@@ -202,17 +216,14 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     rows = rows.withColumn("x", F.when(F.coalesce(links, F.lit(False)), F.col("x")))
     classes = written(
         rows.where("x IS NOT NULL").groupBy("label", "x").agg(F.min("id").alias("rep"), F.countDistinct("id").alias("copies"))
-        .withColumn("dim", F.size("x")), "vector-classes")
-    most = classes.groupBy("label", "dim").agg(F.count("*").alias("n")).agg(F.max("n"), F.min("dim")).first()
-    if hashes is None:
-        axes_ = 2.0 * (most[1] or 1)
-        hashes = next((k for k in (1, 2) if PROBES**k * (most[0] or 0) / axes_**k <= BLOCK / 4), 3)
-    found = written(link_counts(classes.withColumnRenamed("rep", "id"), threshold, hashes, TABLES[hashes]), "vector-links")
-    linked = found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
-    comp = components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
-    classes = classes.join(linked, "rep", "left").join(comp, "rep", "left").select(
-        "label", "x", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"))
+        .withColumns({"dim": F.size("x"), "id": F.monotonically_increasing_id()}), "vector-classes")  # the class's number
+    found = link_counts(classes, threshold, hashes, TABLES[hashes])
+    linked = found.groupBy("id").agg(F.sum("links").alias("links"))
+    comp = components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "id")
+    classes = classes.join(linked, "id", "left").join(comp, "id", "left").select(
+        "label", "x", "rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component"))
+    named = written(classes.groupBy("component").agg(F.min("rep").alias("component_id")), "vector-components")
+    classes = written(classes.join(named, "component").select("label", "x", "n_links", "component_id"), "vector-named")
     out = rows.join(classes, ["label", "x"], "left").select(
         "id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
     return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
@@ -223,19 +234,26 @@ def op6_near_vectors(spark, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = f"""
-WITH RECURSIVE v AS (
-  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+WITH RECURSIVE given AS (
+  SELECT DISTINCT vec_id, label, embedding FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), v AS (
+  SELECT row_number() OVER (ORDER BY vec_id, label, embedding) AS r, vec_id, label, embedding, embedding::DOUBLE[] AS e FROM given
 ), links AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= {THRESHOLD}
 ), reach AS (
-  SELECT vec_id AS node, vec_id AS root FROM embeddings
+  SELECT r AS node, r AS root FROM v
   UNION
   SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node
 ), comp AS (
-  SELECT node, min(root) AS component_id FROM reach GROUP BY node
+  SELECT node, min(vec_id) AS component_id FROM reach JOIN v ON root = r GROUP BY node
+), counted AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+), named AS (
+  SELECT v.vec_id, v.label, v.embedding, coalesce(n, 0) AS n_links, component_id FROM v JOIN comp ON node = r LEFT JOIN counted ON a = r
 )
-SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
-FROM embeddings JOIN comp ON node = vec_id"""
+SELECT g.vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, g.vec_id) AS component_id,
+  g.vec_id IS NOT DISTINCT FROM coalesce(component_id, g.vec_id) AS kept
+FROM embeddings g LEFT JOIN named n ON g.vec_id = n.vec_id AND g.label = n.label AND g.embedding = n.embedding"""

@@ -91,3 +91,31 @@ def test_odd_rows(spark):
             (None, 0, None, True)] + [(i, 0, i, True) for i in (4, 6, 7, 8, 10, 11, 12, 13)]
     assert got == sorted(want, key=str)
     assert run(spark, []) == []
+
+
+def test_an_id_under_two_labels(spark):
+    """Its row without a near vector has no link and is its own component; links of its labels do not mix."""
+    rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.01], 1), (1, [0.0, 1.0], 2), (0, [1.0, 0.0], 3), (2, [1.0, 0.01], 3), (1, [-1.0, 0.0], 1)]
+    want = [(0, 1, 0, True), (1, 0, 1, True), (1, 0, 1, True), (1, 1, 1, True), (2, 1, 0, False), (2, 1, 1, False)]
+    assert sorted(run(spark, rows)) == want
+    con = duckdb.connect()
+    con.execute("create table embeddings (vec_id bigint, embedding double[], label int)")
+    con.executemany("insert into embeddings values (?, ?, ?)", rows)
+    assert sorted(con.execute(OP6_SQL).df()[["vec_id", "n_links", "component_id", "kept"]].itertuples(index=False, name=None)) == want
+
+
+@pytest.mark.parametrize("hashes,dim", [(1, 64), (1, 256), (2, 64)])
+def test_recall_in_high_dimension(spark, hashes, dim):
+    """Random vectors and copies turned to a cosine just above the threshold, the hardest to find."""
+    rng = np.random.default_rng(dim + hashes)
+    x = rng.normal(size=(400, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turn = rng.normal(size=x.shape)
+    turn -= (turn * x).sum(1, keepdims=True) * x
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    x = np.concatenate([x, 0.931 * x + np.sqrt(1 - 0.931**2) * turn])
+    want = brute(list(range(800)), [0] * 800, x)
+    got = {r[0]: r[1:] for r in run(spark, [(i, x[i].tolist(), 0) for i in range(800)], hashes=hashes)}
+    links = sum(w[0] for w in want.values())
+    assert links == 800 and sum(g[0] for g in got.values()) >= 0.97 * links
+    assert all(got[i][0] <= want[i][0] for i in want)
