@@ -22,6 +22,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starlens.llm.bpe import byte_symbols
 from starlens.llm.common import arrow_rows, written
 
 MAGIC = b"TPL1"
@@ -38,7 +40,8 @@ BLOCK = 1 << 16  # ids in a chunk
 END_ID = 0
 SLICE = 6 << 20  # bytes of text encoded together, or one document
 ROWS = 2000  # documents handed to Python at once
-CACHED_WORDS = 800_000  # encoded words that a worker remembers; the memo is emptied beyond
+CACHED_WORDS = 1_500_000  # encoded words that a worker remembers; beyond, those met lately stay
+_HASHED = 1 << 20  # bytes of words hashed at once
 _HEAD = struct.Struct("<4sIBBH")
 
 
@@ -74,6 +77,85 @@ def unpack(payload: bytes) -> np.ndarray:
     return np.ascontiguousarray(grid).view(f"<u{width}").ravel()
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(words: pa.StringArray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each word."""
+    odd = 0x9E3779B97F4A7C15
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    out, at = np.empty(len(words), np.uint64), 0
+    while at < len(words):
+        upto = max(at + 1, int(np.searchsorted(ends, ends[at] + _HASHED, "right")) - 1)
+        a, b = ends[at], ends[upto]
+        if (b - a) >= len(_ahead[0]):
+            _ahead[0], _ahead[1] = _powers(odd, int(b - a) + 2), _powers(pow(odd, -1, 1 << 64), int(b - a) + 2)
+        sums = np.zeros(b - a + 1, np.uint64)
+        np.cumsum((data[a:b].astype(np.uint64) + np.uint64(1)) * _ahead[0][: b - a], out=sums[1:])
+        start, end = ends[at:upto] - a, ends[at + 1 : upto + 1] - a
+        h = (sums[end] - sums[start]) * _ahead[1][start]
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        out[at:upto] = h ^ (h >> np.uint64(29))
+        at = upto
+    return out
+
+
+_ahead = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # powers of the hash's base and of its inverse
+
+
+class Memo:
+    """Encoded words in compact arrays, found by a sorted table of hashes that
+    is only added to; a word found by its hash is compared by its bytes."""
+
+    def __init__(self, line_end: int) -> None:
+        """The words as one Arrow array, their ids end to end, and where each word's ids end."""
+        self.words = pa.array(["", "\n"])
+        self.ids, self.ends = np.array([line_end], dtype="<u4"), np.array([0, 1])
+        self.met = np.ones(2, bool)  # since the memo last shrank
+        self._table()
+
+    def _table(self) -> None:
+        hashes = word_hashes(self.words)
+        self.place = np.argsort(hashes, kind="stable").astype(np.int32)
+        self.hashes = hashes[self.place]
+
+    def find(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the memo or -1, hash) of each word."""
+        hashes = word_hashes(words)
+        order = np.argsort(hashes)
+        at = np.empty(len(hashes), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.hashes, hashes[order]), len(self.hashes) - 1)
+        place = self.place[at].copy()
+        place[(self.hashes[at] != hashes) | ~pc.equal(self.words.take(pa.array(place)), words).to_numpy(zero_copy_only=False)] = -1
+        self.met[place[place >= 0]] = True
+        return place, hashes
+
+    def add(self, words: pa.StringArray, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        order = np.argsort(hashes, kind="stable")
+        at = np.searchsorted(self.hashes, hashes[order], "right")
+        self.place = np.insert(self.place, at, (len(self.words) + order).astype(np.int32))
+        self.hashes = np.insert(self.hashes, at, hashes[order])
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        self.met = np.concatenate([self.met, np.ones(len(words), bool)])
+
+    def shrink(self) -> None:
+        """Forget the words not met since the memo last shrank, and of the
+        others the older ones beyond half of the bound."""
+        keep = self.met.copy()
+        keep[:2] = True
+        keep[2:] &= np.cumsum(keep[:1:-1])[::-1] <= CACHED_WORDS // 2
+        sizes = np.diff(self.ends, prepend=0)
+        self.ids, self.words = self.ids[np.repeat(keep, sizes)], self.words.filter(pa.array(keep))
+        self.ends, self.met = np.cumsum(sizes[keep]), np.zeros(int(keep.sum()), bool)
+        self._table()
+
+
 class Encoder:
     """The tokenizers library, with a memo of words.
 
@@ -81,7 +163,7 @@ class Encoder:
     odd places is cut before every space, line end, comma and full stop, where
     its pattern always cuts too; equal pieces of a batch are found by Arrow's
     dictionary encoding, and the library encodes each piece that the worker
-    has not met.  A text with an odd place (white space next to white space,
+    has not met, a run of letters by its model, as it is one pre-token.  A text with an odd place (white space next to white space,
     punctuation runs before a comma or stop, characters outside Latin-1, the
     string of a special token) goes to the library whole.
     """
@@ -98,39 +180,47 @@ class Encoder:
             r"^[.,\s]| $", r"[^\pL\pN][.,]", r"  | \n|\n[ \n]", r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}]", r"[^\x00-\x{ff}]",
             *map(re.escape, special)])
         self.line_end = self.library.encode("\n", add_special_tokens=False).ids[0]
-        self._forget()
-
-    def _forget(self) -> None:
-        """The memo: words as one Arrow array, their ids end to end, and where each word's ids end."""
-        self.words = pa.array(["", "\n"])
-        self.ids, self.ends = np.array([self.line_end], dtype="<u4"), np.array([0, 1])
+        self.symbols = {b: c for b, c in enumerate(byte_symbols())}
+        self.memo = Memo(self.line_end)
 
-    def _learn(self, words: pa.StringArray) -> np.ndarray:
+    def _learn(self, words: pa.StringArray, hashes: np.ndarray) -> np.ndarray:
         """Encode words and append them to the memo; their places in it."""
-        new = words.to_pylist()
-        headed = np.array([w[0] == "\n" for w in new])
-        ids, sizes = [self.ids], []
-        for group, is_headed in (([w for w in new if w[0] == "\n"], True), ([w for w in new if w[0] != "\n"], False)):
+        new, tokenize = words.to_pylist(), self.library.model.tokenize
+        # A run of letters is one pre-token; other words are cut by the library itself.
+        one = np.fromiter(((w[1:] if w[0] == "\n" else w).isalpha() for w in new), bool, len(new))
+        order, flat, sizes = [], array("I"), array("I")  # words in the order in which they are encoded, and their ids
+        for at in range(0, len(new), 1 << 16):
+            letters = [i for i in range(at, min(at + (1 << 16), len(new))) if one[i]]
+            raws = "\n".join([new[i][1:] if new[i][0] == "\n" else " " + new[i] for i in letters])
+            written_as = raws.encode().decode("latin-1").translate(self.symbols).split(self.symbols[10])  # as in the vocabulary
+            for i, word in zip(letters, written_as):
+                got = [t.id for t in tokenize(word)]
+                if word[0] != "\u0120":
+                    got.insert(0, self.line_end)
+                flat.extend(got)
+                sizes.append(len(got))
+            order += letters
+        for headed in (True, False):
+            group = [i for i in np.flatnonzero(~one).tolist() if (new[i][0] == "\n") == headed]
             for at in range(0, len(group), 64):  # the library is slower on longer strings
                 some = group[at : at + 64]
-                # Line ends show where a piece begins, or, put after each, where it ends.
-                text = "".join(some) if is_headed else "".join(w + "\n" if w[0] in ",." else " " + w + "\n" for w in some)
-                got = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-                marks = np.flatnonzero(got == self.line_end)
-                ids.append(got if is_headed else np.delete(got, marks))
-                sizes.append(np.diff(marks, append=len(got)) if is_headed else np.diff(marks, prepend=-1) - 1)
+                # Line ends show where a word begins, or, put after each, where it ends.
+                text = "".join(new[i] if headed else new[i] + "\n" if new[i][0] in ",." else " " + new[i] + "\n" for i in some)
+                got = self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
+                marks = [k for k, x in enumerate(got) if x == self.line_end]
+                for a, b in zip(marks, [*marks[1:], len(got)]) if headed else zip([0, *(k + 1 for k in marks)], marks):
+                    flat.extend(got[a:b])
+                    sizes.append(b - a)
+            order += group
         places = np.empty(len(new), np.int32)
-        places[headed] = len(self.words) + np.arange(headed.sum())
-        places[~headed] = len(self.words) + headed.sum() + np.arange(len(new) - headed.sum())
-        self.words = pa.concat_arrays([self.words, words.filter(pa.array(headed)), words.filter(pa.array(~headed))])
-        self.ids = np.concatenate(ids)
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
+        places[order] = len(self.memo.words) + np.arange(len(new), dtype=np.int32)
+        self.memo.add(words.take(pa.array(order, pa.int64())), hashes[order], np.array(flat, "<u4"), np.array(sizes, np.int64))
         return places
 
     def batch(self, texts: pa.StringArray) -> list[np.ndarray]:
         """Ids of each text (null: none)."""
-        if len(self.words) > CACHED_WORDS:
-            self._forget()
+        if len(self.memo.words) > CACHED_WORDS:
+            self.memo.shrink()
         texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, self.odd).to_pylist()
         plain = pc.if_else(pa.array(odd, pa.bool_()), "", texts)
@@ -140,19 +230,18 @@ class Encoder:
         lists = pc.split_pattern(marked, " ")  # the first piece of each is empty
         coded, cuts = lists.flatten().dictionary_encode(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
         del plain, marked, lists  # the batch's largest arrays
-        place = pc.index_in(coded.dictionary, value_set=self.words)
-        unknown = pc.is_null(place)
-        place = pc.fill_null(place, 0).to_numpy().copy()
-        if pc.any(unknown).as_py():
-            place[unknown.to_numpy(zero_copy_only=False)] = self._learn(coded.dictionary.filter(unknown))
+        place, hashes = self.memo.find(coded.dictionary)
+        unknown = place < 0
+        if unknown.any():
+            place[unknown] = self._learn(coded.dictionary.filter(pa.array(unknown)), hashes[unknown])
         word = place[coded.indices.to_numpy()]
-        del coded, unknown, place
-        starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int32)
-        n = (self.ends - starts).astype(np.int32)[word]
+        del coded, unknown, place, hashes
+        starts = np.concatenate([[0], self.memo.ends[:-1]]).astype(np.int32)
+        n = (self.memo.ends - starts).astype(np.int32)[word]
         ends = np.cumsum(n, dtype=np.int32)  # a slice holds far fewer ids than 2^31
         at = np.repeat(starts[word] - (ends - n), n)
         at += np.arange(len(at), dtype=np.int32)
-        ids, cuts = self.ids[at], np.concatenate([[0], ends])[cuts]
+        ids, cuts = self.memo.ids[at], np.concatenate([[0], ends])[cuts]
         del word, starts, n, ends, at
         return [  # the first id of a plain text is that of the line end put before it
             ids[a + 1 : b] if not o else np.array(self.library.encode(t.as_py(), add_special_tokens=False).ids, dtype="<u4")
@@ -227,6 +316,26 @@ def write_tokens(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
         return written(parts.select(F.spark_partition_id().alias("part"), "id", "t").mapInArrow(run, CHUNK), "tokens")
 
 
+def _times(a: int, b: int) -> int:
+    """The product of two polynomials modulo that of crc32, bits reflected."""
+    out = 0
+    for bit in range(31, -1, -1):
+        if a >> bit & 1:
+            out ^= b
+        b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+    return out
+
+
+def crc_joined(first: int, second: int, n: int) -> int:
+    """The crc32 of two byte strings end to end, from theirs and the second's length."""
+    power, shift = 1 << 23, 1 << 31  # x^8, and x^0
+    while n:
+        if n & 1:
+            shift = _times(power, shift)
+        power, n = _times(power, power), n >> 1
+    return _times(shift, first) ^ second
+
+
 def part_starts(chunks: DataFrame) -> DataFrame:
     """(part, start): ids before each part; a row per part."""
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -237,38 +346,36 @@ def part_starts(chunks: DataFrame) -> DataFrame:
 def read_documents(chunks: DataFrame) -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of each document, from the payloads.
 
-    Every chunk is unpacked once.  A document that lies in one chunk is
-    finished there; the pieces of one that spans chunks meet by its position
-    and are joined in order."""
+    Every chunk is unpacked once.  Of a document that spans chunks, only the
+    length and checksum of each piece meet, by its position, and are joined in
+    order; its ids are never gathered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part, payload, pieces in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
                 raw = memoryview(unpack(payload.as_py()).astype("<u4").tobytes())
                 bodies = [raw[4 * p["from"] : 4 * (p["from"] + p["n"])] for p in pieces]
-                whole = [p["n"] == p["n_tokens"] for p in pieces]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part] * len(pieces), pa.int32()),
                     *(pa.array([p[k] for p in pieces], kind) for k, kind in
                       (("id", pa.int64()), ("at", pa.int64()), ("n_tokens", pa.int64()), ("seq", pa.int32()))),
-                    pa.array([zlib.crc32(x) if w else None for x, w in zip(bodies, whole)], pa.int64()),
-                    pa.array([None if w else bytes(x) for x, w in zip(bodies, whole)], pa.binary()),
-                ], ["part", "id", "at", "n_tokens", "seq", "crc", "body"])
+                    pa.array([p["n"] for p in pieces], pa.int32()), pa.array([zlib.crc32(x) for x in bodies], pa.int64()),
+                ], ["part", "id", "at", "n_tokens", "seq", "n", "crc"])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             crcs = []
-            for crc, pieces in zip(b.column(4).to_pylist(), b.column(5)):
-                for p in pieces.as_py() if crc is None else ():
-                    crc = zlib.crc32(p["body"], crc or 0)
+            for pieces in b.column(4).to_pylist():
+                crc = pieces[0]["crc"]
+                for p in pieces[1:]:
+                    crc = crc_joined(crc, p["crc"], 4 * p["n"])
                 crcs.append(crc)
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(4)), pa.array(crcs, pa.int64())],
                                              ["part", "id", "at", "n_tokens", "crc"])
 
     pieces = chunks.select("part", "payload", "pieces").mapInArrow(
-        run, "part int, id long, at long, n_tokens long, seq int, crc long, body binary")
-    documents = pieces.groupBy("part", "id", "at", "n_tokens").agg(
-        F.max("crc").alias("crc"), F.sort_array(F.collect_list(F.struct("seq", "body"))).alias("pieces"))
+        run, "part int, id long, at long, n_tokens long, seq int, n int, crc long")
+    documents = pieces.groupBy("part", "id", "at", "n_tokens").agg(F.sort_array(F.collect_list(F.struct("seq", "n", "crc"))).alias("pieces"))
     rows = documents.mapInArrow(joined, "part int, id long, at long, n_tokens long, crc long")
     return rows.join(part_starts(chunks), "part").select(
         "id", (F.col("start") + F.col("at")).alias("start"), "n_tokens", F.col("crc").alias("ids_crc32"))

@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from starlens.llm.common import table
-from starlens.llm.planes import Encoder, op2_planes, pack, read_documents, unpack, write_tokens
+from starlens.llm import planes
+from starlens.llm.planes import Encoder, crc_joined, op2_planes, pack, read_documents, unpack, write_tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -68,3 +69,28 @@ def test_repeated_ids_and_empty_table(spark):
     assert sorted(r.n_tokens for r in got) == [2, 2, 4] and sorted(r.start for r in got)[0] == 0
     assert sum(r.n_tokens for r in got) == 8
     assert read_documents(write_tokens(docs.limit(0), PATH)).count() == 0
+
+
+def test_checksums_of_pieces_join():
+    rng = np.random.default_rng(6)
+    for n, m in ((0, 0), (1, 0), (0, 9), (5, 4), (1000, 70_001)):
+        a, b = rng.bytes(n), rng.bytes(m)
+        assert crc_joined(zlib.crc32(a), zlib.crc32(b), m) == zlib.crc32(a + b)
+
+
+def test_a_memo_that_shrinks_and_clashes_changes_nothing(monkeypatch):
+    """Words are forgotten, and hashes of few values clash nearly always."""
+    import pyarrow as pa
+
+    real = planes.word_hashes
+    for cached, of in ((40, real), (40, lambda w: real(w) % np.uint64(7)), (1 << 20, lambda w: real(w) % np.uint64(50))):
+        monkeypatch.setattr(planes, "CACHED_WORDS", cached)
+        monkeypatch.setattr(planes, "word_hashes", of)
+        monkeypatch.setattr(planes, "_HASHED", 16)
+        enc, rng = Encoder(PATH), np.random.default_rng(2)
+        for _ in range(12):
+            texts = [" ".join(rng.choice(["alpha", "Größe", "x1", "don't", "\nnew", ".", "a,b", "µm"]) + str(rng.integers(0, 40)) * int(rng.integers(0, 2))
+                              for _ in range(30)) for _ in range(6)]
+            for text, got in zip(texts, enc.batch(pa.array(texts, pa.string()))):
+                assert got.tolist() == ids_of(text)
+        assert cached > 40 or len(enc.memo.words) < 400
