@@ -24,7 +24,9 @@ from starlens.session import configure
 from starlens.sources.star import Star
 from starlens.sources.schemas import SCHEMAS
 from starlens.sources.tables import recent_orders, recent_orders_labelled
+from starlens.plans.lattice import asked_questions, report_by_question
 from starlens.streaming.ingest import ingest_rejects, ingest_replay, ingest_roundtrip
+from starlens.streaming.scenarios import ingest_all, ingest_drift, ingest_duplicates, ingest_recovery, report_incremental
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -172,6 +174,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["ingest_multi_batch"] = lambda spark, d: ingest_roundtrip(configure(spark), d, "fact_shipments", 8, 2).drop("batch_id")
     out["ingest_replay"] = lambda spark, d: ingest_replay(configure(spark), d, "fact_payments")
     out["ingest_rejects"] = lambda spark, d: ingest_rejects(configure(spark), d)
+    out["report_by_question"] = lambda spark, d: report_by_question(_star(spark, d), asked_questions(spark, d))
+    out["report_incremental"] = lambda spark, d: report_incremental(configure(spark), d)
+    out["ingest_recovery"] = lambda spark, d: ingest_recovery(configure(spark), d)
+    out["ingest_all"] = lambda spark, d: ingest_all(configure(spark), d)
+    out["ingest_duplicates"] = lambda spark, d: ingest_duplicates(configure(spark), d)
+    out["ingest_drift"] = lambda spark, d: ingest_drift(configure(spark), d)
     for name, (analysis, scope) in SCOPED_SIGNALS.items():
         out[name] = lambda spark, d, a=analysis, sc=scope: signals(_star(spark, d), a, sc)
     if LLM:
@@ -211,6 +219,12 @@ def oracle_sql() -> dict[str, str]:
     out["ingest_multi_batch"] = oracle.star_table_sql("fact_shipments")
     out["ingest_replay"] = oracle.star_table_sql("fact_payments")
     out["ingest_rejects"] = oracle.ingest_rejects_sql()
+    out["report_by_question"] = oracle.report_by_question_sql()
+    out["report_incremental"] = oracle.report_long_sql()
+    out["ingest_recovery"] = oracle.ingest_recovery_sql()
+    out["ingest_all"] = oracle.ingest_all_sql()
+    out["ingest_duplicates"] = oracle.star_table_sql("fact_payments")
+    out["ingest_drift"] = oracle.ingest_drift_sql()
     for name, (analysis, scope) in SCOPED_SIGNALS.items():
         out[name] = oracle.signals_sql(analysis, scope)
     if LLM:

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from starlens.sources.star_sql import with_star
+from starlens.sources.star_sql import STAR_SQL, with_star
 
 # Customer -> city and region, and sku -> category, as inline relations.
 GEO = (
@@ -419,3 +419,44 @@ WHERE q.role = 'user'
 GROUP BY q.conv_id, q.turn"""
     return with_star(body, [("vocab", vocab), ("questions", questions), ("ns", ns), ("grams", grams),
                             ("best", best)])
+
+
+# The scopes that the phrases of ``plans.lattice`` name, in their order.
+_PHRASE_SCOPES = [
+    {}, {"region": "ASIA"}, {"courier_name": "COURIER_A"}, {"courier_name": "COURIER_A", "region": "ASIA"}, {"city": "NATION_2"},
+    {"payment_method": "HIGH", "payment_status": "failed"}, {"category": "PROMO", "return_reason": "damaged"},
+    {"device_type": "mobile", "region": "EUROPE"}, {"category": "PROMO", "region": "EUROPE", "return_reason": "not_needed"},
+    {"category": "PROMO", "city": "NATION_2", "courier_name": "COURIER_A", "device_type": "mobile", "payment_method": "HIGH",
+     "payment_status": "failed", "region": "ASIA", "return_reason": "damaged"},
+]
+
+
+def report_by_question_sql() -> str:
+    parts = []
+    for k, scope in enumerate(_PHRASE_SCOPES):
+        for name, (builder, label, value) in BREAKDOWNS.items():
+            parts.append(f"SELECT {k} AS k, '{name}' AS analysis, CAST({label} AS VARCHAR) AS dimension, CAST({value} AS DOUBLE) AS value "
+                         f"FROM ({builder(scope)}) b")
+    body = f"""
+SELECT conv_id, turn, analysis, dimension, value FROM conversations
+JOIN ({' UNION ALL '.join(parts)}) r ON k = (conv_id + turn) % {len(_PHRASE_SCOPES)} WHERE role = 'user'"""
+    return with_star(body)
+
+
+def ingest_recovery_sql() -> str:
+    return with_star("SELECT payment_id, CASE order_id::BIGINT % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 3 END::BIGINT AS batch_id FROM fact_payments")
+
+
+def ingest_all_sql() -> str:
+    return with_star(" UNION ALL ".join(f"SELECT '{t}' AS table, count(*) AS rows FROM {t}" for t in STAR_SQL))
+
+
+def ingest_drift_sql() -> str:
+    counts = [("field", "NULL", "not json", "quantity > 45"), ("field", "'line_value'", "missing", "quantity = 13"),
+              ("field", "'line_id'", "missing", "quantity = 1"), ("field", "'quantity'", "wrong type", "quantity = 7"),
+              ("field", "'line_value'", "wrong type", "quantity = 30"), ("field", "'note'", "unknown", "quantity = 21"),
+              ("reject", "NULL", "not json", "quantity > 45"), ("reject", "NULL", "wrong type: quantity", "quantity = 7"),
+              ("reject", "NULL", "wrong type: line_value", "quantity = 30"), ("reject", "NULL", "no key", "quantity = 1")]
+    parts = [f"SELECT '{source}' AS source, CAST({field} AS VARCHAR) AS field, '{kind}' AS kind, count(*) AS n FROM fact_order_lines WHERE {where} HAVING n > 0"
+             for source, field, kind, where in counts]
+    return with_star(" UNION ALL ".join(parts))

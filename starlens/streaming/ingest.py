@@ -40,6 +40,7 @@ from starlens.sources.tables import create_tables
 STREAM_COL, BATCH_COL = "stream_id", "batch_id"
 # Bounds of one micro-batch: they size batches and drop nothing.
 MAX_FILES, MAX_OFFSETS = 1000, 5_000_000
+POOL = "spark.scheduler.pool"
 
 
 def decode(raw: DataFrame, table: str) -> DataFrame:
@@ -161,22 +162,31 @@ def start_table(spark: SparkSession, table: str, sink_root: str, fmt: str = "tex
                 options: Mapping[str, str] | None = None, checkpoint_root: str | None = None,
                 available_now: bool = False, processing_time: str = "5 seconds",
                 sink_for: Callable[[str], BatchSink] | None = None, max_files: int = MAX_FILES,
-                max_offsets: int = MAX_OFFSETS) -> StreamingQuery:
+                max_offsets: int = MAX_OFFSETS, decoder: Callable[[DataFrame, str], DataFrame] = decode) -> StreamingQuery:
     """K1: one table's ingest query.  The sink defaults to parquet tables
     under ``sink_root``, created first; ``sink_for`` makes another one for the
-    table, such as ``lambda t: JdbcBatchSink(url, t, properties, root)``."""
+    table, such as ``lambda t: JdbcBatchSink(url, t, properties, root)``, and
+    ``decoder`` another decode, such as ``fields.decode_fields``.  The stream's
+    jobs run in a scheduler pool of the table's, so that with
+    ``spark.scheduler.mode=FAIR`` a large batch of one delays no other."""
     ckpt = f"{(checkpoint_root or f'{shared_dir(spark)}/ingest-checkpoints').rstrip('/')}/{table}"
     if sink_for is None:
         create_tables(spark, sink_root)
     sink = (sink_for(table) if sink_for else BatchSink(sink_root, table)).bind(ckpt)
-    stream = decode(read_topic(spark, table, fmt, source, options, max_files, max_offsets), table)
+    stream = decoder(read_topic(spark, table, fmt, source, options, max_files, max_offsets), table)
     writer = (
         stream.writeStream.foreachBatch(sink)
         .option("checkpointLocation", ckpt)
         .queryName(f"ingest_{table}_{uuid.uuid4().hex[:8]}")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    return writer.start()
+    sc = spark.sparkContext
+    before = sc.getLocalProperty(POOL)
+    sc.setLocalProperty(POOL, f"ingest_{table}")  # the stream's thread inherits it
+    try:
+        return writer.start()
+    finally:
+        sc.setLocalProperty(POOL, before)
 
 
 def start_all(spark: SparkSession, sink_root: str, tables: Iterable[str] | None = None, **kw) -> list[StreamingQuery]:
@@ -199,11 +209,12 @@ def run_ingest(spark: SparkSession, sink_root: str, tables: Iterable[str] | None
     try:
         if kw.get("available_now"):
             end = None if timeout_s is None else time.monotonic() + timeout_s
-            for q in queries:
-                if end is None:
-                    q.awaitTermination()
-                elif not q.awaitTermination(max(0.1, end - time.monotonic())):
-                    late.append(q.name)
+            # Any stream's failure ends the wait for all.
+            while any(q.isActive for q in queries) and all(q.exception() is None for q in queries):
+                if end is not None and time.monotonic() >= end:
+                    late = [q.name for q in queries if q.isActive]
+                    break
+                time.sleep(0.05)
         elif timeout_s is None:
             spark.streams.awaitAnyTermination()
         else:
