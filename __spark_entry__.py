@@ -26,7 +26,7 @@ from starlens.sources.schemas import SCHEMAS
 from starlens.sources.tables import recent_orders, recent_orders_labelled
 from starlens.plans.lattice import asked_questions, report_by_question
 from starlens.streaming.ingest import ingest_rejects, ingest_replay, ingest_roundtrip
-from starlens.streaming.scenarios import ingest_all, ingest_drift, ingest_duplicates, ingest_recovery, report_incremental
+from starlens.streaming.scenarios import ingest_all, ingest_drift, ingest_duplicates, ingest_recovery, report_incremental, truncate_then_ingest
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -180,6 +180,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["ingest_all"] = lambda spark, d: ingest_all(configure(spark), d)
     out["ingest_duplicates"] = lambda spark, d: ingest_duplicates(configure(spark), d)
     out["ingest_drift"] = lambda spark, d: ingest_drift(configure(spark), d)
+    out["truncate_then_ingest"] = lambda spark, d: truncate_then_ingest(configure(spark), d)
     for name, (analysis, scope) in SCOPED_SIGNALS.items():
         out[name] = lambda spark, d, a=analysis, sc=scope: signals(_star(spark, d), a, sc)
     if LLM:
@@ -225,6 +226,7 @@ def oracle_sql() -> dict[str, str]:
     out["ingest_all"] = oracle.ingest_all_sql()
     out["ingest_duplicates"] = oracle.star_table_sql("fact_payments")
     out["ingest_drift"] = oracle.ingest_drift_sql()
+    out["truncate_then_ingest"] = oracle.truncate_then_ingest_sql()
     for name, (analysis, scope) in SCOPED_SIGNALS.items():
         out[name] = oracle.signals_sql(analysis, scope)
     if LLM:

@@ -460,3 +460,8 @@ def ingest_drift_sql() -> str:
     parts = [f"SELECT '{source}' AS source, CAST({field} AS VARCHAR) AS field, '{kind}' AS kind, count(*) AS n FROM fact_order_lines WHERE {where} HAVING n > 0"
              for source, field, kind, where in counts]
     return with_star(" UNION ALL ".join(parts))
+
+
+def truncate_then_ingest_sql() -> str:
+    steps = [("stored", "order_id::BIGINT % 2 = 0"), ("half truncated", "order_id::BIGINT % 2 = 0"), ("truncated", "false"), ("went on", "order_id::BIGINT % 2 = 1")]
+    return with_star(" UNION ALL ".join(f"SELECT '{step}' AS step, count(*) AS rows FROM fact_payments WHERE {where}" for step, where in steps))

@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlens.functions.scope import as_scope
@@ -27,6 +27,7 @@ from starlens.operators.analyses import (
     shipments_both,
 )
 from starlens.operators.signals import detect
+from starlens.plans.rank import with_rank
 from starlens.sources.star import Star
 
 DOMAINS = ("payments", "orders", "shipments", "returns", "inventory", "clickstream")
@@ -173,8 +174,8 @@ def domain_long(star: Star, domain: str, scope: Mapping | None = None) -> DataFr
     for a in (a for a in ANALYSES.values() if a.domain == domain):
         b = a.run(star, sc, ordered=False)
         hits = detect(b, a.label, a.signal_value()).select(F.col("dimension").alias("_d"), "severity", "type")
-        place = F.row_number().over(Window.orderBy(*a.order()))  # groups of one breakdown
-        long = b.select(F.col(a.label).cast("string").alias("dimension"), a.signal_value().cast("double").alias("value"), place.alias("rank"))
+        ranked = with_rank(b, a.order())  # a breakdown can have as many groups as there are warehouses
+        long = ranked.select(F.col(a.label).cast("string").alias("dimension"), a.signal_value().cast("double").alias("value"), "rank")
         parts.append(long.join(hits, F.col("dimension").eqNullSafe(F.col("_d")), "left").select(
             F.lit(a.section).alias("section"), "rank", "dimension", "value", "severity", "type"))
     return reduce(DataFrame.unionByName, parts)

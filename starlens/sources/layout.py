@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from starlens.operators.questions import refresh_vocabulary
 from starlens.sources.schemas import KEYS, SCHEMAS
 from starlens.sources.star import Star, stored_table
+from starlens.sources.versions import version_root
 
 # The join key each fact is bucketed on.
 BUCKET_KEYS = {
@@ -121,7 +122,7 @@ def compact_ingested(spark: SparkSession, ingest_root: str, database: str, locat
     bucket.  With ``dedupe`` a whole new version is written instead, with one
     row per key: the one of the first stream and batch.  With ``vocabulary``
     the scope vocabulary of the questions is refreshed under that path."""
-    root = ingest_root.rstrip("/")
+    root = version_root(spark, ingest_root)
     stored = {n: _with_batch(stored_table(spark, f"{root}/{n}", n), n) for n in SCHEMAS}
     _database(spark, database, location)
     if dedupe:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from starlens.plans.joins import small_tables
 from starlens.sources.schemas import DIMENSIONS, FACTS, KEYS, SCHEMAS
+from starlens.sources.versions import version_root
 
 # Bounds of the key ranges of a partitioned database read (ids begin with these).
 RANGE_STARTS = "123456789abcdefghijklmnopqrstuvwxyz"
@@ -89,7 +90,7 @@ class Star(Mapping[str, DataFrame]):
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> "Star":
-        root = root.rstrip("/")
+        root = version_root(spark, root)
 
         def read(name: str) -> DataFrame:
             stored = stored_table(spark, f"{root}/{name}", name)

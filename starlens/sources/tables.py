@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from starlens.functions.text import event_ts, short_label, ts_text
 from starlens.sources.schemas import DIMENSIONS, FACTS, SCHEMAS
 from starlens.sources.star import Star
+from starlens.sources.versions import next_version, switch_version, version_root
 
 DEFAULT_LIMIT = 20
 MAX_LIMIT = 100
@@ -39,7 +40,7 @@ def recent_orders_labelled(star: Star, limit: int = MAX_LIMIT) -> DataFrame:
 def create_tables(spark: SparkSession, root: str) -> list[str]:
     """The fourteen parquet tables under ``root``, empty where they do not
     exist yet; existing ones are left alone.  Returns the names created."""
-    root, created = root.rstrip("/"), []
+    root, created = version_root(spark, root), []
     for name in DIMENSIONS + FACTS:
         try:
             spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
@@ -58,11 +59,16 @@ def create_tables_jdbc(spark: SparkSession, url: str, properties: dict[str, str]
 
 
 def truncate_all(spark: SparkSession, root: str) -> list[str]:
-    """Empty the fourteen parquet star tables under ``root``, facts first.
-    Streaming checkpoints are left alone, so old events are not re-ingested."""
-    root = root.rstrip("/")
+    """Empty the fourteen parquet star tables under ``root`` in one step: a new
+    version of all of them is written empty and then switched to.  A failure
+    before the switch leaves the old tables as they are.  Streams go on in the
+    new version with their next batch; their checkpoints are left alone, so old
+    events are not ingested again.  Folders of old versions stay for readers
+    that began before."""
+    number, folder = next_version(spark, root)
     for name in FACTS + DIMENSIONS:
-        spark.createDataFrame([], SCHEMAS[name]).write.mode("overwrite").parquet(f"{root}/{name}")
+        spark.createDataFrame([], SCHEMAS[name]).write.mode("overwrite").parquet(f"{folder}/{name}")
+    switch_version(spark, root, number)
     return FACTS + DIMENSIONS
 
 

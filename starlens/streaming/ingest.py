@@ -36,6 +36,7 @@ from starlens.session import remove_folder, shared_dir
 from starlens.sources.schemas import KEYS, SCHEMAS, TOPICS
 from starlens.sources.star import key_ranges, stored_table
 from starlens.sources.tables import create_tables
+from starlens.sources.versions import version_root
 
 STREAM_COL, BATCH_COL = "stream_id", "batch_id"
 # Bounds of one micro-batch: they size batches and drop nothing.
@@ -70,9 +71,9 @@ class BatchSink:
         self.checkpoint: str | None = None
         self._stream_id: str | None = None
 
-    @property
-    def path(self) -> str:
-        return f"{self.root}/{self.table}"
+    def folder(self, spark: SparkSession) -> str:
+        """Where the current version of the tables lies."""
+        return version_root(spark, self.root)
 
     @property
     def rejects_path(self) -> str:
@@ -100,7 +101,7 @@ class BatchSink:
         )
 
     def store(self, good: DataFrame, batch_id: int) -> None:
-        self._write(good, self.path, batch_id)
+        self._write(good, f"{self.folder(good.sparkSession)}/{self.table}", batch_id)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # A batch is bounded, so decoding it once for each output is cheaper than holding it.

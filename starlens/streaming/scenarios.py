@@ -4,6 +4,7 @@ events sent twice, drifting fields, and the report kept up by batch."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from starlens.session import shared_dir
 from starlens.sources.schemas import KEYS, SCHEMAS, TOPICS
 from starlens.sources.star import Star, stored_table
+from starlens.sources.tables import truncate_all
+from starlens.sources.versions import next_version
 from starlens.streaming.fields import decode_fields
 from starlens.streaming.ingest import BATCH_COL, BatchSink, _kept, decode, publish, publish_text, run_ingest, start_table
 from starlens.streaming.sinks import FieldSink, KeyedSink, StateSink, report_from_states
@@ -127,3 +130,31 @@ def report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = first.select(F.to_json(F.struct(*first.columns)).alias("value")).checkpoint()
     StateSink(f"{base}/star", table).bind(f"{base}/checkpoints/{table}")(decode(raw, table), 0)
     return _kept(report_from_states(spark, f"{base}/star"), base)
+
+
+def truncate_then_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(step, rows): payments stored by a stream before a truncation, after one
+    that failed half-way, after a whole one, and after the stream went on."""
+    base, table = _base(spark, "truncate"), "fact_payments"
+    rows = Star.from_fixtures(spark, sf_dir)[table]
+    half = F.pmod(F.col("order_id").cast("long"), F.lit(2)) == 0
+    where = {"source": f"{base}/topics", "checkpoint_root": f"{base}/checkpoints", "available_now": True}
+    publish(rows.where(half), table, f"{base}/topics")
+    run_ingest(spark, f"{base}/star", [table], **where)
+    steps: list[DataFrame] = []
+
+    def count(step: str) -> None:
+        now = Star.from_parquet(spark, f"{base}/star")[table]
+        steps.append(now.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(step).alias("step"), "rows").checkpoint())
+
+    count("stored")
+    _, folder = next_version(spark, f"{base}/star")
+    for name in list(SCHEMAS)[:7]:  # lost before the switch
+        spark.createDataFrame([], SCHEMAS[name]).write.mode("overwrite").parquet(f"{folder}/{name}")
+    count("half truncated")
+    truncate_all(spark, f"{base}/star")
+    count("truncated")
+    publish(rows.where(~half), table, f"{base}/topics")
+    run_ingest(spark, f"{base}/star", [table], **where)
+    count("went on")
+    return _kept(reduce(DataFrame.unionByName, steps), base)

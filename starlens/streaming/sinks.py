@@ -20,6 +20,7 @@ from starlens.operators import dims
 from starlens.operators.analyses import DEFAULT_TOP_N
 from starlens.sources.schemas import KEYS, SCHEMAS
 from starlens.sources.star import Star
+from starlens.sources.versions import version_root
 from starlens.streaming.fields import drift
 from starlens.streaming.ingest import BATCH_COL, STREAM_COL, BatchSink
 
@@ -42,9 +43,8 @@ class KeyedSink(BatchSink):
         super().__init__(root, table)
         self.buckets = buckets
 
-    @property
-    def index_path(self) -> str:
-        return f"{self.root}/_keys/{self.table}"
+    def index(self, spark: SparkSession) -> str:
+        return f"{self.folder(spark)}/_keys/{self.table}"
 
     def _own(self, spark: SparkSession, path: str, batch_id: int) -> str:
         return f"{path}/{STREAM_COL}={self.stream_id(spark)}/{BATCH_COL}={batch_id}"
@@ -53,7 +53,7 @@ class KeyedSink(BatchSink):
         """(bucket, key) of all other batches."""
         schema = f"k string, bucket int, {STREAM_COL} string, {BATCH_COL} long"
         try:
-            index = spark.read.schema(schema).parquet(self.index_path)
+            index = spark.read.schema(schema).parquet(self.index(spark))
         except Exception as e:
             if getattr(e, "getCondition", lambda: "")() != "PATH_NOT_FOUND":
                 raise
@@ -74,13 +74,13 @@ class KeyedSink(BatchSink):
     def store(self, good: DataFrame, batch_id: int) -> None:
         spark, fresh = good.sparkSession, self.fresh(good, batch_id)
         # Read back, so that rows and keys are of one and the same run.
-        rows = self._own(spark, self.path, batch_id)
+        rows = self._own(spark, f"{self.folder(spark)}/{self.table}", batch_id)
         fresh.select(*good.columns).write.mode("overwrite").parquet(rows)
         key = KEYS[self.table]
         kept = spark.read.schema(good.schema).parquet(rows).select(
             F.col(key).alias("k"), F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int").alias("bucket"))
         kept.withColumns({STREAM_COL: F.lit(self.stream_id(spark)), BATCH_COL: F.lit(batch_id)}).repartition("bucket").write.mode(
-            "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", STREAM_COL, BATCH_COL).parquet(self.index_path)
+            "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", STREAM_COL, BATCH_COL).parquet(self.index(spark))
 
 
 class FieldSink(BatchSink):
@@ -130,7 +130,7 @@ class StateSink(BatchSink):
     def store(self, good: DataFrame, batch_id: int) -> None:
         super().store(good, batch_id)
         for name, state in STATES.get(self.table, {}).items():
-            self._write(state(good), f"{self.root}/_states/{name}", batch_id)
+            self._write(state(good), f"{self.folder(good.sparkSession)}/_states/{name}", batch_id)
 
 
 def read_state(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -138,7 +138,7 @@ def read_state(spark: SparkSession, root: str, name: str) -> DataFrame:
     table = next(t for t, states in STATES.items() if name in states)
     schema = STATES[table][name](spark.createDataFrame([], SCHEMAS[table])).schema
     try:
-        return spark.read.schema(schema).parquet(f"{root}/_states/{name}")
+        return spark.read.schema(schema).parquet(f"{version_root(spark, root)}/_states/{name}")
     except Exception as e:
         if getattr(e, "getCondition", lambda: "")() != "PATH_NOT_FOUND":
             raise
