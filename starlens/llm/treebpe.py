@@ -34,9 +34,11 @@ from pyspark.sql import functions as F
 from starlens.llm.common import table
 
 LEAF = 8  # bytes of a leaf, encoded directly
-SEAM = 2  # tokens of each side in the first window of a join
+SEAM = 1  # tokens of each side in the first window of a join
+NONE = 1 << 60  # of a pair without a rank
 SCANNED = 64  # bytes up to which the smallest rank is found by scanning
-MEMO_WORDS = 200_000  # words in each of the two generations that a worker remembers
+MEMO_WORDS = 500_000  # words in each of the two generations that a worker remembers
+MEMO_LEAVES = 200_000  # leaves that a worker remembers; words share many of them
 MEMO_BYTES = 200  # longer words are not remembered
 
 
@@ -50,7 +52,7 @@ class ByteBpe:
             raise ValueError(f"{path}: not every byte has a rank")
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.words = regex.compile(pattern)
-        self.memo, self.older = {}, {}
+        self.memo, self.older, self.leaves = {}, {}, {}
 
     def direct(self, raw: bytes) -> list[bytes]:
         """Tokens of a leaf or window: the pair of least rank merges first, of
@@ -59,15 +61,15 @@ class ByteBpe:
         if len(raw) > SCANNED:
             return self._by_heap(raw)
         parts = [raw[i : i + 1] for i in range(len(raw))]
-        while len(parts) > 1:
-            least, at = None, 0
-            for i in range(len(parts) - 1):
-                r = rank(parts[i] + parts[i + 1])
-                if r is not None and (least is None or r < least):
-                    least, at = r, i
-            if least is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        ranks = [rank(raw[i : i + 2], NONE) for i in range(len(raw) - 1)]
+        while ranks and (least := min(ranks)) < NONE:
+            i = ranks.index(least)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + parts[i], NONE)
+            if i < len(ranks):
+                ranks[i] = rank(parts[i] + parts[i + 1], NONE)
         return parts
 
     def _by_heap(self, raw: bytes) -> list[bytes]:
@@ -113,7 +115,12 @@ class ByteBpe:
     def encode_bytes(self, raw: bytes) -> list[bytes]:
         """Tokens of one word, by halves."""
         if len(raw) <= LEAF:
-            return self.direct(raw)
+            found = self.leaves.get(raw)
+            if found is None:
+                found = self.leaves[raw] = self.direct(raw)
+                if len(self.leaves) > MEMO_LEAVES:
+                    self.leaves.clear()
+            return found
         half = len(raw) // 2
         return self.join(self.encode_bytes(raw[:half]), self.encode_bytes(raw[half:]))
 
@@ -123,26 +130,26 @@ class ByteBpe:
         half = len(ids) // 2
         return self.decode_bytes(ids[:half]) + self.decode_bytes(ids[half:])
 
-    def _entry(self, word: str) -> tuple[int, str, bytes]:
+    def _entry(self, word: str) -> tuple[str, bytes]:
         found = self.older.get(word)
         if found is None:
             ids = [self.ranks[t] for t in self.encode_bytes(word.encode())]
-            found = (len(ids), ",".join(map(str, ids)), self.decode_bytes(ids))
-        if len(found[2]) <= MEMO_BYTES:
+            found = (",".join(map(str, ids)), self.decode_bytes(ids))
+        if len(found[1]) <= MEMO_BYTES:
             if len(self.memo) >= MEMO_WORDS:
                 self.memo, self.older = {}, self.memo
             self.memo[word] = found
         return found
 
-    def entries(self, text: str | None) -> list[tuple[int, str, bytes]]:
-        """(number of ids, ids as decimals, decoded bytes) of each word."""
+    def entries(self, text: str | None) -> list[tuple[str, bytes]]:
+        """(ids as decimals, decoded bytes) of each word."""
         out = []
         for w in self.words.findall(text or ""):
             out.append(self.memo.get(w) or self._entry(w))
         return out
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for e in self.entries(text) for i in e[1].split(",")]
+        return [int(i) for e in self.entries(text) for i in e[0].split(",")]
 
     def decode(self, ids: list[int]) -> bytes:
         return self.decode_bytes(ids)
@@ -206,9 +213,10 @@ def encode_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
         n, ids, bodies = [], [], []
         for t in b.column(1):
             words = enc.entries(t.as_py())
-            n.append(sum([w[0] for w in words]))
-            ids.append(hashlib.sha256(",".join([w[1] for w in words]).encode()).hexdigest())
-            bodies.append(hashlib.sha256(b"".join([w[2] for w in words])).hexdigest())
+            joined = ",".join([w[0] for w in words])
+            n.append(joined.count(",") + 1 if joined else 0)
+            ids.append(hashlib.sha256(joined.encode()).hexdigest())
+            bodies.append(hashlib.sha256(b"".join([w[1] for w in words])).hexdigest())
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(bodies, pa.string())],
                                           ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
