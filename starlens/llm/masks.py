@@ -27,11 +27,12 @@ from pyspark.sql import functions as F
 
 from starlens.llm.common import arrow_rows, table, written
 
-DOCS_BITS = 13  # 8192 documents in a block
-POSTINGS = 1 << 22  # postings at which a block is closed early
+DOCS_BITS = 12  # 4096 documents in a block
+POSTINGS = 1 << 21  # postings at which a block is closed early
 ITEM_TERMS = 1 << 17  # terms of a packed row of items, or one item
 BLOCKS = 16  # blocks of documents in a bucket, where there are enough of them
 TILES = 4  # joined rows handed to Python at once
+ROWS = 2500  # documents, or postings, handed to Python at once
 HELD = 20_000  # items whose lists a task holds before it hands them on
 #: The size up to which the items' vocabulary is broadcast; beyond, postings meet it by a shuffle.
 HINTED_TERMS, HINTED_BYTES = 500_000, 16 << 20
@@ -76,6 +77,7 @@ def _blocks(postings: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        kept = 0  # postings held
 
         def flush(some: list[pa.RecordBatch]) -> pa.RecordBatch:
             block, at, id_, tid, tf = (pa.chunked_array([b.column(c) for b in some]) for c in range(5))
@@ -102,7 +104,7 @@ def _blocks(postings: DataFrame) -> DataFrame:
             last = (held[-1].column(0)[-1].as_py(), held[-1].column(1)[-1].as_py()) if held else None
             new_doc[0] = last is None or last != (block[0], at[0])
             new_block = np.append(last is not None and last[0] != block[0], np.diff(block) != 0)
-            start, kept = 0, sum(h.num_rows for h in held)
+            start = 0
             for i in np.flatnonzero(new_doc):
                 if new_block[i] or kept + i - start >= POSTINGS:  # only between documents
                     if i > start:
@@ -111,10 +113,12 @@ def _blocks(postings: DataFrame) -> DataFrame:
                         yield flush(held)
                     held, start, kept = [], i, 0
             held.append(b.slice(start))
+            kept += b.num_rows - start
         if held:
             yield flush(held)
 
-    return written(postings.mapInArrow(run, _BLOCK), "search-blocks")
+    with arrow_rows(postings.sparkSession, ROWS):
+        return written(postings.mapInArrow(run, _BLOCK), "search-blocks")
 
 
 class _Block:
