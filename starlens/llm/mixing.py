@@ -88,7 +88,8 @@ def plan_mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     a source ends before its quota is exceeded.  A null source is a source of
     its own.  Rows equal in id, source and text are one unit.  Documents
     without a token go with their block; a source without any token has no
-    share and is read once, at weight 0.  An empty table gives no rows.
+    share and is read once, at weight 0.  A very long text is one unit with all
+    its tokens, and is never cut.  An empty table gives no rows.
     """
     units = written(
         docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
@@ -139,16 +140,21 @@ def plan_mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **limits) -> DataFrame:
     """The columns of ``docs``, a row for every reading that ``plan_mixture``
-    gives it.  No order is promised; equal rows are read equally often."""
-    plan = plan_mixture(docs, id_col, text_col, source_col, **limits).groupBy("id", "source", "h").agg(
-        F.count("*").cast("int").alias("readings"))
-    plan = plan.withColumnsRenamed({"id": "id_", "source": "source_", "h": "h_"})
+    gives it, in the order of passes and of the blocks' places in them: range
+    partitions, sorted, so that files written from them follow the permuted
+    blocks.  Within a place documents go by a hash, which interleaves sources.
+    Equal rows are read equally often, one after the other; an empty table
+    gives no rows; a very long text is one row and moves whole, twice."""
+    plan = plan_mixture(docs, id_col, text_col, source_col, **limits).select(
+        F.col("id").alias("id_"), F.col("source").alias("source_"), F.col("h").alias("h_"), "pass", "place")
+    plan = written(plan, "mixture").hint("merge")  # a row for every reading: met by a shuffle join at every size
     rows = docs.select(
         F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
         F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")).alias("h"))
     met = rows.join(plan, F.col("id").eqNullSafe(F.col("id_")) & F.col("source").eqNullSafe(F.col("source_"))
                     & (F.col("h") == F.col("h_")))
-    return met.select("row", F.explode(F.array_repeat(F.lit(1), F.col("readings")))).select("row.*")
+    order = [F.col("pass"), F.col("place"), F.xxhash64("id", "h")]
+    return met.repartitionByRange(*order).sortWithinPartitions(*order).select("row.*")
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:

@@ -90,3 +90,23 @@ def test_equals_sql(spark, tmp_path, big):
     cols = ["doc_id", "source", "weight", "pass", "block", "place", "tokens"]
     want = sorted(con.execute(OP1_SQL).df()[cols].itertuples(index=False, name=None))
     assert sorted(tuple(r[c] for c in cols) for r in op1_mixing(spark, sf).collect()) == want
+
+
+def test_the_mixed_corpus_follows_the_permuted_blocks(spark):
+    """Read in order, the rows come by pass and by the place of their block."""
+    docs = spark.createDataFrame([(i, f"w{i} " * (1 + i % 7), "abc"[i % 10 // 4]) for i in range(300)], "doc_id long, text string, source string")
+    plan = {}
+    for r in plan_mixture(docs).collect():
+        plan.setdefault(r.id, []).append((r["pass"], r.place))
+    read, seen = [r.doc_id for r in mix(docs).collect()], Counter()
+    keys = []
+    for i in read:
+        keys.append(sorted(plan[i])[seen[i]])
+        seen[i] += 1
+    assert len({k[1] for k in keys}) > 5 and keys == sorted(keys)
+
+
+def test_a_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "long " * 400_000, "a"), (2, "short text", "a"), (3, "other words", "b")], "doc_id long, text string, source string")
+    tokens = {r.id: r.tokens for r in plan_mixture(docs).collect()}
+    assert tokens[1] == 400_000 and {r.doc_id for r in mix(docs).collect()} == {1, 2, 3}
