@@ -218,7 +218,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 def score_quality(docs: DataFrame, field: LineField, keep: list[str], text_col: str = "text") -> DataFrame:
     """(kept, score): one row per input row, ``kept`` being a struct of its
     columns ``keep``.  A null text scores as an empty one, which is a single
-    empty line; an empty table gives no rows."""
+    empty line; a very long text is scored whole, line by line; an empty table
+    gives no rows."""
     rows = docs.select(F.struct(*keep).alias("kept"), *([] if text_col in keep else [F.col(text_col).cast("string").alias("t")]))
     kind = rows.schema["kept"].dataType.simpleString()
 

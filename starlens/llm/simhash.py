@@ -65,7 +65,7 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     if max_bits % 2 or not 0 <= max_bits <= 4:
         raise ValueError("max_bits must be 0, 2 or 4")
     masks = F.array(*[F.lit(m) for m in ball(max_bits // 2)])
-    near = fps.select("fp", F.explode(masks).alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("value"))
+    near = fps.repartition("fp").select("fp", F.explode(masks).alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("value"))
     first = F.min("fp").over(Window.partitionBy("value"))
     met = near.select("fp", first.alias("first")).where("fp != first").distinct()
     return met.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("first"))) <= max_bits).select(
@@ -81,8 +81,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null and blank texts have fingerprint zero and are linked like any other.
     Rows that repeat (or share an id) each give a row.  A row with a null id
     keeps its fingerprint and component, but names none: a component of null
-    ids alone has a null component_id.  An empty table gives no rows; other
-    columns of ``docs`` are not read.  Equal fingerprints are collapsed before
+    ids alone has a null component_id.  An empty table gives no rows; a very
+    long text is hashed whole, in blocks of shingles; other columns of ``docs``
+    are not read.  Equal fingerprints are collapsed before
     anything is paired, so groups of copies cost one row.
     """
     fps = written(fingerprints(docs, id_col, text_col, words), "simhash")
