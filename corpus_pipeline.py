@@ -4,6 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of ``docs``.  The driver, or ``run``, writes each
 stage's result as Parquet and reads it as the next stage's ``docs``.
 
+A very long text is one row in every stage and is read, hashed, mixed and
+encoded whole, never cut.
+
 SQL cannot express the quality classifier (a fitted model), the SimHash stage
 or the encoding, so ``ORACLE_SQL`` is None; tests/llm hold the pipeline
 against a brute-force version of every stage.
@@ -61,7 +64,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The corpus at its target weights: every document at least once, those
-    of small sources up to twice."""
+    of small sources up to twice, in the order of the block permutations."""
     return mixing.mix(docs)
 
 
