@@ -59,6 +59,42 @@ def test_equals_brute_force(spark, monkeypatch, hashes, block):
         assert got == want
 
 
+@pytest.mark.parametrize("dim", [1, 3, 24, 200])
+def test_sketches_bound_the_cosine(dim):
+    """Every pair's cosine lies between its bounds, and a sketch comes back from its bytes as it went."""
+    rng = np.random.default_rng(dim)
+    x = rng.normal(size=(200, dim)) * rng.choice([0.01, 1.0, 30.0], size=(200, dim))
+    x = cp.unit(np.concatenate([x, x + 0.2 * rng.normal(size=x.shape)]))
+    codes, ids = axes(x, 4, 1), np.arange(400)
+    one = cp.opened(ids, ids, cp.bodies(x, codes).tobytes(), dim, 1, 4)
+    numbers, step, error = cp.sketch(x)
+    assert (one["numbers"] == numbers).all() and (one["step"] == step).all() and (one["error"] == error).all() and (one["codes"] == codes).all()
+    estimate, margin = cp.bounds(one, one)
+    assert (np.abs(estimate - x @ x.T) <= margin).all()
+    assert (estimate == estimate.T).all() and (margin == margin.T).all()
+
+
+def test_bucket_keys_come_back():
+    codes = np.array([[0, 127], [126, 3]])
+    for t in (0, 5):
+        for key, code in zip(cp.bucket_keys(t, codes, 64), codes):
+            no, digits = cp._digits(int(key), 64, 2)
+            assert no == t and (digits == code).all()
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_a_group_whose_cosines_lie_at_the_threshold(spark, monkeypatch, block):
+    """Nearly every pair lies between the bounds: settled by the vectors, within and across blocks."""
+    monkeypatch.setattr(cp.link_counts, "__defaults__", (block,))
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=8)[None, :] + rng.normal(size=(90, 8)) * 0.25
+    want = brute(list(range(90)), [0] * 90, x)
+    got = {r[0]: r[1:] for r in run(spark, [(i, x[i].tolist(), 0) for i in range(90)])}
+    assert 0 < sum(w[0] for w in want.values()) < 90 * 89
+    assert sum(g[0] for g in got.values()) >= 0.998 * sum(w[0] for w in want.values())
+    assert all(got[i][0] <= want[i][0] for i in want)
+
+
 def test_recall_on_the_table_with_near_copies(spark):
     """The table's vectors, and for a tenth of them copies turned to cosines around the threshold."""
     v = table(spark, "/root/testdata/sf0.1", "embeddings").toPandas().sort_values("vec_id")
@@ -93,6 +129,15 @@ def test_odd_rows(spark):
     assert run(spark, []) == []
 
 
+def test_signed_zeros_and_clashing_hashes(spark, monkeypatch):
+    """0.0 equals -0.0; where hashes of classes clash, rows meet their class by label and vector."""
+    rows = [(1, [1.0, 0.0], 1), (2, [1.0, -0.0], 1), (2, [1.0, -0.0], 1), (3, [0.0, 1.0], 1), (4, [0.0, 1.0], 2), (5, None, 2)]
+    want = [(1, 1, 1, True), (2, 1, 1, False), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True)]
+    assert sorted(run(spark, rows)) == want
+    monkeypatch.setattr(cp.F, "xxhash64", lambda *c: cp.F.lit(7).cast("long"))
+    assert sorted(run(spark, rows)) == want
+
+
 def test_an_id_under_two_labels(spark):
     """Its row without a near vector has no link and is its own component; links of its labels do not mix."""
     rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.01], 1), (1, [0.0, 1.0], 2), (0, [1.0, 0.0], 3), (2, [1.0, 0.01], 3), (1, [-1.0, 0.0], 1)]
