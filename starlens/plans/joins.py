@@ -33,18 +33,27 @@ def max_broadcast_rows(spark: SparkSession) -> int:
     return _bound(spark, ROWS_KEY, DEFAULT_MAX_ROWS)
 
 
+def max_broadcast_bytes(spark: SparkSession) -> int:
+    return _bound(spark, BYTES_KEY, DEFAULT_MAX_BYTES)
+
+
 def stored_bytes(df: DataFrame) -> int:
     """Bytes of the files, or of the local rows, that ``df`` reads."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The bytes that Spark's planner expects of ``df``, by which it chooses joins."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def small_tables(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> dict[str, bool]:
     """For each table: within the bounds, and unique on its key."""
     if not tables:
         return {}
     spark = next(iter(tables.values())).sparkSession
-    most_rows, most_bytes = max_broadcast_rows(spark), _bound(spark, BYTES_KEY, DEFAULT_MAX_BYTES)
+    most_rows, most_bytes = max_broadcast_rows(spark), max_broadcast_bytes(spark)
     near = {n: df for n, df in tables.items() if stored_bytes(df) <= most_bytes}
     counts = [
         df.select(F.lit(n).alias("t"), F.col(keys[n]).cast("string").alias("k")).groupBy("t", "k").agg(F.count(F.lit(1)).alias("n"))
