@@ -21,9 +21,10 @@ from starlens.operators.questions import props_scope, question_scope, user_quest
 from starlens.operators.rootcause import root_cause
 from starlens.plans.report import DOMAINS, breakdown, domain_long, findings, report_long, report_signals, signals
 from starlens.session import configure
+from starlens.sources.layout import on_layout
 from starlens.sources.star import Star
 from starlens.sources.schemas import SCHEMAS
-from starlens.sources.tables import recent_orders, recent_orders_labelled
+from starlens.sources.tables import MAX_LIMIT, recent_order_facts, recent_orders, recent_orders_labelled
 from starlens.plans.lattice import asked_questions, report_by_question
 from starlens.streaming.ingest import ingest_rejects, ingest_replay, ingest_roundtrip
 from starlens.streaming.scenarios import ingest_all, ingest_drift, ingest_duplicates, ingest_recovery, report_incremental, truncate_then_ingest
@@ -98,6 +99,13 @@ SCOPED_SIGNALS: dict[str, tuple[str, dict[str, str]]] = {
     "signals_return_reasons_region": ("return_reasons", {"region": REGION}),
     "signals_clickstream_by_device_region": ("clickstream_by_device", {"region": REGION}),
 }
+# Queries over a layout of the tables they read.
+LOCATED = ["dim_customers", "dim_customer_addresses", "dim_regions", "fact_order_headers"]
+ON_LAYOUT: dict[str, tuple[Callable[[Star], DataFrame], list[str]]] = {
+    "layout_shipments_by_region": (lambda star: ANALYSES["shipments_by_region"].run(star, {}), [*LOCATED, "fact_shipments"]),
+    "layout_recent_order_facts": (lambda star: recent_order_facts(star, MAX_LIMIT),
+                                  ["fact_order_headers", "fact_order_lines", "fact_payments", "fact_shipments"]),
+}
 
 
 def _optional(name: str):
@@ -181,6 +189,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["ingest_duplicates"] = lambda spark, d: ingest_duplicates(configure(spark), d)
     out["ingest_drift"] = lambda spark, d: ingest_drift(configure(spark), d)
     out["truncate_then_ingest"] = lambda spark, d: truncate_then_ingest(configure(spark), d)
+    for name, (query, tables) in ON_LAYOUT.items():
+        out[name] = lambda spark, d, q=query, t=tables: on_layout(_star(spark, d), q, t)
     for name, (analysis, scope) in SCOPED_SIGNALS.items():
         out[name] = lambda spark, d, a=analysis, sc=scope: signals(_star(spark, d), a, sc)
     if LLM:
@@ -227,6 +237,8 @@ def oracle_sql() -> dict[str, str]:
     out["ingest_duplicates"] = oracle.star_table_sql("fact_payments")
     out["ingest_drift"] = oracle.ingest_drift_sql()
     out["truncate_then_ingest"] = oracle.truncate_then_ingest_sql()
+    out["layout_shipments_by_region"] = oracle.breakdown_sql("shipments_by_region", {})
+    out["layout_recent_order_facts"] = oracle.recent_order_facts_sql(MAX_LIMIT)
     for name, (analysis, scope) in SCOPED_SIGNALS.items():
         out[name] = oracle.signals_sql(analysis, scope)
     if LLM:

@@ -320,6 +320,17 @@ def recent_orders_sql(limit: int = 20) -> str:
     )
 
 
+def recent_order_facts_sql(limit: int = 20) -> str:
+    return with_star(f"""
+SELECT r.order_id, r.event_timestamp,
+       (SELECT count(*) FROM fact_order_lines x WHERE x.order_id = r.order_id) AS lines,
+       (SELECT coalesce(sum(quantity), 0)::BIGINT FROM fact_order_lines x WHERE x.order_id = r.order_id) AS quantity,
+       (SELECT count(*) FROM fact_payments x WHERE x.order_id = r.order_id) AS payments,
+       (SELECT count(*) FROM fact_payments x WHERE x.order_id = r.order_id AND payment_status = 'failed') AS failed,
+       (SELECT count(*) FROM fact_shipments x WHERE x.order_id = r.order_id) AS shipments
+FROM (SELECT * FROM fact_order_headers ORDER BY event_timestamp DESC NULLS FIRST, order_id LIMIT {min(int(limit), 100)}) r""")
+
+
 def star_table_sql(table: str) -> str:
     """A star table as stored after ingest: the fixture view itself."""
     return with_star(f"SELECT * FROM {table}")

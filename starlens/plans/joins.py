@@ -7,7 +7,8 @@ after that).  A table within the bounds whose key is unique may be hinted, and
 so may an inner join of such tables along their keys, which cannot have more
 rows than its first table.  The verdict lives in the ``Star`` it was made for,
 together with the listing it was made from: reading the tables again lists and
-checks them again.  Everything else goes unhinted: Spark plans a sort-merge
+checks them again.  A layout keeps what was counted with its version
+(``sources.layout``), so that no query counts there.  Everything else goes unhinted: Spark plans a sort-merge
 join, and AQE may still broadcast from measured sizes.
 """
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,19 +50,47 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def small_tables(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> dict[str, bool]:
-    """For each table: within the bounds, and unique on its key."""
+class Measure(NamedTuple):
+    """Of a table: bytes of its files, rows, and whether its key is unique."""
+
+    size: int
+    rows: int
+    unique: bool
+
+    def note(self) -> str:
+        return f"{self.size},{self.rows},{int(self.unique)}"
+
+    @classmethod
+    def noted(cls, note: str) -> "Measure":
+        size, rows, unique = map(int, note.split(","))
+        return cls(size, rows, bool(unique))
+
+
+def measured(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> dict[str, Measure]:
+    """Rows and uniqueness of the tables within the bound in bytes, in one job."""
     if not tables:
         return {}
-    spark = next(iter(tables.values())).sparkSession
-    most_rows, most_bytes = max_broadcast_rows(spark), max_broadcast_bytes(spark)
-    near = {n: df for n, df in tables.items() if stored_bytes(df) <= most_bytes}
+    most_bytes = max_broadcast_bytes(next(iter(tables.values())).sparkSession)
+    sizes = {n: stored_bytes(df) for n, df in tables.items()}
+    near = {n: df for n, df in tables.items() if sizes[n] <= most_bytes}
     counts = [
         df.select(F.lit(n).alias("t"), F.col(keys[n]).cast("string").alias("k")).groupBy("t", "k").agg(F.count(F.lit(1)).alias("n"))
         for n, df in near.items()
     ]
     if not counts:
-        return dict.fromkeys(tables, False)
-    sizes = reduce(DataFrame.unionByName, counts).groupBy("t").agg(F.sum("n").alias("rows"), F.max(F.when(F.col("k").isNotNull(), F.col("n"))).alias("most")).collect()
-    found = {r["t"]: r["rows"] <= most_rows and r["most"] in (None, 1) for r in sizes}  # a row per table
-    return {n: n in near and found.get(n, True) for n in tables}  # no row: an empty table
+        return {}
+    found = reduce(DataFrame.unionByName, counts).groupBy("t").agg(F.sum("n").alias("rows"), F.max(F.when(F.col("k").isNotNull(), F.col("n"))).alias("most")).collect()
+    empty = {n: Measure(sizes[n], 0, True) for n in near}
+    return empty | {r["t"]: Measure(sizes[r["t"]], r["rows"], r["most"] in (None, 1)) for r in found}  # a row per table
+
+
+def small_tables(tables: Mapping[str, DataFrame], keys: Mapping[str, str], known: Mapping[str, Measure] | None = None) -> dict[str, bool]:
+    """For each table: within the bounds, and unique on its key.  A measure
+    that is ``known`` holds where the table's files still have its size."""
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    most_rows, most_bytes = max_broadcast_rows(spark), max_broadcast_bytes(spark)
+    found = {n: m for n, m in (known or {}).items() if n in tables and m.size == stored_bytes(tables[n])}
+    found |= measured({n: df for n, df in tables.items() if n not in found}, keys)
+    return {n: n in found and found[n].size <= most_bytes and found[n].rows <= most_rows and found[n].unique for n in tables}

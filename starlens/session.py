@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Sorted buckets of one file each are read as sorted (sources.layout).
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
 
 

@@ -20,10 +20,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlens.plans.joins import small_tables
+from starlens.plans.joins import Measure, small_tables
 from starlens.sources.schemas import DIMENSIONS, FACTS, KEYS, SCHEMAS
 from starlens.sources.versions import version_root
 
+NOTE = "starlens.measure"  # property of a catalog view: what was counted over its table
 # Bounds of the key ranges of a partitioned database read (ids begin with these).
 RANGE_STARTS = "123456789abcdefghijklmnopqrstuvwxyz"
 
@@ -49,12 +50,14 @@ def key_ranges(key: str, parts: int) -> list[str]:
 
 
 class Star(Mapping[str, DataFrame]):
-    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                 known: Callable[[str], Measure | None] = lambda name: None):
         missing = set(SCHEMAS) - set(tables)
         if missing:
             raise ValueError(f"star tables missing: {sorted(missing)}")
         self.spark = spark
         self._tables = dict(tables)
+        self._known = known
         self._small: dict[str, bool] = {}
         self._lock = threading.RLock()
 
@@ -74,7 +77,8 @@ class Star(Mapping[str, DataFrame]):
         """Check the sizes of these dimensions (all by default) in one job, once for this star."""
         with self._lock:
             new = [n for n in names or DIMENSIONS if n not in self._small]
-            self._small |= small_tables({n: self[n] for n in new}, KEYS)
+            known = {n: m for n in new if (m := self._known(n))}
+            self._small |= small_tables({n: self[n] for n in new}, KEYS, known)
 
     def broadcast(self, df: DataFrame, *made_of: str) -> DataFrame:
         """``df``, a filter, projection or key join of the named dimensions, hinted if all of them are small."""
@@ -110,8 +114,12 @@ class Star(Mapping[str, DataFrame]):
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str) -> "Star":
-        """Catalog tables, e.g. the layout of ``sources.layout``."""
-        return cls(
-            spark,
-            {name: spark.table(f"{database}.{name}").select(*SCHEMAS[name].names) for name in SCHEMAS},
-        )
+        """Catalog tables, e.g. the layout of ``sources.layout``, whose views carry what was counted over dimensions."""
+
+        def known(name: str) -> Measure | None:
+            for r in spark.sql(f"SHOW TBLPROPERTIES {database}.{name}").collect():  # a few rows
+                if r["key"] == NOTE:
+                    return Measure.noted(r["value"])
+            return None
+
+        return cls(spark, {name: lambda n=name: spark.table(f"{database}.{n}").select(*SCHEMAS[n].names) for name in SCHEMAS}, known)

@@ -1,7 +1,10 @@
-"""Table maintenance and direct reads: recent rows (A9) and truncation (A10)."""
+"""Table maintenance and direct reads: recent rows and what belongs to them (A9), truncation (A10)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,6 +16,7 @@ from starlens.sources.versions import next_version, switch_version, version_root
 
 DEFAULT_LIMIT = 20
 MAX_LIMIT = 100
+PUSHED = 10  # values of an IN that Spark hands to Parquet one by one
 
 
 def recent_orders(star: Star, limit: int = DEFAULT_LIMIT) -> DataFrame:
@@ -37,6 +41,36 @@ def recent_orders_labelled(star: Star, limit: int = MAX_LIMIT) -> DataFrame:
         F.substring(ts_text(when), 1, 19).alias("at"), F.to_date(when).cast("string").alias("day"))
 
 
+def rows_of(rows: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
+    """The rows of a stored table whose ``key`` is one of ``values``, few
+    enough for a plan.  Spark hands an IN of more than ``PUSHED`` values to
+    Parquet as one range, so more are asked in groups."""
+    values = sorted({v for v in values if v is not None})
+    groups = [F.col(key).isin(values[k:k + PUSHED]) for k in range(0, len(values), PUSHED)]
+    return rows.where(reduce(lambda a, b: a | b, groups) if groups else F.lit(False))
+
+
+def recent_order_facts(star: Star, limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """(order_id, event_timestamp, lines, quantity, payments, failed,
+    shipments) of the latest orders.  Their ids, at most 100, are looked up in
+    the facts (``rows_of``), which on the layout reads the buckets of the ids
+    and of each bucket at most a page an id.  An order without rows of a fact has 0 of them; a null
+    order id meets none."""
+    latest = recent_orders(star, limit).select("order_id", "event_timestamp")
+    found = latest.collect()  # at most 100 rows
+    ids, n = [r["order_id"] for r in found], F.count(F.lit(1))
+    facts = [
+        rows_of(star["fact_order_lines"], "order_id", ids).groupBy("order_id").agg(n.alias("lines"), F.sum("quantity").alias("quantity")),
+        rows_of(star["fact_payments"], "order_id", ids).groupBy("order_id").agg(
+            n.alias("payments"), F.count_if(F.col("payment_status") == "failed").alias("failed")),
+        rows_of(star["fact_shipments"], "order_id", ids).groupBy("order_id").agg(n.alias("shipments")),
+    ]
+    out = star.spark.createDataFrame(found, latest.schema)
+    for fact in facts:
+        out = out.join(fact, "order_id", "left")
+    return out.fillna(0, ["lines", "quantity", "payments", "failed", "shipments"])
+
+
 def create_tables(spark: SparkSession, root: str) -> list[str]:
     """The fourteen parquet tables under ``root``, empty where they do not
     exist yet; existing ones are left alone.  Returns the names created."""

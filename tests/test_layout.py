@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import random
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, make_star
 
 from starlens.operators.analyses import ANALYSES
 from starlens.operators.rootcause import root_cause
 from starlens.sources.layout import compact
 from starlens.sources.star import Star
+from starlens.sources.tables import recent_order_facts, rows_of
 
 
 def test_compacted_star_gives_same_results(spark):
@@ -134,3 +137,129 @@ def test_compact_ingested_reads_the_ingest_output(spark):
     got = sorted(map(tuple, ANALYSES["courier_performance"].run(cat, {"region": "ASIA"}).collect()))
     want = sorted(map(tuple, ANALYSES["courier_performance"].run(views, {"region": "ASIA"}).collect()))
     assert got == want
+
+
+@contextmanager
+def settings(spark, **values):
+    values = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _scanned(df):
+    """Rows that the scan read, after skipped row groups and pages."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def _payments(spark, n):
+    r = random.Random(4)
+    ids = [f"{r.getrandbits(60):015x}" for _ in range(n)]
+    return [(ids[k], f"o{k:05}", f"m{k % 3}", 1.0, "failed" if k % 7 == 0 else "success", None, f"t{k % 50:02}") for k in range(n)]
+
+
+def test_joins_of_sorted_buckets_neither_shuffle_nor_sort(spark):
+    from starlens.sources import layout
+
+    views = Star.from_fixtures(spark, SF_SMALL)
+    db = f"star_{uuid.uuid4().hex[:8]}"
+    compact(views, db, tempfile.mkdtemp(prefix="starlens-layout-"), buckets=4, names=["fact_order_headers", "fact_shipments"])
+
+    def joined(star):
+        j = star["fact_shipments"].select("order_id", "event_timestamp").join(star["fact_order_headers"].select("order_id"), "order_id")
+        return j._jdf.queryExecution().executedPlan().toString(), sorted(map(tuple, j.collect()))
+
+    want = joined(views)[1]
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan, got = joined(Star.from_catalog(spark, db))
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan and got == want
+        # a second file in a bucket ends the order: Spark sorts again, still without a shuffle
+        table = f"{db}.{layout.versions(spark, db, 'fact_order_headers')[-1]}"
+        layout._write(layout._with_batch(views["fact_order_headers"], "fact_order_headers"), "fact_order_headers", table, 4, "append")
+        spark.catalog.refreshTable(table)
+        assert layout._files_a_bucket(spark, table) == 2
+        plan, got = joined(Star.from_catalog(spark, db))
+        assert "Exchange" not in plan and "Sort [" in plan and got == sorted(want * 2)
+
+
+def test_a_key_lookup_reads_few_row_groups_and_pages(spark):
+    n = 20_000
+    rows = _payments(spark, n)
+    star, db = make_star(spark, fact_payments=rows), f"star_{uuid.uuid4().hex[:8]}"
+    with settings(spark, parquet__block__size="65536", parquet__page__row__count__limit="100", parquet__enable__dictionary="false",
+                  parquet__page__size__row__check__min="100", parquet__page__size__row__check__max="100"):
+        compact(star, db, tempfile.mkdtemp(prefix="starlens-layout-"), buckets=4, names=["fact_payments"])
+    stored = Star.from_catalog(spark, db)["fact_payments"]
+    for wanted in (["o00017"], [f"o{k * 1999:05}" for k in range(10)], [f"o{k * 600:05}" for k in range(33)]):
+        found = rows_of(stored, "order_id", [*wanted, *wanted, None, "missing"])
+        assert sorted(r.order_id for r in found.collect()) == wanted
+        assert _scanned(found) <= 100 * len(wanted) * min(4, len(wanted))  # a page a key in each bucket asked
+    # a fact's own key is in no order: its Bloom filters skip row groups
+    one = rows_of(stored, "payment_id", [rows[5][0]])
+    assert [r.order_id for r in one.collect()] == ["o00005"] and 0 < _scanned(one) <= n // 4
+    # with the filters off, its minima and maxima skip nothing of the kind
+    with settings(spark, parquet__filter__bloom__enabled="false", parquet__filter__columnindex__enabled="false"):
+        assert _scanned(rows_of(stored, "payment_id", [rows[5][0]])) > n // 2
+    assert rows_of(stored, "order_id", []).count() == rows_of(stored, "order_id", [None]).count() == 0
+
+
+def test_facts_of_recent_orders(spark):
+    header = [("a", "c", 1.0, "2"), ("b", "c", 1.0, "3"), ("c", "c", 1.0, "1"), (None, "c", 1.0, "9"), ("a", "c", 1.0, "2")]
+    star = make_star(
+        spark, fact_order_headers=header,
+        fact_order_lines=[("l1", "a", "s", "w", 2, 1.0), ("l2", "a", "s", "w", None, 1.0), ("l3", "c", "s", "w", 5, 1.0), ("l4", None, "s", "w", 9, 1.0)],
+        fact_payments=[("p1", "a", "m", 1.0, "failed", "x", "t"), ("p2", "a", "m", 1.0, None, None, "t")],
+        fact_shipments=[("s1", "b", "u", "e", "t"), ("s2", "b", "u", "e", "t")])
+    got = sorted(map(tuple, recent_order_facts(star, 4).collect()), key=str)
+    assert got == sorted([(None, "9", 0, 0, 0, 0, 0), ("b", "3", 0, 0, 0, 0, 2), ("a", "2", 2, 2, 2, 1, 0), ("a", "2", 2, 2, 2, 1, 0)], key=str)
+    assert recent_order_facts(make_star(spark)).count() == 0
+
+
+def test_a_bucket_of_many_files_is_merged(spark):
+    from starlens.sources import layout
+    from starlens.streaming.ingest import publish, run_ingest
+
+    base, db = tempfile.mkdtemp(prefix="starlens-merge-"), f"mg_{uuid.uuid4().hex[:8]}"
+    rows, files = Star.from_fixtures(spark, SF_SMALL)["fact_shipments"], []
+    for k in range(3):
+        publish(rows.where(f"pmod(xxhash64(shipment_id), 3) = {k}"), "fact_shipments", f"{base}/topics")
+        run_ingest(spark, f"{base}/star", ["fact_shipments"], source=f"{base}/topics", checkpoint_root=f"{base}/ckpt", available_now=True)
+        star = layout.compact_ingested(spark, f"{base}/star", db, f"{base}/wh", buckets=4, max_files=2)
+        files.append(layout._files_a_bucket(spark, f"{db}.{layout.versions(spark, db, 'fact_shipments')[-1]}"))
+    assert files == [1, 2, 1] and len(layout.versions(spark, db, "fact_shipments")) == 2
+    got = star["fact_shipments"]
+    assert got.exceptAll(rows).count() == 0 and rows.exceptAll(got).count() == 0
+    again = layout.compact_ingested(spark, f"{base}/star", db, f"{base}/wh", buckets=4, max_files=2)  # nothing is appended twice
+    assert again["fact_shipments"].count() == rows.count()
+
+
+def test_sizes_of_dimensions_are_kept_with_the_version(spark, monkeypatch):
+    from starlens.plans import joins
+    from starlens.sources import layout
+
+    regions = [(f"r{k}", f"n{k}", "c") for k in range(4)]
+    star, db = make_star(spark, dim_regions=regions, dim_categories=[("k", "a"), ("k", "b")]), f"star_{uuid.uuid4().hex[:8]}"
+    compact(star, db, tempfile.mkdtemp(prefix="starlens-layout-"), buckets=2, names=["dim_regions", "dim_categories"])
+    asked = []
+    real = joins.measured
+    monkeypatch.setattr(joins, "measured", lambda tables, keys: asked.extend(tables) or real(tables, keys))
+    cat = Star.from_catalog(spark, db)
+    cat.check_dimensions("dim_regions", "dim_categories")
+    assert cat._small == {"dim_regions": True, "dim_categories": False} and asked == []  # a repeated key is not hinted
+    with settings(spark, starlens__broadcast__maxRows="3"):
+        bounded = Star.from_catalog(spark, db)
+        bounded.check_dimensions("dim_regions")
+        assert bounded._small == {"dim_regions": False} and asked == []
+    # files that have changed since are counted again
+    table = f"{db}.{layout.versions(spark, db, 'dim_regions')[-1]}"
+    layout._write(layout._with_batch(star["dim_regions"], "dim_regions"), "dim_regions", table, 2, "append")
+    spark.catalog.refreshTable(table)
+    cat = Star.from_catalog(spark, db)
+    cat.check_dimensions("dim_regions")
+    assert cat._small == {"dim_regions": False} and asked == ["dim_regions"]
