@@ -57,8 +57,8 @@ BUCKET_KEYS = {
     "fact_order_lines": "order_id",
     "fact_returns": "line_id",
 }
-# Each Bloom filter takes the smallest of these sizes that holds a row group's keys.
-BLOOM_BYTES, BLOOM_SIZES = 4 * 1024 * 1024, 12
+# Each Bloom filter takes the smallest of these sizes that holds a row group's keys: BLOOM_BYTES, a half, a quarter...
+BLOOM_BYTES, BLOOM_SIZES = 4 * 1024 * 1024, 6
 MAX_FILES = 16  # files a bucket may have before its table is merged
 BATCH = ["stream_id", "batch_id"]
 FIRST = "compacted"  # stands for the stream of rows that did not come from a micro-batch
@@ -76,7 +76,7 @@ def _with_batch(df: DataFrame, name: str) -> DataFrame:
 def _write(df: DataFrame, name: str, table: str, buckets: int, mode: str) -> None:
     key = BUCKET_KEYS.get(name)
     if key:
-        blooms = {f"parquet.bloom.filter.enabled#{k}": "true" for k in {key, KEYS[name]}}
+        blooms = {f"parquet.bloom.filter.enabled#{KEYS[name]}": "true"} if KEYS[name] != key else {}
         blooms |= {"parquet.bloom.filter.adaptive.enabled": "true", "parquet.bloom.filter.max.bytes": str(BLOOM_BYTES),
                    "parquet.bloom.filter.candidates.number": str(BLOOM_SIZES)}
         # By the bucket's own number: Spark drops a repartition by the key of a table that has these buckets
