@@ -24,6 +24,7 @@ from starlens.functions.scope import SCOPE_KEYS
 from starlens.session import shared_dir
 from starlens.sources.star import Star
 
+MAX_HINTED_VOCABULARY = 100_000  # entries; a larger vocabulary is joined without a broadcast hint
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 
@@ -103,7 +104,10 @@ def question_scope(star: Star, questions: DataFrame, id_cols: tuple[str, ...] =
             )
         ).alias("gram"),
     )
-    matched = grams.join(vocab.select("key", "value", F.col("norm").alias("gram")), "gram")
+    words = vocab.select("key", "value", F.col("norm").alias("gram"))
+    # Hinted, or the n-grams of all questions are shuffled before Spark sees how small the vocabulary is.
+    few = words.limit(MAX_HINTED_VOCABULARY + 1).count() <= MAX_HINTED_VOCABULARY
+    matched = grams.join(F.broadcast(words) if few else words, "gram")
     best = matched.groupBy(*ids, "key").agg(
         F.min(F.struct((-F.length("value")).alias("neg_len"), F.col("value"))).getField("value").alias("value")
     )

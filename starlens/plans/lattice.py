@@ -10,7 +10,8 @@ A key that needs a dimension joins it only where a scope names the key (C12),
 and a repeated dimension row fans out.  Both are kept: beside its own row, a
 fact has one for each place it joins, weighted by how often, and a combination
 counts the first kind or the second.  Distinct orders do not add up, so their
-analysis counts them over grouping sets of the located orders themselves.
+analysis gathers an order's places and categories in one row, and the order
+counts once in each combination that it has there.
 """
 
 from __future__ import annotations
@@ -66,28 +67,52 @@ def _by_key(located: DataFrame, key: str) -> DataFrame:
     return counted.groupBy(key).agg(F.collect_list(place).alias("places"))
 
 
-def _cells(analysis: str, cuboid: DataFrame, label: str, columns: Mapping[str, str], sets: Iterable[Keys], aggs: Mapping[str, Column],
-           value: Column, having: Column | None = None) -> DataFrame:
-    """(analysis, scope_key, dimension, value): ``cuboid`` aggregated by its
-    label and each combination of keys, as grouping sets."""
+def _by_columns(label: str, columns: Mapping[str, str], sets: Iterable[Keys]) -> tuple[list[str], dict[tuple[str, ...], list[Keys]]]:
+    """The columns that some combination of keys adds to the label, and the combinations by those that they add."""
     sets = sorted(sets, key=sorted)
     free = sorted({columns[k] for s in sets for k in s} - {label})
     by_columns: dict[tuple[str, ...], list[Keys]] = {}
     for s in sets:
         by_columns.setdefault(tuple(c for c in free if c in {columns[k] for k in s}), []).append(s)
-    grouped = cuboid.groupingSets([[label, *cols] for cols in by_columns], label, *free).agg(
-        *(c.alias(n) for n, c in aggs.items()), F.grouping_id(label, *free).alias("_gid"))
+    return free, by_columns
+
+
+def _long(analysis: str, grouped: DataFrame, label: str, columns: Mapping[str, str], sets: Iterable[tuple[int, list[Keys]]], value: Column) -> DataFrame:
+    """(analysis, scope_key, dimension, value) of groups whose ``_gid`` tells the combinations of keys that they are for."""
     keys = F.lit(None).cast("array<string>")
-    for cols, of in by_columns.items():
-        gid = sum(1 << (len(free) - 1 - i) for i, c in enumerate(free) if c not in cols)
+    for gid, of in sets:
         texts = F.array(*[scope_text([(k, F.col(columns[k])) for k in s]) for s in of])
         keys = F.when(F.col("_gid") == gid, texts).otherwise(keys)
-    if having is not None:
-        grouped = grouped.where(having)
     return grouped.select(F.lit(analysis).alias("analysis"), F.explode(keys).alias("scope_key"), F.col(label).cast("string").alias("dimension"),
                           value.cast("double").alias("value"))
 
 
+def _cells(analysis: str, cuboid: DataFrame, label: str, columns: Mapping[str, str], sets: Iterable[Keys], aggs: Mapping[str, Column],
+           value: Column, having: Column | None = None) -> DataFrame:
+    """(analysis, scope_key, dimension, value): ``cuboid`` aggregated by its
+    label and each combination of keys, as grouping sets."""
+    free, by_columns = _by_columns(label, columns, sets)
+    grouped = cuboid.groupingSets([[label, *cols] for cols in by_columns], label, *free).agg(
+        *(c.alias(n) for n, c in aggs.items()), F.grouping_id(label, *free).alias("_gid"))
+    if having is not None:
+        grouped = grouped.where(having)
+    gids = [(sum(1 << (len(free) - 1 - i) for i, c in enumerate(free) if c not in cols), of) for cols, of in by_columns.items()]
+    return _long(analysis, grouped, label, columns, gids, value)
+
+
+def _distinct_cells(analysis: str, rows: DataFrame, key: str, at: Column, label: str, columns: Mapping[str, str], sets: Iterable[Keys]) -> DataFrame:
+    """As ``_cells``, counting distinct keys: ``rows`` has one row a key, and
+    ``at`` the distinct places of the key.  A key counts once in each
+    combination that it has there, so only counts are shuffled, and not every
+    key for every grouping set."""
+    free, by_columns = _by_columns(label, columns, sets)
+    seen = [F.array_distinct(F.transform(at, lambda x: F.struct(  # noqa: B023
+        F.lit(k).alias("_gid"), x[label].alias(label), *[(x[c] if c in cols else F.lit(None).cast("string")).alias(c) for c in free])))
+        for k, cols in enumerate(by_columns)]
+    grouped = rows.select(key, F.explode(F.concat(*seen)).alias("x")).select(key, "x.*").groupBy("_gid", label, *free).agg(F.count(key).alias("n"))
+    return _long(analysis, grouped, label, columns, enumerate(by_columns.values()), F.col("n"))
+
+
 def _split(sets: Iterable[Keys], *needs: str) -> tuple[set[Keys], set[Keys]]:
     """The combinations without any of the keys, and those with one."""
     sets = set(sets)
@@ -136,16 +161,17 @@ class Lattice:
     def orders(self) -> list[DataFrame]:
         star, out = self.star, []
         headers = star["fact_order_headers"].select("order_id", "customer_id")
-        located = dims.by_customer_location(headers, star, EVERYTHING).select("order_id", "region_name", "city")
+        located = dims.by_customer_location(headers, star, EVERYTHING)
+        located = located.groupBy("order_id").agg(F.collect_set(F.struct("region_name", "city")).alias("at"))
         columns = {"region": "region_name", "city": "city", "category": "category_name"}
         plain, with_category = _split(self.sets("orders_by_region"), "category")
-        count = {"n": F.count_distinct("order_id")}
         if plain:
-            out.append(_cells("orders_by_region", located, "region_name", columns, plain, count, F.col("n")))
+            out.append(_distinct_cells("orders_by_region", located, "order_id", F.col("at"), "region_name", columns, plain))
         if with_category:
             lines = star["fact_order_lines"].select("order_id", "sku_id").join(dims.small_sku_category(star, EVERYTHING), "sku_id")
-            located = located.join(lines.select("order_id", "category_name").distinct(), "order_id")
-            out.append(_cells("orders_by_region", located, "region_name", columns, with_category, count, F.col("n")))
+            sold = lines.groupBy("order_id").agg(F.collect_set(F.struct("category_name")).alias("sold"))
+            both = F.flatten(F.transform("at", lambda x: F.transform("sold", lambda y: F.struct(x["region_name"].alias("region_name"), x["city"].alias("city"), y["category_name"].alias("category_name")))))
+            out.append(_distinct_cells("orders_by_region", located.join(sold, "order_id"), "order_id", both, "region_name", columns, with_category))
         return out
 
     def revenue(self) -> list[DataFrame]:

@@ -10,7 +10,8 @@ from conftest import make_star
 from pyspark.sql import functions as F
 
 from starlens.functions.scope import SCOPE_KEYS
-from starlens.plans.lattice import asked_keys, report_by_question, reports_for
+from starlens.operators.questions import question_scope
+from starlens.plans.lattice import Lattice, asked_keys, report_by_question, reports_for
 from starlens.plans.report import report_long
 
 VALUES = {"region": ["R1", "R2", "nowhere"], "city": ["C1", "C2"], "category": ["K1", "K2"], "courier_name": ["A", "B"], "return_reason": ["x", "y"],
@@ -93,3 +94,22 @@ def test_a_rank_without_a_single_task(spark):
     assert [(r.id, r.m) for r in sorted(ranked.collect(), key=lambda r: r["rank"])] == want
     assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 5001))
     assert with_rank(rows.where("false"), [F.asc("id")]).count() == 0
+
+
+def test_distinct_orders_are_not_shuffled_for_every_grouping_set(spark):
+    star = random_star(spark, 5)
+    asked = [frozenset(), frozenset({"region"}), frozenset({"city"}), frozenset({"region", "city"}), frozenset({"category"}), frozenset({"category", "city"})]
+    for cells in Lattice(star, asked).orders():
+        assert "Expand" not in cells._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_question_ngrams_meet_a_small_vocabulary_unshuffled(spark):
+    star = random_star(spark, 6)
+    questions = spark.createDataFrame([(1, "what of R1"), (2, "C2 please")], "qid long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scopes = question_scope(star, questions, ("qid",))
+        assert "ResolvedHint (strategy=broadcast)" in scopes._jdf.queryExecution().analyzed().toString() or "strategy=broadcast" in scopes._jdf.queryExecution().optimizedPlan().toString()
+        assert {r.qid: r.scope_json for r in scopes.collect()} == {1: '{"region":"R1"}', 2: '{"city":"C2"}'}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
