@@ -35,13 +35,16 @@ def decode_fields(raw: DataFrame, table: str) -> DataFrame:
     not JSON."""
     text = F.col("value").cast("string")
     rows = raw.select(text.alias("_raw"), F.try_parse_json(text).alias("_v"))
-    whole = F.schema_of_variant("_v")
-    is_object = F.coalesce(whole.startswith("OBJECT"), F.lit(False))
+    # Looked up once, as columns: a row's fields are told and tested several times.
+    looked = [F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)).alias("_object")]
+    for f in SCHEMAS[table].fields:
+        looked.append(F.schema_of_variant(F.try_variant_get("_v", f"$.{f.name}", "variant")).alias(f"_seen_{f.name}"))
+        looked.append(F.try_variant_get("_v", f"$.{f.name}", f.dataType.simpleString()).alias(f"_value_{f.name}"))
+    rows, is_object = rows.select("_raw", F.col("_v").isNull().alias("_no_json"), *looked), F.col("_object")
     values, faults = [], []
     for f in SCHEMAS[table].fields:
         kind = f.dataType.typeName()
-        seen = F.schema_of_variant(F.try_variant_get("_v", f"$.{f.name}", "variant"))
-        value = F.try_variant_get("_v", f"$.{f.name}", f.dataType.simpleString())
+        seen, value = F.col(f"_seen_{f.name}"), F.col(f"_value_{f.name}")
         wrong = (seen != "VOID") & (~seen.rlike(f"^({TAKES[kind]})$") | value.isNull())
         absent = seen.isNull() if f.name != KEYS[table] else seen.isNull() | (seen == "VOID")
         values.append(F.when(is_object, value).alias(f.name))
@@ -50,7 +53,7 @@ def decode_fields(raw: DataFrame, table: str) -> DataFrame:
     more = F.transform(F.array_sort(F.array_except(F.coalesce(F.json_object_keys("_raw"), F.array().cast("array<string>")), known)),
                        lambda k: _fault(k, UNKNOWN))
     none = F.array(_fault(None, NO_JSON))
-    found = F.when(F.col("_v").isNull(), none).when(~is_object, F.array(_fault(None, NO_OBJECT))).otherwise(
+    found = F.when(F.col("_no_json"), none).when(~is_object, F.array(_fault(None, NO_OBJECT))).otherwise(
         F.concat(F.array_compact(F.array(*faults)), more))
     key = KEYS[table]
     wrong_ones = F.transform(F.filter("_faults", lambda x: x["kind"] == WRONG), lambda x: x["field"])

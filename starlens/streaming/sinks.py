@@ -85,10 +85,19 @@ class KeyedSink(BatchSink):
 
 class FieldSink(BatchSink):
     """Takes events of ``decode_fields``: rejects with a reason, and counts of
-    faults by field under ``_drift/<table>``."""
+    faults by field under ``_drift/<table>``.  The decode by field costs far
+    more than a held row, so a batch is held for its outputs, of the raw text
+    only what is rejected."""
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.store(batch.where("_ok").select(*SCHEMAS[self.table].names), batch_id)
+        held = batch.withColumn("_raw", F.when(~F.col("_ok"), F.col("_raw"))).persist()
+        try:
+            self.store_all(held, batch_id)
+        finally:
+            held.unpersist()
+
+    def store_all(self, batch: DataFrame, batch_id: int) -> None:
         bad = batch.where("NOT _ok").select(F.col("_raw").alias("value"), F.col("_reason").alias("reason"))
         if not bad.isEmpty():
             self._write(bad, self.rejects_path, batch_id)

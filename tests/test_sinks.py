@@ -6,17 +6,18 @@ import json
 import tempfile
 
 import pytest
-from conftest import rows
+from conftest import SF_SMALL, rows
 
 from starlens.plans.report import report_long
 from starlens.sources import tables
-from starlens.sources.schemas import SCHEMAS
+from starlens.sources.schemas import SCHEMAS, TOPICS
 from starlens.sources.star import Star
 from starlens.sources.tables import create_tables, truncate_all
 from starlens.sources.versions import next_version, switch_version, version_root
+from starlens.streaming import ingest, scenarios
 from starlens.streaming.fields import decode_fields, drift, merged_drift
-from starlens.streaming.ingest import BatchSink, decode
-from starlens.streaming.sinks import STATES, KeyedSink, StateSink, read_state, report_from_states
+from starlens.streaming.ingest import BatchSink, decode, publish, run_ingest
+from starlens.streaming.sinks import STATES, FieldSink, KeyedSink, StateSink, read_state, report_from_states
 from tests.test_lattice import random_star
 
 
@@ -135,3 +136,25 @@ def test_truncation_is_one_step(spark, base, monkeypatch):
     switch_version(spark, base, number)
     with pytest.raises(RuntimeError):
         switch_version(spark, base, number)
+
+
+def counted(spark, table, *values):
+    """A decoded batch, and how many events were decoded."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def tell(v):
+        seen.add(1)
+        return (v,)
+
+    raw = spark.createDataFrame(spark.sparkContext.parallelize([json.dumps(v) for v in values], 2).map(tell), "value string")
+    return raw, seen
+
+
+def test_a_batch_is_decoded_by_field_once(spark, base):
+    raw, seen = counted(spark, "dim_regions", region(1), {"region_id": 7}, {"region_name": "keyless"}, {**region(2), "note": "x"})
+    FieldSink(base, "dim_regions")(decode_fields(raw, "dim_regions"), 0)
+    assert seen.value == 4
+    assert stored(spark, base) == [("r1", "n"), ("r2", "n")]
+    assert sorted(r.reason for r in spark.read.parquet(f"{base}/_rejects/dim_regions").collect()) == ["no key", "wrong type: region_id"]
+    drifts = {(r.field, r.kind): r.n for r in spark.read.parquet(f"{base}/_drift/dim_regions").collect()}
+    assert drifts[("note", "unknown")] == 1 and drifts[("country", "missing")] == 4
