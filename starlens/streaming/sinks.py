@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,9 +47,6 @@ class KeyedSink(BatchSink):
     def index(self, spark: SparkSession) -> str:
         return f"{self.folder(spark)}/_keys/{self.table}"
 
-    def _own(self, spark: SparkSession, path: str, batch_id: int) -> str:
-        return f"{path}/{STREAM_COL}={self.stream_id(spark)}/{BATCH_COL}={batch_id}"
-
     def known(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """(bucket, key) of all other batches."""
         schema = f"k string, bucket int, {STREAM_COL} string, {BATCH_COL} long"
@@ -134,12 +132,13 @@ STATES: dict[str, dict[str, Callable[[DataFrame], DataFrame]]] = {
 
 
 class StateSink(BatchSink):
-    """Writes a batch's partial states beside its rows, under ``_states/<name>``."""
+    """Writes a batch's partial states beside its rows, under ``_states/<name>``.
+    They are made from the rows as stored, so events are not decoded again for each."""
 
     def store(self, good: DataFrame, batch_id: int) -> None:
         super().store(good, batch_id)
         for name, state in STATES.get(self.table, {}).items():
-            self._write(state(good), f"{self.folder(good.sparkSession)}/_states/{name}", batch_id)
+            self._write(state(rows), f"{self.folder(spark)}/_states/{name}", batch_id)
 
 
 def read_state(spark: SparkSession, root: str, name: str) -> DataFrame:

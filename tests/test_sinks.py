@@ -158,3 +158,14 @@ def test_a_batch_is_decoded_by_field_once(spark, base):
     assert sorted(r.reason for r in spark.read.parquet(f"{base}/_rejects/dim_regions").collect()) == ["no key", "wrong type: region_id"]
     drifts = {(r.field, r.kind): r.n for r in spark.read.parquet(f"{base}/_drift/dim_regions").collect()}
     assert drifts[("note", "unknown")] == 1 and drifts[("country", "missing")] == 4
+
+
+def test_states_do_not_decode_events_again(spark, base):
+    lines = [{"line_id": f"l{i}", "order_id": "o", "sku_id": f"s{i % 2}", "line_value": 1.5} for i in range(6)]
+    raw, seen = counted(spark, "fact_order_lines", *lines)
+    StateSink(base, "fact_order_lines")(decode(raw, "fact_order_lines"), 0)
+    assert seen.value <= 12  # stored, and looked at for rejects
+    assert sorted((r.sku_id, float(r.exact)) for r in read_state(spark, base, "revenue").collect()) == [("s0", 4.5), ("s1", 4.5)]
+    bad = spark.createDataFrame([("no json",)], "value string")
+    StateSink(base, "fact_order_lines")(decode(bad, "fact_order_lines"), 1)  # a batch without good rows
+    assert read_state(spark, base, "lines").count() == 6
