@@ -42,6 +42,8 @@ STREAM_COL, BATCH_COL = "stream_id", "batch_id"
 # Bounds of one micro-batch: they size batches and drop nothing.
 MAX_FILES, MAX_OFFSETS = 1000, 5_000_000
 POOL = "spark.scheduler.pool"
+# Files of a folder topic: compressed, so each is read by one task, and cut to keep that task small.
+FILE_CODEC, FILE_EVENTS = "lz4", 500_000
 
 
 def decode(raw: DataFrame, table: str) -> DataFrame:
@@ -249,7 +251,8 @@ def publish_text(events: DataFrame, table: str, target: str, fmt: str = "text",
     if fmt == "kafka":
         events.write.format("kafka").options(**dict(options or {})).option("topic", TOPICS[table]).save()
     else:
-        events.write.mode("append").text(f"{target.rstrip('/')}/{TOPICS[table]}")
+        files = events.write.mode("append").option("compression", FILE_CODEC).option("maxRecordsPerFile", FILE_EVENTS)
+        files.options(**dict(options or {})).text(f"{target.rstrip('/')}/{TOPICS[table]}")
 
 
 def _kept(df: DataFrame, base: str) -> DataFrame:

@@ -169,3 +169,13 @@ def test_states_do_not_decode_events_again(spark, base):
     bad = spark.createDataFrame([("no json",)], "value string")
     StateSink(base, "fact_order_lines")(decode(bad, "fact_order_lines"), 1)  # a batch without good rows
     assert read_state(spark, base, "lines").count() == 6
+
+
+def test_topic_files_are_compressed_and_cut(spark, base, monkeypatch):
+    monkeypatch.setattr(ingest, "FILE_EVENTS", 10)
+    rows25 = spark.createDataFrame([(f"r{i}", "n", None) for i in range(25)], SCHEMAS["dim_regions"]).coalesce(1)
+    publish(rows25, "dim_regions", f"{base}/topics")
+    files = spark.read.text(f"{base}/topics/{TOPICS['dim_regions']}").inputFiles()
+    assert len(files) == 3 and all(f.endswith(".txt.lz4") for f in files)
+    run_ingest(spark, f"{base}/star", ["dim_regions"], source=f"{base}/topics", checkpoint_root=f"{base}/ckpt", available_now=True)
+    assert len(stored(spark, f"{base}/star")) == 25
