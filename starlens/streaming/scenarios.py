@@ -38,16 +38,17 @@ class _CrashAfter(BatchSink):
 
 
 def ingest_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(payment_id, batch_id): payments in three files, a batch each.  The
+    """(payment_id, batch_id): payments sent in three parts, a batch each.  The
     stream is lost after it has written batch 1 and before its commit; started
     again on its checkpoint it replays the batch from the offset log, meets an
     empty batch, and goes on with the next number."""
     base, table = _base(spark, "recovery"), "fact_payments"
     rows = Star.from_fixtures(spark, sf_dir)[table]
     third = F.pmod(F.col("order_id").cast("long"), F.lit(3))
-    where = {"source": f"{base}/topics", "checkpoint_root": f"{base}/checkpoints", "available_now": True, "max_files": 1}
-    for k in (0, 1):
-        publish(rows.where(third == k).coalesce(1), table, f"{base}/topics")
+    where = {"source": f"{base}/topics", "checkpoint_root": f"{base}/checkpoints", "available_now": True}
+    publish(rows.where(third == 0), table, f"{base}/topics")
+    run_ingest(spark, f"{base}/star", [table], **where)
+    publish(rows.where(third == 1), table, f"{base}/topics")
     crashed = start_table(spark, table, f"{base}/star", sink_for=lambda t: _CrashAfter(f"{base}/star", t, 1), **where)
     try:
         crashed.awaitTermination()
@@ -55,7 +56,8 @@ def ingest_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     except StreamingQueryException:
         pass
     spark.createDataFrame([], "value string").coalesce(1).write.mode("append").text(f"{base}/topics/{TOPICS[table]}")
-    publish(rows.where(third == 2).coalesce(1), table, f"{base}/topics")
+    run_ingest(spark, f"{base}/star", [table], **where)
+    publish(rows.where(third == 2), table, f"{base}/topics")
     run_ingest(spark, f"{base}/star", [table], **where)
     stored = stored_table(spark, f"{base}/star/{table}", table)
     return _kept(stored.select("payment_id", F.col(BATCH_COL).cast("long").alias("batch_id")), base)
@@ -90,9 +92,9 @@ def ingest_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = Star.from_fixtures(spark, sf_dir)[table]
     half = F.pmod(F.col("order_id").cast("long"), F.lit(2)) == 0
     for part in (rows.where(half).unionAll(rows.where(half)), rows, rows.where(~half)):
-        publish(part.coalesce(1), table, f"{base}/topics")
-    run_ingest(spark, f"{base}/star", [table], source=f"{base}/topics", checkpoint_root=f"{base}/checkpoints", available_now=True,
-               max_files=1, sink_for=lambda t: KeyedSink(f"{base}/star", t))
+        publish(part, table, f"{base}/topics")
+        run_ingest(spark, f"{base}/star", [table], source=f"{base}/topics", checkpoint_root=f"{base}/checkpoints", available_now=True,
+                   sink_for=lambda t: KeyedSink(f"{base}/star", t))
     again = decode(spark.createDataFrame([], "value string").unionByName(
         rows.where(half).select(F.to_json(F.struct(*rows.columns)).alias("value"))), table)
     KeyedSink(f"{base}/star", table).bind(f"{base}/checkpoints/{table}")(again, 0)

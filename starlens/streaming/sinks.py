@@ -70,10 +70,13 @@ class KeyedSink(BatchSink):
         return one.join(seen, ["bucket", "k"], "left_anti")
 
     def store(self, good: DataFrame, batch_id: int) -> None:
-        spark, fresh = good.sparkSession, self.fresh(good, batch_id)
+        spark, held = good.sparkSession, good.persist()  # its keys and its rows are asked for, each decoded otherwise
         # Read back, so that rows and keys are of one and the same run.
         rows = self._own(spark, f"{self.folder(spark)}/{self.table}", batch_id)
-        fresh.select(*good.columns).write.mode("overwrite").parquet(rows)
+        try:
+            self.fresh(held, batch_id).select(*good.columns).write.mode("overwrite").parquet(rows)
+        finally:
+            held.unpersist()
         key = KEYS[self.table]
         kept = spark.read.schema(good.schema).parquet(rows).select(
             F.col(key).alias("k"), F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int").alias("bucket"))

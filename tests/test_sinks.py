@@ -171,6 +171,23 @@ def test_states_do_not_decode_events_again(spark, base):
     assert read_state(spark, base, "lines").count() == 6
 
 
+def test_a_keyed_batch_is_not_decoded_for_keys_and_rows(spark, base):
+    raw, seen = counted(spark, "dim_regions", *[region(i) for i in range(6)])
+    KeyedSink(base, "dim_regions", buckets=2)(decode(raw, "dim_regions"), 0)
+    assert seen.value <= 12
+    assert len(stored(spark, base)) == 6
+
+
+def test_scenarios_publish_from_all_tasks(spark, base, monkeypatch):
+    sent = []
+    monkeypatch.setattr(scenarios, "publish", lambda rows, table, target: (sent.append(rows._jdf.queryExecution().optimizedPlan().toString()), publish(rows, table, target)))
+    assert scenarios.ingest_duplicates(spark, SF_SMALL).count() == 1500
+    scenarios._published(spark, SF_SMALL, base, 0)
+    scenarios._published(spark, SF_SMALL, base, 1)
+    assert len(sent) == 3 + 14 + 7 and not any("Repartition" in plan for plan in sent)
+    assert spark.read.text(f"{base}/topics/{TOPICS['fact_payments']}").count() == 1500
+
+
 def test_topic_files_are_compressed_and_cut(spark, base, monkeypatch):
     monkeypatch.setattr(ingest, "FILE_EVENTS", 10)
     rows25 = spark.createDataFrame([(f"r{i}", "n", None) for i in range(25)], SCHEMAS["dim_regions"]).coalesce(1)
