@@ -59,6 +59,7 @@ BUCKET_KEYS = {
 }
 # Each Bloom filter takes the smallest of these sizes that holds a row group's keys: BLOOM_BYTES, a half, a quarter...
 BLOOM_BYTES, BLOOM_SIZES = 4 * 1024 * 1024, 6
+MIN_BUCKETS, BUCKET_ROWS = 8, 1_000_000  # of a layout whose bucket count is not given: the fewest, and rows in each
 MAX_FILES = 16  # files a bucket may have before its table is merged
 BATCH = ["stream_id", "batch_id"]
 FIRST = "compacted"  # stands for the stream of rows that did not come from a micro-batch
@@ -185,9 +186,18 @@ def _one_per_key(df: DataFrame, name: str) -> DataFrame:
     return keyed.select(*df.columns).unionByName(df.where(F.col(key).isNull()))
 
 
-def on_layout(star: Star, query: Callable[[Star], DataFrame], names: Iterable[str], buckets: int = 8) -> DataFrame:
-    """``query`` over a layout of the tables it reads, written for it alone in the shared folder and removed again."""
-    spark, name = star.spark, f"layout_{uuid.uuid4().hex}"
+def buckets_for(star: Star, names: Iterable[str]) -> int:
+    """A bucket count for a layout of the named tables, by the rows of the
+    largest, as the task that writes or reads a bucket has all of it."""
+    rows = max((star[n].count() for n in names if n in BUCKET_KEYS), default=0)
+    return max(MIN_BUCKETS, -(-rows // BUCKET_ROWS))
+
+
+def on_layout(star: Star, query: Callable[[Star], DataFrame], names: Iterable[str], buckets: int | None = None) -> DataFrame:
+    """``query`` over a layout of the tables it reads, written for it alone in the shared folder and removed again.
+    Without ``buckets`` their number grows with the tables."""
+    spark, name, names = star.spark, f"layout_{uuid.uuid4().hex}", list(names)
+    buckets = buckets or buckets_for(star, names)
     where = f"{shared_dir(spark)}/{name}"
     compact(star, name, where, buckets, names=names)
     out = query(Star.from_catalog(spark, name)).checkpoint()

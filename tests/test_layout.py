@@ -11,6 +11,7 @@ from conftest import SF_SMALL, make_star
 
 from starlens.operators.analyses import ANALYSES
 from starlens.operators.rootcause import root_cause
+from starlens.sources import layout
 from starlens.sources.layout import compact
 from starlens.sources.star import Star
 from starlens.sources.tables import recent_order_facts, rows_of
@@ -264,3 +265,16 @@ def test_sizes_of_dimensions_are_kept_with_the_version(spark, monkeypatch):
     cat = Star.from_catalog(spark, db)
     cat.check_dimensions("dim_regions")
     assert cat._small == {"dim_regions": False} and asked == ["dim_regions"]
+
+
+def test_buckets_grow_with_the_tables(spark, monkeypatch):
+    star = Star.from_fixtures(spark, SF_SMALL)
+    names = ["fact_order_lines", "fact_payments", "dim_regions"]
+    assert layout.buckets_for(star, names) == layout.MIN_BUCKETS
+    monkeypatch.setattr(layout, "BUCKET_ROWS", 300)
+    assert layout.buckets_for(star, names) == -(-star["fact_order_lines"].count() // 300) == 20
+    used = []
+    monkeypatch.setattr(layout, "compact", lambda star, db, where, buckets, names: used.append(buckets) or compact(star, db, where, buckets, names=names))
+    small = lambda s: s["fact_payments"].where("order_id = '1'").select("payment_id")
+    layout.on_layout(star, small, ["fact_order_lines", "fact_payments"])
+    assert used == [20]
