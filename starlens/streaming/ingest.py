@@ -93,12 +93,12 @@ class BatchSink:
                 self._stream_id = uuid.uuid4().hex
         return self._stream_id
 
-    def _write(self, df: DataFrame, path: str, batch_id: int) -> None:
-        (
     def _own(self, spark: SparkSession, path: str, batch_id: int) -> str:
         """The batch's folder under ``path``."""
         return f"{path}/{STREAM_COL}={self.stream_id(spark)}/{BATCH_COL}={batch_id}"
 
+    def _write(self, df: DataFrame, path: str, batch_id: int) -> None:
+        (
             df.withColumns({STREAM_COL: F.lit(self.stream_id(df.sparkSession)), BATCH_COL: F.lit(batch_id)})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

@@ -91,7 +91,6 @@ class FieldSink(BatchSink):
     only what is rejected."""
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.store(batch.where("_ok").select(*SCHEMAS[self.table].names), batch_id)
         held = batch.withColumn("_raw", F.when(~F.col("_ok"), F.col("_raw"))).persist()
         try:
             self.store_all(held, batch_id)
@@ -99,6 +98,7 @@ class FieldSink(BatchSink):
             held.unpersist()
 
     def store_all(self, batch: DataFrame, batch_id: int) -> None:
+        self.store(batch.where("_ok").select(*SCHEMAS[self.table].names), batch_id)
         bad = batch.where("NOT _ok").select(F.col("_raw").alias("value"), F.col("_reason").alias("reason"))
         if not bad.isEmpty():
             self._write(bad, self.rejects_path, batch_id)
@@ -140,6 +140,13 @@ class StateSink(BatchSink):
 
     def store(self, good: DataFrame, batch_id: int) -> None:
         super().store(good, batch_id)
+        spark = good.sparkSession
+        try:
+            rows = spark.read.schema(good.schema).parquet(self._own(spark, f"{self.folder(spark)}/{self.table}", batch_id))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # a batch without good rows
+                raise
+            return
         for name, state in STATES.get(self.table, {}).items():
             self._write(state(rows), f"{self.folder(spark)}/_states/{name}", batch_id)
 
