@@ -9,15 +9,20 @@ by the scope's text.
 A key that needs a dimension joins it only where a scope names the key (C12),
 and a repeated dimension row fans out.  Both are kept: beside its own row, a
 fact has one for each place it joins, weighted by how often, and a combination
-counts the first kind or the second.  Distinct orders do not add up, so their
-analysis gathers an order's places and categories in one row, and the order
-counts once in each combination that it has there.
+counts the first kind or the second.  Facts are counted by the places of their
+order first, which are few, and only these counts are repeated place by place.
+Distinct orders do not add up, so their analysis counts orders by their places
+and by each category, and an order counts once in each combination that it has
+there.
+
+A fact is shuffled by order once, and each step's shuffle files are removed when
+it is checkpointed, so the disk holds those of one step at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,11 +32,14 @@ from starlens.functions.scope import HONOURED, Scope
 from starlens.operators import dims
 from starlens.operators.analyses import ANALYSES, DEFAULT_TOP_N
 from starlens.operators.questions import question_scope, user_questions
-from starlens.session import shared_dir
+from starlens.session import freed_shuffles, shared_dir
 from starlens.sources.star import Star
 
 Keys = frozenset[str]
 EVERYTHING = Scope()
+PLACES = "array<struct<located:boolean,region:string,city:string,times:bigint>>"
+# Money is summed over orders in whole units of its last decimal: products of wide decimals would lose some.
+UNIT = 10**10
 
 
 def scope_text(entries: Sequence[tuple[str, Column]]) -> Column:
@@ -50,21 +58,27 @@ def _honoured(asked: Iterable[Keys], analysis: str) -> set[Keys]:
     return {k & frozenset(HONOURED[analysis]) for k in asked}
 
 
-def _placed(fact: DataFrame, places: DataFrame | None, key: str) -> DataFrame:
-    """``fact`` with (located, region, city, times): each row once unlocated
-    and, where there are ``places``, once for each place of its key."""
+def _at(fact: DataFrame, places: DataFrame | None, key: str) -> DataFrame:
+    """``fact`` with the ``places`` of its key, null where it has none."""
+    return fact.withColumn("places", F.lit(None).cast(PLACES)) if places is None else fact.join(places, key, "left")
+
+
+def _placed(fact: DataFrame) -> DataFrame:
+    """``fact`` with (located, region, city, times) for its ``places``: each
+    row once unlocated, and once for each place."""
     own = F.struct(F.lit(False).alias("located"), F.lit(None).cast("string").alias("region"), F.lit(None).cast("string").alias("city"), F.lit(1).cast("long").alias("times"))
-    if places is None:
-        return fact.select("*", own.alias("p")).select(*fact.columns, "p.*")
-    met = fact.join(places, key, "left")
-    return met.select(*fact.columns, F.explode(F.concat(F.array(own), F.coalesce("places", F.array().cast(places.schema["places"].dataType)))).alias("p")).select(*fact.columns, "p.*")
+    others = [c for c in fact.columns if c != "places"]
+    each = F.concat(F.array(own), F.coalesce("places", F.array().cast(PLACES)))
+    return fact.select(*others, F.explode(each).alias("p")).select(*others, "p.*")
 
 
 def _by_key(located: DataFrame, key: str) -> DataFrame:
-    """(key, places): the distinct places of a key and how often it has each."""
-    counted = located.groupBy(key, "region_name", "city").agg(F.count(F.lit(1)).alias("n"))
+    """(key, places): the distinct places of a key and how often it has each, in
+    one order, so that keys of the same places are told by them.  Null keys
+    join with nothing and go.  Rows are dealt by key once for both counts."""
+    counted = located.where(F.col(key).isNotNull()).repartition(key).groupBy(key, "region_name", "city").agg(F.count(F.lit(1)).alias("n"))
     place = F.struct(F.lit(True).alias("located"), F.col("region_name").alias("region"), F.col("city").alias("city"), F.col("n").alias("times"))
-    return counted.groupBy(key).agg(F.collect_list(place).alias("places"))
+    return counted.groupBy(key).agg(F.array_sort(F.collect_list(place)).cast(PLACES).alias("places"))
 
 
 def _by_columns(label: str, columns: Mapping[str, str], sets: Iterable[Keys]) -> tuple[list[str], dict[tuple[str, ...], list[Keys]]]:
@@ -100,16 +114,15 @@ def _cells(analysis: str, cuboid: DataFrame, label: str, columns: Mapping[str, s
     return _long(analysis, grouped, label, columns, gids, value)
 
 
-def _distinct_cells(analysis: str, rows: DataFrame, key: str, at: Column, label: str, columns: Mapping[str, str], sets: Iterable[Keys]) -> DataFrame:
-    """As ``_cells``, counting distinct keys: ``rows`` has one row a key, and
-    ``at`` the distinct places of the key.  A key counts once in each
-    combination that it has there, so only counts are shuffled, and not every
-    key for every grouping set."""
+def _distinct_cells(analysis: str, counted: DataFrame, at: Column, label: str, columns: Mapping[str, str], sets: Iterable[Keys]) -> DataFrame:
+    """As ``_cells``, counting distinct keys: ``counted`` has the number ``n`` of
+    keys, each in one row, whose places are those of ``at``.  A key counts once
+    in each combination that it has there, so no key is shuffled again."""
     free, by_columns = _by_columns(label, columns, sets)
     seen = [F.array_distinct(F.transform(at, lambda x: F.struct(  # noqa: B023
         F.lit(k).alias("_gid"), x[label].alias(label), *[(x[c] if c in cols else F.lit(None).cast("string")).alias(c) for c in free])))
         for k, cols in enumerate(by_columns)]
-    grouped = rows.select(key, F.explode(F.concat(*seen)).alias("x")).select(key, "x.*").groupBy("_gid", label, *free).agg(F.count(key).alias("n"))
+    grouped = counted.where("n > 0").select("n", F.explode(F.concat(*seen)).alias("x")).select("n", "x.*").groupBy("_gid", label, *free).agg(F.sum("n").alias("n"))
     return _long(analysis, grouped, label, columns, enumerate(by_columns.values()), F.col("n"))
 
 
@@ -132,15 +145,21 @@ class Lattice:
         shared_dir(star.spark)
         star.check_dimensions()
         self.located = any(k & {"region", "city"} for k in self.asked)
-        self.order_places = _by_key(dims.orders_located(star, EVERYTHING), "order_id").checkpoint() if self.located else None
+        self.order_places = _by_key(dims.orders_located(star, EVERYTHING), "order_id").checkpoint()
+
+    @property
+    def asked_places(self) -> DataFrame | None:
+        """The places of orders, where some combination names one."""
+        return self.order_places if self.located else None
 
     def sets(self, analysis: str) -> set[Keys]:
         return _honoured(self.asked, analysis)
 
     def payments(self) -> list[DataFrame]:
         star, sums = self.star, ["method_id", "payment_status", "failure_reason", "located", "region", "city"]
-        rows = _placed(star["fact_payments"].select("order_id", "method_id", "payment_status", "failure_reason"), self.order_places, "order_id")
-        cuboid = rows.groupBy(*sums).agg(F.sum("times").alias("n")).checkpoint()
+        rows = _at(star["fact_payments"].select("order_id", "method_id", "payment_status", "failure_reason"), self.asked_places, "order_id")
+        counted = rows.groupBy("method_id", "payment_status", "failure_reason", "places").agg(F.count(F.lit(1)).alias("n"))
+        cuboid = _placed(counted).groupBy(*sums).agg(F.sum(F.col("n") * F.col("times")).alias("n")).checkpoint()
         methods = star.broadcast(star["dim_payment_methods"].select("method_id", "method_name"), "dim_payment_methods")
         named, out = cuboid.join(methods, "method_id"), []
         columns = {"payment_status": "payment_status", "payment_method": "method_name", "region": "region", "city": "city"}
@@ -158,42 +177,50 @@ class Lattice:
                     out.append(_cells("payment_failure_by_reason", of, "failure_reason", columns, sets, {"n": _total("n")}, F.col("n")))
         return out
 
+    @cached_property
+    def sold(self) -> DataFrame:
+        """(category_name, places, n, exact, odd): distinct orders and sums of
+        the lines of a category, by the places of their orders.  A line is
+        dealt by sku and by order once."""
+        star, x = self.star, F.col("line_value")
+        lines = star["fact_order_lines"].select("order_id", "sku_id", "line_value").join(dims.small_sku_category(star, EVERYTHING), "sku_id")
+        odd = F.isnan(x) | (F.abs(x) == float("inf"))
+        units = (F.when(~odd, x).cast(MONEY) * F.lit(UNIT).cast("decimal(11,0)")).cast("decimal(28,0)")
+        rows = _at(lines.select("order_id", "category_name", "line_value"), self.order_places, "order_id").groupBy("order_id", "category_name", "places").agg(
+            F.sum(units).alias("exact"), F.sum(F.when(odd, x.cast("double"))).alias("odd"))
+        return rows.groupBy("category_name", "places").agg(F.count("order_id").alias("n"), F.sum("exact").alias("exact"), F.sum("odd").alias("odd")).checkpoint()
+
     def orders(self) -> list[DataFrame]:
-        star, out = self.star, []
-        headers = star["fact_order_headers"].select("order_id", "customer_id")
-        located = dims.by_customer_location(headers, star, EVERYTHING)
-        located = located.groupBy("order_id").agg(F.collect_set(F.struct("region_name", "city")).alias("at"))
-        columns = {"region": "region_name", "city": "city", "category": "category_name"}
+        columns, out = {"region": "region_name", "city": "city", "category": "category_name"}, []
         plain, with_category = _split(self.sets("orders_by_region"), "category")
+
+        def at(*more: Column) -> Column:
+            return F.transform("places", lambda x: F.struct(x["region"].alias("region_name"), x["city"].alias("city"), *more))
+
         if plain:
-            out.append(_distinct_cells("orders_by_region", located, "order_id", F.col("at"), "region_name", columns, plain))
+            located = self.order_places.groupBy("places").agg(F.count(F.lit(1)).alias("n"))
+            out.append(_distinct_cells("orders_by_region", located, at(), "region_name", columns, plain))
         if with_category:
-            lines = star["fact_order_lines"].select("order_id", "sku_id").join(dims.small_sku_category(star, EVERYTHING), "sku_id")
-            sold = lines.groupBy("order_id").agg(F.collect_set(F.struct("category_name")).alias("sold"))
-            both = F.flatten(F.transform("at", lambda x: F.transform("sold", lambda y: F.struct(x["region_name"].alias("region_name"), x["city"].alias("city"), y["category_name"].alias("category_name")))))
-            out.append(_distinct_cells("orders_by_region", located.join(sold, "order_id"), "order_id", both, "region_name", columns, with_category))
+            out.append(_distinct_cells("orders_by_region", self.sold, at(F.col("category_name")), "region_name", columns, with_category))
         return out
 
     def revenue(self) -> list[DataFrame]:
-        star, out = self.star, []
-        lines = star["fact_order_lines"].select("order_id", "sku_id", "line_value").join(dims.small_sku_category(star, EVERYTHING), "sku_id")
-        x = F.col("line_value")
-        odd = F.isnan(x) | (F.abs(x) == float("inf"))
-        exact = F.when(~odd, x).cast(MONEY) * F.col("times").cast("decimal(9,0)")
-        cuboid = _placed(lines, self.order_places, "order_id").groupBy("category_name", "located", "region").agg(
-            F.sum(exact).alias("exact"), F.sum(F.when(odd, x.cast("double"))).alias("odd")).checkpoint()
+        out, times = [], F.col("times").cast("decimal(9,0)")
+        cuboid = _placed(self.sold).groupBy("category_name", "located", "region").agg(
+            F.sum(F.col("exact") * times).alias("exact"), F.sum("odd").alias("odd")).checkpoint()
+        cents = F.round("e", -8).cast("decimal(38,0)") / F.lit(UNIT).cast("decimal(11,0)")  # rounded once, as a whole number
         for with_place, sets in enumerate(_split(self.sets("revenue_by_category"), "region")):
             if sets:
                 out.append(_cells("revenue_by_category", cuboid.where(F.col("located") == bool(with_place)), "category_name",
                                   {"category": "category_name", "region": "region"}, sets, {"e": _total("exact"), "o": _total("odd")},
-                                  F.coalesce("o", F.round("e", 2).cast("double"), F.lit(0.0))))
+                                  F.coalesce("o", cents.cast("double"), F.lit(0.0))))
         return out
 
     def shipments(self) -> list[DataFrame]:
-        rows = _placed(self.star["fact_shipments"].select("order_id", "shipment_id", "courier_name"),
-                       self.order_places or _by_key(dims.orders_located(self.star, EVERYTHING), "order_id"), "order_id")
-        cuboid = rows.groupBy("courier_name", "located", "region").agg(
-            F.sum("times").alias("n"), F.sum(F.when(F.col("shipment_id").isNotNull(), F.col("times")).otherwise(0)).alias("s")).checkpoint()
+        rows = _at(self.star["fact_shipments"].select("order_id", "shipment_id", "courier_name"), self.order_places, "order_id")
+        counted = rows.groupBy("courier_name", "places").agg(F.count(F.lit(1)).alias("n"), F.count("shipment_id").alias("s"))
+        cuboid = _placed(counted).groupBy("courier_name", "located", "region").agg(
+            *[F.sum(F.col(c) * F.col("times")).alias(c) for c in ("n", "s")]).checkpoint()
         columns, out = {"courier_name": "courier_name", "region": "region"}, []
         for with_place, sets in enumerate(_split(self.sets("courier_performance"), "region")):
             if sets:
@@ -205,7 +232,7 @@ class Lattice:
         star, out = self.star, []
         returns = star["fact_returns"].select("line_id", "return_id", "return_reason")
         lines = star["fact_order_lines"].select("line_id", "order_id", "sku_id")
-        cuboid = _placed(lines.join(returns, "line_id"), self.order_places, "order_id").groupBy("sku_id", "return_reason", "located", "region").agg(
+        cuboid = _placed(_at(lines.join(returns, "line_id").drop("line_id"), self.asked_places, "order_id")).groupBy("sku_id", "return_reason", "located", "region").agg(
             F.sum("times").alias("n"), F.sum(F.when(F.col("return_id").isNotNull(), F.col("times")).otherwise(0)).alias("r")).checkpoint()
         columns = {"return_reason": "return_reason", "category": "category_name", "region": "region"}
         for with_category, some in enumerate(_split(self.sets("return_rate_by_sku"), "category")):
@@ -234,8 +261,9 @@ class Lattice:
     def clicks(self) -> list[DataFrame]:
         star, out = self.star, []
         places = _by_key(dims.customer_location(star, EVERYTHING), "customer_id") if self.located else None
-        rows = _placed(star["fact_user_clickstream"].select("customer_id", "device_type", "event_type"), places, "customer_id")
-        cuboid = rows.groupBy("device_type", "event_type", "located", "region").agg(F.sum("times").alias("n")).checkpoint()
+        rows = _at(star["fact_user_clickstream"].select("customer_id", "device_type", "event_type"), places, "customer_id")
+        counted = rows.groupBy("device_type", "event_type", "places").agg(F.count(F.lit(1)).alias("n"))
+        cuboid = _placed(counted).groupBy("device_type", "event_type", "located", "region").agg(F.sum(F.col("n") * F.col("times")).alias("n")).checkpoint()
         for analysis, label in (("clickstream_by_device", "device_type"), ("clickstream_funnel", "event_type")):
             for with_place, sets in enumerate(_split(self.sets(analysis), "region")):
                 if sets:
@@ -279,8 +307,11 @@ def report_by_question(star: Star, questions: DataFrame, id_cols: tuple[str, ...
     """(id_cols..., analysis, dimension, value): for every question the long
     report of the scope that its text names.  Questions of one scope share its
     report; a scope that very many ask is a plain join key, which AQE splits."""
-    scopes = question_scope(star, questions, id_cols, text_col, vocab).select(*id_cols, "scope_json").checkpoint()
-    return scopes.join(reports_for(star, scopes), "scope_json").select(*id_cols, "analysis", "dimension", "value")
+    with freed_shuffles(star.spark):
+        scopes = question_scope(star, questions, id_cols, text_col, vocab).select(*id_cols, "scope_json").checkpoint()
+        reports = reports_for(star, scopes)
+    # Row by row of the reports, of which a scope has more than questions: stored results repeat a row's values in runs.
+    return reports.join(scopes, "scope_json").select(*id_cols, "analysis", "dimension", "value")
 
 
 # What the questions of ``asked_questions`` name, in turn.

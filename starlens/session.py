@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +22,7 @@ DEFAULTS = {
     # Sorted buckets of one file each are read as sorted (sources.layout).
     "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -74,3 +77,20 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(conf).delete(target, True)
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a query that has ended are removed at
+    once, and not when the driver happens to collect its garbage.  For jobs of
+    many steps that each end in a checkpoint or a write; a frame run twice
+    within makes its shuffles again."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)

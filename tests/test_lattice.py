@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import random
+import time
+from functools import reduce
 
 import pytest
 from conftest import make_star
@@ -13,6 +15,8 @@ from starlens.functions.scope import SCOPE_KEYS
 from starlens.operators.questions import question_scope
 from starlens.plans.lattice import Lattice, asked_keys, report_by_question, reports_for
 from starlens.plans.report import report_long
+from starlens.session import freed_shuffles
+from starlens.sources.star import Star
 
 VALUES = {"region": ["R1", "R2", "nowhere"], "city": ["C1", "C2"], "category": ["K1", "K2"], "courier_name": ["A", "B"], "return_reason": ["x", "y"],
           "device_type": ["m", "d"], "payment_method": ["card", "cash"], "payment_status": ["failed", "ok"]}
@@ -113,3 +117,54 @@ def test_question_ngrams_meet_a_small_vocabulary_unshuffled(spark):
         assert {r.qid: r.scope_json for r in scopes.collect()} == {1: '{"region":"R1"}', 2: '{"city":"C2"}'}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_line_is_read_once_for_orders_and_revenue(spark):
+    star, seen = random_star(spark, 7), spark.sparkContext.accumulator(0)
+
+    def tell(r):
+        seen.add(1)
+        return r
+
+    lines = star["fact_order_lines"]
+    star = Star(spark, {**star, "fact_order_lines": spark.createDataFrame(lines.rdd.map(tell), lines.schema)})
+    lattice = Lattice(star, [frozenset(), frozenset({"region"}), frozenset({"category"}), frozenset({"category", "city"})])
+    cells = reduce(lambda a, b: a.unionByName(b), [*lattice.orders(), *lattice.revenue()])
+    assert cells.count() > 0 and seen.value == lines.count()
+
+
+def test_sums_keep_every_stored_decimal(spark):
+    lines = [("l1", "o1", "s1", "w", 1, 0.0033333333), ("l2", "o1", "s1", "w", 1, 0.0016666666), ("l3", "o2", "s1", "w", 1, 0.0000000001), ("l4", "o1", "s2", "w", 1, -0.005)]
+    star = make_star(
+        spark, dim_regions=[("r1", "R1", None)] * 3, dim_customer_addresses=[("a1", "C1", "r1")], dim_customers=[("c1", "a1", None)], dim_skus=[("s1", "k1", 1.0), ("s2", "k2", 1.0)],
+        dim_categories=[("k1", "K1"), ("k2", "K2")], fact_order_headers=[("o1", "c1", 1.0, None), ("o2", "c1", 1.0, None)], fact_order_lines=lines)
+    for scope in ({}, {"region": "R1"}):
+        table = spark.createDataFrame([(json.dumps(scope),)], "scope_json string")
+        assert shown(reports_for(star, table).drop("scope_json").collect()) == shown(report_long(star, scope).collect())
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in files.mkString("\n").split("\n") if f.endswith(".data")}
+
+
+def left(spark, before):
+    """The shuffle files made since; Spark removes them in the background."""
+    for _ in range(100):
+        if not (some := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return some
+
+
+def test_the_files_of_a_step_go_with_it(spark):
+    star, held = random_star(spark, 8), []  # held: no garbage of the driver takes the files
+    questions = spark.createDataFrame([(1, "what of R1"), (2, "C2 please"), (3, "K1 by card")], "qid long, text string")
+    before = shuffle_files(spark)
+    held.append(report_by_question(star, questions, ("qid",)))
+    assert not left(spark, before)
+    assert {r.qid for r in held[0].collect()} == {1, 2, 3}
+    was = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    with pytest.raises(RuntimeError), freed_shuffles(spark):
+        raise RuntimeError
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == was
