@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import os
+import re
 import tempfile
 
 import pytest
@@ -196,3 +198,29 @@ def test_topic_files_are_compressed_and_cut(spark, base, monkeypatch):
     assert len(files) == 3 and all(f.endswith(".txt.lz4") for f in files)
     run_ingest(spark, f"{base}/star", ["dim_regions"], source=f"{base}/topics", checkpoint_root=f"{base}/ckpt", available_now=True)
     assert len(stored(spark, f"{base}/star")) == 25
+
+
+def test_a_part_of_the_events_goes_before_the_next_is_sent(spark, monkeypatch):
+    found = []
+
+    def sent(rows, table, target):
+        if table == "fact_payments":
+            found.append(os.path.exists(f"{target.removeprefix('file:')}/{TOPICS[table]}"))
+        publish(rows, table, target)
+
+    monkeypatch.setattr(scenarios, "publish", sent)
+    monkeypatch.setattr(scenarios, "PART_EVENTS", 2500)  # of 6,000 lines
+    report = scenarios.report_incremental(spark, SF_SMALL)
+    assert found == [False] * 3
+    assert sorted(map(str, report.collect())) == sorted(map(str, report_long(Star.from_fixtures(spark, SF_SMALL)).collect()))
+
+
+def test_states_of_keys_are_joined_unsummed_and_stored_small(spark, base):
+    star = random_star(spark, 6)
+    create_tables(spark, base)
+    for t in SCHEMAS:
+        StateSink(base, t).store(star[t], 0)
+    plan = report_from_states(spark, base)._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[(line_id#\d+, sku_id|order_id#\d+, customer_id)", plan)
+    states = spark.read.parquet(f"{base}/_states/lines").inputFiles()
+    assert states and all(f.endswith(".zstd.parquet") or f.endswith(".zstd") or ".zstd." in f for f in states)
